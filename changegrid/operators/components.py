@@ -18,9 +18,9 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     Returns ``(node, component)``.  Edges are undirected; loops, repeats and nulls are ignored, and
     isolated nodes do not appear (their component is themselves).  Works on any orderable node type.
 
-    Contracting rounds: each node points at the smallest of itself and its neighbours, pointers are
-    jumped once, and the edges are rewritten between the nodes pointed at.  The number of remaining
-    edges falls geometrically, also on long chains.
+    Contracting rounds: each node points at whichever of itself and its neighbours has the lowest hash,
+    pointers are jumped once, and the edges are rewritten between the nodes pointed at.  Hashes put the
+    nodes in random order, so the number of nodes falls geometrically, also on long sorted chains.
     """
     e = (
         edges.select(F.col(src).alias("a"), F.col(dst).alias("b"))
@@ -34,7 +34,10 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         if e.isEmpty():
             break
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        near = stage(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("ptr")), "cc-near")
+        low = F.min(F.struct(F.xxhash64("b").alias("h"), F.col("b").alias("n")))
+        near = both.groupBy(F.col("a").alias("node")).agg(low.alias("low"))
+        own = F.struct(F.xxhash64("node").alias("h"), F.col("node").alias("n"))
+        near = stage(near.select("node", F.least("low", own)["n"].alias("ptr")), "cc-near")
         jump = near.select(F.col("node").alias("ptr"), F.col("ptr").alias("next"))
         ptr = stage(near.join(jump, "ptr").select("node", F.col("next").alias("ptr")), "cc-ptr")
         maps.append(ptr)
@@ -52,4 +55,5 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     for ptr in reversed(maps[:-1]):
         later = out.select(F.col("node").alias("ptr"), F.col("ptr").alias("next"))
         out = stage(ptr.join(later, "ptr", "left").select("node", F.coalesce("next", "ptr").alias("ptr")), "cc-map")
-    return out.select("node", F.col("ptr").alias("component"))
+    least = stage(out.groupBy("ptr").agg(F.min("node").alias("component")), "cc-least")
+    return out.join(least, "ptr").select("node", "component")
