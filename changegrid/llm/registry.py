@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from changegrid.llm.chat import OP3_SQL, op3_chat_format
+from changegrid.llm.mixing import op5_pareto_mixing
+from changegrid.llm.secrets import op7_secret_scan
 from changegrid.llm.simhash import op8_simhash_near_dup
+from changegrid.llm.substring import op1_substring_dedup
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
+    "op3_chat_format": op3_chat_format,
+    "op5_pareto_mixing": op5_pareto_mixing,
+    "op7_secret_scan": op7_secret_scan,
     "op8_simhash_near_dup": op8_simhash_near_dup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op3_chat_format": OP3_SQL}
