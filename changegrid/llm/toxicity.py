@@ -25,6 +25,8 @@ from changegrid.llm.quality import drawn
 from changegrid.llm.words import U, Words, mix, powers, rounds
 
 BITS, VOCABULARY, RANK = 20, 4096, 4
+#: Standard errors by which a bucket of the vocabulary deviates at least.
+LEAST_DEVIATION = 4.0
 STEMS = (4, 5)
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[:128] = 32
@@ -148,7 +150,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     expected = F.col("n") * F.lit(float(share))
     deviation = F.abs(F.col("toxic") - expected) / F.sqrt(expected * F.lit(1 - share) + 1)
     top = sample.mapInArrow(count, "bucket long, n long, toxic long").groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).where("n >= 3")
-    top = top.orderBy(deviation.desc(), "bucket").limit(VOCABULARY).select("bucket").toArrow()
+    top = top.where(deviation >= LEAST_DEVIATION).orderBy(deviation.desc(), "bucket").limit(VOCABULARY).select("bucket").toArrow()
     machine = Machine(np.sort(top["bucket"].to_numpy()), 0.0, np.zeros(0), np.zeros((0, RANK)))
 
     def positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
