@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from changegrid.llm.chat import OP3_SQL, op3_chat_format
+from changegrid.llm.decontaminate import op9_decontamination
 from changegrid.llm.langid import op4_language_id
 from changegrid.llm.mixing import op5_pareto_mixing
 from changegrid.llm.quality import op10_quality
@@ -21,6 +22,7 @@ QUERIES = {
     "op6_toxicity": op6_toxicity,
     "op7_secret_scan": op7_secret_scan,
     "op8_simhash_near_dup": op8_simhash_near_dup,
+    "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
 }
 

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from changegrid.llm.words import rounds
 
@@ -199,15 +200,15 @@ def spans_of(text: str, rule: Rule, compiled: re.Pattern) -> list[tuple[int, int
     return [m.span() for m in compiled.finditer(text) if m.end(rule.group) - m.start(rule.group) >= rule.least]
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, text, spans)`` for every row; ``spans`` is array<struct<start, end, kind, base>>, ordered by start, then rule.
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(id, text, *keep, spans)`` for every row; ``spans`` is array<struct<start, end, kind, base>>, ordered by start, then rule.
 
     Positions are code points, end exclusive, on the whole text; null text counts as empty.  Rows keep
-    their multiplicity; columns other than the id and the text are left out.
+    their multiplicity; columns other than the id, the text and those named in ``keep`` are left out.
     """
     queries = [trigram_query(r) for r in rules]
     grams = sorted(set().union(*(grams_of(q) for q in queries)))
-    kind = docs.schema[id_col].dataType.simpleString()
+    chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *keep)
     span = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string()), ("base", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,10 +224,10 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id
                         if block[i]:
                             found[i] += [(a, k, b) for a, b in spans_of(block[i], rule, compiled[k])]
                 spans = [[{"start": a, "end": b, "kind": rules[k].kind, "base": rules[k].base} for a, k, b in sorted(x)] for x in found]
-                yield pa.RecordBatch.from_arrays([batch.column("id").slice(row, to - row), texts.slice(row, to - row), pa.array(spans, pa.list_(span))], names=["id", "text", "spans"])
+                yield pa.RecordBatch.from_arrays([*(c.slice(row, to - row) for c in batch.columns), pa.array(spans, pa.list_(span))], names=[*batch.schema.names, "spans"])
 
-    schema = f"id {kind}, text string, spans array<struct<start: long, end: long, kind: string, base: boolean>>"
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    found = T.ArrayType(T.StructType().add("start", "long").add("end", "long").add("kind", "string").add("base", "boolean"))
+    return chosen.mapInArrow(run, T.StructType([*chosen.schema.fields, T.StructField("spans", found)]))
 
 
 def redact(text: F.Column, spans: F.Column) -> F.Column:
