@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from changegrid.plans import queries_raster
+
+QUERIES = {**queries_raster.QUERIES}
+ORACLE_SQL = {**queries_raster.ORACLE_SQL}
