@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from changegrid.config import Psi
@@ -10,6 +10,12 @@ from changegrid.config import Psi
 KEY = ["azimuth_index", "range_index"]
 
 
+def _nearest_middle(days: str, start: Column, end: Column) -> Column:
+    """The day nearest the middle of start and end, the earlier if tied."""
+    away = F.transform(days, lambda d: F.struct(F.abs(2 * F.datediff(d, start) - F.datediff(end, start)).alias("off"), d.alias("day")))
+    return F.array_min(away)["day"]
+
+
 def plan_breaks(scenes: DataFrame, least: int = Psi.minimum_subset_images) -> DataFrame:
     """Every split of each stack's dates with ``least`` or more scenes on both sides.
 
@@ -24,7 +30,7 @@ def plan_breaks(scenes: DataFrame, least: int = Psi.minimum_subset_images) -> Da
     out = {"break_after": F.element_at("front", -1), "break_before": F.element_at("back", 1)}
     for side in ("front", "back"):
         start, end = F.element_at(side, 1), F.element_at(side, -1)
-        out[f"{side}_master"] = F.array_min(F.transform(side, lambda d, start=start, end=end: F.struct(F.abs(2 * F.datediff(d, start) - F.datediff(end, start)).alias("off"), d.alias("day"))))["day"]
+        out[f"{side}_master"] = _nearest_middle(side, start, end)
         out[f"{side}_id"] = F.concat_ws("_", "stack_id", F.lit(f"cdpsi_{side}"), F.date_format(start, "yyyyMMdd"), F.date_format(end, "yyyyMMdd"))
     index = F.row_number().over(Window.partitionBy("stack_id").orderBy("n_front"))
     return sides.select("stack_id", "n_front", "n_back", *[v.alias(k) for k, v in out.items()]).withColumn("break_index", index)
