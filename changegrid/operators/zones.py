@@ -110,7 +110,7 @@ def zone_outlines(labels: DataFrame, resolution_m: float = 10.0, x0: float = 0.0
     Zones are compact objects; one that spans the whole input is traced by one task.  Rows go down from y0.
     """
 
-    def outline(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def outline(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         rings = [[(x0 + x * resolution_m, y0 - y * resolution_m) for x, y in ring] for ring in trace_rings(list(zip(pdf.r.tolist(), pdf.c.tolist(), strict=True)))]
         rings = [simplify(ring, tolerance_m) for ring in rings]
         wkt = "POLYGON (" + ", ".join("(" + ", ".join(f"{x:g} {y:g}" for x, y in ring) + ")" for ring in rings) + ")"
