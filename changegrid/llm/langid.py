@@ -45,9 +45,9 @@ def _grams(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, n
 
 
 def _padded(texts: pa.Array) -> pa.Array:
-    folded = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
+    """Texts in lower case between spaces."""
     space, none = pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string())
-    return pc.binary_join_element_wise(space, folded, space, none)
+    return pc.binary_join_element_wise(space, pc.utf8_lower(texts), space, none)
 
 
 def _places(code: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray]:
@@ -108,7 +108,7 @@ def train(labelled: DataFrame, text_col: str, lang_col: str, key: Column, sample
         for batch in batches:
             lang = batch.column("lang").to_numpy(zero_copy_only=False)
             for k in np.unique(lang):
-                for _, _, data, offsets in rounds(_padded(batch.column("text").take(pa.array(np.flatnonzero(lang == k))))):
+                for _, _, data, offsets in rounds(batch.column("text").take(pa.array(np.flatnonzero(lang == k))), prepare=_padded):
                     for n in SIZES:
                         codes, times = np.unique(_grams(data, offsets, n)[0], return_counts=True)
                         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(codes), k, np.int32)), pa.array(codes.view(np.int64)), pa.array(times.astype(np.int64))], names=["lang", "gram", "n"])
@@ -147,7 +147,7 @@ def predict(docs: DataFrame, model: Filter, id_col: str = "doc_id", text_col: st
         model = Filter(*shared.value)
         names = np.array([*model.langs, "und"], dtype=object)
         for batch in batches:
-            for row, to, data, offsets in rounds(_padded(batch.column("text"))):
+            for row, to, data, offsets in rounds(batch.column("text"), prepare=_padded):
                 n = to - row
                 known = batch.column("letters").slice(row, n).to_numpy(zero_copy_only=False).astype(bool)
                 best, score = np.full(n, len(names) - 1), np.zeros(n)

@@ -34,10 +34,6 @@ _FOLD[97:123] = np.arange(97, 123)
 _FOLD[48:58] = np.arange(48, 58)
 
 
-def _lower(texts: pa.Array) -> pa.Array:
-    return pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
-
-
 def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(text, bucket) of every term of lower-cased texts; repeats stay."""
     words = Words(_FOLD[data], offsets)
@@ -136,7 +132,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             label = batch.column("label").to_numpy(zero_copy_only=False)
-            for row, to, data, offsets in rounds(_lower(batch.column("text"))):
+            for row, to, data, offsets in rounds(batch.column("text"), prepare=pc.utf8_lower):
                 text, bucket = terms(data, offsets)
                 pairs = np.unique(text << BITS | bucket)
                 where, toxic = pairs & ((1 << BITS) - 1), label[row:to][pairs >> BITS] > 0
@@ -156,7 +152,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slot = machine.slots()
         for batch in batches:
-            for row, to, data, offsets in rounds(_lower(batch.column("text"))):
+            for row, to, data, offsets in rounds(batch.column("text"), prepare=pc.utf8_lower):
                 texts, at = machine.sparse(data, offsets, slot)
                 cuts = np.searchsorted(texts, np.arange(to - row + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([batch.column("label").slice(row, to - row), pa.ListArray.from_arrays(cuts, pa.array(at.astype(np.int32)))], names=["label", "at"])
@@ -176,7 +172,7 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
         machine = shared.value
         slot = machine.slots()
         for batch in batches:
-            for row, to, data, offsets in rounds(_lower(batch.column("text"))):
+            for row, to, data, offsets in rounds(batch.column("text"), prepare=pc.utf8_lower):
                 texts, at = machine.sparse(data, offsets, slot)
                 yield pa.RecordBatch.from_arrays([batch.column("id").slice(row, to - row), pa.array(machine.score(texts, at, to - row))], names=["id", "score"])
 

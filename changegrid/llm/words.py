@@ -7,7 +7,7 @@ mixed word hashes), taken from prefix sums modulo 2**64, so any window costs two
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +17,7 @@ U = np.uint64
 SEPARATOR = np.zeros(256, dtype=bool)
 SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 #: Bytes of text that one round of array work covers; a longer text makes a round of its own.
-ROUND_BYTES = 1 << 21
+ROUND_BYTES = 1 << 20
 _BYTE_P, _WORD_P, _WORD_P2 = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -94,21 +94,26 @@ class Rolling:
         return mix((self.total[size:] - self.total[:n]) * self.inv[:n] + U(size))
 
 
-def rounds(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Cuts a string array into runs of about ROUND_BYTES: (row from, row to, bytes, offsets); null counts as empty."""
+def rounds(texts: pa.Array, size: int = ROUND_BYTES, prepare: Callable[[pa.Array], pa.Array] | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Cuts a string array into runs of about ``size`` bytes: (row from, row to, bytes, offsets); null counts as empty.
+
+    ``prepare`` maps each piece (lower case, padding) before it is cut, so copies stay small too.
+    """
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
     n = len(texts)
-    if not n:
-        return
-    buffers = texts.buffers()
-    offsets = np.frombuffer(buffers[1], np.int64)[texts.offset : texts.offset + n + 1]
-    data = np.frombuffer(buffers[2], np.uint8) if buffers[2] is not None else np.zeros(0, np.uint8)
-    row = 0
-    while row < n:
-        to = int(np.searchsorted(offsets, offsets[row] + ROUND_BYTES, "right")) - 1
-        to = min(n, max(to, row + 1))
-        lo, hi = int(offsets[row]), int(offsets[to])
-        yield row, to, data[lo:hi], offsets[row : to + 1] - lo
-        row = to
+    step = max(1, int(n * size // max(1, texts.nbytes)))
+    for at in range(0, n, step):
+        part = pc.fill_null(texts.slice(at, step).cast(pa.large_string()), "")
+        if prepare is not None:
+            part = prepare(part)
+        buffers, rows = part.buffers(), len(part)
+        offsets = np.frombuffer(buffers[1], np.int64)[part.offset : part.offset + rows + 1]
+        data = np.frombuffer(buffers[2], np.uint8) if buffers[2] is not None else np.zeros(0, np.uint8)
+        row = 0
+        while row < rows:
+            to = int(np.searchsorted(offsets, offsets[row] + size, "right")) - 1
+            to = min(rows, max(to, row + 1))
+            lo, hi = int(offsets[row]), int(offsets[to])
+            yield at + row, at + to, data[lo:hi], offsets[row : to + 1] - lo
+            row = to
