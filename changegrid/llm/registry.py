@@ -9,7 +9,7 @@ from changegrid.llm.mixing import op5_pareto_mixing
 from changegrid.llm.quality import op10_quality
 from changegrid.llm.secrets import op7_secret_scan
 from changegrid.llm.simhash import op8_simhash_near_dup
-from changegrid.llm.substring import op1_substring_dedup
+from changegrid.llm.substring import OP1_SQL, op1_substring_dedup
 from changegrid.llm.topk import OP2_SQL, op2_exact_topk
 from changegrid.llm.toxicity import op6_toxicity
 
@@ -26,4 +26,4 @@ QUERIES = {
     "op10_quality": op10_quality,
 }
 
-ORACLE_SQL = {"op2_exact_topk": OP2_SQL, "op3_chat_format": OP3_SQL}
+ORACLE_SQL = {"op1_substring_dedup": OP1_SQL, "op2_exact_topk": OP2_SQL, "op3_chat_format": OP3_SQL}

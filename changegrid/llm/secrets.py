@@ -110,7 +110,7 @@ def _item(op, arg) -> _Part:
                 chars |= {chr(c).lower() for c in range(value[0], value[1] + 1)}
             else:
                 return _Part(None, ("any",))
-        return _Part(chars if len(chars) <= 4 else None, ("any",))
+        return _Part(chars if len(chars) <= 8 else None, ("any",))
     if op is sre.SUBPATTERN:
         return _walk(arg[-1])
     if op is sre.BRANCH:

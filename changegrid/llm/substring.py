@@ -227,3 +227,16 @@ def op1_substring_dedup(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     found = repeated_substrings(docs, with_text=False)
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
+OP1_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (SELECT doc_id, list_transform(range(1, len(ws) - 33), lambda i: array_to_string(list_slice(ws, i, i + 34), ' ')) AS h FROM w WHERE len(ws) >= 35),
+each AS (SELECT doc_id, unnest(h) AS s, generate_subscripts(h, 1) AS i FROM win),
+again AS (SELECT s FROM each GROUP BY s HAVING count(*) > 1),
+hit AS (SELECT doc_id, i FROM each WHERE s IN (SELECT s FROM again)),
+gone AS (SELECT DISTINCT doc_id, i + k AS j FROM hit, range(0, 35) t(k)),
+one AS (SELECT doc_id, unnest(ws) AS x, generate_subscripts(ws, 1) AS j FROM w),
+kept AS (SELECT one.doc_id, count(gone.j) AS n, string_agg(x, ' ' ORDER BY one.j) FILTER (gone.j IS NULL) AS rest FROM one LEFT JOIN gone ON gone.doc_id = one.doc_id AND gone.j = one.j GROUP BY one.doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256 FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id
+"""
