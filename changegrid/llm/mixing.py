@@ -7,8 +7,9 @@ whole part of it is allocated outright; the fraction is an inclusion probability
 ranked by the random odds over the inclusion odds, u/(1-u) / (p/(1-p)).  One more copy each goes to the
 lowest ranks until the source's target is met.
 
-No source is sorted in one task.  Ranks fall into ``BINS`` bins; sizes are summed by (source, bin), and
-only the bin in which a source's target falls is ordered exactly.
+No source is sorted in one task.  Ranks fall into coarse and fine bins; sizes are summed by (source, bin),
+first over coarse bins, then over the fine ones where a source's target falls, and only the documents of
+that fine bin are ordered exactly.
 """
 
 from __future__ import annotations
@@ -18,7 +19,8 @@ from pyspark.sql import functions as F
 
 from changegrid.sources.staging import stage
 
-BINS = 65536
+#: Bins of ranks, and how many of them make a coarse bin.
+BINS, FINE = 65536, 256
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -52,6 +54,24 @@ def targets(sources: DataFrame, share: float, max_copies: float = 2.0) -> DataFr
     return sources.withColumn("target", F.least(cap, reached).cast("double"))
 
 
+def _cut(bins: DataFrame, room: DataFrame, beyond: int) -> DataFrame:
+    """``(source, last, room, before)``: the first bin whose running sum reaches the room, and the sum before it.
+
+    ``bins``: ``(source, at, extra)``; ``room``: ``(source, room, before)``.  A source whose bins do not
+    fill its room, or that has none, gets ``beyond`` as its last.
+    """
+    named = room.select(F.col("source").alias("r_source"), "room", "before")
+    upto = Window.partitionBy("r_source").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    both = named.join(bins, F.col("r_source").eqNullSafe(F.col("source")), "left").withColumn("upto", F.col("before") + F.sum(F.coalesce("extra", F.lit(0))).over(upto))
+    reached = F.col("upto") >= F.col("room")
+    out = both.groupBy(F.col("r_source").alias("source")).agg(
+        F.coalesce(F.min(F.when(reached, F.col("at"))), F.lit(beyond)).alias("last"),
+        F.first("room").alias("room"),
+        F.coalesce(F.max(F.when(~reached, F.col("upto"))), F.first("before")).alias("before"),
+    )
+    return stage(out, "mix-cut")
+
+
 def mix(docs: DataFrame, weights: DataFrame, share: float, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", max_copies: int = 2, doc_weight: Column | None = None, seed: int = 0) -> DataFrame:
     """``(id, source, size, source_size, target, copies, taken)`` for every row.
 
@@ -84,16 +104,13 @@ def mix(docs: DataFrame, weights: DataFrame, share: float, id_col: str = "doc_id
         .withColumn("bin", F.floor(F.col("rank") / (1 + F.col("rank")) * BINS).cast("int"))
         .drop("expected", "u")
     )
-    by_bin = ranked.groupBy("source", "bin").agg(F.sum(F.when(F.col("rank").isNotNull(), F.col("size")).otherwise(0)).alias("extra"), F.sum(F.col("whole") * F.col("size")).alias("given"), F.first("target").alias("target"))
-    upto = Window.partitionBy("source").orderBy(F.col("bin").asc_nulls_first())
-    whole = Window.partitionBy("source")
-    cut = by_bin.select("source", "bin", (F.col("target") - F.sum("given").over(whole)).alias("room"), F.sum("extra").over(upto).alias("upto"), "extra")
-    cut = cut.where(F.col("bin").isNotNull()).groupBy("source").agg(
-        F.coalesce(F.min(F.when(F.col("upto") >= F.col("room"), F.col("bin"))), F.lit(BINS)).alias("last"),
-        F.min_by("room", "bin").alias("room"),
-        F.coalesce(F.max(F.when(F.col("upto") < F.col("room"), F.col("upto"))), F.lit(0)).alias("before"),
-    )
-    cut = stage(cut.select(F.col("source").alias("c_source"), "last", "room", "before"), "mix-cut")
+    # the coarse bin of each source's cut, then the fine bin in it: two short tables a source
+    given = stage(ranked.groupBy("source").agg((F.first("target") - F.sum(F.col("whole") * F.col("size"))).alias("room")), "mix-room")
+    coarse = ranked.where(F.col("bin").isNotNull()).groupBy("source", F.floor(F.col("bin") / FINE).cast("int").alias("at")).agg(F.sum("size").alias("extra"))
+    first = _cut(coarse, given.withColumn("before", F.lit(0).cast("long")), BINS // FINE)
+    held = first.select(F.col("source").alias("h_source"), F.col("last").alias("h_last"))
+    fine = ranked.join(held, F.col("source").eqNullSafe(F.col("h_source")) & (F.floor(F.col("bin") / FINE) == F.col("h_last"))).groupBy("source", F.col("bin").alias("at")).agg(F.sum("size").alias("extra"))
+    cut = _cut(fine, first.select("source", "room", "before"), BINS).select(F.col("source").alias("c_source"), "last", "room", "before")
     near = ranked.join(cut, F.col("source").eqNullSafe(F.col("c_source")), "left")
     at_cut = F.coalesce(F.col("bin") == F.col("last"), F.lit(False))
     order = Window.partitionBy("source").orderBy("rank", "id", "size")
