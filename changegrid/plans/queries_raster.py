@@ -109,7 +109,7 @@ QUERIES = {
     "confusion_metrics": lambda s, d: rounded(R.confusion_metrics(truth_cells(s, d))),
     "amplitude_change": lambda s, d: rounded(amplitude(s, d)),
     "regrid_nearest": lambda s, d: rounded(G.regrid_nearest(source_grid(s, d), G.targets(s, 64, 64), 0.75)),
-    "regrid_bilinear": lambda s, d: rounded(G.regrid_bilinear(source_grid(s, d), G.targets(s, 64, 64), "v", 0.75)),
+    "regrid_bilinear": lambda s, d: rounded(G.regrid_bilinear(source_grid(s, d), G.targets(s, 64, 64), "v", 0.75), 9),
     "infer_transform": lambda s, d: rounded(G.infer_transform(source_grid(s, d).select((F.col("c") * 10.0 + 5).alias("x"), (1000 - F.col("r") * 10.0).alias("y")))),
 }
 
@@ -227,7 +227,7 @@ ORACLE_SQL = {
     "regrid_bilinear": duckdb(
         _SRC + """, mid AS (SELECT r, c, (r + 0.5) * 0.75 - 0.5 AS fr, (c + 0.5) * 0.75 - 0.5 AS fc FROM grid), near AS (SELECT mid.*, floor(fr) + a AS sr, floor(fc) + b AS sc, (CASE a WHEN 1 THEN fr - floor(fr) ELSE 1 - fr + floor(fr) END) * (CASE b WHEN 1 THEN fc - floor(fc) ELSE 1 - fc + floor(fc) END) AS w
   FROM mid, (VALUES (0), (1)) x(a), (VALUES (0), (1)) y(b))
-  SELECT CAST(near.r AS BIGINT) AS r, CAST(near.c AS BIGINT) AS c, round(sum(w * v) / sum(w), 6) AS v FROM near JOIN src ON src.r = sr AND src.c = sc WHERE v IS NOT NULL AND w > 0 GROUP BY 1, 2""", "s1_obs"),
+  SELECT CAST(near.r AS BIGINT) AS r, CAST(near.c AS BIGINT) AS c, round(sum(w * v) / sum(w), 9) AS v FROM near JOIN src ON src.r = sr AND src.c = sc WHERE v IS NOT NULL AND w > 0 GROUP BY 1, 2""", "s1_obs"),
     "infer_transform": duckdb(
         _SRC + """, px AS (SELECT c * 10.0::DOUBLE + 5 AS x, 1000 - r * 10.0::DOUBLE AS y FROM src), sx AS (SELECT x, x - lag(x) OVER (ORDER BY x) AS s FROM (SELECT DISTINCT x FROM px)), sy AS (SELECT y, y - lag(y) OVER (ORDER BY y) AS s FROM (SELECT DISTINCT y FROM px))
   SELECT a.res_x, a.ox AS origin_x, b.res_y, b.oy AS origin_y FROM (SELECT median(s) AS res_x, min(x) - median(s) / 2 AS ox FROM sx) a, (SELECT median(s) AS res_y, max(y) + median(s) / 2 AS oy FROM sy) b""", "s1_obs"),
