@@ -162,3 +162,14 @@ def select_bands(inventory: DataFrame, pol: str = "VV") -> DataFrame:
 def pair_pivot(products: DataFrame, swaths: list[str]) -> DataFrame:
     """One row a date, one column a swath: the least product of each, NULL where missing."""
     return products.groupBy("day").pivot("swath", swaths).agg(F.min("product"))
+
+
+def probe_stacks(scenes: DataFrame, stacks: DataFrame) -> DataFrame:
+    """For each configured stack its first matching scene, NULLs where nothing matches."""
+    first = stack_scenes(scenes, stacks).groupBy("stack_id").agg(F.min(F.struct("day", "scene_id")).alias("first"))
+    return stacks.join(first, "stack_id", "left").select("stack_id", F.col("first.scene_id").alias("scene_id"), F.col("first.day").alias("day"))
+
+
+def missing_dates(expected: DataFrame, actual: DataFrame) -> DataFrame:
+    """Days of each stack that are expected but not there."""
+    return expected.select("stack_id", "day").distinct().join(actual.select("stack_id", "day"), ["stack_id", "day"], "left_anti")

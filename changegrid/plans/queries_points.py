@@ -107,6 +107,8 @@ QUERIES = {
     "stack_summary": lambda s, d: C.stack_summary(stacked(s, d)),
     "master_centred_window": lambda s, d: C.centred_window(stacked(s, d), 24, 5, masters(s, d)),
     "master_secondaries": lambda s, d: C.secondaries(stacked(s, d), masters(s, d)).select("stack_id", "scene_id", "day"),
+    "stack_probe": lambda s, d: C.probe_stacks(view(s, d, "scenes"), s.sql(STACKS)),
+    "missing_dates": lambda s, d: C.missing_dates(stacked(s, d), monthly(s, d)),
     "date_chunks": lambda s, d: C.date_chunks(stacked(s, d).groupBy("stack_id").agg(F.min("day").alias("start"), F.max("day").alias("end"))).select("stack_id", "chunk_start", "chunk_end"),
     "orbit_match": lambda s, d: C.match_orbits(view(s, d, "scenes").select("scene_id", "day", "platform"), C.parse_orbit_files(orbit_files(s, d))).select("scene_id", "orbit_file"),
     "band_audit": lambda s, d: C.audit_bands(bands(s, d)),
@@ -182,6 +184,8 @@ ORACLE_SQL = {
         _STACK + """, o AS (SELECT *, row_number() OVER (PARTITION BY stack_id ORDER BY day, scene_id) - 1 AS i, count(*) OVER (PARTITION BY stack_id) AS n FROM stk), a AS (SELECT o.stack_id, min(i) AS at0 FROM o JOIN mst ON mst.stack_id = o.stack_id AND day = master_day GROUP BY 1)
   SELECT o.stack_id, scene_id, day FROM o LEFT JOIN a ON a.stack_id = o.stack_id WHERE n >= 5 AND i BETWEEN coalesce(greatest(0, least(at0 - 12, n - 24)), 0) AND coalesce(greatest(0, least(at0 - 12, n - 24)), 0) + 23""", "scenes"),
     "master_secondaries": duckdb(_STACK + " SELECT stack_id, scene_id, day FROM stk JOIN mst USING (stack_id) WHERE day <> master_day", "scenes"),
+    "stack_probe": duckdb(_STACK + " SELECT st.stack_id, arg_min(scene_id, (day, scene_id)) AS scene_id, min(day) AS day FROM st LEFT JOIN stk USING (stack_id) GROUP BY 1", "scenes"),
+    "missing_dates": duckdb(_STACK + " SELECT DISTINCT stack_id, day FROM stk WHERE (stack_id, day) NOT IN (SELECT (stack_id, day) FROM mon)", "scenes"),
     "date_chunks": duckdb(_STACK + ", b AS (SELECT stack_id, min(day) AS f, max(day) AS l FROM stk GROUP BY 1), e AS (SELECT *, f + CAST(unnest(range(0, (l - f) + 1, 45)) AS INT) AS chunk_start FROM b) SELECT stack_id, chunk_start, least(chunk_start + 44, l) AS chunk_end FROM e", "scenes"),
     "orbit_match": duckdb(_ORBIT + " SELECT scene_id, min(name) AS orbit_file FROM scenes LEFT JOIN fil ON p = 'S1' || upper(right(platform, 1)) AND day BETWEEN a AND e GROUP BY 1", "scenes"),
     "band_audit": duckdb(
