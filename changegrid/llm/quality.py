@@ -15,13 +15,14 @@ whole text; each statistic is a one-hot of quantile bins, so the model is a sum
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from changegrid.llm.langid import held_out
 from changegrid.llm.words import Words, rounds
@@ -187,16 +188,18 @@ def train(docs: DataFrame, positives: DataFrame, id_col: str = "doc_id", text_co
     return fit(matrix(p), matrix(u))
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, score)`` for every row, empty and null texts too; ties in the text have equal scores."""
-    kind = docs.schema[id_col].dataType.simpleString()
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+    """``(id, *keep, score)`` for every row, empty and null texts too; ties in the text have equal scores."""
+    chosen = docs.select(F.col(id_col).alias("id"), *keep)
+    out = T.StructType([*chosen.schema.fields, T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, to, data, offsets in rounds(batch.column("text")):
-                yield pa.RecordBatch.from_arrays([batch.column("id").slice(row, to - row), pa.array(model.score(describe(data, offsets)))], names=["id", "score"])
+            for row, to, data, offsets in rounds(batch.column(batch.num_columns - 1)):
+                kept = [c.slice(row, to - row) for c in batch.columns[:-1]]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(model.score(describe(data, offsets)))], names=out.names)
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, score double")
+    return docs.select(F.col(id_col).alias("id"), *keep, F.col(text_col).alias("_text")).mapInArrow(run, out)
 
 
 def op10_quality(spark, sf_dir: str) -> DataFrame:

@@ -17,9 +17,10 @@ from changegrid.sources.staging import stage
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _keep(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Rows of ``docs`` with (left_semi) or without (left_anti) their id in ``ids``; null ids match each other."""
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["id"]), how).select(COLUMNS)
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Adds ``row``: 128 hash bits of all columns, nulls told from values; only equal rows share it."""
+    cells = [*[F.col(c).isNull() for c in COLUMNS], *COLUMNS]
+    return docs.withColumn("row", F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(k), *cells)), 16, "0") for k in (1, 2)]))
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,31 +30,32 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.train(docs, labels.where((F.col("quality") == 1) & ~held_out(F.col("doc_id"))))
-    rejected = quality.score(docs.select("doc_id", "text"), model).where("score < 0.5").select("id").distinct()
-    return _keep(docs, stage(rejected, "pipeline-rejected"), "left_anti")
+    return quality.score(docs, model, keep=COLUMNS).where("score >= 0.5").select(COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, that with the smallest id, of every SimHash component.
+    """Keeps one row of every SimHash component: that with the smallest id (null last), then hash.
 
-    A repeated id keeps one of its rows: the least text, then language and source.
+    Rows are told apart by all their columns, so null and repeated ids take no other row with them.
     """
-    found = simhash.near_duplicates(docs.select("doc_id", "text"))
-    kept = stage(found.where(F.col("id").eqNullSafe(F.col("component"))).select("id").distinct(), "pipeline-kept")
-    one = _keep(docs, kept, "left_semi")
-    repeated = stage(docs.groupBy(F.col("doc_id").alias("id")).count().where("count > 1").select("id"), "pipeline-repeated")
+    keyed = _keyed(docs)
+    name = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
+    found = simhash.near_duplicates(keyed.select(name.alias("name"), "text"), "name")
+    kept = found.where(F.col("id").eqNullSafe(F.col("component"))).groupBy(F.col("id.row").alias("row")).count()
+    kept = stage(kept, "pipeline-kept")
+    once = keyed.join(kept.where("count = 1"), "row", "left_semi").select(COLUMNS)
+    repeated = kept.where("count > 1")
     if repeated.isEmpty():
-        return one
-    rest = [c for c in COLUMNS if c != "doc_id"]
-    least = _keep(one, repeated, "left_semi").groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("row"))
-    return _keep(one, repeated, "left_anti").unionByName(least.select("doc_id", *[F.col("row")[c].alias(c) for c in rest]))
+        return once
+    return once.unionByName(keyed.join(repeated, "row", "left_semi").dropDuplicates(["row"]).select(COLUMNS))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that repeat or paraphrase a benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    leaks = decontaminate.find_leaks(docs.select("doc_id", "text"), benchmark).select("id").distinct()
-    return _keep(docs, stage(leaks, "pipeline-leaks"), "left_anti")
+    keyed = _keyed(docs)
+    leaks = decontaminate.find_leaks(keyed.select("row", "text"), benchmark, "row").select(F.col("id").alias("row")).distinct()
+    return keyed.join(stage(leaks, "pipeline-leaks"), "row", "left_anti").select(COLUMNS)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

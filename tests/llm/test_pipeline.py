@@ -1,5 +1,6 @@
 """The corpus pipeline against a brute-force version of its stages."""
 
+import random
 import re
 
 import corpus_pipeline as pipeline
@@ -59,3 +60,32 @@ def test_stages_take_odd_rows(spark):
         assert out.count() <= odd.count(), name
         assert stage(spark, odd.limit(0), DATA).isEmpty(), name
     assert [n for n, _ in pipeline.STAGES] == ["quality classifier", "SimHash near-dedup", "benchmark decontamination", "secret scans", "mixing sources"]
+
+
+def prose(rnd, n):
+    return " ".join("".join(rnd.choice("bcdfglmnprst") + rnd.choice("aeiou") for _ in range(3)) for _ in range(n))
+
+
+def test_rows_of_one_id_are_judged_apart(spark):
+    rnd = random.Random(4)
+    item = spark.read.parquet(f"{DATA}/benchmark.parquet").orderBy("item_id").first().text
+    a, b, c, d, e = (prose(rnd, 80) for _ in range(5))
+    # two unlike texts under a null id and under id 7; b also under 3, which stands for its class
+    texts = [(None, a), (None, c), (7, b), (7, d), (3, b), (9, e), (9, e)]
+    odd = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = pipeline.drop_near_duplicates(spark, odd, DATA).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(0, a), (0, c), (7, d), (3, b), (9, e)])
+    leaking = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in [(None, a), (None, f"{c} {item} {d}"), (7, b), (7, f"{item} {e}")]], odd.schema)
+    assert {(r.doc_id, r.text) for r in pipeline.drop_contaminated(spark, leaking, DATA).collect()} == {(None, a), (7, b)}
+
+
+def test_quality_is_judged_by_row(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    whole = {r.text for r in pipeline.classify_quality(spark, docs, DATA).collect()}
+    # labels need ids, so only unlabelled rows lose theirs
+    labelled = spark.read.parquet(f"{DATA}/labels.parquet").select("doc_id")
+    some = docs.where("text <> ''").join(labelled, "doc_id", "left_anti").withColumn("doc_id", F.lit(None).cast("long"))
+    mixed = docs.join(labelled, "doc_id", "left_semi").unionByName(some)
+    gone = mixed.where("doc_id IS NULL").count()
+    left = pipeline.classify_quality(spark, mixed, DATA).where("doc_id IS NULL").count()
+    assert whole and 0 < left < gone
