@@ -12,7 +12,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -118,6 +118,123 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return ids.join(final, "fp").select("id", "fp", "component")
 
 
+#: Near copies: words a shingle, least Jaccard similarity, bands of rows each in a signature, and agreeing rows from which a pair is verified.
+SHINGLE, SIMILAR, BANDS, BAND_ROWS, AGREE = 5, 0.8, 16, 4, 38
+
+
+def shingle_hashes(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """Sorted distinct hashes of a text's word shingles (of the whole text where it has fewer words)."""
+    words = (text or "").encode().lower().split()
+    rows = [words[i:] for i in range(min(shingle, len(words)))]
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(b" ".join(s)) for s in zip(*rows, strict=False)), np.uint64))
+
+
+def _signature(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least of each of len(a) hashings of a set, in pieces that bound the memory."""
+    x = hashes.astype(np.uint32)
+    least = np.full(len(a), np.uint32(0xFFFFFFFF))
+    for at in range(0, len(x), 1024):
+        h = x[at : at + 1024, None] * a + b
+        np.minimum(least, (h ^ (h >> np.uint32(15))).min(0), out=least)
+    return least
+
+
+def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(id, fp, same, signature, bands)``: op8's fingerprint; a hash of the set of five-word shingles
+    (0: no words); one byte of each least hash; and a key for every band (none without words)."""
+    rnd = np.random.default_rng(17)
+    a = rnd.integers(0, 1 << 31, BANDS * BAND_ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+    b = rnd.integers(0, 1 << 32, BANDS * BAND_ROWS, dtype=np.uint32)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps, same, signs, bands = [], [], [], []
+            for text in batch.column(1):
+                text = text.as_py()
+                fps.append(text_fingerprint(text))
+                hashes = shingle_hashes(text)
+                least = _signature(hashes, a, b)
+                same.append(xxhash.xxh64_intdigest(hashes.tobytes()) if len(hashes) else 0)
+                signs.append((least & np.uint32(255)).astype(np.uint8).tobytes())
+                keys = [xxhash.xxh64_intdigest(least[k * BAND_ROWS : (k + 1) * BAND_ROWS].tobytes(), k) for k in range(BANDS)] if len(hashes) else []
+                bands.append(np.array(keys, np.uint64).view(np.int64))
+            longs = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (fps, same)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *longs, pa.array(signs, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["id", "fp", "same", "signature", "bands"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp long, same long, signature binary, bands array<long>")
+
+
+def _filed_pairs(filed: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """(pairs ``(a, b)`` inside files of at most PAIRS_UP_TO rows, the rows of larger files with ``n``)."""
+    sizes = stage(filed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), f"{name}-files")
+    small = filed.join(sizes.where(F.col("n") <= PAIRS_UP_TO), "key").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("same", "signature"))).alias("held"))
+    left = small.select("held", F.posexplode("held").alias("at", "a"))
+    pairs = left.select("a", F.explode(F.slice("held", F.col("at") + 2, F.size("held"))).alias("b"))
+    return pairs, filed.join(sizes.where(F.col("n") > PAIRS_UP_TO), "key")
+
+
+def similar_links(sets: DataFrame, texts: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Links ``(src, dst)`` between sets whose shingles have a Jaccard similarity of SIMILAR or more.
+
+    ``sets``: ``(same, signature, bands)``, one row a set; ``texts`` gives ``(same, text)`` of chosen ones.
+    Sets that share a band are compared pair by pair; a crowded band's are filed again under every
+    second band that they share, and where that is crowded too, each is compared with the least of it.
+    """
+    filed = sets.select("same", "signature", "bands", F.explode("bands").alias("key"))
+    pairs, crowded = _filed_pairs(filed, "similar")
+    again = crowded.select("same", "signature", "key", F.explode("bands").alias("other")).where("key < other")
+    again = again.select("same", "signature", F.xxhash64("key", "other").alias("key"))
+    more, full = _filed_pairs(again, "similar-again")
+    one = F.struct("same", "signature")
+    least = full.groupBy("key").agg(F.min(one).alias("a"))
+    star = full.join(least, "key").select("a", one.alias("b")).where("a.same <> b.same")
+    pairs = pairs.unionByName(more).unionByName(star)
+    flat = pairs.select(F.col("a.same").alias("src"), F.col("a.signature").alias("s"), F.col("b.same").alias("dst"), F.col("b.signature").alias("t"))
+
+    def agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            s, t = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BANDS * BAND_ROWS) for c in ("s", "t"))
+            yield batch.select(["src", "dst"]).filter(pa.array((s == t).sum(1) >= AGREE))
+
+    near = stage(flat.mapInArrow(agreeing, "src long, dst long").distinct(), "similar-pairs")
+    wanted = near.select(F.col("src").alias("same")).union(near.select("dst")).distinct()
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = [shingle_hashes(t.as_py()).view(np.int64) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("same"), pa.array(held, pa.list_(pa.int64()))], names=["same", "held"])
+
+    held = stage(texts(wanted).mapInArrow(hashed, "same long, held array<long>"), "similar-sets")
+    both = near.join(held.withColumnsRenamed({"same": "src", "held": "x"}), "src").join(held.withColumnsRenamed({"same": "dst", "held": "y"}), "dst")
+    common = F.size(F.array_intersect("x", "y"))
+    return both.where(common >= SIMILAR * (F.size("x") + F.size("y") - common)).select("src", "dst")
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id, component)`` for every row: the smallest id that links reach from it.
+
+    Linked are op8's pairs (fingerprints of three-word shingles at most two bits apart), equal sets of
+    five-word shingles, and sets with a Jaccard similarity of SIMILAR or more: candidates from bands of
+    a signature, each verified on the whole sets.  Equal sets are compared once, however many rows
+    have them.  ``id_col`` has to name a row's content: rows of one id have one text.
+    """
+    rows = stage(sketches(docs, id_col, text_col), "similar-rows")
+    fps = rows.select("fp").distinct()
+    sets = stage(rows.groupBy("same").agg(F.min("id").alias("id"), F.min(F.struct("signature", "bands")).alias("s")).select("same", "id", "s.*"), "similar-distinct")
+    whole = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+
+    def texts(wanted: DataFrame) -> DataFrame:
+        return whole.join(sets.join(wanted, "same").select("same", "id"), "id").dropDuplicates(["same"]).select("same", "text")
+
+    links = similar_links(sets, texts).unionByName(close_links(fps)).unionByName(rows.select(F.col("fp").alias("src"), F.col("same").alias("dst")).distinct())
+    classes = stage(connected_components(links), "similar-classes")
+    classed = rows.join(classes, rows.fp == classes.node, "left").select("id", F.coalesce("component", "fp").alias("class"))
+    classed = stage(classed, "similar-classed")
+    first = classed.groupBy("class").agg(F.min("id").alias("component"))
+    return classed.join(stage(first, "similar-first"), "class").select("id", "component")
+
+
 def op8_simhash_near_dup(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     found = near_duplicates(docs)

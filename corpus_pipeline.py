@@ -34,13 +34,15 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one row of every SimHash component: that with the smallest id (null last), then hash.
+    """Keeps one row of every class of near copies: that with the smallest id (null last), then hash.
+
+    Near copies are op8's SimHash links and five-word shingle sets of Jaccard similarity 0.8 or more.
 
     Rows are told apart by all their columns, so null and repeated ids take no other row with them.
     """
     keyed = _keyed(docs)
     name = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
-    found = simhash.near_duplicates(keyed.select(name.alias("name"), "text"), "name")
+    found = simhash.near_copies(keyed.select(name.alias("name"), "text"), "name")
     kept = found.where(F.col("id").eqNullSafe(F.col("component"))).groupBy(F.col("id.row").alias("row")).count()
     kept = stage(kept, "pipeline-kept")
     once = keyed.join(kept.where("count = 1"), "row", "left_semi").select(COLUMNS)

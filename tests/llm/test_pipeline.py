@@ -89,3 +89,21 @@ def test_quality_is_judged_by_row(spark):
     gone = mixed.where("doc_id IS NULL").count()
     left = pipeline.classify_quality(spark, mixed, DATA).where("doc_id IS NULL").count()
     assert whole and 0 < left < gone
+
+
+def test_near_copies_beyond_two_bits_go(spark):
+    rnd = random.Random(6)
+    words = prose(rnd, 400).split()
+    # each of 40 copies changes 4 of 400 words (Jaccard about 0.9); some 100 share every long band
+    copies = []
+    for k in range(120):
+        mine = list(words)
+        for at in rnd.sample(range(400), 4 if k < 40 else 1):
+            mine[at] = prose(rnd, 1)
+        copies.append(" ".join(mine))
+    # half of the words are others' (Jaccard about 0.3): not a copy
+    apart = " ".join(words[:200]) + " " + prose(rnd, 200)
+    alone = prose(rnd, 60)
+    texts = [*copies, apart, alone, alone.split()[0]]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert [r.doc_id for r in pipeline.drop_near_duplicates(spark, docs, DATA).orderBy("doc_id").collect()] == [0, 120, 121, 122]
