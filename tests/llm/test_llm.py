@@ -346,3 +346,16 @@ def test_prior_estimate():
     p = rng.normal(2, 1, 4000)
     u = np.concatenate((rng.normal(2, 1, 2800), rng.normal(-2, 1, 1200)))
     assert abs(quality.estimate_prior(p, u) - 0.7) < 0.05
+
+
+def test_leaks_of_many_items(spark):
+    """3,000 items are more than the basis holds: each of 300 verbatim copies is found all the same."""
+    rnd = random.Random(12)
+    vocabulary = ["".join(rnd.choice("bcdfglmnprst") + rnd.choice("aeiou") for _ in range(4)) for _ in range(20000)]
+    prose = lambda n: " ".join(rnd.choice(vocabulary) for _ in range(n))
+    items = [prose(rnd.randrange(12, 60)) for _ in range(3000)]
+    texts = [f"{prose(rnd.randrange(90))} {items[10 * i]} {prose(rnd.randrange(1, 90))}" for i in range(300)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = decontaminate.find_leaks(documents(spark, texts), bench).collect()
+    assert sorted((r.id, r.item_id) for r in got) == [(i, 10 * i) for i in range(300)]
+    assert all(r.cosine is None or r.cosine <= 1.001 for r in got)
