@@ -359,3 +359,18 @@ def test_leaks_of_many_items(spark):
     got = decontaminate.find_leaks(documents(spark, texts), bench).collect()
     assert sorted((r.id, r.item_id) for r in got) == [(i, 10 * i) for i in range(300)]
     assert all(r.cosine is None or r.cosine <= 1.001 for r in got)
+
+
+def test_leaks_in_many_rows(spark):
+    """An item in a third of all rows is found in each, and so is one whose words are all common."""
+    rnd = random.Random(13)
+    word = lambda: "".join(rnd.choice("bcdfglmnprst") + rnd.choice("aeiou") for _ in range(4))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    item, common = [word() for _ in range(30)], [word() for _ in range(30)]
+    mixed = lambda: " ".join(rnd.sample(common, 30))
+    near = [*common[:15], "other", *common[16:]]
+    texts = [f"{prose(30)} {' '.join(item)} {prose(30)}" for _ in range(40)] + [f"{prose(20)} {mixed()}" for _ in range(50)]
+    texts += [f"{prose(20)} {' '.join(t)} {prose(20)}" for t in (common, near)] + [prose(80) for _ in range(20)]
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(common))], "item_id long, text string")
+    got = decontaminate.find_leaks(documents(spark, texts), bench).collect()
+    assert sorted((r.id, r.item_id) for r in got) == [*[(i, 1) for i in range(40)], (90, 2), (91, 2)]
