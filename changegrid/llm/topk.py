@@ -1,10 +1,13 @@
-"""Exact top-k inner products: tiled matrix products, partial selection per tile, merged lists.
+"""Exact top-k inner products: tiled matrix products, partial selection per tile, lists merged as a tree.
 
 Vectors are packed into blocks of rows.  Candidate blocks are dealt to S shards and query blocks to B
 groups; every (shard, group) cell gets its shard's blocks and its group's queries, so a cell is bounded
 whatever the sizes, and all rows meet all queries once.  In a cell each tile is one matrix product,
-of which only k columns a row survive; running lists merge across the cell's tiles, and a window with a
-limit merges the cells' lists.
+of which only k columns a row survive; running lists merge across the cell's tiles.  The shards' lists
+of a query then merge FAN at a time, level by level, so no task sees more than FAN lists of a query.
+
+Components are split into limbs of LIMB bits where they are large, so that every partial product is exact in
+float64; the limbs' products are put together in 64-bit integers.
 """
 
 from __future__ import annotations
@@ -17,8 +20,10 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows of a packed block; candidates of a shard; queries of a group.
-BLOCK, SHARD, GROUP = 1024, 8192, 8192
+#: Rows of a packed block; candidates of a shard; queries of a group; lists that one merge takes.
+BLOCK, SHARD, GROUP, FAN = 1024, 8192, 8192, 16
+#: Bits of a limb of a large component.
+LIMB = 20
 _EXACT = float(1 << 53)
 
 
@@ -53,39 +58,90 @@ def pack(vectors: DataFrame, scale: float) -> DataFrame:
     return vectors.mapInArrow(run, "dim int, part long, ids binary, matrix binary")
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k best columns of each row, by score, then lower id; columns must be in order of id. Absent: -inf."""
-    n = scores.shape[1]
-    top = np.abs(np.where(np.isfinite(scores), scores, 0)).max(initial=0)
-    if (top + 1) * n < _EXACT:
-        ranked = scores * n + np.arange(n - 1, -1, -1, dtype=np.float64)
-        if n > k:
-            pick = np.argpartition(ranked, n - k, axis=1)[:, n - k :]
-        else:
-            pick = np.broadcast_to(np.arange(n), scores.shape)
-        order = np.argsort(-np.take_along_axis(ranked, pick, 1), axis=1)
-        pick = np.take_along_axis(pick, order, 1)
-    else:
-        pick = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-    return np.take_along_axis(scores, pick, 1), ids[pick]
+def _limbs(m: np.ndarray) -> list[np.ndarray]:
+    """Whole-valued float64 parts, each under 2**LIMB, that weigh 1, 2**LIMB, 2**(2 LIMB), ... and sum to ``m``."""
+    out = []
+    while True:
+        high = np.trunc(m / (1 << LIMB))
+        out.append(m - high * (1 << LIMB))
+        if not high.any():
+            return out
+        m = high
 
 
 def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Integer inner products; exact beyond 2**53 too, then rounded to the nearest float64 in range of a long."""
-    if np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * max(1, a.shape[1]) < _EXACT:
-        return a @ b.T
+    """Inner products of whole-valued rows, as int64: exact, and at the end of a long's range beyond it."""
+    dim = a.shape[1]
+    if np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * max(1, dim) < _EXACT:
+        return (a @ b.T).astype(np.int64)
+    step = 1 << (53 - 2 * LIMB)  # components whose limbs' products sum exactly
+    total = np.zeros((len(a), len(b)), np.int64)
+    for at in range(0, dim, step):
+        for i, x in enumerate(_limbs(a[:, at : at + step])):
+            for j, y in enumerate(_limbs(b[:, at : at + step])):
+                part, up = (x @ y.T).astype(np.int64), LIMB * (i + j)
+                if not part.any():
+                    continue
+                if up >= 63 or np.abs(part).max() >= 1 << (63 - up):
+                    return _in_full(a, b)
+                part <<= up
+                out = total + part
+                if (((total ^ out) & (part ^ out)) < 0).any():
+                    return _in_full(a, b)
+                total = out
+    return total
+
+
+def _in_full(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``_product`` by Python's integers, where partial sums leave the range of a long."""
     whole = np.array([[int(x) for x in r] for r in a], dtype=object) @ np.array([[int(x) for x in r] for r in b], dtype=object).T
-    return np.clip(whole, -(1 << 63), (1 << 63) - 1025).astype(np.float64)
+    return np.clip(whole, 1 - (1 << 63), (1 << 63) - 1).astype(np.int64)
+
+
+def _best(scores: np.ndarray, ids: np.ndarray, out: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best columns of each row, by score, then lower id: (scores, ids, out).
+
+    ``scores`` are int64, columns are in order of id, and ``out`` marks places that take no part.
+    """
+    rows, n = scores.shape
+    if n > k:
+        # the k-th best score, then the first columns by id among those that reach it
+        low = np.where(out, np.iinfo(np.int64).min, scores)
+        at = np.argpartition(low, n - k, axis=1)[:, n - k :]
+        floor = np.take_along_axis(low, at, 1).min(1, keepdims=True)
+        above = low > floor
+        level = (low == floor) & (np.cumsum(low == floor, axis=1) <= k - above.sum(1, keepdims=True))
+        pick = np.nonzero(above | level)[1].reshape(rows, k)
+    else:
+        pick = np.broadcast_to(np.arange(n), scores.shape)
+    found, gone = np.take_along_axis(scores, pick, 1), np.take_along_axis(out, pick, 1)
+    return _ordered(found, ids[pick], gone, k)
+
+
+def _ordered(scores: np.ndarray, ids: np.ndarray, out: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    order = np.lexsort((ids, ~scores, out), axis=1)[:, :k]  # ~x falls as x rises, over the whole range
+    return tuple(np.take_along_axis(x, order, 1) for x in (scores, ids, out))
+
+
+def _merge_tree(lists: DataFrame, k: int, shards: int) -> DataFrame:
+    """``(query_id, id, score, rank)`` of lists ``(query_id, s, id, score)``, FAN shards' lists a merge, level by level."""
+    while True:
+        shards = -(-shards // FAN)
+        lists = lists.withColumn("s", F.floor(F.col("s") / FAN).cast("int"))
+        rank = F.row_number().over(Window.partitionBy("query_id", "s").orderBy(F.desc("score"), "id"))
+        lists = lists.withColumn("rank", rank).where(F.col("rank") <= k)
+        if shards <= 1:
+            return lists
 
 
 def top_k(queries: DataFrame, candidates: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding", scale: float = 1.0) -> DataFrame:
     """``(query_id, rank, id, score)``: for each query its k best candidates by inner product of floor(scale * x).
 
-    Exact.  Ties go to the smaller id; a candidate with the query's own id takes no part; fewer than k
-    candidates: all.  Vectors that are null, or hold null or non-finite components, or whose id is null,
+    Exact over the range of a long; scores beyond it stand at its end.  Ties go to the smaller id; a
+    candidate with the query's own id takes no part; fewer than k candidates: all.  Vectors that are null, or hold null or non-finite components, or whose id is null,
     are left out, and only vectors of equal length meet.  A query id given on several rows counts once
-    (its least vector); candidates with a repeated id stay separate rows.  Scores whose magnitude passes
-    2**53 are rounded to the nearest float64.  Empty inputs give no rows.
+    (its least vector); candidates with a repeated id stay separate rows.  Extra columns, whatever their names,
+    are ignored.  Empty inputs give no rows.
     """
 
     def clean(df: DataFrame) -> DataFrame:
@@ -99,7 +155,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int, id_col: str = "vec_
     left = pack(asked, scale).withColumn("b", F.pmod(F.xxhash64("part"), F.lit(groups)).cast("int")).withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     right = pack(base, scale).withColumn("s", F.pmod(F.xxhash64("part"), F.lit(shards)).cast("int")).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
 
-    def cell(asked: pa.Table, held: pa.Table) -> pa.Table:
+    def cell(key: tuple, asked: pa.Table, held: pa.Table) -> pa.Table:
         blocks = []
         for r in held.to_pylist():
             ids = np.frombuffer(r["ids"], np.int64)
@@ -112,24 +168,18 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int, id_col: str = "vec_
             for dim, ids, b in blocks:
                 if dim != r["dim"]:
                     continue
-                scores = _product(a, b)
-                scores[ask[:, None] == ids[None, :]] = -np.inf
-                found = _best(scores, ids, k)
-                if lists is not None:
-                    both = np.concatenate((lists[0], found[0]), 1), np.concatenate((lists[1], found[1]), 1)
-                    order = np.lexsort((both[1], -both[0]), axis=1)[:, :k]
-                    found = np.take_along_axis(both[0], order, 1), np.take_along_axis(both[1], order, 1)
-                lists = found
+                found = _best(_product(a, b), ids, ask[:, None] == ids[None, :], k)
+                lists = found if lists is None else _ordered(*(np.concatenate((x, y), 1) for x, y in zip(lists, found, strict=True)), k)
             if lists is not None:
-                keep = np.isfinite(lists[0])
+                keep = ~lists[2]
                 out["query_id"].append(np.broadcast_to(ask[:, None], keep.shape)[keep])
                 out["id"].append(lists[1][keep])
-                out["score"].append(lists[0][keep].astype(np.int64))
-        return pa.table({n: np.concatenate(v) if v else np.zeros(0, np.int64) for n, v in out.items()})
+                out["score"].append(lists[0][keep])
+        found = {n: np.concatenate(v) if v else np.zeros(0, np.int64) for n, v in out.items()}
+        return pa.table({"s": np.full(len(found["id"]), key[0].as_py(), np.int32), **found})
 
-    met = left.groupBy("s", "b").cogroup(right.groupBy("s", "b")).applyInArrow(cell, "query_id long, id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
-    return met.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
+    met = left.groupBy("s", "b").cogroup(right.groupBy("s", "b")).applyInArrow(cell, "s int, query_id long, id long, score long")
+    return _merge_tree(met, k, shards).select("query_id", "rank", "id", "score")
 
 
 def op2_exact_topk(spark, sf_dir: str) -> DataFrame:
