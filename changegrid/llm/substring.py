@@ -3,22 +3,27 @@
 With windows of ``length`` words, k-word anchors and ``w = length - k + 1``, the lowest anchor hash (the
 rightmost, if tied) among a window's w anchors is its seed.  The seed depends on the window's words only,
 so equal windows have equal seeds at equal places, and windows with the same seed in a document are a
-contiguous run.  A run's *span* is all the words that its windows cover: the seed extended both ways as
-far as it stays the seed.
-
-1. Seeds of all documents meet on their hash; seeds that occur once are gone (most).
-2. Runs whose whole span occurs again, as all runs inside copies do, are repeats as they stand.
-3. Where spans of one seed differ (the ends of a repeat), the windows of unsettled runs, and of one run
-   for each settled span, meet on a 128-bit hash of their words.
-4. Neighbouring repeats merge into maximal ones; the words under them go.
-
-Nothing pairs the members of a group, so thousands of copies cost as much as their rows.  Equality is
-that of 128 bits of two independent polynomial hashes.
+contiguous run.  A run's *span* is all the words that its windows cover: up to ``length - k`` words on
+either side of the seed.
+
+1. Documents meet on the hashes of their seeds; seeds that occur once are gone (most).
+2. Spans that occur again whole, as all inside copies do, are repeats as they stand, however many there are.
+3. Different spans of one seed are *extended* in pairs: from the seed, word by word to the left and to
+   the right, as far as both agree.  Where ``length`` words or more agree, that stretch is a maximal repeat of
+   the two spans.  A seed with more than ``PAIRS_UP_TO`` different spans is not paired: there, the windows of
+   each span meet on their words' hash, which tells how far each span agrees with any other.
+4. Overlapping repeats of a document merge into maximal ones; the words under them go.
+
+Nothing pairs the members of a group of copies, so thousands of them cost as much as their rows.
+Words and spans are equal where 128 bits of two independently seeded XXH64 agree; texts are told apart by their id
+and 128 bits.  Positions of words, not texts, move between the steps; texts are shuffled twice, by
+document.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,9 +31,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changegrid.llm.words import Rolling, U, Words, mix, rounds
+from changegrid.llm.words import ROUND_BYTES, SEEDS, U, Words, fold, windows, word_rounds, xxh64
 from changegrid.sources.staging import stage
 
+#: Different spans of one seed that are still extended pair by pair.
+PAIRS_UP_TO = 32
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+_DOC = ["id", "k1", "k2"]
+_SPAN = ["ah", "s1", "s2"]
+
 
 def _lowest(values: np.ndarray, w: int) -> np.ndarray:
     """For each i, the place of the lowest of ``values[i:i + w]``, the rightmost if tied."""
@@ -45,48 +56,160 @@ def _lowest(values: np.ndarray, w: int) -> np.ndarray:
 
 
 class Runs:
-    """The seed runs of one round of texts: seed place, window starts ``lo``..``hi`` and document of each run."""
+    """The seed runs of one round of texts: text, seed and window starts ``lo``..``hi`` of each, as word numbers."""
 
     def __init__(self, words: Words, length: int, anchor: int):
-        w, first = length - anchor + 1, words.first
-        self.words, self.values = words, words.hashes()
-        self.rolling = Rolling(self.values)
-        n = len(self.values)
-        docs = np.repeat(np.arange(len(first) - 1), np.diff(first))
-        kept = np.flatnonzero(np.arange(n) + length <= np.repeat(first[1:], np.diff(first))) if n >= length else np.zeros(0, np.int64)
-        self.anchors = self.rolling.windows(anchor)
-        at = _lowest(self.anchors, w)[kept] if len(kept) else kept
-        doc = docs[kept] if len(kept) else kept
-        new = np.ones(len(kept), bool)
-        new[1:] = (at[1:] != at[:-1]) | (doc[1:] != doc[:-1])
+        first, second = (words.hashes(seed) for seed in SEEDS)
+        starts = words.whole_windows(length)
+        anchors = windows(first, anchor)
+        at = _lowest(anchors, length - anchor + 1)[starts] if len(starts) else starts
+        text = words.text()[starts]
+        new = np.ones(len(starts), bool)
+        new[1:] = (at[1:] != at[:-1]) | (text[1:] != text[:-1])
         cut = np.flatnonzero(new)
-        self.seed, self.doc = at[cut], doc[cut]
-        self.lo = kept[cut]
-        self.hi = kept[np.append(cut[1:], len(kept)) - 1] if len(cut) else cut
-        self.length = length
-        self.first_run = np.searchsorted(self.doc, np.arange(len(first)))
-
-    def seed_hash(self) -> np.ndarray:
-        return self.anchors[self.seed]
-
-    def span_hash(self) -> np.ndarray:
-        return mix(self.rolling.window(self.lo, self.hi + self.length) + (self.seed - self.lo).astype(U))
-
-
-def _kept(text_words: list[bytes], covered: np.ndarray | None) -> str:
-    words = text_words if covered is None else [x for x, gone in zip(text_words, covered, strict=True) if not gone]
-    return hashlib.sha256(b" ".join(words)).hexdigest()
-
-
-def _cover(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Which of ``n`` words lie in any of the half-open ranges."""
-    d = np.zeros(n + 1, np.int64)
-    np.add.at(d, starts, 1)
-    np.add.at(d, ends, -1)
-    return np.cumsum(d[:-1]) > 0
+        self.seed, self.text, self.lo = at[cut], text[cut], starts[cut]
+        self.hi = starts[np.append(cut[1:], len(starts)) - 1] if len(cut) else cut
+        self.anchor = anchors[self.seed] if len(cut) else np.zeros(0, U)
+        # a span of fewer than two windows' words is told by its first and last window and the seed's place
+        shape = ((self.hi - self.lo) << 16 | (self.seed - self.lo)).astype(U)
+        self.spans = []
+        for values in (first, second):
+            whole = windows(values, length)
+            self.spans.append(fold(fold(whole[self.lo], whole[self.hi]), shape) if len(cut) else np.zeros(0, U))
+
+
+def _merged(packed: list[int] | None) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the union of ranges packed as ``from << 32 | to``."""
+    if not packed:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    x = np.sort(np.asarray(packed, np.int64))
+    start, end = x >> 32, np.maximum.accumulate(x & 0xFFFFFFFF)
+    new = np.append(True, start[1:] > end[:-1])
+    return start[new], end[np.append(np.flatnonzero(new)[1:], len(x)) - 1]
+
+
+def _pieces(raw: bytes) -> Iterator[bytes]:
+    """A text in pieces of about ROUND_BYTES, cut at separators."""
+    at = 0
+    while True:
+        found = _SPACE.search(raw, at + ROUND_BYTES)
+        yield raw[at : found.start()] if found else raw[at:]
+        if found is None:
+            return
+        at = found.start()
+
+
+def _without(raw: bytes, start: np.ndarray, end: np.ndarray, with_text: bool) -> tuple[int, int, str, str | None]:
+    """(words, words under the ranges, SHA-256 of the others joined by one space, those as text)."""
+    sha, n, gone, texts, begun = hashlib.sha256(), 0, 0, [], False
+    for piece in _pieces(raw):
+        words = piece.split()
+        k = len(words)
+        if len(start):
+            d = np.bincount(np.clip(start - n, 0, k), minlength=k + 1) - np.bincount(np.clip(end - n, 0, k), minlength=k + 1)
+            covered = np.cumsum(d[:-1]) > 0
+            gone += int(covered.sum())
+            words = [words[i] for i in np.flatnonzero(~covered)]
+        n += k
+        if words:
+            kept = b" ".join(words)
+            sha.update(b" " + kept if begun else kept)
+            begun = True
+            if with_text:
+                texts.append(kept.decode())
+    return n, gone, sha.hexdigest(), " ".join(texts) if with_text else None
+
+
+def _spans_of(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+    """``(ah, s1, s2, settled, d, left, right)``: word hashes of the wanted spans, outward from the seed.
+
+    ``left`` and ``right`` hold 16 bytes a word; ``right`` begins with the seed's first word.
+    """
+    runs = wanted.groupBy(*_DOC).agg(F.collect_list(F.struct(*_SPAN, "settled", "d", "at", "n", "o")).alias("runs"))
+    runs = runs.select(*[F.col(c).alias(f"r_{c}") for c in _DOC], "runs")
+    met = docs.join(runs, F.col("id").eqNullSafe(F.col("r_id")) & (F.col("k1") == F.col("r_k1")) & (F.col("k2") == F.col("r_k2"))).select("text", "runs")
+    names = [*_SPAN, "settled", "d"]
 
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("runs")
+            runs = pa.RecordBatch.from_struct_array(lists.flatten())
+            owner = np.repeat(np.arange(len(batch)), lists.value_lengths().to_numpy(zero_copy_only=False))
+            at, n, o = (runs.column(c).to_numpy().astype(np.int64) for c in ("at", "n", "o"))
+            todo = np.ones(len(owner), bool)
+            for row, to, words, base in word_rounds(batch.column("text"), 2 * length):
+                ends = words.first[np.clip(owner - row, 0, to - row - 1) + 1]
+                begin = words.first[np.clip(owner - row, 0, to - row - 1)] + at - base
+                mine = np.flatnonzero(todo & (owner >= row) & (owner < to) & (at >= base) & (begin + n + length <= ends))
+                if not len(mine):
+                    continue
+                todo[mine] = False
+                size = n[mine] + length
+                cut = np.cumsum(size)[:-1]
+                place = np.repeat(begin[mine], size) + np.arange(size.sum()) - np.repeat(np.append(0, cut), size)
+                need, back = np.unique(place, return_inverse=True)
+                both = np.stack([xxh64(words.data, words.starts[need], words.ends[need], seed) for seed in SEEDS], 1)[back]
+                left, right = [], []
+                for part, seed in zip(np.split(both, cut), o[mine], strict=True):
+                    left.append(part[:seed][::-1].tobytes())
+                    right.append(part[seed:].tobytes())
+                held = runs.take(pa.array(mine))
+                yield pa.RecordBatch.from_arrays([*(held.column(c) for c in names), pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=[*names, "left", "right"])
+
+    return met.mapInArrow(read, "ah long, s1 long, s2 long, settled boolean, d long, left binary, right binary")
+
+
+def _agreement(a: pa.Array, b: pa.Array, most: int) -> np.ndarray:
+    """How many words (16 bytes each) two lists begin with in common, ``most`` at the most, for each pair."""
+
+    def matrix(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        held = lists.to_pylist()
+        return np.frombuffer(b"".join(x[: 16 * most].ljust(16 * most, b"\0") for x in held), U).reshape(-1, most, 2), np.array([len(x) // 16 for x in held])
+
+    (x, n), (y, m) = matrix(a), matrix(b)
+    same = (x == y).all(2) & (np.arange(most) < np.minimum(n, m)[:, None])
+    return np.logical_and.accumulate(same, axis=1).sum(1)
+
+
+def _reach(spans: DataFrame, length: int) -> DataFrame:
+    """``(ah, s1, s2, l, r)``: how many words left and right of its seed's start each span repeats in another."""
+    schema = "ah long, s1 long, s2 long, l int, r int"
 
-_SETTLED = "kind byte, id {id}, th int, text string, covered array<int>, n_words long, n_removed long, kept_sha256 string, kept_text string, h1 long, h2 long, at int, weight int"
+    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, len(batch), 4096):
+                part = batch.slice(lo, 4096)
+                a, b = (pa.RecordBatch.from_struct_array(part.column(c)) for c in "ab")
+                left = _agreement(a.column("left"), b.column("left"), length)
+                right = _agreement(a.column("right"), b.column("right"), 2 * length)
+                hit = pa.array(np.flatnonzero(left + right >= length))
+                reach = [pa.array(x.astype(np.int32)).take(hit) for x in (left, right)]
+                for side in (a, b):
+                    yield pa.RecordBatch.from_arrays([part.column("ah").take(hit), side.column("s1").take(hit), side.column("s2").take(hit), *reach], names=["ah", "s1", "s2", "l", "r"])
+
+    one = F.struct("s1", "s2", "settled", "left", "right")
+    few = spans.where(F.col("d") <= PAIRS_UP_TO).groupBy("ah").agg(F.collect_list(one).alias("held"))
+    left = few.select("ah", "held", F.posexplode("held").alias("i", "a"))
+    pairs = left.select("ah", "a", F.explode(F.slice("held", F.col("i") + 2, F.size("held"))).alias("b"))
+    paired = pairs.where("NOT (a.settled AND b.settled)").mapInArrow(extend, schema)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, (left, right) in enumerate(zip(batch.column("left").to_pylist(), batch.column("right").to_pylist(), strict=True)):
+                a, b = (np.frombuffer(x, U).reshape(-1, 2) for x in (left, right))
+                words = np.concatenate((a[::-1], b))
+                h1, h2 = (windows(np.ascontiguousarray(words[:, j]), length) for j in (0, 1))
+                n = len(h1)
+                same = pa.array(np.full(n, i))
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c).take(same) for c in _SPAN), pa.array((len(a) - np.arange(n)).astype(np.int32)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))], names=[*_SPAN, "l", "h1", "h2"]
+                )
+
+    crowded = spans.where(F.col("d") > PAIRS_UP_TO).select(*_SPAN, "left", "right")
+    met = stage(crowded.mapInArrow(cut, "ah long, s1 long, s2 long, l int, h1 long, h2 long"), "substring-windows")
+    again = stage(met.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2"), "substring-again")
+    found = met.join(again, ["h1", "h2"]).select(*_SPAN, "l", (length - F.col("l")).cast("int").alias("r"))
+    return paired.unionByName(found).groupBy(*_SPAN).agg(F.max("l").alias("l"), F.max("r").alias("r"))
 
 
 def repeated_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 35, anchor: int = 8, with_text: bool = True) -> DataFrame:
@@ -95,132 +218,58 @@ def repeated_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Returns ``(id, n_words, n_removed, kept_sha256, kept_text, ranges)``: ``ranges`` are the maximal runs
     of removed words as ``[from, to)`` pairs, flattened; ``kept_text`` is the kept words joined by one
     space (null unless ``with_text``).  Judged on the input, all occurrences go, as do repeats inside one
-    document.  Null text: no words.  Texts under ``length`` words stay.  Repeated rows, also with the same
-    id, count as repeats of each other; a null id is a value like others.  Extra columns are ignored.
+    document.  Null and empty texts have no words; texts under ``length`` words stay.  Repeated rows, also with the same
+    id, count as repeats of each other; a null id is a value like others.  Extra columns, whatever their names,
+    are ignored.  Very long texts are read in pieces, so memory holds the text and little more.  An empty table gives no rows.
     """
-    if not 1 <= anchor <= length:
+    if not 1 <= anchor <= length < 1 << 15:
         raise ValueError("an anchor is 1 to `length` words")
     kind = docs.schema[id_col].dataType.simpleString()
-    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    base = base.select("id", F.hash(F.coalesce("text", F.lit(""))).alias("th"), "text")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    base = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2"), F.col(text_col).alias("text"))
 
     def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, to, data, offsets in rounds(batch.column("text")):
-                runs = Runs(Words(data, offsets), length, anchor)
+            for row, _, words, first in word_rounds(batch.column("text"), length - 1):
+                runs = Runs(words, length, anchor)
                 if len(runs.seed):
-                    pick = pa.array(runs.doc + row)
-                    ordinal = np.arange(len(runs.doc)) - runs.first_run[runs.doc]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(runs.seed_hash().view(np.int64)), pa.array(runs.span_hash().view(np.int64)), batch.column("id").take(pick), batch.column("th").take(pick), pa.array(ordinal.astype(np.int32))],
-                        names=["ah", "sh", "id", "th", "j"],
-                    )
-
-    occurring = base.mapInArrow(seeds, f"ah long, sh long, id {kind}, th int, j int")
-    groups = occurring.groupBy("ah").agg(F.count("*").alias("n"), F.min("sh").alias("lo"), F.max("sh").alias("hi"))
-    groups = stage(groups.where("n > 1").select("ah", (F.col("lo") == F.col("hi")).alias("same")), "substring-seeds")
-    repeated = stage(occurring.join(groups, "ah"), "substring-repeated")
-    mixed = repeated.where("not same")
-    spans = stage(mixed.groupBy("ah", "sh").agg(F.count("*").alias("n"), F.min(F.struct("id", "th", "j")).alias("chosen")), "substring-spans")
-    judged = mixed.join(spans, ["ah", "sh"]).select(
-        "id", "th", "j", (F.col("n") > 1).alias("settled"), F.col("chosen").eqNullSafe(F.struct("id", "th", "j")).alias("chosen")
-    )
-    # 2: settled, 1: its windows are to meet others'
-    code = F.when(F.col("settled"), 2).otherwise(0) + F.when(~F.col("settled") | F.col("chosen"), 1).otherwise(0)
-    marks = repeated.where("same").select("id", "th", (F.col("j") * 4 + 2).alias("mark"))
-    marks = marks.unionByName(judged.select("id", "th", (F.col("j") * 4 + code).alias("mark")))
-    marks = stage(marks.groupBy("id", "th").agg(F.collect_set("mark").alias("marks")), "substring-marks")
-
-    schema = _SETTLED.format(id=kind)
-    names = [f.split(" ")[0] for f in schema.split(", ")]
-
-    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row, to, data, offsets in rounds(batch.column("text")):
-                words = Words(data, offsets)
-                marked = batch.column("marks").slice(row, to - row)
-                runs = Runs(words, length, anchor) if marked.null_count < to - row else None
-                second = Rolling(mix(runs.values ^ U(0x5851F42D4C957F2D)), second=True) if runs else None
-                out: dict[str, list] = {n: [] for n in names}
-                blocks = []
-                raw = data.tobytes()
-                for i in range(to - row):
-                    a, b = int(words.first[i]), int(words.first[i + 1])
-                    text_words = raw[offsets[i] : offsets[i + 1]].split()
-                    covered, open_runs, found = None, np.zeros(0, np.int64), marked[i].as_py()
-                    if found:
-                        m = np.asarray(found)
-                        r = runs.first_run[i] + (m >> 2)
-                        settled, open_runs = r[(m & 2) > 0], r[(m & 1) > 0]
-                        covered = _cover(b - a, runs.lo[settled] - a, runs.hi[settled] + length - a)
-                        weight = np.where((m[(m & 1) > 0] & 2) > 0, 2, 1)
-                        spread = runs.hi[open_runs] - runs.lo[open_runs] + 1
-                        at = np.repeat(runs.lo[open_runs], spread) + np.arange(spread.sum()) - np.repeat(np.cumsum(spread) - spread, spread)
-                        if len(at):
-                            blocks.append((i, at, np.repeat(weight, spread), a))
-                    pending = bool(found) and bool((m & 3 == 1).any())
-                    if pending:
-                        edges = np.flatnonzero(np.diff(np.concatenate(([0], covered.astype(np.int8), [0]))))
-                        values = (0, None, None, raw[offsets[i] : offsets[i + 1]].decode(), edges.tolist(), None, None, None, None)
-                    else:
-                        edges = [] if covered is None else np.flatnonzero(np.diff(np.concatenate(([0], covered.astype(np.int8), [0])))).tolist()
-                        joined = _kept(text_words, covered)
-                        text = (b" ".join(text_words if covered is None else [x for x, g in zip(text_words, covered, strict=True) if not g])).decode() if with_text else None
-                        values = (1, None, None, None, edges, b - a, 0 if covered is None else int(covered.sum()), joined, text)
-                    for n, v in zip(names, (*values, None, None, None, None), strict=True):
-                        out[n].append(v)
-                ids, ths = batch.column("id").slice(row, to - row), batch.column("th").slice(row, to - row)
-                out["id"], out["th"] = ids, ths
-                yield pa.RecordBatch.from_arrays(_typed(out, names, ids.type), names=names)
-                for i, at, weight, a in blocks:
-                    n = len(at)
-                    same = pa.array(np.full(n, i))
-                    block = {x: pa.nulls(n) for x in names}
-                    block |= {
-                        "kind": np.full(n, 2), "id": ids.take(same), "th": ths.take(same), "at": at - a, "weight": weight,
-                        "h1": runs.rolling.window(at, at + length).view(np.int64), "h2": second.window(at, at + length).view(np.int64),
-                    }
-                    yield pa.RecordBatch.from_arrays(_typed(block, names, ids.type), names=names)
-
-    paired = base.join(marks.select(F.col("id").alias("m_id"), F.col("th").alias("m_th"), "marks"), F.col("id").eqNullSafe(F.col("m_id")) & (F.col("th") == F.col("m_th")), "left").select("id", "th", "text", "marks")
-    met = stage(paired.mapInArrow(extend, schema), "substring-met")
-    windows = met.where("kind = 2")
-    again = stage(windows.groupBy("h1", "h2").agg(F.sum("weight").alias("n")).where("n > 1").select("h1", "h2"), "substring-again")
-    ends = windows.where("weight = 1").join(again, ["h1", "h2"]).groupBy("id", "th").agg(F.collect_set("at").alias("starts"))
-    ends = stage(ends.select(F.col("id").alias("m_id"), F.col("th").alias("m_th"), "starts"), "substring-ends")
+                    pick = pa.array(runs.text + row)
+                    hashes = [pa.array(x.view(np.int64)) for x in (runs.anchor, *runs.spans)]
+                    at = runs.lo - words.first[runs.text] + first
+                    places = [pa.array(at.astype(np.int32)), pa.array((runs.hi - runs.lo).astype(np.int16)), pa.array((runs.seed - runs.lo).astype(np.int16))]
+                    yield pa.RecordBatch.from_arrays([*hashes, *(batch.column(c).take(pick) for c in _DOC), *places], names=[*_SPAN, *_DOC, "at", "n", "o"])
+
+    occurring = base.mapInArrow(seeds, f"ah long, s1 long, s2 long, id {kind}, k1 long, k2 long, at int, n short, o short")
+    known = stage(occurring.groupBy("ah").agg(F.count("*").alias("times")).where("times > 1").select("ah"), "substring-seeds")
+    repeated = stage(occurring.join(known, "ah"), "substring-repeated")
+    place = F.struct(*_DOC, "at", "n", "o")
+    spans = stage(repeated.groupBy(*_SPAN).agg((F.count("*") > 1).alias("settled"), F.min(place).alias("one")), "substring-spans")
+    mixed = spans.groupBy("ah").agg(F.count("*").alias("d"), F.bool_and("settled").alias("all")).where("d > 1 AND NOT all").select("ah", "d")
+    wanted = stage(spans.join(mixed, "ah").select(*_SPAN, "settled", "d", "one.*"), "substring-wanted")
+    reach = stage(_reach(stage(_spans_of(base, wanted, length), "substring-words"), length), "substring-reach")
+
+    verdicts = spans.select(*_SPAN, "settled").join(reach, _SPAN, "left").where("settled OR l IS NOT NULL")
+    start = F.when(F.col("settled"), F.col("at")).otherwise(F.col("at") + F.col("o") - F.col("l")).cast("long")
+    end = F.when(F.col("settled"), F.col("at") + F.col("n") + length).otherwise(F.col("at") + F.col("o") + F.col("r")).cast("long")
+    marks = repeated.join(stage(verdicts, "substring-verdicts"), _SPAN).select(*_DOC, F.shiftleft(start, 32).bitwiseOR(end).alias("mark"))
+    marks = stage(marks.groupBy(*_DOC).agg(F.collect_set("mark").alias("marks")).select(*[F.col(c).alias(f"m_{c}") for c in _DOC], "marks"), "substring-marks")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = {n: [] for n in ("n_words", "n_removed", "kept_sha256", "kept_text", "ranges")}
-            for text, edges, starts in zip(*(batch.column(c).to_pylist() for c in ("text", "covered", "starts")), strict=True):
-                text_words = text.encode().split()
-                starts = np.asarray(starts or [], np.int64)
-                ranges = np.asarray(edges or [], np.int64)
-                covered = _cover(len(text_words), np.concatenate((ranges[::2], starts)), np.concatenate((ranges[1::2], starts + length)))
-                out["ranges"].append(np.flatnonzero(np.diff(np.concatenate(([0], covered.astype(np.int8), [0])))).tolist())
-                out["n_words"].append(len(text_words))
-                out["n_removed"].append(int(covered.sum()))
-                out["kept_sha256"].append(_kept(text_words, covered))
-                out["kept_text"].append(b" ".join([x for x, g in zip(text_words, covered, strict=True) if not g]).decode() if with_text else None)
-            columns = [batch.column("id"), pa.array(out["n_words"], pa.int64()), pa.array(out["n_removed"], pa.int64()), pa.array(out["kept_sha256"], pa.string()), pa.array(out["kept_text"], pa.string()), pa.array(out["ranges"], pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", *out])
-
-    open_docs = met.where("kind = 0").select("id", "th", "text", "covered")
-    open_docs = open_docs.join(ends, F.col("id").eqNullSafe(F.col("m_id")) & (F.col("th") == F.col("m_th")), "left").select("id", "text", "covered", "starts")
-    finished = open_docs.mapInArrow(finish, f"id {kind}, n_words long, n_removed long, kept_sha256 string, kept_text string, ranges array<int>")
-    closed = met.where("kind = 1").select("id", "n_words", "n_removed", "kept_sha256", "kept_text", F.col("covered").alias("ranges"))
-    return closed.unionByName(finished)
-
-
-def _typed(values: dict, names: list[str], id_type: pa.DataType) -> list[pa.Array]:
-    kinds = {"kind": pa.int8(), "id": id_type, "th": pa.int32(), "text": pa.string(), "covered": pa.list_(pa.int32()), "n_words": pa.int64(), "n_removed": pa.int64(), "kept_sha256": pa.string(), "kept_text": pa.string(), "h1": pa.int64(), "h2": pa.int64(), "at": pa.int32(), "weight": pa.int32()}
-    out = []
-    for n in names:
-        v = values[n]
-        if isinstance(v, pa.ChunkedArray):
-            v = v.combine_chunks()
-        out.append(v.cast(kinds[n]) if isinstance(v, pa.Array) else pa.array(v, kinds[n]))
-    return out
+            for lo in range(0, len(batch), 1024):
+                part = batch.slice(lo, 1024)
+                rows, ranges = [], []
+                for text, packed in zip(part.column("text"), part.column("marks"), strict=True):
+                    start, end = _merged(packed.as_py())
+                    rows.append(_without(text.as_buffer().to_pybytes() if text.is_valid else b"", start, end, with_text))
+                    ranges.append(np.stack((start, end), 1).ravel())
+                n, gone, sha, kept = zip(*rows, strict=True)
+                columns = [part.column("id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(sha), pa.array(kept, pa.string()), pa.array(ranges, pa.list_(pa.int32()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "n_words", "n_removed", "kept_sha256", "kept_text", "ranges"])
+
+    same = F.col("id").eqNullSafe(F.col("m_id")) & (F.col("k1") == F.col("m_k1")) & (F.col("k2") == F.col("m_k2"))
+    marked = base.join(marks, same, "left").select("id", "text", "marks")
+    return marked.mapInArrow(finish, f"id {kind}, n_words long, n_removed long, kept_sha256 string, kept_text string, ranges array<int>")
 
 
 def op1_substring_dedup(spark, sf_dir: str) -> DataFrame:
