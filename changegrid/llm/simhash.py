@@ -8,48 +8,84 @@
    fingerprint is filed again under itself and each one-bit change of its free bits; two fingerprints
    at most two bits apart meet under the one between them, and no such file holds more than 65.
 3. ``components`` joins links to classes.
+
+``near_copies`` reaches further, for the pipeline: sets of five-word shingles of Jaccard similarity 0.8.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from changegrid.llm.words import Words, fold, mix, windows, word_rounds, xxh64
 from changegrid.operators.components import connected_components
 from changegrid.sources.staging import stage
 
 #: Distinct fingerprints in one file that are still compared pair by pair.
 PAIRS_UP_TO = 32
 
-
-def text_fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
-    """Fingerprint of one text as an unsigned integer; 0 where it has no words (null too)."""
-    words = (text or "").encode().lower().split()
-    if not words:
-        return 0
-    rows = [words[i:] for i in range(min(shingle, len(words)))]
-    one = xxhash.xxh64_intdigest
-    hashes = np.fromiter((one(b" ".join(s), seed) for s in zip(*rows, strict=False)), np.uint64)
-    set_in = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * set_in > len(hashes), bitorder="little").view(np.uint64)[0])
+#: Bytes with A-Z in lower case, and eight bytes of 0 or 1 for the bits of a byte, lowest first.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+_SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
+
+
+def _shingle_hashes(words: Words, shingle: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """XXH64 of the space-joined shingles of each text (all its words, where it has fewer), and their texts."""
+    data, starts, ends = words.joined()
+    at = words.whole_windows(shingle)
+    text = words.text()
+    count = np.diff(words.first)
+    few = np.flatnonzero((count > 0) & (count < shingle))
+    first, last = np.concatenate((at, words.first[few])), np.concatenate((at + shingle, words.first[few + 1])) - 1
+    return xxh64(data, starts[first], ends[last], seed), text[first]
+
+
+def _bit_counts(hashes: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
+    """How many of each text's hashes set each of the 64 bits, as (n, 64)."""
+    out = np.zeros((n, 64), np.int64)
+    if not len(hashes):
+        return out
+    order = np.argsort(text, kind="stable")
+    hashes, text = hashes[order], text[order]
+    new = np.append(0, np.flatnonzero(np.diff(text)) + 1)
+    # eight counters share a word, so at most 255 hashes are summed at once
+    within = np.arange(len(text)) - np.repeat(new, np.diff(np.append(new, len(text))))
+    cut = np.flatnonzero(within % 255 == 0)
+    sums = np.add.reduceat(_SPREAD[hashes.view(np.uint8)].reshape(-1, 8), cut, axis=0)
+    np.add.at(out, text[cut], sums.view(np.uint8).reshape(-1, 64))
+    return out
+
+
+def _fingerprint(counts: np.ndarray, total: np.ndarray) -> np.ndarray:
+    return np.packbits(2 * counts > total[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
+
+
+def text_fingerprints(texts: pa.Array, shingle: int = 3, seed: int = 42) -> np.ndarray:
+    """Fingerprints of texts as unsigned integers; 0 where a text has no words (null too)."""
+    counts, total = np.zeros((len(texts), 64), np.int64), np.zeros(len(texts), np.int64)
+    for row, to, words, _ in word_rounds(texts, shingle - 1, table=LOWER):
+        hashes, text = _shingle_hashes(words, shingle, seed)
+        counts[row:to] += _bit_counts(hashes, text, to - row)
+        total[row:to] += np.bincount(text, minlength=to - row)
+    return _fingerprint(counts, total)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42) -> DataFrame:
     """``(id, fp)`` for every row, fp a signed long holding the 64 bits.
 
-    ``bytes.lower`` and ``bytes.split`` work on ASCII letters and on space, ``\\x09``-``\\x0D`` only.
-    Null texts count as empty; repeated rows stay; null ids pass through.
+    Only A-Z are lower-cased.  Null texts count as empty; repeated rows stay; null ids pass through; extra
+    columns are ignored.  Long texts are read in pieces, so memory holds the text and little more.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.fromiter((text_fingerprint(t.as_py(), shingle, seed) for t in batch.column(1)), np.uint64, len(batch))
+            found = text_fingerprints(batch.column(1), shingle, seed)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["id", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
@@ -120,115 +156,183 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 #: Near copies: words a shingle, least Jaccard similarity, bands of rows each in a signature, and agreeing rows from which a pair is verified.
 SHINGLE, SIMILAR, BANDS, BAND_ROWS, AGREE = 5, 0.8, 16, 4, 38
-
-
-def shingle_hashes(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct hashes of a text's word shingles (of the whole text where it has fewer words)."""
-    words = (text or "").encode().lower().split()
-    rows = [words[i:] for i in range(min(shingle, len(words)))]
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(b" ".join(s)) for s in zip(*rows, strict=False)), np.uint64))
-
-
-def _signature(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The least of each of len(a) hashings of a set, in pieces that bound the memory."""
-    x = hashes.astype(np.uint32)
-    least = np.full(len(a), np.uint32(0xFFFFFFFF))
-    for at in range(0, len(x), 1024):
-        h = x[at : at + 1024, None] * a + b
-        np.minimum(least, (h ^ (h >> np.uint32(15))).min(0), out=least)
-    return least
+#: Sets in one tile of a crowded band.
+TILE = 512
+_MINIMA = np.random.default_rng(17)
+_TIMES = _MINIMA.integers(0, 1 << 31, BANDS * BAND_ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_PLUS = _MINIMA.integers(0, 1 << 32, BANDS * BAND_ROWS, dtype=np.uint32)
+
+
+def _five_words(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles of five words of each text (all its words, where it has fewer), and their texts."""
+    values = words.hashes()
+    at = words.whole_windows(SHINGLE)
+    count = np.diff(words.first)
+    hashes, text = [windows(values, SHINGLE)[at] if len(at) else np.zeros(0, np.uint64)], [words.text()[at]]
+    for size in range(1, SHINGLE):
+        few = np.flatnonzero(count == size)
+        if len(few):
+            hashes.append(fold(windows(values, size)[words.first[few]], np.full(len(few), np.uint64(size))))
+            text.append(few)
+    return np.concatenate(hashes), np.concatenate(text)
+
+
+def _least(hashes: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
+    """The least of each hashing of each text's shingles, (n, hashings); all bits where there are none."""
+    out = np.full((n, len(_TIMES)), np.uint32(0xFFFFFFFF))
+    order = np.argsort(text, kind="stable")
+    low, text = (hashes[order] >> np.uint64(32)).astype(np.uint32), text[order]
+    for lo in range(0, len(low), 4096):
+        x, t = low[lo : lo + 4096], text[lo : lo + 4096]
+        h = x[:, None] * _TIMES + _PLUS
+        h ^= h >> np.uint32(15)
+        cut = np.append(0, np.flatnonzero(np.diff(t)) + 1)
+        out[t[cut]] = np.minimum(out[t[cut]], np.minimum.reduceat(h, cut, axis=0))
+    return out
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(id, fp, same, signature, bands)``: op8's fingerprint; a hash of the set of five-word shingles
-    (0: no words); one byte of each least hash; and a key for every band (none without words)."""
-    rnd = np.random.default_rng(17)
-    a = rnd.integers(0, 1 << 31, BANDS * BAND_ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-    b = rnd.integers(0, 1 << 32, BANDS * BAND_ROWS, dtype=np.uint32)
+    """``(id, fp, same, signature, bands)``: op8's fingerprint; a hash of the lower-cased sequence of words
+    (0: none); one byte of each least hash; and a key for every band (none without words)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps, same, signs, bands = [], [], [], []
-            for text in batch.column(1):
-                text = text.as_py()
-                fps.append(text_fingerprint(text))
-                hashes = shingle_hashes(text)
-                least = _signature(hashes, a, b)
-                same.append(xxhash.xxh64_intdigest(hashes.tobytes()) if len(hashes) else 0)
-                signs.append((least & np.uint32(255)).astype(np.uint8).tobytes())
-                keys = [xxhash.xxh64_intdigest(least[k * BAND_ROWS : (k + 1) * BAND_ROWS].tobytes(), k) for k in range(BANDS)] if len(hashes) else []
-                bands.append(np.array(keys, np.uint64).view(np.int64))
-            longs = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (fps, same)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *longs, pa.array(signs, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["id", "fp", "same", "signature", "bands"])
+            n = len(batch)
+            counts, total, same = np.zeros((n, 64), np.int64), np.zeros(n, np.int64), np.zeros(n, np.uint64)
+            least = np.full((n, BANDS * BAND_ROWS), np.uint32(0xFFFFFFFF))
+            for row, to, words, base in word_rounds(batch.column(1), SHINGLE - 1, table=LOWER):
+                hashes, text = _shingle_hashes(words, 3, 42)
+                if base:  # a later piece: its first shingles were in the one before
+                    hashes, text = hashes[SHINGLE - 3 :], text[SHINGLE - 3 :]
+                counts[row:to] += _bit_counts(hashes, text, to - row)
+                total[row:to] += np.bincount(text, minlength=to - row)
+                least[row:to] = np.minimum(least[row:to], _least(*_five_words(words), to - row))
+                data, starts, ends = words.joined()
+                held = np.flatnonzero(np.diff(words.first))
+                own = xxh64(data, starts[words.first[held]], ends[words.first[held + 1] - 1], 7) | np.uint64(1)
+                same[row + held] = own if not base else fold(same[row + held], own) | np.uint64(1)
+            bands = np.zeros((n, BANDS), np.uint64)
+            for k in range(BANDS):
+                pair = np.ascontiguousarray(least[:, k * BAND_ROWS : (k + 1) * BAND_ROWS]).view(np.uint64)
+                bands[:, k] = fold(mix(pair[:, 0] + np.uint64(k + 1)), pair[:, 1])
+            full = total > 0
+            offsets = np.append(0, np.cumsum(full * BANDS)).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands[full].ravel().view(np.int64)))
+            signs = pa.array([x.tobytes() for x in (least & np.uint32(255)).astype(np.uint8)], pa.binary())
+            longs = [pa.array(x.view(np.int64)) for x in (_fingerprint(counts, total), same)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *longs, signs, lists], names=["id", "fp", "same", "signature", "bands"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp long, same long, signature binary, bands array<long>")
 
 
-def _filed_pairs(filed: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """(pairs ``(a, b)`` inside files of at most PAIRS_UP_TO rows, the rows of larger files with ``n``)."""
-    sizes = stage(filed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), f"{name}-files")
-    small = filed.join(sizes.where(F.col("n") <= PAIRS_UP_TO), "key").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("same", "signature"))).alias("held"))
-    left = small.select("held", F.posexplode("held").alias("at", "a"))
-    pairs = left.select("a", F.explode(F.slice("held", F.col("at") + 2, F.size("held"))).alias("b"))
-    return pairs, filed.join(sizes.where(F.col("n") > PAIRS_UP_TO), "key")
+def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs ``(src, dst)`` of ``(src, s, dst, t)`` whose signatures agree in AGREE rows."""
+    for batch in batches:
+        s, t = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BANDS * BAND_ROWS) for c in ("s", "t"))
+        yield batch.select(["src", "dst"]).filter(pa.array((s == t).sum(1) >= AGREE))
 
 
-def similar_links(sets: DataFrame, texts: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Links ``(src, dst)`` between sets whose shingles have a Jaccard similarity of SIMILAR or more.
+def _verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """Those of the pairs ``(src, dst)`` whose whole sets have a Jaccard similarity of SIMILAR or more.
 
-    ``sets``: ``(same, signature, bands)``, one row a set; ``texts`` gives ``(same, text)`` of chosen ones.
-    Sets that share a band are compared pair by pair; a crowded band's are filed again under every
-    second band that they share, and where that is crowded too, each is compared with the least of it.
+    ``rows``: ``(same, id)``, one text of each set; ``docs``: ``(id, text)``.
     """
-    filed = sets.select("same", "signature", "bands", F.explode("bands").alias("key"))
-    pairs, crowded = _filed_pairs(filed, "similar")
-    again = crowded.select("same", "signature", "key", F.explode("bands").alias("other")).where("key < other")
-    again = again.select("same", "signature", F.xxhash64("key", "other").alias("key"))
-    more, full = _filed_pairs(again, "similar-again")
-    one = F.struct("same", "signature")
-    least = full.groupBy("key").agg(F.min(one).alias("a"))
-    star = full.join(least, "key").select("a", one.alias("b")).where("a.same <> b.same")
-    pairs = pairs.unionByName(more).unionByName(star)
-    flat = pairs.select(F.col("a.same").alias("src"), F.col("a.signature").alias("s"), F.col("b.same").alias("dst"), F.col("b.signature").alias("t"))
-
-    def agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            s, t = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BANDS * BAND_ROWS) for c in ("s", "t"))
-            yield batch.select(["src", "dst"]).filter(pa.array((s == t).sum(1) >= AGREE))
-
-    near = stage(flat.mapInArrow(agreeing, "src long, dst long").distinct(), "similar-pairs")
-    wanted = near.select(F.col("src").alias("same")).union(near.select("dst")).distinct()
+    pairs = stage(pairs, "similar-pairs")
+    wanted = pairs.select(F.col("src").alias("same")).union(pairs.select("dst")).distinct()
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held = [shingle_hashes(t.as_py()).view(np.int64) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("same"), pa.array(held, pa.list_(pa.int64()))], names=["same", "held"])
-
-    held = stage(texts(wanted).mapInArrow(hashed, "same long, held array<long>"), "similar-sets")
-    both = near.join(held.withColumnsRenamed({"same": "src", "held": "x"}), "src").join(held.withColumnsRenamed({"same": "dst", "held": "y"}), "dst")
+            held: list[list[np.ndarray]] = [[] for _ in range(len(batch))]
+            for row, to, words, _ in word_rounds(batch.column("text"), SHINGLE - 1, table=LOWER):
+                hashes, text = _five_words(words)
+                order = np.argsort(text, kind="stable")
+                for i, part in zip(range(row, to), np.split(hashes[order], np.cumsum(np.bincount(text, minlength=to - row))[:-1]), strict=True):
+                    held[i].append(part)
+            sets = [np.unique(np.concatenate(x)).view(np.int64) if x else np.zeros(0, np.int64) for x in held]
+            yield pa.RecordBatch.from_arrays([batch.column("same"), pa.array(sets, pa.list_(pa.int64()))], names=["same", "held"])
+
+    texts = docs.join(rows.join(wanted, "same").select("same", "id"), "id").dropDuplicates(["same"]).select("same", "text")
+    held = stage(texts.mapInArrow(hashed, "same long, held array<long>"), "similar-sets")
+    both = pairs.join(held.withColumnsRenamed({"same": "dst", "held": "y"}), "dst").join(held.withColumnsRenamed({"same": "src", "held": "x"}), "src")
     common = F.size(F.array_intersect("x", "y"))
     return both.where(common >= SIMILAR * (F.size("x") + F.size("y") - common)).select("src", "dst")
 
 
+def _flat(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a.same").alias("src"), F.col("a.signature").alias("s"), F.col("b.same").alias("dst"), F.col("b.signature").alias("t"))
+
+
+def _first_pairs(filed: DataFrame) -> DataFrame:
+    """Each set of a band with the least set of that band."""
+    least = filed.groupBy("key").agg(F.min(F.struct("same", "signature")).alias("a"), F.count("*").alias("n")).where("n > 1")
+    found = filed.join(least, "key").where("same <> a.same").select("a", F.struct("same", "signature").alias("b"))
+    return _flat(found).mapInArrow(_agreeing, "src long, dst long").distinct()
+
+
+def _open_pairs(filed: DataFrame, classes: DataFrame) -> DataFrame:
+    """Agreeing pairs of one band that are not in one class yet.
+
+    Bands whose sets are all in one class are done.  In the others, up to PAIRS_UP_TO sets make pairs;
+    the sets of a larger band are dealt to tiles, and every two tiles are compared as one array, which
+    gives on only pairs that agree.
+    """
+    classed = filed.join(classes.withColumnsRenamed({"node": "same", "component": "class"}), "same", "left").withColumn("class", F.coalesce("class", "same"))
+    classed = stage(classed, "similar-filed")
+    sizes = classed.groupBy("key").agg(F.count("*").alias("n"), F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("key", "n")
+    rows = stage(classed.join(stage(sizes, "similar-open"), "key"), "similar-rows-open")
+    held = rows.where(F.col("n") <= PAIRS_UP_TO).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("same", "class", "signature"))).alias("held"))
+    left = held.select("held", F.posexplode("held").alias("at", "a"))
+    pairs = _flat(left.select("a", F.explode(F.slice("held", F.col("at") + 2, F.size("held"))).alias("b")).where("a.class <> b.class"))
+    found = pairs.mapInArrow(_agreeing, "src long, dst long")
+
+    tiles = F.ceil(F.col("n") / TILE).cast("int")
+    tile = F.pmod(F.xxhash64("same", F.lit(5)), tiles).cast("int")
+    dealt = rows.where(F.col("n") > PAIRS_UP_TO).withColumn("tile", tile)
+    cell = F.transform(F.sequence(F.lit(0), tiles - 1), lambda o: F.struct(F.least("tile", o).alias("i"), F.greatest("tile", o).alias("j")))
+    dealt = dealt.withColumn("cell", F.explode(cell)).select("key", "cell", "tile", "same", "class", "signature")
+
+    def compare(table: pa.Table) -> pa.Table:
+        tile, same, cls = (table[c].to_numpy() for c in ("tile", "same", "class"))
+        signs = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint8).reshape(len(tile), -1)
+        cell = table["cell"][0].as_py()
+        a, b = np.flatnonzero(tile == cell["i"]), np.flatnonzero(tile == cell["j"])
+        src, dst = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i in a:
+            hit = b[(cls[b] != cls[i]) & ((signs[b] == signs[i]).sum(1) >= AGREE)]
+            src.append(np.minimum(same[i], same[hit]))
+            dst.append(np.maximum(same[i], same[hit]))
+        return pa.table({"src": np.concatenate(src), "dst": np.concatenate(dst)})
+
+    crowded = dealt.groupBy("key", "cell").applyInArrow(compare, "src long, dst long")
+    return found.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).unionByName(crowded).distinct()
+
+
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, component)`` for every row: the smallest id that links reach from it.
 
-    Linked are op8's pairs (fingerprints of three-word shingles at most two bits apart), equal sets of
-    five-word shingles, and sets with a Jaccard similarity of SIMILAR or more: candidates from bands of
-    a signature, each verified on the whole sets.  Equal sets are compared once, however many rows
-    have them.  ``id_col`` has to name a row's content: rows of one id have one text.
+    Linked are op8's pairs (fingerprints of three-word shingles at most two bits apart), equal sequences of
+    words, and sets of five-word shingles with a Jaccard similarity of SIMILAR or more: candidates share a
+    band of least hashes, agree in AGREE of all, and are verified on their whole sets.  First, each set
+    meets the least set of each of its bands; then all pairs of a band that are not in one class by then,
+    so a large group of copies costs its rows and no link between classes is lost.  Equal texts
+    are compared once, however many rows have them.  ``id_col`` has to name a row's content: rows of one
+    id have one text.  Null and empty texts are one class; an empty table gives no rows.
     """
     rows = stage(sketches(docs, id_col, text_col), "similar-rows")
-    fps = rows.select("fp").distinct()
+    fps = stage(rows.select("fp").distinct(), "similar-fps")
     sets = stage(rows.groupBy("same").agg(F.min("id").alias("id"), F.min(F.struct("signature", "bands")).alias("s")).select("same", "id", "s.*"), "similar-distinct")
     whole = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    filed = sets.select("same", "signature", F.explode("bands").alias("key"))
 
-    def texts(wanted: DataFrame) -> DataFrame:
-        return whole.join(sets.join(wanted, "same").select("same", "id"), "id").dropDuplicates(["same"]).select("same", "text")
-
-    links = similar_links(sets, texts).unionByName(close_links(fps)).unionByName(rows.select(F.col("fp").alias("src"), F.col("same").alias("dst")).distinct())
+    links = _verified(_first_pairs(filed), sets, whole)
+    links = links.unionByName(close_links(fps)).unionByName(rows.select(F.col("fp").alias("src"), F.col("same").alias("dst")).distinct())
+    links = stage(links, "similar-links")
     classes = stage(connected_components(links), "similar-classes")
+    more = stage(_open_pairs(filed, classes), "similar-more")
+    if not more.isEmpty():
+        links = stage(links.unionByName(_verified(more, sets, whole)), "similar-links")
+        classes = stage(connected_components(links), "similar-classes")
     classed = rows.join(classes, rows.fp == classes.node, "left").select("id", F.coalesce("component", "fp").alias("class"))
     classed = stage(classed, "similar-classed")
     first = classed.groupBy("class").agg(F.min("id").alias("component"))
