@@ -472,3 +472,44 @@ def test_leaks_in_many_rows(spark):
     bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(common))], "item_id long, text string")
     got = decontaminate.find_leaks(documents(spark, texts), bench).collect()
     assert sorted((r.id, r.item_id) for r in got) == [*[(i, 1) for i in range(40)], (90, 2), (91, 2)]
+
+
+def test_verbatim_items_of_any_length_and_words(spark):
+    """Short items, items of common words only, at the ends of texts and in pieces of one: verbatim copies are found."""
+    rnd = random.Random(21)
+    word = lambda: "".join(rnd.choice("bcdfglmnprst") + rnd.choice("aeiou") for _ in range(4))
+    common = [word() for _ in range(12)]
+    prose = lambda n: " ".join(rnd.choice(common) if rnd.random() < 0.7 else word() for _ in range(n))
+    items = {1: "Lone-standing", 2: "four Words as one", 3: " ".join(rnd.choice(common) for _ in range(30)), 4: " ".join(rnd.choice(common) for _ in range(4)), 5: "!?", 6: prose(300)}
+    texts = [f"{prose(50)} {items[1]}", f"{items[2]} {prose(50)}", f"{prose(30)} {items[3]} {prose(30)}", f"{prose(9)} {items[4].upper()}", prose(90), f"{prose(20)} four words as {prose(20)}", f"{prose(40)}, {items[6]}"]
+    fold = lambda t: f" {' '.join(re.findall(r'[^\W_]+', t.lower()))} "
+    want = {(i, k) for i, t in enumerate(texts) for k, x in items.items() if x != "!?" and fold(x) in fold(t)}
+    assert {(0, 1), (1, 2), (2, 3), (3, 4), (6, 6)} <= want
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {(r.id, r.item_id): r.lcs for r in decontaminate.find_leaks(documents(spark, texts), bench).collect()}
+    assert want <= set(got) and all(got[p] == 1 for p in want)
+    assert all(k == 3 for _, k in set(got) - want)  # only runs of the item of common words may tell of more
+
+
+@pytest.mark.parametrize("n_items", [200, 4000])
+def test_recall_against_brute_force(spark, n_items):
+    """Verbatim copies and paraphrases with the answer kept, from benchmarks of any size, against all pairs."""
+    rnd = random.Random(n_items)
+    vocabulary = ["".join(rnd.choice("bcdfglmnprst") + rnd.choice("aeiou") for _ in range(rnd.randrange(2, 5))) for _ in range(12000)]
+    odds = list(itertools.accumulate(1 / (r + 5) for r in range(len(vocabulary))))
+    prose = lambda n: " ".join(rnd.choices(vocabulary, cum_weights=odds, k=n))
+    items = [prose(rnd.randrange(20, 50)) + ". " + prose(5) for _ in range(n_items)]
+    texts, planted = [], []
+    for i in range(400):
+        item = rnd.randrange(n_items)
+        held = items[item].split()
+        if i % 2:
+            for at in rnd.sample(range(len(held) - 6), (len(held) - 6) // 5):
+                held[at] = rnd.choice(vocabulary)
+        texts.append(f"{prose(rnd.randrange(80))} {' '.join(held)} {prose(rnd.randrange(80))}")
+        planted.append((i, item))
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.id, r.item_id) for r in decontaminate.find_leaks(documents(spark, texts), bench).collect()}
+    verbatim, changed = planted[::2], planted[1::2]
+    assert set(verbatim) <= got
+    assert sum(p in got for p in changed) >= 0.9 * len(changed)
