@@ -156,8 +156,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 #: Near copies: words a shingle, least Jaccard similarity, bands of rows each in a signature, and agreeing rows from which a pair is verified.
 SHINGLE, SIMILAR, BANDS, BAND_ROWS, AGREE = 5, 0.8, 16, 4, 38
-#: Sets in one tile of a crowded band.
-TILE = 512
+#: Sets in one tile of a crowded band, and their shingles.
+TILE, TILE_SHINGLES = 2048, 1 << 21
 _MINIMA = np.random.default_rng(17)
 _TIMES = _MINIMA.integers(0, 1 << 31, BANDS * BAND_ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _PLUS = _MINIMA.integers(0, 1 << 32, BANDS * BAND_ROWS, dtype=np.uint32)
@@ -233,13 +233,8 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["src", "dst"]).filter(pa.array((s == t).sum(1) >= AGREE))
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of the pairs ``(src, dst)`` whose whole sets have a Jaccard similarity of SIMILAR or more.
-
-    ``rows``: ``(same, id)``, one text of each set; ``docs``: ``(id, text)``.
-    """
-    pairs = stage(pairs, "similar-pairs")
-    wanted = pairs.select(F.col("src").alias("same")).union(pairs.select("dst")).distinct()
+def _held(wanted: DataFrame, rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """``(same, held)``: the shingles of the wanted sets.  ``rows``: ``(same, id)``, one text of each; ``docs``: ``(id, text)``."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -252,8 +247,14 @@ def _verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame) -> DataFrame:
             sets = [np.unique(np.concatenate(x)).view(np.int64) if x else np.zeros(0, np.int64) for x in held]
             yield pa.RecordBatch.from_arrays([batch.column("same"), pa.array(sets, pa.list_(pa.int64()))], names=["same", "held"])
 
-    texts = docs.join(rows.join(wanted, "same").select("same", "id"), "id").dropDuplicates(["same"]).select("same", "text")
-    held = stage(texts.mapInArrow(hashed, "same long, held array<long>"), "similar-sets")
+    texts = docs.join(rows.join(wanted.distinct(), "same").select("same", "id"), "id").dropDuplicates(["same"]).select("same", "text")
+    return stage(texts.mapInArrow(hashed, "same long, held array<long>"), "similar-sets")
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """Those of the pairs ``(src, dst)`` whose whole sets have a Jaccard similarity of SIMILAR or more."""
+    pairs = stage(pairs, "similar-pairs")
+    held = _held(pairs.select(F.col("src").alias("same")).union(pairs.select("dst")), rows, docs)
     both = pairs.join(held.withColumnsRenamed({"same": "dst", "held": "y"}), "dst").join(held.withColumnsRenamed({"same": "src", "held": "x"}), "src")
     common = F.size(F.array_intersect("x", "y"))
     return both.where(common >= SIMILAR * (F.size("x") + F.size("y") - common)).select("src", "dst")
@@ -270,42 +271,72 @@ def _first_pairs(filed: DataFrame) -> DataFrame:
     return _flat(found).mapInArrow(_agreeing, "src long, dst long").distinct()
 
 
-def _open_pairs(filed: DataFrame, classes: DataFrame) -> DataFrame:
-    """Agreeing pairs of one band that are not in one class yet.
+def _joining(a: list[np.ndarray], b: list[np.ndarray], same: bool, classes: tuple[np.ndarray, np.ndarray]) -> list[tuple[int, int]]:
+    """Pairs (place in a, place in b) of similar sets, enough to join all classes that similar sets of ``a`` and ``b`` join.
+
+    One look-up of a set's shingles among all of ``b`` counts what it has in common with each of them.
+    """
+    size = np.array([len(x) for x in b], np.int64)
+    values = np.concatenate([np.zeros(0, np.int64), *b])
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], np.repeat(np.arange(len(b)), size)[order]
+    root: dict[int, int] = {}
+
+    def find(k: int) -> int:
+        while root.setdefault(k, k) != k:
+            root[k] = k = root[root[k]]
+        return k
+
+    out = []
+    for i, x in enumerate(a):
+        lo, n = np.searchsorted(values, x), np.searchsorted(values, x, "right")
+        n -= lo
+        common = np.bincount(owner[np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())], minlength=len(b))
+        hits = np.flatnonzero((common >= SIMILAR * (len(x) + size - common)) & (classes[1] != classes[0][i]))
+        for j in hits[hits > i] if same else hits:
+            p, q = find(int(classes[0][i])), find(int(classes[1][j]))
+            if p != q:
+                root[p] = q
+                out.append((i, int(j)))
+    return out
+
+
+def _open_links(filed: DataFrame, classes: DataFrame, rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links between sets of one band that are similar and not in one class yet, enough to join their classes.
 
     Bands whose sets are all in one class are done.  In the others, up to PAIRS_UP_TO sets make pairs;
-    the sets of a larger band are dealt to tiles, and every two tiles are compared as one array, which
-    gives on only pairs that agree.
+    the sets of a larger band are dealt to tiles, and every two tiles are compared whole by one task.
     """
     classed = filed.join(classes.withColumnsRenamed({"node": "same", "component": "class"}), "same", "left").withColumn("class", F.coalesce("class", "same"))
     classed = stage(classed, "similar-filed")
     sizes = classed.groupBy("key").agg(F.count("*").alias("n"), F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("key", "n")
-    rows = stage(classed.join(stage(sizes, "similar-open"), "key"), "similar-rows-open")
-    held = rows.where(F.col("n") <= PAIRS_UP_TO).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("same", "class", "signature"))).alias("held"))
-    left = held.select("held", F.posexplode("held").alias("at", "a"))
+    open_ = stage(classed.join(stage(sizes, "similar-open"), "key"), "similar-rows-open")
+    few = open_.where(F.col("n") <= PAIRS_UP_TO).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("same", "class", "signature"))).alias("held"))
+    left = few.select("held", F.posexplode("held").alias("at", "a"))
     pairs = _flat(left.select("a", F.explode(F.slice("held", F.col("at") + 2, F.size("held"))).alias("b")).where("a.class <> b.class"))
-    found = pairs.mapInArrow(_agreeing, "src long, dst long")
-
-    tiles = F.ceil(F.col("n") / TILE).cast("int")
-    tile = F.pmod(F.xxhash64("same", F.lit(5)), tiles).cast("int")
-    dealt = rows.where(F.col("n") > PAIRS_UP_TO).withColumn("tile", tile)
-    cell = F.transform(F.sequence(F.lit(0), tiles - 1), lambda o: F.struct(F.least("tile", o).alias("i"), F.greatest("tile", o).alias("j")))
-    dealt = dealt.withColumn("cell", F.explode(cell)).select("key", "cell", "tile", "same", "class", "signature")
+    links = _verified(pairs.mapInArrow(_agreeing, "src long, dst long").distinct(), rows, docs)
+
+    crowded = stage(open_.where(F.col("n") > PAIRS_UP_TO).select("key", "same", "class", "n"), "similar-crowded")
+    if crowded.isEmpty():
+        return links
+    whole = crowded.join(_held(crowded.select("same"), rows, docs), "same")
+    whole = stage(whole, "similar-whole")
+    tiles = whole.groupBy("key").agg(F.greatest(F.ceil(F.first("n") / TILE), F.ceil(F.sum(F.size("held")) / TILE_SHINGLES)).cast("int").alias("tiles"))
+    dealt = whole.join(stage(tiles, "similar-tiles"), "key").withColumn("tile", F.pmod(F.xxhash64("same", F.lit(5)), F.col("tiles")).cast("int"))
+    cell = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda o: F.struct(F.least("tile", o).alias("i"), F.greatest("tile", o).alias("j")))
+    dealt = dealt.withColumn("cell", F.explode(cell)).select("key", "cell", "tile", "same", "class", "held")
 
     def compare(table: pa.Table) -> pa.Table:
         tile, same, cls = (table[c].to_numpy() for c in ("tile", "same", "class"))
-        signs = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint8).reshape(len(tile), -1)
+        lists = table["held"].combine_chunks()
+        cuts, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
         cell = table["cell"][0].as_py()
         a, b = np.flatnonzero(tile == cell["i"]), np.flatnonzero(tile == cell["j"])
-        src, dst = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for i in a:
-            hit = b[(cls[b] != cls[i]) & ((signs[b] == signs[i]).sum(1) >= AGREE)]
-            src.append(np.minimum(same[i], same[hit]))
-            dst.append(np.maximum(same[i], same[hit]))
-        return pa.table({"src": np.concatenate(src), "dst": np.concatenate(dst)})
+        found = _joining(*([flat[cuts[i] : cuts[i + 1]] for i in side] for side in (a, b)), cell["i"] == cell["j"], (cls[a], cls[b]))
+        src, dst = same[a[[i for i, _ in found]]], same[b[[j for _, j in found]]]
+        return pa.table({"src": src.astype(np.int64), "dst": dst.astype(np.int64)})
 
-    crowded = dealt.groupBy("key", "cell").applyInArrow(compare, "src long, dst long")
-    return found.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).unionByName(crowded).distinct()
+    return links.unionByName(dealt.groupBy("key", "cell").applyInArrow(compare, "src long, dst long"))
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -313,9 +344,10 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Linked are op8's pairs (fingerprints of three-word shingles at most two bits apart), equal sequences of
     words, and sets of five-word shingles with a Jaccard similarity of SIMILAR or more: candidates share a
-    band of least hashes, agree in AGREE of all, and are verified on their whole sets.  First, each set
-    meets the least set of each of its bands; then all pairs of a band that are not in one class by then,
-    so a large group of copies costs its rows and no link between classes is lost.  Equal texts
+    band of least hashes and are verified on their whole sets (pairs, where AGREE of all hashes agree).  First, each set
+    meets the least set of each of its bands; then all sets of a band that are not in one class by then, in
+    pairs or, in a crowded band, tile by tile, which gives on only links that join classes.
+    So a large group of copies costs its rows, and no link between classes is lost.  Equal texts
     are compared once, however many rows have them.  ``id_col`` has to name a row's content: rows of one
     id have one text.  Null and empty texts are one class; an empty table gives no rows.
     """
@@ -329,9 +361,9 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     links = links.unionByName(close_links(fps)).unionByName(rows.select(F.col("fp").alias("src"), F.col("same").alias("dst")).distinct())
     links = stage(links, "similar-links")
     classes = stage(connected_components(links), "similar-classes")
-    more = stage(_open_pairs(filed, classes), "similar-more")
+    more = stage(_open_links(filed, classes, sets, whole), "similar-more")
     if not more.isEmpty():
-        links = stage(links.unionByName(_verified(more, sets, whole)), "similar-links")
+        links = stage(links.unionByName(more), "similar-links")
         classes = stage(connected_components(links), "similar-classes")
     classed = rows.join(classes, rows.fp == classes.node, "left").select("id", F.coalesce("component", "fp").alias("class"))
     classed = stage(classed, "similar-classed")
