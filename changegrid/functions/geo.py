@@ -39,6 +39,12 @@ def utm_forward(lon: Column, lat: Column, zone: Column) -> tuple[Column, Column]
     return EASTING + K0 * RADIUS * east, F.when(lat < 0, F.lit(NORTHING)).otherwise(F.lit(0.0)) + K0 * RADIUS * north
 
 
+def project(lon: Column, lat: Column, zone: Column) -> tuple[Column, Column]:
+    """Metres in the zone or, near the poles, where ``metric_crs`` says 3857, in web Mercator."""
+    polar = (lat <= -80) | (lat >= 84)
+    return tuple(F.when(polar, m).otherwise(u) for m, u in zip(web_mercator(lon, lat), utm_forward(lon, lat, zone), strict=True))
+
+
 def web_mercator(lon: Column, lat: Column) -> tuple[Column, Column]:
     return F.radians(lon) * A, A * F.log(F.tan(math.pi / 4 + F.radians(lat) / 2))
 

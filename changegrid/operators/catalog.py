@@ -16,61 +16,135 @@ def first_of(properties: Column, *names: str) -> Column:
     return F.coalesce(*[F.nullif(F.try_element_at(properties, F.lit(n)), F.lit("")) for n in names])
 
 
-def bbox_overlaps(x0: Column, y0: Column, x1: Column, y1: Column, box: tuple[float, float, float, float]) -> Column:
-    return (x0 <= box[2]) & (x1 >= box[0]) & (y0 <= box[3]) & (y1 >= box[1])
+def meets_area(scenes: DataFrame, areas: DataFrame) -> DataFrame:
+    """Scenes whose box (``x0, y0, x1, y1``, degrees) meets any of the areas' boxes, borders too, once each.
+
+    Boxes are filed under whole-degree cells of CELL degrees, so it is an equi-join with an exact test behind.
+    """
+
+    def filed(df: DataFrame, p: str) -> DataFrame:
+        cells = lambda lo, hi: F.explode(F.sequence(F.floor(F.col(lo) / CELL), F.floor(F.col(hi) / CELL)))
+        return df.select(*[F.col(c).alias(f"_{p}{c}") for c in ("x0", "y0", "x1", "y1")], *([] if p == "a" else [F.col("scene_id").alias("_scene")])).withColumn("_cx", cells(f"_{p}x0", f"_{p}x1")).withColumn("_cy", cells(f"_{p}y0", f"_{p}y1"))
+
+    met = filed(scenes, "s").join(filed(areas, "a"), ["_cx", "_cy"])
+    met = met.where("_sx0 <= _ax1 AND _sx1 >= _ax0 AND _sy0 <= _ay1 AND _sy1 >= _ay0").select("_scene").distinct()
+    return scenes.join(met, F.col("scene_id") == F.col("_scene"), "left_semi")
+
+
+#: Degrees of a cell in which boxes of scenes and areas meet.
+CELL = 5.0
+
+
+def polarization_text(value: Column) -> Column:
+    """Channels as one text: a text stays as it is; a list, also one written as JSON, is sorted and joined by +."""
+    listed = F.from_json(value, "array<string>")
+    return F.when(F.ltrim(value).startswith("["), F.array_join(F.array_sort(listed), "+")).otherwise(F.coalesce(value, F.lit("")))
+
+
+def acquisition_times(properties: Column, moment: Column) -> dict[str, Column]:
+    """Start, stop and date of an acquisition: start and end of the properties, else the item's moment; ISO texts, Z as UTC."""
+    start = F.coalesce(F.nullif(F.try_element_at(properties, F.lit("start_datetime")), F.lit("")), moment)
+    stop = F.coalesce(F.nullif(F.try_element_at(properties, F.lit("end_datetime")), F.lit("")), moment)
+    return {"acquisition_start": start, "acquisition_stop": stop, "acquisition_date": F.to_date(F.to_timestamp(start))}
 
 
-def filter_radar(scenes: DataFrame, platform: str = "", orbit: str | None = None, polarizations: tuple[str, ...] = (), start=None, end=None) -> DataFrame:
-    """Radar scenes of a platform (normalised), orbit direction, needed polarisations and inclusive dates."""
+#: Names that catalogues use for one property, in order of preference.
+ALIASES = {
+    "direction": ("sat:orbit_state", "orbit_state", "s1:orbit_state"),
+    "relative_orbit": ("sat:relative_orbit", "relativeOrbitNumber"),
+    "polarization": ("sar:polarizations", "polarisationChannels"),
+    "product_type": ("product:type", "productType"),
+    "level": ("processing:level", "processing_level"),
+    "mode": ("sar:instrument_mode", "sensorMode"),
+}
+
+
+def scene_records(items: DataFrame) -> DataFrame:
+    """Flat scenes ``(scene_id, platform, direction, relative_orbit, ...)`` of items ``(id, datetime, properties map)``."""
+    held = {name: first_of(F.col("properties"), *keys) for name, keys in ALIASES.items()}
+    held |= {"direction": F.lower(held["direction"]), "relative_orbit": held["relative_orbit"].try_cast("int"), "polarization": polarization_text(held["polarization"])}
+    times = acquisition_times(F.col("properties"), F.col("datetime"))
+    platform = F.coalesce(F.try_element_at(F.col("properties"), F.lit("platform")), F.lit(""))
+    name = F.coalesce(F.try_element_at(F.col("properties"), F.lit("title")), F.col("id"))
+    return items.select(F.col("id").alias("scene_id"), name.alias("product_name"), platform.alias("platform"), *[v.alias(k) for k, v in (held | times).items()], times["acquisition_date"].alias("day"))
+
+
+def filter_radar(scenes: DataFrame, platform: str = "", orbit: str | None = None, polarizations: tuple[str, ...] = (), start=None, end=None, mode: str | None = None, areas: DataFrame | None = None) -> DataFrame:
+    """Radar scenes of a platform and with needed channels (both normalised), an orbit direction, instrument mode,
+    inclusive dates and, if areas are given, a box that meets one."""
     out = scenes
     if start is not None:
         out = out.where(F.col("day").between(F.lit(start), F.lit(end)))
+    if mode:
+        out = out.where(F.col("mode") == mode)
     if platform:
         out = out.where(normalize(F.col("platform")) == normalize(F.lit(platform)))
     if orbit:
         out = out.where(F.col("direction") == orbit)
     if polarizations:
-        held = F.split("polarization", r"\+")
-        out = out.where(F.size(F.array_except(F.array(*[F.lit(p) for p in polarizations]), held)) == 0)
-    return out
+        held = F.transform(F.split("polarization", r"\+"), normalize)
+        out = out.where(F.size(F.array_except(F.array(*[normalize(F.lit(p)) for p in polarizations]), held)) == 0)
+    return out if areas is None else meets_area(out, areas)
 
 
-def filter_optical(scenes: DataFrame, max_cloud: float = 80.0, start=None, end=None) -> DataFrame:
-    """Optical scenes strictly below a cloud cover, in inclusive dates."""
+def filter_optical(scenes: DataFrame, max_cloud: float = 80.0, start=None, end=None, areas: DataFrame | None = None) -> DataFrame:
+    """Optical scenes strictly below a cloud cover, in inclusive dates and, if areas are given, meeting one."""
     out = scenes.where(F.col("cloud_cover") < max_cloud)
-    return out if start is None else out.where(F.col("day").between(F.lit(start), F.lit(end)))
+    out = out if start is None else out.where(F.col("day").between(F.lit(start), F.lit(end)))
+    return out if areas is None else meets_area(out, areas)
 
 
 def in_windows(scenes: DataFrame, windows: DataFrame) -> DataFrame:
     """Scenes by the period and phase whose inclusive window holds their date.
 
-    Windows are the configured periods, a handful of rows, so they are sent to the scenes.
+    Windows are cut into their months, so it is an equi-join on the month with an exact test behind.
+    """
+    month = lambda d: F.date_format(d, "yyyyMM")
+    cut = windows.withColumn("_month", F.explode(F.transform(F.sequence(F.trunc("start", "month"), F.trunc("end", "month"), F.expr("interval 1 month")), month)))
+    return scenes.withColumn("_month", month(F.col("day"))).join(cut, "_month").where(F.col("day").between(F.col("start"), F.col("end"))).drop("_month")
+
+
+def stack_scenes(scenes: DataFrame, stacks: DataFrame, start=None, end=None) -> DataFrame:
+    """Scenes of each configured stack.
+
+    Direction and orbit number are there and equal; the mode is IW; the level is missing or L1; the product type is missing or
+    names SLC; a stack on VV or VH needs that channel, any other polarisation is not tested; dates are inclusive.
     """
-    return scenes.join(F.broadcast(windows), F.col("day").between(F.col("start"), F.col("end")))
+    out = scenes.where("mode = 'IW' AND coalesce(level, 'L1') = 'L1' AND coalesce(contains(product_type, 'SLC'), true)")
+    if start is not None:
+        out = out.where(F.col("day").between(F.lit(start), F.lit(end)))
+    asked = stacks.withColumnRenamed("polarization", "_wanted")
+    met = out.withColumn("direction", F.lower("direction")).join(asked, ["direction", "relative_orbit"])
+    return met.where("_wanted NOT IN ('VV', 'VH') OR contains(polarization, _wanted)").drop("_wanted")
 
 
-def stack_scenes(scenes: DataFrame, stacks: DataFrame) -> DataFrame:
-    """Scenes of each configured stack: orbit direction and number equal, VV and VH named unless the string is VV+VH."""
-    dual = F.col("polarization").contains("VV") & F.col("polarization").contains("VH")
-    return scenes.where(dual).join(F.broadcast(stacks), ["direction", "relative_orbit"])
+def require_scenes(scenes: DataFrame, stacks: DataFrame, least: int) -> DataFrame:
+    """The scenes, or ValueError naming stacks with fewer than ``least``."""
+    counts = stacks.select("stack_id").join(scenes.groupBy("stack_id").agg(F.count("*").alias("n")), "stack_id", "left")
+    short = counts.where(F.coalesce("n", F.lit(0)) < least).orderBy("stack_id").limit(5).collect()
+    if short:
+        raise ValueError(f"fewer than {least} scenes: {[(r.stack_id, r.n or 0) for r in short]}")
+    return scenes
 
 
-def centred_window(scenes: DataFrame, limit: int, least: int, masters: DataFrame | None = None) -> DataFrame:
-    """At most ``limit`` scenes of each stack: around its master, else the earliest; stacks under ``least`` go.
+def centred_window(scenes: DataFrame, limit: int | None, least: int, masters: DataFrame | None = None) -> DataFrame:
+    """At most ``limit`` scenes of each stack (None: all): around its master, else the earliest; stacks under ``least`` go.
 
-    ``masters``: ``(stack_id, master_day)``; stacks without one take their earliest scenes.
+    ``masters``: ``(stack_id, master_day)``; stacks without one take their earliest scenes.  Where a short
+    stack is an error, ``require_scenes`` comes first.
     """
     order = Window.partitionBy("stack_id").orderBy("day", "scene_id")
-    out = scenes.withColumn("i", F.row_number().over(order) - 1).withColumn("n", F.count("*").over(Window.partitionBy("stack_id")))
+    out = scenes.withColumn("i", F.row_number().over(order) - 1).withColumn("n", F.count("*").over(Window.partitionBy("stack_id"))).where(F.col("n") >= least)
+    if limit is None:
+        return out.drop("i", "n")
     if masters is None:
         start = F.lit(0)
     else:
-        out = out.join(F.broadcast(masters), "stack_id", "left")
+        out = out.join(masters, "stack_id", "left")
         at = F.min(F.when(F.col("day") == F.col("master_day"), F.col("i"))).over(Window.partitionBy("stack_id"))
         out = out.withColumn("at", at)
         start = F.coalesce(F.greatest(F.lit(0), F.least(F.col("at") - limit // 2, F.col("n") - limit)), F.lit(0))
-    out = out.where((F.col("n") >= least) & F.col("i").between(start, start + limit - 1))
-    return out.drop("i", "n", "at", "master_day") if masters is not None else out.drop("i", "n")
+    return out.where(F.col("i").between(start, start + limit - 1)).drop("i", "n", "at", "master_day")
 
 
 def date_chunks(windows: DataFrame, days: int = 45) -> DataFrame:
@@ -85,7 +159,18 @@ def stack_summary(scenes: DataFrame) -> DataFrame:
 
 def secondaries(scenes: DataFrame, masters: DataFrame) -> DataFrame:
     """Scenes of each stack other than its master."""
-    return scenes.join(F.broadcast(masters), "stack_id").where(F.col("day") != F.col("master_day"))
+    return scenes.join(masters, "stack_id").where(F.col("day") != F.col("master_day"))
+
+
+def require_masters(scenes: DataFrame, masters: DataFrame, least: int = 2) -> DataFrame:
+    """The secondaries, or ValueError where a master is absent or has fewer than ``least`` of them."""
+    own = masters.join(scenes.select("stack_id", "day"), "stack_id", "left")
+    same = F.col("day") == F.col("master_day")
+    counts = own.groupBy("stack_id").agg(F.count_if(same).alias("masters"), F.count_if(~same).alias("others"))
+    short = counts.where((F.col("masters") == 0) | (F.col("others") < least)).orderBy("stack_id").limit(5).collect()
+    if short:
+        raise ValueError(f"absent master or fewer than {least} secondaries: {[r.stack_id for r in short]}")
+    return secondaries(scenes, masters)
 
 
 def platform_id(platform: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,25 +13,27 @@ from changegrid.sources.staging import stage
 
 
 def _label(pdf: pd.DataFrame, eight: bool) -> pd.DataFrame:
-    """Smallest (r, c) of each pixel's component inside one tile."""
+    """Smallest (r, c) of each pixel's component inside one tile: links between neighbours, hooked and jumped as arrays."""
     pdf = pdf.sort_values(["r", "c"], kind="stable").reset_index(drop=True)
-    at = {p: i for i, p in enumerate(zip(pdf.r, pdf.c, strict=True))}
-    parent = list(range(len(pdf)))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    for (r, c), i in at.items():
-        for q in ((r, c - 1), (r - 1, c), *(((r - 1, c - 1), (r - 1, c + 1)) if eight else ())):
-            j = at.get(q)
-            if j is not None:
-                a, b = root(i), root(j)
-                parent[max(a, b)] = min(a, b)
-    low = [root(i) for i in range(len(pdf))]
-    return pdf.assign(lr=pdf.r.to_numpy()[low], lc=pdf.c.to_numpy()[low])
+    r, c = pdf.r.to_numpy(), pdf.c.to_numpy()
+    at = np.full((r.max() - r.min() + 2, c.max() - c.min() + 3), -1)
+    row, col = r - r.min() + 1, c - c.min() + 1
+    own = np.arange(len(pdf))
+    at[row, col] = own
+    before = np.stack([at[row + a, col + b] for a, b in ((0, -1), (-1, 0), *(((-1, -1), (-1, 1)) if eight else ()))])
+    v = np.broadcast_to(own, before.shape)[before >= 0]
+    u = before[before >= 0]
+    parent = own.copy()
+    while len(u):
+        p, q = parent[u], parent[v]
+        apart = p != q
+        if not apart.any():
+            break
+        u, v = u[apart], v[apart]
+        np.minimum.at(parent, np.maximum(p, q)[apart], np.minimum(p, q)[apart])
+        while (jumped := parent[parent]).tolist() != parent.tolist():
+            parent = jumped
+    return pdf.assign(lr=r[parent], lc=c[parent])
 
 
 def label_components(mask: DataFrame, keys: list[str] | None = None, eight: bool = True, tile: int = 256) -> DataFrame:

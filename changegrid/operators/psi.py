@@ -2,38 +2,56 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from changegrid.config import Psi
+from changegrid.sources.staging import stage
 
 KEY = ["azimuth_index", "range_index"]
 
 
-def _nearest_middle(days: str, start: Column, end: Column) -> Column:
-    """The day nearest the middle of start and end, the earlier if tied."""
-    away = F.transform(days, lambda d: F.struct(F.abs(2 * F.datediff(d, start) - F.datediff(end, start)).alias("off"), d.alias("day")))
-    return F.array_min(away)["day"]
+def _nearest(days: DataFrame, asked: DataFrame) -> DataFrame:
+    """``asked`` (stack_id, cut, side, middle) with ``master``: the stack's day nearest to the middle, the earlier if tied.
+
+    ``middle`` counts half days.  Days and middles are read in one order, so each middle sees the last day
+    up to it and the first one after it; no stack's days are gathered or paired.
+    """
+    half = 2 * F.datediff("day", F.lit("1970-01-01").cast("date"))
+    none = F.lit(None)
+    own = days.select("stack_id", half.alias("at"), F.lit(0).alias("late"), "day", none.cast("int").alias("cut"), none.cast("string").alias("side"))
+    both = own.unionByName(asked.select("stack_id", F.col("middle").alias("at"), F.lit(1).alias("late"), none.cast("date").alias("day"), F.col("cut").cast("int").alias("cut"), "side"))
+    order = Window.partitionBy("stack_id").orderBy("at", "late")
+    before = F.last("day", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    after = F.last("day", ignorenulls=True).over(Window.partitionBy("stack_id").orderBy(F.desc("at"), F.desc("late")).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    met = both.withColumns({"before": before, "after": after}).where("late = 1")
+    day = lambda c: 2 * F.datediff(c, F.lit("1970-01-01").cast("date"))
+    nearer = F.coalesce(F.col("at") - day("before") <= day("after") - F.col("at"), F.col("before").isNotNull())
+    return met.select("stack_id", "cut", "side", F.when(nearer, F.col("before")).otherwise(F.col("after")).alias("master"))
 
 
 def plan_breaks(scenes: DataFrame, least: int = Psi.minimum_subset_images) -> DataFrame:
-    """Every split of each stack's dates with ``least`` or more scenes on both sides.
+    """Every split of each stack's scenes, in order of day, with ``least`` or more on both sides.
 
     ``scenes``: ``(stack_id, day)``, one row a scene.  Each side's bounds, size and master: the scene
     nearest the middle of the side, the earlier if tied.  A stack too short for a split has no row.
-    Sides are ranges of the stack's ordered dates held as one array, as a stack has few scenes.
+    Windows over the stack give the bounds, one merge of days and middles the masters, so the work grows
+    with the number of scenes and not with its square.
     """
-    stacks = scenes.groupBy("stack_id").agg(F.array_sort(F.collect_list("day")).alias("days"))
-    cuts = stacks.where(F.size("days") >= 2 * least).select("stack_id", "days", F.explode(F.sequence(F.lit(least), F.size("days") - least)).alias("n_front"))
-    n = F.size("days")
-    sides = cuts.select("stack_id", "n_front", (n - F.col("n_front")).alias("n_back"), F.slice("days", F.lit(1), F.col("n_front")).alias("front"), F.slice("days", F.col("n_front") + 1, n).alias("back"))
-    out = {"break_after": F.element_at("front", -1), "break_before": F.element_at("back", 1)}
-    for side in ("front", "back"):
-        start, end = F.element_at(side, 1), F.element_at(side, -1)
-        out[f"{side}_master"] = _nearest_middle(side, start, end)
-        out[f"{side}_id"] = F.concat_ws("_", "stack_id", F.lit(f"cdpsi_{side}"), F.date_format(start, "yyyyMMdd"), F.date_format(end, "yyyyMMdd"))
-    index = F.row_number().over(Window.partitionBy("stack_id").orderBy("n_front"))
-    return sides.select("stack_id", "n_front", "n_back", *[v.alias(k) for k, v in out.items()]).withColumn("break_index", index)
+    scenes = scenes.select("stack_id", F.col("day").cast("date").alias("day"))
+    order, whole = Window.partitionBy("stack_id").orderBy("day"), Window.partitionBy("stack_id")
+    cuts = scenes.select("stack_id", "day", F.row_number().over(order).alias("cut"), F.count("*").over(whole).alias("n"), F.min("day").over(whole).alias("first"), F.max("day").over(whole).alias("last"), F.lead("day").over(order).alias("next"))
+    cuts = cuts.where((F.col("cut") >= least) & (F.col("n") - F.col("cut") >= least))
+    day = lambda c: F.datediff(c, F.lit("1970-01-01").cast("date"))
+    sides = F.explode(F.array(F.struct(F.lit("front").alias("side"), (day("first") + day("day")).alias("middle")), F.struct(F.lit("back").alias("side"), (day("next") + day("last")).alias("middle"))))
+    masters = _nearest(scenes, cuts.select("stack_id", "cut", sides.alias("_side")).select("stack_id", "cut", "_side.*"))
+    masters = masters.groupBy("stack_id", "cut").agg(*[F.max(F.when(F.col("side") == s, F.col("master"))).alias(f"{s}_master") for s in ("front", "back")])
+    out = cuts.join(masters, ["stack_id", "cut"])
+    name = lambda side, a, b: F.concat_ws("_", "stack_id", F.lit(f"cdpsi_{side}"), F.date_format(a, "yyyyMMdd"), F.date_format(b, "yyyyMMdd"))
+    return out.select(
+        "stack_id", F.col("cut").alias("n_front"), (F.col("n") - F.col("cut")).cast("int").alias("n_back"), F.col("day").alias("break_after"), F.col("next").alias("break_before"), "front_master", name("front", "first", "day").alias("front_id"),
+        "back_master", name("back", "next", "last").alias("back_id"), (F.col("cut") - least + 1).alias("break_index"),
+    )
 
 
 def require_breaks(plan: DataFrame) -> DataFrame:
@@ -66,8 +84,8 @@ def match_points(complete: DataFrame, front: DataFrame, back: DataFrame, by: lis
 
 
 def change_indices(matched: DataFrame) -> DataFrame:
-    """Adds ``ci_vanishment`` (front - complete) and ``ci_emergence`` (back - complete); NaN counts as missing."""
-    clean = {c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in ("tc_complete", "tc_front", "tc_back")}
+    """Adds ``ci_vanishment`` (front - complete) and ``ci_emergence`` (back - complete); NaN and infinities count as missing."""
+    clean = {c: F.when(F.abs(F.nanvl(F.col(c), F.lit(float("inf")))) < float("inf"), F.col(c)) for c in ("tc_complete", "tc_front", "tc_back")}
     out = matched.withColumns(clean)
     return out.withColumns({"ci_vanishment": F.col("tc_front") - F.col("tc_complete"), "ci_emergence": F.col("tc_back") - F.col("tc_complete")})
 
@@ -108,12 +126,25 @@ def sigma_threshold(values: DataFrame, value: str, by: list[str], sigma: float =
     return second.select(*by, "n", "mode", mu.alias("mu"), sd.alias("sigma"), (mu + sigma * sd).alias("threshold"))
 
 
+def require_fits(points: DataFrame, by: list[str]) -> DataFrame:
+    """The points, or ValueError naming groups with fewer than two finite values of either index."""
+    counts = points.groupBy(*by).agg(F.count("ci_emergence").alias("e"), F.count("ci_vanishment").alias("v"))
+    short = counts.where("e < 2 OR v < 2").orderBy(*by).limit(5).collect()
+    if short:
+        raise ValueError(f"fewer than two finite values to fit a threshold on: {[tuple(r)[:-2] for r in short]}")
+    return points
+
+
 def classify(points: DataFrame, by: list[str], sigma: float = Psi.sigma_multiplier) -> DataFrame:
-    """Adds both thresholds and ``cdpsi_class``; thresholds are one row a group, joined back."""
+    """Adds both thresholds and ``cdpsi_class``; thresholds are one row a group, joined back.
+
+    The points are staged, as each fit reads them several times.  A group too small for a fit is an error.
+    """
+    points = require_fits(stage(points, "psi-points"), by)
     out = points
     for name in ("emergence", "vanishment"):
         fit = sigma_threshold(points, f"ci_{name}", by, sigma).select(*by, F.col("threshold").alias(f"ci_{name}_threshold"), F.col("mu").alias(f"ci_{name}_mu"), F.col("sigma").alias(f"ci_{name}_sigma"), F.col("mode").alias(f"ci_{name}_mode"))
-        out = out.join(fit, by)
+        out = out.join(stage(fit, "psi-fit"), by)
     e = F.coalesce(F.col("ci_emergence") >= F.col("ci_emergence_threshold"), F.lit(False))
     v = F.coalesce(F.col("ci_vanishment") >= F.col("ci_vanishment_threshold"), F.lit(False))
     return out.withColumn("cdpsi_class", F.when(e & ~v, "emergence_candidate").when(v & ~e, "vanishment_candidate").when(e & v, "ambiguous_change").otherwise("stable"))

@@ -10,13 +10,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changegrid.config import Detection, Optical
+from changegrid.config import ChangeTest, Optical
 from changegrid.functions import bandmath as B
 
 PIXEL = ["period_id", "r", "c"]
 BANDS = ["blue", "green", "red", "nir", "swir1"]
 #: Decision codes and their labels in reports.
-DECISIONS = {0: "no_candidate", 1: "kept_unreliable_optical", 2: "kept_supported", 3: "kept_override", 4: "removed"}
+DECISIONS = {
+    0: "not_candidate",
+    1: "kept_s1_s2_unreliable",
+    2: "kept_s1_s2_supported",
+    3: "kept_strong_s1_override",
+    4: "dropped_s2_reliable_unsupported",
+}
 
 
 def s1_composite(obs: DataFrame) -> DataFrame:
@@ -25,7 +31,7 @@ def s1_composite(obs: DataFrame) -> DataFrame:
     return obs.groupBy(*PIXEL).agg(*[v.alias(k) for k, v in picked.items()])
 
 
-def change_test(composite: DataFrame, cfg: Detection = Detection()) -> DataFrame:
+def change_test(composite: DataFrame, cfg: ChangeTest = ChangeTest()) -> DataFrame:
     """Adds ``ratio_vv``, ``ratio_vh``, ``statistic``, ``pvalue`` and ``candidate``."""
     out = composite.withColumns({"ratio_vv": B.change_ratio(F.col("vv_before"), F.col("vv_after")), "ratio_vh": B.change_ratio(F.col("vh_before"), F.col("vh_after")), "statistic": B.lrt_statistic(F.col("vv_before"), F.col("vv_after"), cfg.enl)})
     passed = (F.col("statistic") > cfg.statistic_min) & (F.col("ratio_vv") > cfg.vv_ratio_min) & (F.col("ratio_vh") > cfg.vh_ratio_min)
@@ -45,13 +51,13 @@ def s2_composite(obs: DataFrame, cfg: Optical = Optical()) -> DataFrame:
     """Median reflectance of usable pixels, counts, fractions and indices of the medians, by pixel and phase.
 
     Fractions divide by the phase's number of scenes, not by the observations at the pixel; that number is
-    one row a phase, joined by broadcast (as many rows as periods).
+    one row a phase.
     """
     clear, use = usable(cfg)
     items = obs.groupBy("period_id", "phase").agg(F.countDistinct("scene").alias("items"))
     medians = [F.median(F.when(use, F.col(b) / 10000)).alias(b) for b in BANDS]
     px = obs.groupBy("period_id", "phase", "r", "c").agg(*medians, F.count_if(clear).alias("clear_count"), F.count_if(use).alias("valid_count"))
-    px = px.join(F.broadcast(items), ["period_id", "phase"])
+    px = px.join(items, ["period_id", "phase"])
     px = px.withColumns({"clear_fraction": F.col("clear_count") / F.greatest("items", F.lit(1)), "valid_fraction": F.col("valid_count") / F.greatest("items", F.lit(1))})
     return px.withColumns(B.spectral_indices()).drop("items")
 

@@ -20,11 +20,10 @@ def _cells(lo: Column, hi: Column, size: float) -> Column:
 
 def points_in_rects(points: DataFrame, rects: DataFrame, how: str = "inner", cell: float = 500.0) -> DataFrame:
     """Points by the rectangles ``(x0, y0, x1, y1)`` that hold them, borders too; ``left`` keeps points without any."""
-    dealt = rects.withColumn("cx", F.explode(_cells(F.col("x0"), F.col("x1"), cell))).withColumn("cy", F.explode(_cells(F.col("y0"), F.col("y1"), cell)))
-    own = points.withColumns({"cx": F.floor(F.col("x") / cell), "cy": F.floor(F.col("y") / cell)})
+    dealt = rects.withColumn("_rx", F.explode(_cells(F.col("x0"), F.col("x1"), cell))).withColumn("_ry", F.explode(_cells(F.col("y0"), F.col("y1"), cell)))
+    own = points.withColumns({"_px": F.floor(F.col("x") / cell), "_py": F.floor(F.col("y") / cell)})
     inside = F.col("x").between(F.col("x0"), F.col("x1")) & F.col("y").between(F.col("y0"), F.col("y1"))
-    on = [own["cx"] == dealt["cx"], own["cy"] == dealt["cy"], inside]
-    return own.join(dealt, on, how).drop("cx", "cy")
+    return own.join(dealt, [F.col("_px") == F.col("_rx"), F.col("_py") == F.col("_ry"), inside], how).drop("_px", "_py", "_rx", "_ry")
 
 
 def ring_area(ring: Column) -> Column:

@@ -8,24 +8,23 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from changegrid.config import Density, Detection, Zones, radius_pixels
+from changegrid.config import Cleaning, ZoneShape, radius_pixels
 from changegrid.operators.neighborhood import close, disk_density
 from changegrid.operators.pixels import drop_small, label_components
-from changegrid.sources.staging import stage
 
 
-def detect(candidates: DataFrame, height: int, width: int, cfg: Detection = Detection(), resolution_m: float = 10.0, tile: int = 256) -> DataFrame:
+def detect(candidates: DataFrame, height: int, width: int, cfg: Cleaning = Cleaning(), resolution_m: float = 10.0, tile: int = 256) -> DataFrame:
     """Radar detection of each period: candidate pixels, small components dropped, then closed."""
     mask = candidates.where("candidate").select("period_id", "r", "c")
-    kept = drop_small(mask, cfg.min_connected_pixels, ["period_id"], tile=tile)
-    return close(kept, radius_pixels(cfg.closing_radius_m, resolution_m), height, width, ["period_id"])
+    kept = drop_small(mask, cfg.least_pixels, ["period_id"], tile=tile)
+    return close(kept, radius_pixels(cfg.closing_m, resolution_m), height, width, ["period_id"])
 
 
-def density_zones(mask: DataFrame, height: int, width: int, cfg: Density = Density(), resolution_m: float = 10.0, tile: int = 256) -> DataFrame:
+def density_zones(mask: DataFrame, height: int, width: int, cfg: ZoneShape = ZoneShape(), resolution_m: float = 10.0, tile: int = 256) -> DataFrame:
     """Small components dropped, dense disks kept, then closed (radius at least 1)."""
-    kept = drop_small(mask, cfg.min_connected_pixels, tile=tile)
-    dense = disk_density(kept, radius_pixels(cfg.radius_m, resolution_m, 1), height, width).where(F.col("density") >= cfg.min_density)
-    return close(dense.select("r", "c"), radius_pixels(cfg.closing_radius_m, resolution_m, 1), height, width)
+    kept = drop_small(mask, cfg.cleaning.least_pixels, tile=tile)
+    dense = disk_density(kept, radius_pixels(cfg.window_m, resolution_m, 1), height, width).where(F.col("density") >= cfg.dense_part)
+    return close(dense.select("r", "c"), radius_pixels(cfg.cleaning.closing_m, resolution_m, 1), height, width)
 
 
 def label_zones(mask: DataFrame, tile: int = 256) -> DataFrame:
@@ -41,15 +40,20 @@ def zone_metrics(labels: DataFrame, resolution_m: float = 10.0) -> DataFrame:
     sizes = labels.groupBy("comp_r", "comp_c").agg(F.count("*").alias("pixels")).join(shared, ["comp_r", "comp_c"], "left")
     perimeter = (4 * F.col("pixels") - 2 * F.coalesce("shared", F.lit(0))) * resolution_m
     out = sizes.select("comp_r", "comp_c", "pixels", (F.col("pixels") * (resolution_m**2 / 10000)).alias("area_ha"), perimeter.alias("perim_m"))
-    return out.withColumn("compactness", 4 * math.pi * F.col("area_ha") * 10000 / F.pow(F.greatest("perim_m", F.lit(1.0)), F.lit(2.0)))
+    return out.withColumn("compactness", compactness(F.col("area_ha"), F.col("perim_m")))
 
 
-def keep_zones(metrics: DataFrame, cfg: Zones = Zones()) -> DataFrame:
+def compactness(area_ha, perim_m):
+    """4 pi A / max(P, 1)^2, as a Column."""
+    return 4 * math.pi * area_ha * 10000 / F.pow(F.greatest(perim_m, F.lit(1.0)), F.lit(2.0))
+
+
+def keep_zones(metrics: DataFrame, cfg: ZoneShape = ZoneShape()) -> DataFrame:
     """Zones that reach the least area and compactness, numbered by their first pixel.
 
     Numbers are consecutive, so one task orders the zones (not the pixels).
     """
-    kept = metrics.where((F.col("area_ha") >= cfg.min_area_ha) & (F.col("compactness") >= cfg.min_compactness))
+    kept = metrics.where((F.col("area_ha") >= cfg.least_ha) & (F.col("compactness") >= cfg.least_compactness))
     return kept.withColumn("zone_id", F.row_number().over(Window.orderBy("comp_r", "comp_c")))
 
 
@@ -85,41 +89,86 @@ def _area(ring: list[tuple[float, float]]) -> float:
     return sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, ring[1:], strict=False)) / 2
 
 
-def simplify(ring: list[tuple[float, float]], tolerance: float) -> list[tuple[float, float]]:
-    """Douglas-Peucker on a closed ring; a ring that would fall below a triangle stays as it is."""
+def _length(ring: list[tuple[float, float]]) -> float:
+    return sum(math.dist(a, b) for a, b in zip(ring, ring[1:], strict=False))
 
-    def keep(points):
-        (ax, ay), (bx, by) = points[0], points[-1]
+
+def simplify(ring: list[tuple[float, float]], tolerance: float) -> list[tuple[float, float]]:
+    """Douglas-Peucker on a closed ring, from its first corner and the one farthest from it; a ring that would fall below a triangle stays as it is."""
+    if len(ring) <= 4:
+        return ring
+    half = max(range(1, len(ring) - 1), key=lambda i: math.dist(ring[0], ring[i]))
+    keep, todo = {0, half, len(ring) - 1}, [(0, half), (half, len(ring) - 1)]
+    while todo:
+        lo, hi = todo.pop()
+        (ax, ay), (bx, by) = ring[lo], ring[hi]
         span = math.hypot(bx - ax, by - ay)
-        far, at = 0.0, 0
-        for i in range(1, len(points) - 1):
-            x, y = points[i]
+        far, at = tolerance, None
+        for i in range(lo + 1, hi):
+            x, y = ring[i]
             d = abs((bx - ax) * (ay - y) - (ax - x) * (by - ay)) / span if span else math.hypot(x - ax, y - ay)
             if d > far:
                 far, at = d, i
-        return [points[0], points[-1]] if far <= tolerance else keep(points[: at + 1])[:-1] + keep(points[at:])
-
-    half = len(ring) // 2
-    out = keep(ring[: half + 1])[:-1] + keep(ring[half:]) if len(ring) > 4 else ring
+        if at is not None:
+            keep.add(at)
+            todo += [(lo, at), (at, hi)]
+    out = [ring[i] for i in sorted(keep)]
     return out if len(out) >= 4 else ring
 
 
-def zone_outlines(labels: DataFrame, resolution_m: float = 10.0, x0: float = 0.0, y0: float = 0.0, tolerance_m: float = Zones.simplify_tolerance_m) -> DataFrame:
-    """``(comp_r, comp_c, rings, wkt, n_vertices, simplified_area_ha)``, a zone's pixels being one group.
+def crossing(rings: list[list[tuple[float, float]]]) -> bool:
+    """Whether two edges of the rings meet anywhere but at the end of one and the start of the next."""
+    edges = sorted((min(a[0], b[0]), max(a[0], b[0]), n, i, a, b) for n, ring in enumerate(rings) for i, (a, b) in enumerate(zip(ring, ring[1:], strict=False)))
+
+    def turn(p, q, r):
+        return (q[0] - p[0]) * (r[1] - p[1]) - (q[1] - p[1]) * (r[0] - p[0])
+
+    def on(p, q, r):
+        return turn(p, q, r) == 0 and min(p[0], q[0]) <= r[0] <= max(p[0], q[0]) and min(p[1], q[1]) <= r[1] <= max(p[1], q[1])
 
-    Zones are compact objects; one that spans the whole input is traced by one task.  Rows go down from y0.
+    for k, (_, hi, n, i, a, b) in enumerate(edges):
+        for lo, _, m, j, c, d in edges[k + 1 :]:
+            if lo > hi:
+                break
+            if n == m and (abs(i - j) == 1 or {i, j} == {0, len(rings[n]) - 2}):
+                if {a, b} == {c, d}:
+                    return True
+                continue
+            if turn(a, b, c) * turn(a, b, d) < 0 and turn(c, d, a) * turn(c, d, b) < 0:
+                return True
+            # rings may touch at corners, as zones whose pixels meet in a corner do
+            if any(on(p, q, r) and r not in (p, q) for p, q, r in ((a, b, c), (a, b, d), (c, d, a), (c, d, b))):
+                return True
+    return False
+
+
+def zone_outlines(labels: DataFrame, resolution_m: float = 10.0, x0: float = 0.0, y0: float = 0.0, tolerance_m: float = ZoneShape.tolerance_m) -> DataFrame:
+    """``(comp_r, comp_c, rings, wkt, n_vertices, simplified_area_ha, simplified_perim_m)``, a zone's pixels being one group.
+
+    Rings are simplified within ``tolerance_m``; where that would make edges cross, the tolerance is
+    halved, down to none, so the topology stays.  Zones are compact objects; one that spans the whole
+    input is traced by one task.  Rows go down from y0.
     """
 
     def outline(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        rings = [[(x0 + x * resolution_m, y0 - y * resolution_m) for x, y in ring] for ring in trace_rings(list(zip(pdf.r.tolist(), pdf.c.tolist(), strict=True)))]
-        rings = [simplify(ring, tolerance_m) for ring in rings]
+        traced = [[(x0 + x * resolution_m, y0 - y * resolution_m) for x, y in ring] for ring in trace_rings(list(zip(pdf.r.tolist(), pdf.c.tolist(), strict=True)))]
+        rings, tolerance = traced, tolerance_m
+        while tolerance > 0:
+            rings = [simplify(ring, tolerance) for ring in traced]
+            if not crossing(rings):
+                break
+            rings, tolerance = traced, tolerance / 2 if tolerance > tolerance_m / 16 else 0
         wkt = "POLYGON (" + ", ".join("(" + ", ".join(f"{x:g} {y:g}" for x, y in ring) + ")" for ring in rings) + ")"
         area = abs(_area(rings[0])) - sum(abs(_area(x)) for x in rings[1:])
-        return pd.DataFrame({"comp_r": [key[0]], "comp_c": [key[1]], "rings": [[[{"x": x, "y": y} for x, y in ring] for ring in rings]], "wkt": [wkt], "n_vertices": [sum(map(len, rings))], "simplified_area_ha": [area / 10000]})
+        return pd.DataFrame(
+            {"comp_r": [key[0]], "comp_c": [key[1]], "rings": [[[{"x": x, "y": y} for x, y in ring] for ring in rings]], "wkt": [wkt], "n_vertices": [sum(map(len, rings))], "simplified_area_ha": [area / 10000], "simplified_perim_m": [sum(map(_length, rings))]}
+        )
 
-    schema = "comp_r int, comp_c int, rings array<array<struct<x: double, y: double>>>, wkt string, n_vertices long, simplified_area_ha double"
+    schema = "comp_r int, comp_c int, rings array<array<struct<x: double, y: double>>>, wkt string, n_vertices long, simplified_area_ha double, simplified_perim_m double"
     return labels.groupBy("comp_r", "comp_c").applyInPandas(outline, schema)
 
 
-def staged_zones(mask: DataFrame, tile: int = 256) -> DataFrame:
-    return stage(label_zones(mask, tile), "zones")
+def zone_polygons(labels: DataFrame, cfg: ZoneShape = ZoneShape(), resolution_m: float = 10.0, x0: float = 0.0, y0: float = 0.0) -> DataFrame:
+    """Zones as simplified polygons, measured after simplification, then filtered and numbered."""
+    shapes = zone_outlines(labels, resolution_m, x0, y0, cfg.tolerance_m).withColumnsRenamed({"simplified_area_ha": "area_ha", "simplified_perim_m": "perim_m"})
+    return keep_zones(shapes.withColumn("compactness", compactness(F.col("area_ha"), F.col("perim_m"))), cfg)

@@ -29,7 +29,10 @@ CTES = {
         CASE o_orderkey % 3 WHEN 0 THEN 'SENTINEL-1A' WHEN 1 THEN 'sentinel_1a' ELSE 'sentinel-1b' END AS platform,
         CASE WHEN o_custkey % 2 = 0 THEN 'ascending' ELSE 'descending' END AS direction, CAST(o_custkey % 5 AS INT) AS relative_orbit,
         o_totalprice - 100 * floor(o_totalprice / 100) AS cloud_cover,
-        CASE o_orderkey % 4 WHEN 0 THEN 'VV+VH' WHEN 1 THEN 'VH+VV' WHEN 2 THEN 'VV' ELSE 'HH' END AS polarization
+        CASE o_orderkey % 4 WHEN 0 THEN 'VV+VH' WHEN 1 THEN 'VH+VV' WHEN 2 THEN 'VV' ELSE 'HH' END AS polarization,
+        CASE WHEN o_orderkey % 11 = 5 THEN 'EW' ELSE 'IW' END AS mode, CASE o_orderkey % 7 WHEN 0 THEN NULL WHEN 1 THEN 'L2' ELSE 'L1' END AS level,
+        CASE o_orderkey % 13 WHEN 0 THEN NULL WHEN 1 THEN 'GRD' ELSE 'IW_SLC__1S' END AS product_type,
+        CAST(o_orderkey % 340 - 170 AS DOUBLE) AS x0, CAST(o_custkey % 150 - 75 AS DOUBLE) AS y0, CAST(o_orderkey % 340 - 167 AS DOUBLE) AS x1, CAST(o_custkey % 150 - 73 AS DOUBLE) AS y1
       FROM {orders}""",
     "psi_points": """
       SELECT CAST(r * 48 + c AS BIGINT) AS point_id, r AS azimuth_index, c AS range_index, avg(CAST(0.8 AS DOUBLE) + d) AS tc_c, avg(CAST(0.8 AS DOUBLE) + t) AS tc_f,

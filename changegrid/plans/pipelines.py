@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changegrid.config import Density, Detection, Fusion, Optical, Psi, Zones
+from changegrid.config import ChangeTest, Cleaning, Fusion, Optical, Psi, ZoneShape
 from changegrid.operators import psi as S
 from changegrid.operators import raster as R
 from changegrid.operators import spatial as X
@@ -27,10 +27,10 @@ class BuiltUp:
     resolution_m: float = 10.0
     tile: int = 256
     allow_unavailable: bool = True
-    detection: Detection = field(default_factory=Detection)
+    test: ChangeTest = field(default_factory=ChangeTest)
+    cleaning: Cleaning = field(default_factory=Cleaning)
     optical: Optical = field(default_factory=Optical)
-    density: Density = field(default_factory=Density)
-    zones: Zones = field(default_factory=Zones)
+    zones: ZoneShape = field(default_factory=ZoneShape)
 
 
 def run_builtup(radar: DataFrame, optical: DataFrame | None, cfg: BuiltUp, stop_after: str = "polygons") -> dict[str, DataFrame]:
@@ -50,8 +50,8 @@ def run_builtup(radar: DataFrame, optical: DataFrame | None, cfg: BuiltUp, stop_
 
     if done("composite", R.s1_composite(radar), "composite"):
         return out
-    tested = stage(R.change_test(out["composite"], cfg.detection), "builtup-tested")
-    kept = Z.detect(tested, cfg.height, cfg.width, cfg.detection, cfg.resolution_m, cfg.tile).withColumn("kept", F.lit(True))
+    tested = stage(R.change_test(out["composite"], cfg.test), "builtup-tested")
+    kept = Z.detect(tested, cfg.height, cfg.width, cfg.cleaning, cfg.resolution_m, cfg.tile).withColumn("kept", F.lit(True))
     # closing adds pixels: a detection is the closed mask, with the test's values where there are any
     full = tested.drop("candidate").join(kept, R.PIXEL, "full").withColumn("candidate", F.coalesce("kept", F.lit(False))).drop("kept")
     if done("detection", full, "detect_s1"):
@@ -69,12 +69,10 @@ def run_builtup(radar: DataFrame, optical: DataFrame | None, cfg: BuiltUp, stop_
         return out
     out["areas"] = R.run_areas(out["cumulative_raw"], out["cumulative"], cfg.resolution_m)
     changed = out["cumulative"].where("first_change > 0").select("r", "c")
-    if done("zones", Z.density_zones(changed, cfg.height, cfg.width, cfg.density, cfg.resolution_m, cfg.tile), "zones"):
+    if done("zones", Z.density_zones(changed, cfg.height, cfg.width, cfg.zones, cfg.resolution_m, cfg.tile), "zones"):
         return out
     labels = stage(Z.label_zones(out["zones"], cfg.tile), "builtup-labels")
-    metrics = Z.keep_zones(Z.zone_metrics(labels, cfg.resolution_m), cfg.zones)
-    shapes = Z.zone_outlines(labels, cfg.resolution_m, tolerance_m=cfg.zones.simplify_tolerance_m)
-    done("polygons", metrics.join(shapes, ["comp_r", "comp_c"]), "polygons")
+    done("polygons", Z.zone_polygons(labels, cfg.zones, cfg.resolution_m), "polygons")
     return out
 
 
@@ -86,7 +84,7 @@ def run_psi(points: DataFrame, breaks: DataFrame, evidence: DataFrame | None = N
     once: the break is a grouping column.  Point ids are unique in a stack only, so keys hold the stack.
     """
     keys = ["stack_id", "front_id", "back_id", "break_after", "break_before"]
-    plan = F.broadcast(breaks.select(*keys))  # one row a break
+    plan = breaks.select(*keys)
     complete = points.where("subset_id IS NULL").drop("subset_id")
     S.require_unique(complete, "complete", ["stack_id"])
     subsets = points.where("subset_id IS NOT NULL").select("subset_id", *S.KEY, "point_id", "temporal_coherence")

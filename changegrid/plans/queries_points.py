@@ -14,7 +14,11 @@ from changegrid.plans.queries_raster import rounded
 
 WINDOWS = "SELECT * FROM (VALUES ('p1', 'before', DATE '1995-06-01', DATE '1995-09-30'), ('p1', 'after', DATE '1999-06-01', DATE '1999-09-30'), ('p2', 'before', DATE '1996-06-01', DATE '1996-09-30'), ('p2', 'after', DATE '2000-06-01', DATE '2000-09-30')) AS w(period_id, phase, start, end_day)"
 #: Stacks: orbit direction, number and the day near which their master lies.
-STACKS = "SELECT * FROM (VALUES ('asc0', 'ascending', 0), ('desc1', 'descending', 1), ('asc4', 'ascending', 4)) AS s(stack_id, direction, relative_orbit)"
+STACKS = "SELECT * FROM (VALUES ('asc0', 'ascending', 0, 'VV'), ('desc1', 'descending', 1, 'VH'), ('asc4', 'ascending', 4, 'VV+VH')) AS s(stack_id, direction, relative_orbit, polarization)"
+
+
+#: Areas of interest: boxes in degrees.
+AREAS = "SELECT * FROM (VALUES (CAST(-7.8 AS DOUBLE), CAST(33.4 AS DOUBLE), CAST(-6.7 AS DOUBLE), CAST(33.5 AS DOUBLE)), (CAST(100 AS DOUBLE), CAST(-20 AS DOUBLE), CAST(131 AS DOUBLE), CAST(4 AS DOUBLE)), (CAST(110 AS DOUBLE), CAST(0 AS DOUBLE), CAST(120 AS DOUBLE), CAST(9 AS DOUBLE))) AS a(x0, y0, x1, y1)"
 
 
 def windows(spark):
@@ -51,7 +55,7 @@ def orbit_files(spark, d) -> DataFrame:
 
 def bands(spark, d) -> DataFrame:
     """Band names of products: one a stack and year, an i and q band a scene, some of them defective."""
-    s = view(spark, d, "scenes").where("relative_orbit = 0").select(F.concat_ws("_", "direction", F.year("day").cast("string")).alias("product_id"), "day", "k")
+    s = view(spark, d, "scenes").select(F.concat_ws("_", "direction", F.col("relative_orbit").cast("string"), F.year("day").cast("string")).alias("product_id"), "day", "k")
     token = F.date_format("day", "ddMMMyyyy")
     part = F.explode(F.array(F.lit("i"), F.lit("q"))).alias("component")
     s = s.select("product_id", "k", token.alias("token"), part).where("NOT (k % 50 = 7 AND component = 'q')")
@@ -59,11 +63,18 @@ def bands(spark, d) -> DataFrame:
     return s.select("product_id", F.when(F.col("k") % 50 == 3, F.concat(F.lit("bad_"), name)).otherwise(name).alias("band_name"))
 
 
+#: Breaks of the derived point tables.
+BREAKS = ("2023-09-10", "2023-10-04", "2023-09-22")
+
+
 def classified(spark, d) -> DataFrame:
     p = view(spark, d, "psi_points")
     role = lambda c: p.select("point_id", *S.KEY, F.col(c).alias("temporal_coherence"))
     m = S.change_indices(S.match_points(role("tc_c"), role("tc_f"), role("tc_b")))
-    m = m.withColumns({"stack_id": F.lit("asc0"), "break_after": F.when(F.col("azimuth_index") % 2 == 0, F.lit("2023-09-10")).otherwise(F.lit("2023-10-04")), "break_before": F.lit("2023-10-16")})
+    at = F.explode(F.array(*[F.struct(F.lit(i).alias("b"), F.lit(day).alias("break_after")) for i, day in enumerate(BREAKS)]))
+    m = m.select("*", at.alias("at")).select("*", "at.*").withColumns({"stack_id": F.lit("asc0"), "break_before": F.lit("2023-10-16")})
+    # the second break's values are a fifth weaker on odd rows, the third's equal the first's, so ties fall to dates
+    m = m.withColumn("ci_emergence", F.when((F.col("b") == 1) & (F.col("azimuth_index") % 2 == 1), F.col("ci_emergence") * 0.8).when(F.col("b") == 1, F.col("ci_emergence") * 1.25).otherwise(F.col("ci_emergence")))
     return S.classify(m, ["stack_id", "break_after"], 1.0)
 
 
@@ -100,8 +111,9 @@ def paths(spark, d):
 
 
 QUERIES = {
-    "scene_filter_s1": lambda s, d: C.filter_radar(view(s, d, "scenes"), "Sentinel-1A", "ascending", ("VV", "VH")).select("scene_id", "day"),
+    "scene_filter_s1": lambda s, d: C.filter_radar(view(s, d, "scenes"), "Sentinel-1A", "ascending", ("vv", "V-H"), mode="IW").select("scene_id", "day"),
     "scene_filter_s2": lambda s, d: rounded(C.filter_optical(view(s, d, "scenes"), 30.0).select("scene_id", "cloud_cover")),
+    "scene_areas": lambda s, d: C.filter_optical(view(s, d, "scenes"), 50.0, areas=s.sql(AREAS)).select("scene_id"),
     "scene_windows": lambda s, d: C.in_windows(view(s, d, "scenes"), windows(s)).select("period_id", "phase", "scene_id", "day"),
     "stack_scenes": lambda s, d: stacked(s, d),
     "stack_summary": lambda s, d: C.stack_summary(stacked(s, d)),
@@ -115,14 +127,14 @@ QUERIES = {
     "band_select": lambda s, d: C.select_bands(bands(s, d)),
     "pair_pivot": lambda s, d: C.pair_pivot(view(s, d, "scenes").select("day", F.concat(F.lit("IW"), (F.col("k") % 3 + 1).cast("string")).alias("swath"), F.col("scene_id").alias("product")), ["IW1", "IW2", "IW3"]),
     "path_derive": lambda s, d: paths(s, d),
-    "cdpsi_breaks": lambda s, d: S.plan_breaks(monthly(s, d)).select("stack_id", "break_index", F.col("n_front").cast("int").alias("n_front"), F.col("n_back").cast("int").alias("n_back"), "break_after", "break_before", "front_id", "back_id"),
-    "subset_master": lambda s, d: S.plan_breaks(monthly(s, d)).select("stack_id", "break_index", "front_master", "back_master"),
+    "cdpsi_breaks": lambda s, d: S.plan_breaks(stacked(s, d)).select("stack_id", "break_index", F.col("n_front").cast("int").alias("n_front"), F.col("n_back").cast("int").alias("n_back"), "break_after", "break_before", "front_id", "back_id"),
+    "subset_master": lambda s, d: S.plan_breaks(stacked(s, d)).select("stack_id", "break_index", "front_master", "back_master"),
     "duplicate_keys": lambda s, d: rounded(S.duplicate_keys(view(s, d, "raw").select(F.col("r").alias("azimuth_index"), F.col("c").alias("range_index")))),
     "pixel_match": lambda s, d: rounded(indices(s, d).select(*S.KEY, "tc_complete", "tc_front", "tc_back", "front_point_id", "back_point_id")),
     "change_indices": lambda s, d: rounded(indices(s, d).select(*S.KEY, "ci_vanishment", "ci_emergence")),
     "mode_bin": lambda s, d: rounded(S.central_mode(indices(s, d).withColumn("g", F.col("azimuth_index") % 2), "ci_emergence", ["g"]).select("g", "n", "bins", "mode")),
     "sigma_threshold": lambda s, d: rounded(S.sigma_threshold(indices(s, d).withColumn("g", F.col("azimuth_index") % 2), "ci_emergence", ["g"], 3.0)),
-    "cdpsi_classes": lambda s, d: rounded(classified(s, d).select(*S.KEY, "cdpsi_class")),
+    "cdpsi_classes": lambda s, d: rounded(classified(s, d).select(*S.KEY, "break_after", "cdpsi_class")),
     "emergence_points": lambda s, d: rounded(S.emergence_points(classified(s, d)).select(*S.KEY, "ci_emergence", "break_after")),
     "evidence_flags": lambda s, d: evidence(s, d).select("point_id", "amplitude_support", "optical_support", "optical_reliable", "context_support"),
     "confidence": lambda s, d: rounded(X.confidence(evidence(s, d)).select("point_id", "confidence_score", "confidence_class")),
@@ -138,15 +150,16 @@ QUERIES = {
     "snap_bounds": lambda s, d: rounded(view(s, d, "rects").select("rect_id", *[v.alias(k) for k, v in geo.snap_bounds(F.col("x0") + 3, F.col("y0") + 7, F.col("x1"), F.col("y1"), 30.0).items()])),
 }
 
-_STACK = f""", st AS ({STACKS}), stk AS (SELECT stack_id, scene_id, day FROM scenes JOIN st USING (direction, relative_orbit) WHERE polarization LIKE '%VV%' AND polarization LIKE '%VH%')
+_STACK = f""", st AS ({STACKS}), stk AS (SELECT stack_id, scene_id, day FROM scenes JOIN st USING (direction, relative_orbit) WHERE mode = 'IW' AND (level IS NULL OR level = 'L1') AND (product_type IS NULL OR product_type LIKE '%SLC%')
+  AND CASE st.polarization WHEN 'VV' THEN scenes.polarization IN ('VV', 'VV+VH', 'VH+VV') WHEN 'VH' THEN scenes.polarization IN ('VV+VH', 'VH+VV') ELSE true END)
 , mst AS (SELECT stack_id, min(day) AS master_day FROM stk JOIN (SELECT stack_id, min(day) AS f FROM stk GROUP BY 1) USING (stack_id) WHERE day >= f + 100 GROUP BY 1)
 , mon AS (SELECT stack_id, min(day) AS day FROM stk GROUP BY stack_id, date_trunc('quarter', day))"""
-_PLAN = _STACK + """, ord AS (SELECT *, row_number() OVER (PARTITION BY stack_id ORDER BY day) AS i, count(*) OVER (PARTITION BY stack_id) AS n FROM mon)
+_PLAN = _STACK + """, ord AS (SELECT *, row_number() OVER (PARTITION BY stack_id ORDER BY day) AS i, count(*) OVER (PARTITION BY stack_id) AS n FROM stk)
 , cut AS (SELECT DISTINCT stack_id, n, unnest(range(3, n - 2)) AS k FROM ord WHERE n >= 6)
 , plan0 AS (SELECT cut.stack_id, k, cut.n - k AS nb, min(day) FILTER (i <= k) AS f0, max(day) FILTER (i <= k) AS f1, min(day) FILTER (i > k) AS b0, max(day) FILTER (i > k) AS b1 FROM cut JOIN ord ON ord.stack_id = cut.stack_id GROUP BY cut.stack_id, k, cut.n)"""
 _ORBIT = """, mo AS (SELECT DISTINCT CAST(date_trunc('month', day) AS DATE) AS a FROM scenes), fil AS (SELECT p || '_OPER_AUX_POEORB_OPOD_' || strftime(e, '%Y%m%d') || 'T000000_V' || strftime(a, '%Y%m%d') || 'T000000_' || strftime(e, '%Y%m%d') || 'T000000.EOF' AS name, p, a, e
   FROM (SELECT a, last_day(a) + 2 AS e FROM mo), (VALUES ('S1A'), ('S1B')) v(p))"""
-_BAND = """, bnd AS (SELECT direction || '_' || CAST(year(day) AS VARCHAR) AS product_id, k, c, strftime(day, '%d%b%Y') AS token FROM scenes, (VALUES ('i'), ('q')) v(c) WHERE relative_orbit = 0 AND NOT (k % 50 = 7 AND c = 'q'))
+_BAND = """, bnd AS (SELECT direction || '_' || CAST(relative_orbit AS VARCHAR) || '_' || CAST(year(day) AS VARCHAR) AS product_id, k, c, strftime(day, '%d%b%Y') AS token FROM scenes, (VALUES ('i'), ('q')) v(c) WHERE NOT (k % 50 = 7 AND c = 'q'))
 , nam AS (SELECT product_id, token, c, k, CASE WHEN k % 50 = 3 THEN 'bad_' ELSE '' END || c || '_VV_slv1_' || token AS band_name FROM bnd)"""
 _CI = """, ci AS (SELECT *, tc_f - tc_c AS van, tc_b - tc_c AS emg, azimuth_index % 2 AS g FROM psi_points)"""
 
@@ -161,7 +174,10 @@ def _fit(value: str, p: str) -> str:
 , ft{p} AS (SELECT g, avg(x) AS mu, stddev_pop(x) AS sg FROM mi{p} JOIN m1{p} USING (g) WHERE abs(x - m1) <= 3 * s1 GROUP BY g)"""
 
 
-_CLASS = _CI + _fit("emg", "e") + _fit("van", "v") + """, cls AS (SELECT ci.*, emg >= fte.mu + fte.sg AS e, van >= ftv.mu + ftv.sg AS v FROM ci JOIN fte ON fte.g = ci.g JOIN ftv ON ftv.g = ci.g)"""
+_CI3 = """, ci AS (SELECT p.azimuth_index, p.range_index, p.tc_f - p.tc_c AS van, brk.break_after, brk.b AS g,
+  (p.tc_b - p.tc_c) * CASE WHEN brk.b = 1 AND p.azimuth_index % 2 = 1 THEN 0.8::DOUBLE WHEN brk.b = 1 THEN 1.25::DOUBLE ELSE 1::DOUBLE END AS emg
+  FROM psi_points p, (VALUES (0, '2023-09-10'), (1, '2023-10-04'), (2, '2023-09-22')) brk(b, break_after))"""
+_CLASS = _CI3 + _fit("emg", "e") + _fit("van", "v") + """, cls AS (SELECT ci.*, emg >= fte.mu + fte.sg AS e, van >= ftv.mu + ftv.sg AS v FROM ci JOIN fte ON fte.g = ci.g JOIN ftv ON ftv.g = ci.g)"""
 _KEYS = "CAST(azimuth_index AS BIGINT) AS azimuth_index, CAST(range_index AS BIGINT) AS range_index"
 _EV = """, hit AS (SELECT point_id, rect_id % 4 AS kind FROM points_xy JOIN rects ON x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1)
 , ev AS (SELECT p.point_id, p.x, p.y, coalesce(bool_or(kind = 0), false) AS amplitude_support, coalesce(bool_or(kind = 1), false) AS optical_support, coalesce(bool_or(kind = 2), false) AS optical_reliable, coalesce(bool_or(kind = 3), false) AS context_support
@@ -175,8 +191,9 @@ _LL = """, ll AS (SELECT point_id, x / 10000.0::DOUBLE * 359 - 179.5 AS lon, y /
 _SERIES = " + ".join(f"CAST({a!r} AS DOUBLE) * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, a in enumerate(geo.ALPHA, 1)), " + ".join(f"CAST({a!r} AS DOUBLE) * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, a in enumerate(geo.ALPHA, 1))
 
 ORACLE_SQL = {
-    "scene_filter_s1": duckdb(" SELECT scene_id, day FROM scenes WHERE lower(replace(replace(platform, '-', ''), '_', '')) = 'sentinel1a' AND direction = 'ascending' AND polarization IN ('VV+VH', 'VH+VV')", "scenes"),
+    "scene_filter_s1": duckdb(" SELECT scene_id, day FROM scenes WHERE lower(replace(replace(platform, '-', ''), '_', '')) = 'sentinel1a' AND direction = 'ascending' AND polarization IN ('VV+VH', 'VH+VV') AND mode = 'IW'", "scenes"),
     "scene_filter_s2": duckdb(" SELECT scene_id, round(cloud_cover, 6) AS cloud_cover FROM scenes WHERE cloud_cover < 30", "scenes"),
+    "scene_areas": duckdb(f", ar AS ({AREAS}) SELECT DISTINCT scene_id FROM scenes s JOIN ar ON s.x0 <= ar.x1 AND s.x1 >= ar.x0 AND s.y0 <= ar.y1 AND s.y1 >= ar.y0 WHERE cloud_cover < 50", "scenes"),
     "scene_windows": duckdb(f", w AS ({WINDOWS}) SELECT period_id, phase, scene_id, day FROM scenes JOIN w ON day BETWEEN start AND end_day", "scenes"),
     "stack_scenes": duckdb(_STACK + " SELECT * FROM stk", "scenes"),
     "stack_summary": duckdb(_STACK + " SELECT stack_id, count(*) AS scene_count, min(day) AS first_day, max(day) AS last_day, arg_min(scene_id, (day, scene_id)) AS first_scene FROM stk GROUP BY 1", "scenes"),
@@ -206,8 +223,8 @@ ORACLE_SQL = {
     "change_indices": duckdb(_CI + f" SELECT {_KEYS}, CASE WHEN round(van, 6) = 0 THEN 0 ELSE round(van, 6) END AS ci_vanishment, CASE WHEN round(emg, 6) = 0 THEN 0 ELSE round(emg, 6) END AS ci_emergence FROM ci", "psi_points"),
     "mode_bin": duckdb(_CI + _fit("emg", "e") + " SELECT CAST(g AS BIGINT) AS g, n, CAST(bins AS BIGINT) AS bins, round(mode, 6) AS mode FROM mde", "psi_points"),
     "sigma_threshold": duckdb(_CI + _fit("emg", "e") + " SELECT CAST(g AS BIGINT) AS g, n, round(mode, 6) AS mode, round(mu, 6) AS mu, round(sg, 6) AS sigma, round(mu + 3 * sg, 6) AS threshold FROM fte JOIN mde USING (g)", "psi_points"),
-    "cdpsi_classes": duckdb(_CLASS + f" SELECT {_KEYS}, CASE WHEN e AND NOT v THEN 'emergence_candidate' WHEN v AND NOT e THEN 'vanishment_candidate' WHEN e AND v THEN 'ambiguous_change' ELSE 'stable' END AS cdpsi_class FROM cls", "psi_points"),
-    "emergence_points": duckdb(_CLASS + f" SELECT {_KEYS}, round(emg, 6) AS ci_emergence, CASE WHEN g = 0 THEN '2023-09-10' ELSE '2023-10-04' END AS break_after FROM cls WHERE e AND NOT v", "psi_points"),
+    "cdpsi_classes": duckdb(_CLASS + f" SELECT {_KEYS}, break_after, CASE WHEN e AND NOT v THEN 'emergence_candidate' WHEN v AND NOT e THEN 'vanishment_candidate' WHEN e AND v THEN 'ambiguous_change' ELSE 'stable' END AS cdpsi_class FROM cls", "psi_points"),
+    "emergence_points": duckdb(_CLASS + f", best AS (SELECT azimuth_index, range_index, max(emg) AS top FROM cls WHERE e AND NOT v GROUP BY ALL) SELECT {_KEYS}, round(top, 6) AS ci_emergence, min(break_after) AS break_after FROM best JOIN cls USING (azimuth_index, range_index) WHERE e AND NOT v AND emg = top GROUP BY azimuth_index, range_index, top", "psi_points"),
     "evidence_flags": duckdb(_EV + " SELECT point_id, amplitude_support, optical_support, optical_reliable, context_support FROM ev", "points_xy", "rects"),
     "confidence": duckdb(_EV + " SELECT point_id, round(s, 6) AS confidence_score, CASE WHEN s >= 0.7 THEN 'high' WHEN s >= 0.45 THEN 'medium' ELSE 'low' END AS confidence_class FROM conf", "points_xy", "rects"),
     "point_clusters": duckdb(_CLUSTER + " SELECT point_id, cluster_id FROM clu", "points_xy"),

@@ -63,13 +63,24 @@ def amplitude(spark, d):
 
 def outlines(spark, d):
     found = Z.zone_outlines(Z.label_zones(zone_mask(spark, d), tile=16))
-    return found.select("comp_r", "comp_c", "wkt", F.size("rings").alias("n_rings"), "n_vertices", "simplified_area_ha")
+    return found.select("comp_r", "comp_c", "wkt", F.size("rings").alias("n_rings"), "n_vertices", "simplified_area_ha", "simplified_perim_m")
 
 
 def zones_kept(spark, d):
     return Z.keep_zones(Z.zone_metrics(stage(Z.label_zones(zone_mask(spark, d), tile=16), "query-zone-labels")))
 
 
+def zone_polygons(spark, d):
+    """Zones of every period, simplified, then measured and filtered."""
+    out = None
+    for period in PERIODS:
+        px = tested(spark, d).where((F.col("period_id") == period) & F.col("candidate")).select("r", "c")
+        found = Z.zone_polygons(stage(Z.label_zones(Z.density_zones(px, SIDE, SIDE, tile=16), tile=16), "query-zone-polygons"))
+        found = found.select(F.lit(period).alias("period_id"), "zone_id", "area_ha", "perim_m", "compactness", "wkt")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 def cumulative(spark, d, mask_col="refined"):
     return R.first_change(fused(spark, d), PERIODS, mask_col)
 
@@ -102,6 +113,7 @@ QUERIES = {
     "small_component_filter": lambda s, d: rounded(P.drop_small(tested(s, d).where("candidate"), 4, ["period_id"], tile=16)),
     "s1_detection": lambda s, d: rounded(detected(s, d)),
     "density_zone_mask": lambda s, d: rounded(zone_mask(s, d)),
+    "zone_polygons": lambda s, d: rounded(zone_polygons(s, d)),
     "zones": lambda s, d: rounded(Z.label_zones(zone_mask(s, d), tile=16)),
     "zone_metrics": lambda s, d: rounded(zones_kept(s, d)),
     "zone_rings": outlines,
@@ -191,7 +203,7 @@ ORACLE_SQL = {
     "s2_unavailable": duckdb(_COMP + " SELECT period_id, CAST(r AS BIGINT) AS r, CAST(c AS BIGINT) AS c, CAST(0 AS BIGINT) AS score, false AS support, false AS reliable FROM comp", "s1_obs"),
     "soft_fusion": duckdb(_COMP + _S2 + _FUSED + " SELECT period_id, CAST(r AS BIGINT) AS r, CAST(c AS BIGINT) AS c, refined, CAST(decision AS BIGINT) AS decision FROM fus", "s1_obs", "s2_obs"),
     "decision_histogram": duckdb(
-        _COMP + _S2 + _FUSED + """, lab(decision, label) AS (VALUES (0, 'no_candidate'), (1, 'kept_unreliable_optical'), (2, 'kept_supported'), (3, 'kept_override'), (4, 'removed'))
+        _COMP + _S2 + _FUSED + """, lab(decision, label) AS (VALUES (0, 'not_candidate'), (1, 'kept_s1_s2_unreliable'), (2, 'kept_s1_s2_supported'), (3, 'kept_strong_s1_override'), (4, 'dropped_s2_reliable_unsupported'))
   SELECT CAST(lab.decision AS BIGINT) AS decision, label, count(fus.r) AS n FROM lab LEFT JOIN fus ON fus.decision = lab.decision GROUP BY ALL""", "s1_obs", "s2_obs"),
     "period_report": duckdb(
         _COMP + _S2 + _FUSED + """ SELECT period_id, count(*) AS pixels, count(*) FILTER (candidate) AS candidate_pixels, round(count(*) FILTER (candidate) * 0.01::DOUBLE, 6) AS candidate_area_ha, round(avg(candidate::INT), 6) AS candidate_fraction,

@@ -60,7 +60,9 @@ def write_stacks(scenes: DataFrame, path: str) -> None:
 
 
 def read_points(spark: SparkSession, path: str, crs_zone: int | None = None) -> DataFrame:
-    """Point export with ``x``, ``y`` in metres: lon/lat projected to the zone (own zone if not given), else local metres.
+    """Point export with ``x``, ``y`` in metres: lon/lat projected to one zone, else local metres.
+
+    The zone is that of the middle of the points' bounds if not given, so distances hold across the table.
 
     Needs ``point_id``, and lon/lat or x/y.  Numbers that do not parse become NULL, as does NaN.
     """
@@ -71,8 +73,9 @@ def read_points(spark: SparkSession, path: str, crs_zone: int | None = None) ->
     rows = raw.select(*[F.expr(f"try_cast(`{c}` AS {kinds[c]})").alias(c) if c in kinds else F.col(c) for c in raw.columns])
     rows = rows.select(*[F.nanvl(F.col(c), F.lit(None).cast("double")).alias(c) if t == "double" else F.col(c) for c, t in rows.dtypes])
     if {"lon", "lat"} <= set(rows.columns):
-        zone = geo.utm_zone(F.col("lon")) if crs_zone is None else F.lit(crs_zone)
-        east, north = geo.utm_forward(F.col("lon"), F.col("lat"), zone)
+        if crs_zone is None:
+            crs_zone = rows.agg(geo.utm_zone((F.min("lon") + F.max("lon")) / 2)).first()[0] or 1
+        east, north = geo.utm_forward(F.col("lon"), F.col("lat"), F.lit(crs_zone))
         return rows.withColumns({"x": east, "y": north})
     if {"x_local_m", "y_local_m"} <= set(rows.columns):
         return rows.withColumns({"x": F.col("x_local_m"), "y": F.col("y_local_m")})
@@ -122,16 +125,44 @@ def write_vector(features: DataFrame, path: str, geometry: str = "rings") -> Non
 
 
 def read_vector(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """Parquet, or GeoJSON of one feature a line: the properties' columns and ``rings``."""
+    if not path.endswith(".geojson"):
+        return spark.read.parquet(path)
+    found = spark.read.json(path)
+    corners = F.transform("geometry.coordinates", lambda ring: F.transform(ring, lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))))
+    return found.select("properties.*", corners.alias("rings"))
+
+
+def area_of_interest(spark: SparkSession, bounds: tuple[float, float, float, float] | str) -> DataFrame:
+    """One row ``(x0, y0, x1, y1)``: the bounds, or the box around all shapes of a vector file."""
+    if not isinstance(bounds, str):
+        return spark.range(1).select(*[F.lit(float(v)).alias(c) for c, v in zip(("x0", "y0", "x1", "y1"), bounds, strict=True)])
+    corner = read_vector(spark, bounds).select(F.explode(F.flatten("rings")).alias("p"))
+    return corner.agg(F.min("p.x").alias("x0"), F.min("p.y").alias("y0"), F.max("p.x").alias("x1"), F.max("p.y").alias("y1"))
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
+    """A report of one row, or few, as one JSON file."""
     metrics.coalesce(1).write.mode("overwrite").json(path)
 
 
-def area_of_interest(spark: SparkSession, bounds: tuple[float, float, float, float]) -> DataFrame:
-    """A bounding box as one row ``(x0, y0, x1, y1)``."""
-    return spark.range(1).select(*[F.lit(float(v)).alias(c) for c, v in zip(("x0", "y0", "x1", "y1"), bounds, strict=True)])
+def export_fusion(points: DataFrame, polygons: DataFrame, path: str, formats: tuple[str, ...] = ("parquet", "geojson"), intermediate: bool = False, geometry: str = "rings") -> None:
+    """The fused polygons, and the candidate points where ``intermediate``, in each format.
+
+    Point tables go out as shapes of one corner, so both formats hold them.
+    """
+    if intermediate:
+        shapes = points.withColumn(geometry, F.array(F.array(F.struct(F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")))))
+        for suffix in formats:
+            write_vector(shapes, f"{path}/cdpsi_emergence_candidates.{suffix}", geometry)
+    for suffix in formats:
+        write_vector(polygons, f"{path}/fused_change_candidates.{suffix}", geometry)
+
+
+def write_run_summary(points: DataFrame, polygons: DataFrame, run_id: str, stacks: list[str], path: str) -> None:
+    """``run_id``, numbers of candidate points and polygons, and the stacks' ids, as one JSON row."""
+    counts = points.agg(F.count("*").alias("candidate_points")).join(polygons.agg(F.count("*").alias("candidate_polygons")))
+    write_metrics(counts.select(F.lit(run_id).alias("run_id"), "*", F.array(*[F.lit(s) for s in stacks]).alias("stacks")), path)
 
 
 def backfill_paths(scenes: DataFrame, found: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 A stage table cuts lineage the way ``DataFrame.checkpoint`` does, but as columnar, compressed
 Parquet.  It lives under ``spark.checkpoint.dir``, which all executors share, so it survives the loss
-of an executor.  Where that setting is missing (unit tests) a temporary folder is set.
+of an executor.  Where that setting is missing and one machine does all (unit tests), a temporary folder is set.
 """
 
 from __future__ import annotations
@@ -14,9 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a fresh temporary one only where it is unset."""
+    """The folder named by ``spark.checkpoint.dir``; where it is unset, a fresh temporary one in local mode only.
+
+    On a cluster a temporary folder of the driver would be out of the executors' reach, so that is an error.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="changegrid-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")

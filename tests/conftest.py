@@ -18,6 +18,7 @@ def spark():
         .config("spark.driver.memory", "6g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-ck-"))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="spark-wh-"))
         .getOrCreate()
     )

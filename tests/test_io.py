@@ -64,6 +64,22 @@ def test_vectors_rasters_and_reuse(spark, tmp_path):
     assert len(calls) == 2
 
 
+def test_shapes_areas_and_exports(spark, tmp_path):
+    shape = spark.createDataFrame([(1, 0.0, 0.0, 1.0, 2.0), (2, 5.0, -1.0, 6.0, 1.0)], "cluster_id int, x0 double, y0 double, x1 double, y1 double")
+    shape = shape.select("cluster_id", F.array(rect_ring(*[F.col(c) for c in ("x0", "y0", "x1", "y1")])).alias("rings"))
+    points = spark.createDataFrame([(7, 1.0, 2.0)], "point_id int, x double, y double")
+    io.export_fusion(points, shape, str(tmp_path), intermediate=True)
+    for suffix in ("parquet", "geojson"):
+        back = io.read_vector(spark, f"{tmp_path}/fused_change_candidates.{suffix}")
+        assert sorted((r.cluster_id, r.rings[0][2].x) for r in back.collect()) == [(1, 1.0), (2, 6.0)]
+        assert io.read_vector(spark, f"{tmp_path}/cdpsi_emergence_candidates.{suffix}").first().rings[0][0].y == 2.0
+    assert tuple(io.area_of_interest(spark, f"{tmp_path}/fused_change_candidates.geojson").first()) == (0.0, -1.0, 6.0, 2.0)
+    assert tuple(io.area_of_interest(spark, (1, 2, 3, 4)).first()) == (1.0, 2.0, 3.0, 4.0)
+    io.write_run_summary(points, shape, "r1", ["s"], str(tmp_path / "sum"))
+    row = spark.read.json(str(tmp_path / "sum")).first()
+    assert (row.run_id, row.candidate_points, row.candidate_polygons, row.stacks) == ("r1", 1, 2, ["s"])
+
+
 def test_backfill(spark):
     scenes = spark.createDataFrame([("a", None), ("b", "kept")], "scene_id string, s3_path string")
     found = spark.createDataFrame([("a", "new"), ("b", "other")], "scene_id string, s3_path string")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from changegrid.config import Detection, radius_pixels
+from changegrid.config import ChangeTest, Cleaning, ZoneShape, radius_pixels
 from changegrid.functions import bandmath as B
 from changegrid.functions import geo
 from changegrid.operators import catalog as C
@@ -42,11 +42,19 @@ BLOCK = {(r, c) for r in (2, 3, 4) for c in (2, 3, 4)}
 
 def test_block_is_kept_and_lone_pixel_goes(spark):
     tested = R.change_test(R.s1_composite(radar(spark, BLOCK)))
-    assert cells(Z.detect(tested, 8, 8, Detection(closing_radius_m=0), tile=4)) == BLOCK
+    assert cells(Z.detect(tested, 8, 8, Cleaning(closing_m=0), tile=4)) == BLOCK
     alone = R.change_test(R.s1_composite(radar(spark, {(3, 3)})))
     assert Z.detect(alone, 8, 8, tile=4).isEmpty()
 
 
+def test_level_of_the_test_decides_candidates(spark):
+    obs = radar(spark, BLOCK)
+    n = [R.change_test(R.s1_composite(obs), ChangeTest(alpha=a)).where("candidate").count() for a in (1e-6, 1e-4, 0.01, 0.9)]
+    p = R.change_test(R.s1_composite(obs)).where("r = 3 AND c = 3").first().pvalue
+    assert n == [9 * (p < a) for a in (1e-6, 1e-4, 0.01, 0.9)] and len(set(n)) == 2
+    assert abs(ChangeTest().statistic_min - 6.634896601021213) < 1e-9
+
+
 def test_missing_phase_is_no_candidate(spark):
     obs = radar(spark, BLOCK).where("NOT (r = 2 AND c = 2 AND phase = 'before')")
     row = R.change_test(R.s1_composite(obs)).where("r = 2 AND c = 2").first()
@@ -125,6 +133,47 @@ def test_zone_metrics_outline_and_corner_contact(spark):
     assert [abs(Z._area(x)) for x in ring] == [9, 1]
 
 
+def test_polygons_are_measured_after_simplification(spark):
+    """A long strip with a one-pixel step: simplification cuts the step, and the filter sees the new measures."""
+    strip = {(0, c) for c in range(12)} | {(1, c) for c in range(7)}
+    labels = Z.label_zones(grid(spark, strip))
+    raw, cut = Z.zone_metrics(labels).first(), Z.zone_polygons(labels, ZoneShape(tolerance_m=8.0)).first()
+    assert cut.perim_m < raw.perim_m and abs(cut.compactness - 4 * math.pi * cut.area_ha * 1e4 / cut.perim_m**2) < 1e-9
+    edge = ZoneShape(tolerance_m=8.0, least_ha=(raw.area_ha + cut.area_ha) / 2)
+    assert (Z.zone_polygons(labels, edge).count() == 1) == (cut.area_ha > raw.area_ha)
+
+
+def test_simplification_keeps_the_topology():
+    assert Z.crossing([[(0, 0), (2, 2), (2, 0), (0, 2), (0, 0)]])
+    assert not Z.crossing([[(0, 0), (9, 0), (9, 9), (0, 9), (0, 0)], [(3, 3), (3, 5), (5, 5), (5, 3), (3, 3)]])
+    assert Z.crossing([[(0, 0), (9, 0), (9, 9), (0, 9), (0, 0)], [(8, 3), (8, 5), (12, 5), (12, 3), (8, 3)]])
+    ring = [(x, (x % 2) * 0.1) for x in range(3000)] + [(3000, 50), (0, 50), (0, 0)]
+    assert len(Z.simplify(ring, 1.0)) <= 7
+
+
+def test_records_of_items_and_radar_filters(spark):
+    rows = [("a", "2024-01-02T03:04:05Z", {"sat:orbit_state": "", "orbit_state": "Ascending", "sat:relative_orbit": "7", "sar:polarizations": '["VV","VH"]', "sar:instrument_mode": "IW", "platform": "sentinel-1a"}), ("b", "2024-01-03T00:00:00Z", {"start_datetime": "2024-01-02T23:59:59Z", "end_datetime": "2024-01-03T00:00:09Z", "polarisationChannels": "VV", "processing_level": "L1"})]
+    got = {r.scene_id: r for r in C.scene_records(spark.createDataFrame(rows, "id string, datetime string, properties map<string,string>")).collect()}
+    assert (got["a"].direction, got["a"].relative_orbit, got["a"].polarization, got["a"].acquisition_stop) == ("ascending", 7, "VH+VV", "2024-01-02T03:04:05Z")
+    assert (got["b"].polarization, got["b"].day, got["b"].level, got["b"].direction) == ("VV", dt.date(2024, 1, 2), "L1", None)
+    scenes = spark.createDataFrame([("a", "S-1A", "ascending", "VV+VH", "IW"), ("b", "s_1a", "ascending", "VV", "IW"), ("c", "s1a", "ascending", "VV+VH", "EW")], "scene_id string, platform string, direction string, polarization string, mode string")
+    assert [r.scene_id for r in C.filter_radar(scenes, "S1A", "ascending", ("vv", "v-h"), mode="IW").collect()] == ["a"]
+
+
+def test_stack_predicates(spark):
+    base = ("ascending", 1, "VV", "IW", "L1", "SLC")
+    odd = {"ok": base, "null": (*base[:4], None, None), "hh": ("ascending", 1, "HH", "IW", "L1", "SLC"), "ew": (*base[:3], "EW", "L1", "SLC"), "l2": (*base[:4], "L2", "SLC"), "grd": (*base[:5], "GRD"), "none": (None, *base[1:])}
+    scenes = spark.createDataFrame([(k, dt.date(2024, 1, 1), *v) for k, v in odd.items()], "scene_id string, day date, direction string, relative_orbit int, polarization string, mode string, level string, product_type string")
+    stack = lambda pol: spark.createDataFrame([("s", "ascending", 1, pol)], "stack_id string, direction string, relative_orbit int, polarization string")
+    pick = lambda pol: sorted(r.scene_id for r in C.stack_scenes(scenes, stack(pol)).collect())
+    assert (pick("VV"), pick("VH"), pick("VV+VH")) == (["null", "ok"], [], ["hh", "null", "ok"])
+    with pytest.raises(ValueError, match="fewer than 3"):
+        C.require_scenes(C.stack_scenes(scenes, stack("VV")), stack("VV"), 3)
+    master = spark.createDataFrame([("s", dt.date(2025, 1, 1))], "stack_id string, master_day date")
+    with pytest.raises(ValueError, match="absent master"):
+        C.require_masters(C.stack_scenes(scenes, stack("VV")), master)
+
+
 def days(n, step=12):
     return [dt.date(2023, 7, 5) + dt.timedelta(days=step * i) for i in range(n)]
 
@@ -139,6 +188,22 @@ def test_break_plan(spark):
     assert six[0].front_master == days(6)[1] and six[0].front_id == "a_cdpsi_front_20230705_20230729"
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_break_plan_against_brute_force(spark, seed):
+    rnd = random.Random(seed)
+    rows = [(k, dt.date(2020, 1, 1) + dt.timedelta(days=rnd.randrange(80))) for k in "ab" for _ in range(25)]
+    got = {(r.stack_id, r.n_front): r for r in S.plan_breaks(spark.createDataFrame(rows, "stack_id string, day date"), 4).collect()}
+    nearest = lambda side: min(side, key=lambda d: (abs(2 * (d - side[0]).days - (side[-1] - side[0]).days), d))
+    for k in "ab":
+        own = sorted(d for s, d in rows if s == k)
+        for i in range(4, len(own) - 3):
+            r = got.pop((k, i))
+            assert (r.n_back, r.break_after, r.break_before, r.break_index) == (len(own) - i, own[i - 1], own[i], i - 3)
+            assert (r.front_master, r.back_master) == (nearest(own[:i]), nearest(own[i:]))
+            assert r.front_id == f"{k}_cdpsi_front_{own[0]:%Y%m%d}_{own[i - 1]:%Y%m%d}"
+    assert not got
+
+
 def psi_tables(spark):
     rows = []
     for i in range(45):
