@@ -1,7 +1,7 @@
 """Spatial joins through cell hashing, polygon measures, point clusters, evidence and evaluation.
 
 Rings are ``array<struct<x, y>>``, closed.  Joins are equi-joins on grid cells followed by an exact test,
-so no pair of far rows is ever formed.
+so only rows of near cells meet.
 """
 
 from __future__ import annotations
@@ -87,21 +87,39 @@ def confidence_class(score: Column, cfg: Fusion = Fusion()) -> Column:
     return F.when(score >= cfg.high, "high").when(score >= cfg.medium, "medium").otherwise("low")
 
 
+#: Parts of a cell's side that decide most links between cells without looking at points.
+PARTS = 8
+
+
 def cluster_points(points: DataFrame, radius: float, key: str = "point_id") -> DataFrame:
     """Adds ``cluster_id``: the smallest key among points joined by steps of at most twice the radius.
 
     Points are hashed into cells whose diagonal is one step, so all points of a cell are one cluster and a
-    cell is linked by its smallest key; only cells up to two away need distance tests, and crowded cells
-    cost their rows, not their pairs, within themselves.
+    cell is linked by its smallest key.  Links to cells up to two away are settled by the occupied parts
+    of cells: parts that lie wholly within a step link their cells, parts wholly beyond it do not; points are compared only
+    in parts between these, of cells that no other parts link, so two crowded neighbours cost their rows.
     """
     step = 2 * radius
-    size = step / 2**0.5
-    own = stage(points.select(F.col(key).alias("k"), "x", "y", F.floor(F.col("x") / size).alias("cx"), F.floor(F.col("y") / size).alias("cy")), "cluster-cells")
+    q = step / 2**0.5 / PARTS
+    part = {"sx": F.floor(F.col("x") / q), "sy": F.floor(F.col("y") / q)}
+    own = points.select(F.col(key).alias("k"), "x", "y", *[v.alias(k) for k, v in part.items()])
+    own = stage(own.withColumns({"cx": F.floor(F.col("sx") / PARTS), "cy": F.floor(F.col("sy") / PARTS)}), "cluster-cells")
     heads = stage(own.groupBy("cx", "cy").agg(F.min("k").alias("head")), "cluster-heads")
+    parts = stage(own.select("cx", "cy", "sx", "sy").distinct(), "cluster-parts")
     around = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in range(-2, 3) for b in range(-2, 3) if (a, b) > (0, 0)]))
-    sent = own.select("k", "x", "y", "cx", "cy", around.alias("o")).select(F.col("cx").alias("fx"), F.col("cy").alias("fy"), F.col("x").alias("px"), F.col("y").alias("py"), (F.col("cx") + F.col("o.a")).alias("cx"), (F.col("cy") + F.col("o.b")).alias("cy"))
-    near = sent.join(own, ["cx", "cy"]).where(F.pow(F.col("x") - F.col("px"), F.lit(2)) + F.pow(F.col("y") - F.col("py"), F.lit(2)) <= step * step)
-    pairs = near.select("fx", "fy", "cx", "cy").distinct()
+    sent = parts.select("*", around.alias("o")).select(F.col("cx").alias("fx"), F.col("cy").alias("fy"), F.col("sx").alias("px"), F.col("sy").alias("py"), (F.col("cx") + F.col("o.a")).alias("cx"), (F.col("cy") + F.col("o.b")).alias("cy"))
+    away = [F.abs(F.col(u) - F.col(v)) for u, v in (("sx", "px"), ("sy", "py"))]
+    least = F.hypot(*[F.greatest(d - 1, F.lit(0)) * q for d in away])
+    most = F.hypot(*[(d + 1) * q for d in away])
+    met = sent.join(parts, ["cx", "cy"]).where(least <= step * (1 + 1e-9)).withColumn("sure", most <= step * (1 - 1e-9))
+    met = stage(met, "cluster-near")
+    cells = ["fx", "fy", "cx", "cy"]
+    sure = stage(met.where("sure").select(*cells).distinct(), "cluster-sure")
+    unsure = met.where("NOT sure").join(sure, cells, "left_anti").select(*cells, "px", "py", "sx", "sy")
+    one = own.select(F.col("sx").alias("px"), F.col("sy").alias("py"), F.col("x").alias("ax"), F.col("y").alias("ay"))
+    tested = unsure.join(one, ["px", "py"]).join(own.select("sx", "sy", "x", "y"), ["sx", "sy"])
+    tested = tested.where(F.pow(F.col("x") - F.col("ax"), F.lit(2)) + F.pow(F.col("y") - F.col("ay"), F.lit(2)) <= step * step)
+    pairs = sure.unionByName(tested.select(*cells).distinct())
     src = heads.select(F.col("cx").alias("fx"), F.col("cy").alias("fy"), F.col("head").alias("src"))
     links = pairs.join(src, ["fx", "fy"]).join(heads.withColumnRenamed("head", "dst"), ["cx", "cy"]).select("src", "dst")
     classes = connected_components(links)

@@ -1,6 +1,7 @@
 import datetime as dt
 import math
 import random
+import time
 
 import pytest
 from pyspark.sql import Row
@@ -258,6 +259,15 @@ def test_clusters_against_brute_force(spark):
     assert got == {i: find(i) for i in range(250)}
 
 
+def test_crowded_neighbours_are_linked_without_their_pairs(spark):
+    """Two cells of 20,000 points each: 4 x 10^8 pairs would take minutes."""
+    rnd = random.Random(4)
+    pts = [(i, rnd.random() * 14 + 14.2 * (i % 2), rnd.random() * 14) for i in range(40000)] + [(99999, 100.0, 100.0)]
+    begun = time.time()
+    got = X.cluster_points(spark.createDataFrame(pts, "point_id long, x double, y double"), 10.0).groupBy("cluster_id").count().collect()
+    assert {r.cluster_id: r["count"] for r in got} == {0: 40000, 99999: 1} and time.time() - begun < 60
+
+
 def test_point_and_polygon_evaluation(spark):
     pts = spark.createDataFrame([(0.0, 0.0), (50.0, 50.0)], "x double, y double")
     ref = spark.createDataFrame([(-1.0, -1.0, 1.0, 1.0)], "x0 double, y0 double, x1 double, y1 double")
