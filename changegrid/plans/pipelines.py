@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -12,6 +13,7 @@ from changegrid.operators import psi as S
 from changegrid.operators import raster as R
 from changegrid.operators import spatial as X
 from changegrid.operators import zones as Z
+from changegrid.sources.io import reuse_or_build
 from changegrid.sources.staging import stage
 
 BUILTUP_STAGES = ("composite", "detect_s1", "refine", "cumulative", "zones", "polygons")
@@ -33,10 +35,12 @@ class BuiltUp:
     zones: ZoneShape = field(default_factory=ZoneShape)
 
 
-def run_builtup(radar: DataFrame, optical: DataFrame | None, cfg: BuiltUp, stop_after: str = "polygons") -> dict[str, DataFrame]:
+def run_builtup(radar: DataFrame, optical: DataFrame | None, cfg: BuiltUp, stop_after: str = "polygons", store: str | None = None) -> dict[str, DataFrame]:
     """Radar observations, and optical ones if there are any, to zones; every result up to ``stop_after``, by name.
 
-    Each stage is written to the shared folder, so later ones and readers do not compute it again.
+    Each stage is written to the shared folder, so later ones and readers do not compute it again.  With a
+    ``store``, a shared folder of this run's own, stages are artifacts there: a later call reads those that are whole
+    and builds the rest; support is judged again from the scores read, by the settings of that call.
     """
     if stop_after not in BUILTUP_STAGES:
         raise ValueError(f"stop_after is one of {BUILTUP_STAGES}")
@@ -44,35 +48,43 @@ def run_builtup(radar: DataFrame, optical: DataFrame | None, cfg: BuiltUp, stop_
         raise ValueError("no radar observations")
     out: dict[str, DataFrame] = {}
 
-    def done(name: str, df: DataFrame, last: str) -> bool:
-        out[name] = stage(df, f"builtup-{name}")
-        return stop_after == last
+    def keep(name: str, columns: list[str], build: Callable[[], DataFrame]) -> DataFrame:
+        return stage(build(), f"builtup-{name}") if store is None else reuse_or_build(radar.sparkSession, f"{store}/{name}", build, columns)
 
-    if done("composite", R.s1_composite(radar), "composite"):
+    def detection() -> DataFrame:
+        kept = Z.detect(tested, cfg.height, cfg.width, cfg.cleaning, cfg.resolution_m, cfg.tile).withColumn("kept", F.lit(True))
+        # closing adds pixels: a detection is the closed mask, with the test's values where there are any
+        return tested.drop("candidate").join(kept, R.PIXEL, "full").withColumn("candidate", F.coalesce("kept", F.lit(False))).drop("kept")
+
+    def support() -> DataFrame:
+        return R.unavailable_support(out["detection"]) if optical is None else R.optical_support(R.phases(R.s2_composite(optical, cfg.optical)), cfg.optical)
+
+    out["composite"] = keep("composite", [*R.PIXEL, "vv_before", "vv_after"], lambda: R.s1_composite(radar))
+    if stop_after == "composite":
         return out
-    tested = stage(R.change_test(out["composite"], cfg.test), "builtup-tested")
-    kept = Z.detect(tested, cfg.height, cfg.width, cfg.cleaning, cfg.resolution_m, cfg.tile).withColumn("kept", F.lit(True))
-    # closing adds pixels: a detection is the closed mask, with the test's values where there are any
-    full = tested.drop("candidate").join(kept, R.PIXEL, "full").withColumn("candidate", F.coalesce("kept", F.lit(False))).drop("kept")
-    if done("detection", full, "detect_s1"):
+    tested = keep("tested", [*R.PIXEL, "statistic", "pvalue", "candidate"], lambda: R.change_test(out["composite"], cfg.test))
+    out["detection"] = keep("detection", [*R.PIXEL, "ratio_vv", "pvalue", "candidate"], detection)
+    if stop_after == "detect_s1":
         return out
     if optical is None and not cfg.allow_unavailable:
         raise ValueError("optical data are missing")
-    support = R.unavailable_support(out["detection"]) if optical is None else R.optical_support(R.phases(R.s2_composite(optical, cfg.optical)), cfg.optical)
-    out["support"] = stage(support, "builtup-support")
-    fused = stage(R.soft_fusion(out["detection"], out["support"], cfg.optical), "builtup-fused")
+    held = keep("support", [*R.PIXEL, "score", "support", "reliable"], support)
+    out["support"] = held.withColumn("support", F.col("score") >= cfg.optical.support_score_min)
+    fused = keep("refined", [*R.PIXEL, "refined", "decision"], lambda: R.soft_fusion(out["detection"], out["support"], cfg.optical))
     out["refined"], out["decisions"], out["report"] = fused, R.decision_histogram(fused), R.period_report(fused, cfg.resolution_m)
     if stop_after == "refine":
         return out
-    out["cumulative_raw"] = stage(R.first_change(fused, list(cfg.periods), "candidate"), "builtup-raw")
-    if done("cumulative", R.first_change(fused, list(cfg.periods)), "cumulative"):
+    for name, column in (("cumulative_raw", "candidate"), ("cumulative", "refined")):
+        out[name] = keep(name, ["r", "c", "first_change"], lambda column=column: R.first_change(fused, list(cfg.periods), column))
+    if stop_after == "cumulative":
         return out
     out["areas"] = R.run_areas(out["cumulative_raw"], out["cumulative"], cfg.resolution_m)
     changed = out["cumulative"].where("first_change > 0").select("r", "c")
-    if done("zones", Z.density_zones(changed, cfg.height, cfg.width, cfg.zones, cfg.resolution_m, cfg.tile), "zones"):
+    out["zones"] = keep("zones", ["r", "c"], lambda: Z.density_zones(changed, cfg.height, cfg.width, cfg.zones, cfg.resolution_m, cfg.tile))
+    if stop_after == "zones":
         return out
-    labels = stage(Z.label_zones(out["zones"], cfg.tile), "builtup-labels")
-    done("polygons", Z.zone_polygons(labels, cfg.zones, cfg.resolution_m), "polygons")
+    labels = lambda: stage(Z.label_zones(out["zones"], cfg.tile), "builtup-labels")
+    out["polygons"] = keep("polygons", ["zone_id", "rings", "area_ha", "perim_m", "compactness"], lambda: Z.zone_polygons(labels(), cfg.zones, cfg.resolution_m))
     return out
 
 

@@ -328,3 +328,15 @@ def test_builtup_pipeline_on_a_small_grid(spark):
         run_builtup(radar(spark, BLOCK), None, BuiltUp(("p1",), 8, 8, allow_unavailable=False))
     with pytest.raises(ValueError):
         run_builtup(radar(spark, BLOCK).limit(0), None, cfg)
+
+
+def test_builtup_pipeline_resumes_from_whole_artifacts(spark, tmp_path):
+    cfg, store = BuiltUp(("p1",), 8, 8, tile=4), str(tmp_path / "run")
+    first = run_builtup(radar(spark, BLOCK), None, cfg, store=store)
+    area = first["polygons"].first().area_ha
+    stamps = {p.parent.name: p.stat().st_mtime_ns for p in (tmp_path / "run").glob("*/_SUCCESS")}
+    (tmp_path / "run" / "zones" / "_SUCCESS").unlink()  # a broken artifact is built again, the others are read
+    again = run_builtup(radar(spark, set()), None, cfg, store=store)
+    assert again["polygons"].first().area_ha == area
+    now = {p.parent.name: p.stat().st_mtime_ns for p in (tmp_path / "run").glob("*/_SUCCESS")}
+    assert {n for n in now if now[n] != stamps[n]} == {"zones"}
