@@ -79,7 +79,8 @@ def format_chats(rows: DataFrame, template: Template = CHAT, id_col: str = "conv
     concatenation, start and end in code points.  Turns are ordered by turn, then role and text (ties and
     repeated rows all stay).  Null text and null role count as empty; a null turn comes first; rows with a
     null id make one conversation.  A conversation out of order is formatted too, with ``valid`` false and
-    the index of its first wrong turn.  A conversation is one row of output, so it must fit in memory.
+    the index of its first wrong turn.  A conversation is one row of output, so it must fit in memory.  An empty
+    table gives no rows; extra columns, whatever their names, are ignored.
     """
     turns = rows.select(F.col(id_col).alias("id"), F.col(turn_col).alias("turn"), F.coalesce(role_col, F.lit("")).alias("role"), F.coalesce(text_col, F.lit("")).alias("text"))
     head = F.concat(F.lit(template.open), escape(F.col("role"), template), F.lit(template.middle))

@@ -137,7 +137,9 @@ def predict(docs: DataFrame, model: Filter, id_col: str = "doc_id", text_col: st
     """``(id, lang_pred, score)`` for every row: whole texts; ``und`` with score 0 if null or without a letter.
 
     ``score`` is the predicted language's part of the corrected counts.  A text in which no n-gram is
-    known gets the language with most training texts, with score 1 / number of languages.
+    known gets the language with most training texts, with score 1 / number of languages.  Of languages that tie, the
+    first by name wins; repeated rows and null ids get a row each; an empty table gives none; extra columns,
+    whatever their names, are ignored.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.table, model.fallback))

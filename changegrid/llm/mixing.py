@@ -80,7 +80,7 @@ def mix(docs: DataFrame, weights: DataFrame, share: float, id_col: str = "doc_id
     ``max_copies * size``.  ``doc_weight`` raises or lowers a document's expected copies; without it they
     are equal within a source.  Random numbers are hashes of the id and ``seed``, so reruns agree; rows of
     equal id, source and size tie and are ordered arbitrarily, with equal effect.  An empty table gives an
-    empty result.  A source's taken words miss its target by about half of one document at most, as long
+    empty result; extra columns, whatever their names, are ignored; only the count of words of a long text moves on.  A source's taken words miss its target by about half of one document at most, as long
     as ``doc_weight`` leaves enough documents below ``max_copies``.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), (F.lit(1.0) if doc_weight is None else doc_weight.cast("double")).alias("w"))

@@ -189,7 +189,11 @@ def train(docs: DataFrame, positives: DataFrame, id_col: str = "doc_id", text_co
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:
-    """``(id, *keep, score)`` for every row, empty and null texts too; ties in the text have equal scores."""
+    """``(id, *keep, score)`` for every row, empty and null texts too; ties in the text have equal scores.
+
+    Whole texts are read; repeated rows and null ids get a row each; an empty table gives no rows; extra columns but
+    those in ``keep`` are ignored, whatever their names.
+    """
     chosen = docs.select(F.col(id_col).alias("id"), *keep)
     out = T.StructType([*chosen.schema.fields, T.StructField("score", T.DoubleType())])
 

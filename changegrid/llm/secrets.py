@@ -204,7 +204,8 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id
     """``(id, text, *keep, spans)`` for every row; ``spans`` is array<struct<start, end, kind, base>>, ordered by start, then rule.
 
     Positions are code points, end exclusive, on the whole text; null text counts as empty.  Rows keep
-    their multiplicity; columns other than the id, the text and those named in ``keep`` are left out.
+    their multiplicity, null ids too; columns other than the id, the text and those named in ``keep`` are left out.
+    An empty table gives no rows.
     """
     queries = [trigram_query(r) for r in rules]
     grams = sorted(set().union(*(grams_of(q) for q in queries)))

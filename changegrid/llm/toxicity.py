@@ -164,7 +164,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, score)`` for every row, empty and null texts too (they have no terms)."""
+    """``(id, score)`` for every row, empty and null texts too (they have no terms).
+
+    Whole texts are read, in rounds; repeated rows and null ids get a row each, equal texts equal scores; an empty
+    table gives no rows; extra columns, whatever their names, are ignored.
+    """
     kind = docs.schema[id_col].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(machine)
 
