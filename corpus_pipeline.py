@@ -3,6 +3,10 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame with the columns of ``documents``; its
 result is written as Parquet and read again as the next stage's ``docs``.  The last stage adds how often
 its mix takes each document.
+
+Every stage takes nulls in any column, empty and very long texts, and repeated rows and ids, which are judged row
+by row; an empty table gives an empty result; columns beyond those of ``documents``, whatever their names,
+are dropped.
 """
 
 from __future__ import annotations
