@@ -37,12 +37,16 @@ def regrid_nearest(source: DataFrame, grid: DataFrame, scale: float, dr: float =
     return at.join(held, ["sr", "sc"]).drop("sr", "sc")
 
 
-def regrid_bilinear(source: DataFrame, grid: DataFrame, value: str, scale: float, dr: float = 0.0, dc: float = 0.0) -> DataFrame:
-    """``(r, c, value)``: the four source cells around each target centre, weighted; missing ones are left out."""
+def regrid_bilinear(source: DataFrame, grid: DataFrame, value: str, scale: float, dr: float = 0.0, dc: float = 0.0, keys: list[str] | None = None) -> DataFrame:
+    """``(*keys, r, c, value)``: the four source cells around each target centre, weighted; missing ones are left out.
+
+    ``keys`` separate rasters of the source; all are laid on one grid.
+    """
+    keys = keys or []
     fr, fc = (F.col("r") + 0.5) * scale + dr - 0.5, (F.col("c") + 0.5) * scale + dc - 0.5
     base = grid.withColumns({"r0": F.floor(fr), "c0": F.floor(fc), "wr": fr - F.floor(fr), "wc": fc - F.floor(fc)})
     four = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (0, 1) for b in (0, 1)]))
     weight = F.when(F.col("o.a") == 1, F.col("wr")).otherwise(1 - F.col("wr")) * F.when(F.col("o.b") == 1, F.col("wc")).otherwise(1 - F.col("wc"))
     each = base.select("r", "c", "r0", "c0", "wr", "wc", four.alias("o")).select("r", "c", (F.col("r0") + F.col("o.a")).cast("int").alias("sr"), (F.col("c0") + F.col("o.b")).cast("int").alias("sc"), weight.alias("w")).where("w > 0")
-    held = source.where(F.col(value).isNotNull()).select(F.col("r").alias("sr"), F.col("c").alias("sc"), F.col(value).alias("v"))
-    return each.join(held, ["sr", "sc"]).groupBy("r", "c").agg((F.sum(F.col("w") * F.col("v")) / F.sum("w")).alias(value))
+    held = source.where(F.col(value).isNotNull()).select(*keys, F.col("r").alias("sr"), F.col("c").alias("sc"), F.col(value).alias("v"))
+    return each.join(held, ["sr", "sc"]).groupBy(*keys, "r", "c").agg((F.sum(F.col("w") * F.col("v")) / F.sum("w")).alias(value))

@@ -141,11 +141,12 @@ def run_areas(cumulative_raw: DataFrame, cumulative_refined: DataFrame, resoluti
     return raw.join(refined)
 
 
-def confusion(predicted: DataFrame, truth: DataFrame, predicted_col: str, truth_col: str) -> DataFrame:
-    """``(r, c, predicted, truth, confusion)``: 1 TP, 2 FP, 3 FN, 0 TN; a missing value is false."""
-    both = predicted.select("r", "c", F.col(predicted_col).alias("p")).join(truth.select("r", "c", F.col(truth_col).alias("t")), ["r", "c"], "full")
+def confusion(predicted: DataFrame, truth: DataFrame, predicted_col: str, truth_col: str, keys: list[str] | None = None) -> DataFrame:
+    """``(*keys, r, c, predicted, truth, confusion)``: 1 TP, 2 FP, 3 FN, 0 TN; a missing value is false."""
+    cell = [*(keys or []), "r", "c"]
+    both = predicted.select(*cell, F.col(predicted_col).alias("p")).join(truth.select(*cell, F.col(truth_col).alias("t")), cell, "full")
     p, t = F.coalesce(F.col("p").cast("int"), F.lit(0)) > 0, F.coalesce(F.col("t").cast("int"), F.lit(0)) > 0
-    return both.select("r", "c", p.alias("predicted"), t.alias("truth"), F.when(p & t, 1).when(p, 2).when(t, 3).otherwise(0).alias("confusion"))
+    return both.select(*cell, p.alias("predicted"), t.alias("truth"), F.when(p & t, 1).when(p, 2).when(t, 3).otherwise(0).alias("confusion"))
 
 
 def confusion_metrics(cells: DataFrame, resolution_m: float = 10.0) -> DataFrame:

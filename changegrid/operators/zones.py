@@ -20,26 +20,28 @@ def detect(candidates: DataFrame, height: int, width: int, cfg: Cleaning = Clean
     return close(kept, radius_pixels(cfg.closing_m, resolution_m), height, width, ["period_id"])
 
 
-def density_zones(mask: DataFrame, height: int, width: int, cfg: ZoneShape = ZoneShape(), resolution_m: float = 10.0, tile: int = 256) -> DataFrame:
+def density_zones(mask: DataFrame, height: int, width: int, cfg: ZoneShape = ZoneShape(), resolution_m: float = 10.0, tile: int = 256, keys: list[str] | None = None) -> DataFrame:
     """Small components dropped, dense disks kept, then closed (radius at least 1)."""
-    kept = drop_small(mask, cfg.cleaning.least_pixels, tile=tile)
-    dense = disk_density(kept, radius_pixels(cfg.window_m, resolution_m, 1), height, width).where(F.col("density") >= cfg.dense_part)
-    return close(dense.select("r", "c"), radius_pixels(cfg.cleaning.closing_m, resolution_m, 1), height, width)
+    keys = keys or []
+    kept = drop_small(mask, cfg.cleaning.least_pixels, keys, tile=tile)
+    dense = disk_density(kept, radius_pixels(cfg.window_m, resolution_m, 1), height, width, keys).where(F.col("density") >= cfg.dense_part)
+    return close(dense.select(*keys, "r", "c"), radius_pixels(cfg.cleaning.closing_m, resolution_m, 1), height, width, keys)
 
 
-def label_zones(mask: DataFrame, tile: int = 256) -> DataFrame:
+def label_zones(mask: DataFrame, tile: int = 256, keys: list[str] | None = None) -> DataFrame:
     """Zones are 4-connected: corner contact does not join."""
-    return label_components(mask, eight=False, tile=tile)
+    return label_components(mask, keys, eight=False, tile=tile)
 
 
-def zone_metrics(labels: DataFrame, resolution_m: float = 10.0) -> DataFrame:
+def zone_metrics(labels: DataFrame, resolution_m: float = 10.0, keys: list[str] | None = None) -> DataFrame:
     """Area, perimeter (holes too) and compactness 4 pi A / max(P, 1)^2 of each zone, from its pixels."""
+    zone = [*(keys or []), "comp_r", "comp_c"]
     step = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in ((0, 1), (1, 0))]))
-    near = labels.select("comp_r", "comp_c", "r", "c", step.alias("s")).select("comp_r", "comp_c", (F.col("r") + F.col("s.a")).alias("r"), (F.col("c") + F.col("s.b")).alias("c"))
-    shared = near.join(labels, ["comp_r", "comp_c", "r", "c"], "left_semi").groupBy("comp_r", "comp_c").agg(F.count("*").alias("shared"))
-    sizes = labels.groupBy("comp_r", "comp_c").agg(F.count("*").alias("pixels")).join(shared, ["comp_r", "comp_c"], "left")
+    near = labels.select(*zone, "r", "c", step.alias("s")).select(*zone, (F.col("r") + F.col("s.a")).alias("r"), (F.col("c") + F.col("s.b")).alias("c"))
+    shared = near.join(labels, [*zone, "r", "c"], "left_semi").groupBy(*zone).agg(F.count("*").alias("shared"))
+    sizes = labels.groupBy(*zone).agg(F.count("*").alias("pixels")).join(shared, zone, "left")
     perimeter = (4 * F.col("pixels") - 2 * F.coalesce("shared", F.lit(0))) * resolution_m
-    out = sizes.select("comp_r", "comp_c", "pixels", (F.col("pixels") * (resolution_m**2 / 10000)).alias("area_ha"), perimeter.alias("perim_m"))
+    out = sizes.select(*zone, "pixels", (F.col("pixels") * (resolution_m**2 / 10000)).alias("area_ha"), perimeter.alias("perim_m"))
     return out.withColumn("compactness", compactness(F.col("area_ha"), F.col("perim_m")))
 
 
@@ -48,40 +50,52 @@ def compactness(area_ha, perim_m):
     return 4 * math.pi * area_ha * 10000 / F.pow(F.greatest(perim_m, F.lit(1.0)), F.lit(2.0))
 
 
-def keep_zones(metrics: DataFrame, cfg: ZoneShape = ZoneShape()) -> DataFrame:
+def keep_zones(metrics: DataFrame, cfg: ZoneShape = ZoneShape(), keys: list[str] | None = None) -> DataFrame:
     """Zones that reach the least area and compactness, numbered by their first pixel.
 
-    Numbers are consecutive, so one task orders the zones (not the pixels).
+    Numbers are consecutive within a raster, so one task orders a raster's zones (not its pixels).
     """
     kept = metrics.where((F.col("area_ha") >= cfg.least_ha) & (F.col("compactness") >= cfg.least_compactness))
-    return kept.withColumn("zone_id", F.row_number().over(Window.orderBy("comp_r", "comp_c")))
+    return kept.withColumn("zone_id", F.row_number().over(Window.partitionBy(*(keys or [])).orderBy("comp_r", "comp_c")))
 
 
-def trace_rings(pixels: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
-    """Closed rings (corner coordinates, column then row) around a set of pixels; outer ring first, then holes."""
-    held = set(pixels)
+def border_lines(labels: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """``(*keys, comp_r, comp_c, ax, ay, bx, by)``: the straight lines of each zone's border, from corner to corner.
+
+    Corner coordinates are column, then row; the zone lies to the right of a line.  Neighbours in a row or a
+    column tell which sides of a pixel are border; equal sides that follow each other are one line.
+    """
+    zone = [*(keys or []), "comp_r", "comp_c"]
+    row, column = Window.partitionBy(*zone, "r").orderBy("c"), Window.partitionBy(*zone, "c").orderBy("r")
+    side = lambda at, move, there, window: F.coalesce(at(F.col(there)).over(window) != F.col(there) + move, F.lit(True))
+    sides = labels.select(*zone, "r", "c", side(F.lag, -1, "r", column).alias("top"), side(F.lead, 1, "r", column).alias("bottom"), side(F.lag, -1, "c", row).alias("left"), side(F.lead, 1, "c", row).alias("right"))
+    kinds = ("top", "bottom", "left", "right")
+    held = F.explode(F.filter(F.array(*[F.when(F.col(k), F.lit(k)) for k in kinds]), lambda k: k.isNotNull())).alias("kind")
+    flat = F.col("kind").isin("top", "bottom")
+    each = sides.select(*zone, "r", "c", held).select(*zone, "kind", F.when(flat, F.col("r")).otherwise(F.col("c")).alias("line"), F.when(flat, F.col("c")).otherwise(F.col("r")).alias("at"))
+    run = F.col("at") - F.row_number().over(Window.partitionBy(*zone, "kind", "line").orderBy("at"))
+    lines = each.withColumn("run", run).groupBy(*zone, "kind", "line", "run").agg(F.min("at").alias("lo"), (F.max("at") + 1).alias("hi"))
+    line = F.col("line") + F.when(F.col("kind").isin("bottom", "right"), 1).otherwise(0)
+    onward = F.col("kind").isin("top", "right")
+    start, end = F.when(onward, F.col("lo")).otherwise(F.col("hi")), F.when(onward, F.col("hi")).otherwise(F.col("lo"))
+    ends = {f"{p}{axis}": (F.when(flat, at).otherwise(line) if axis == "x" else F.when(flat, line).otherwise(at)) for p, at in (("a", start), ("b", end)) for axis in "xy"}
+    return lines.select(*zone, *[v.cast("int").alias(k) for k, v in ends.items()])
+
+
+def link_rings(lines: list[tuple[tuple[int, int], tuple[int, int]]]) -> list[list[tuple[int, int]]]:
+    """Closed rings of one zone's border lines; outer ring first, then holes."""
     after: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    for r, c in held:  # edges keep the pixel on their right
-        for near, a, b in (((r - 1, c), (c, r), (c + 1, r)), ((r, c + 1), (c + 1, r), (c + 1, r + 1)), ((r + 1, c), (c + 1, r + 1), (c, r + 1)), ((r, c - 1), (c, r + 1), (c, r))):
-            if near not in held:
-                after.setdefault(a, []).append(b)
-    rings = []
-    while after:
-        start = min(after)
-        ring, at, came = [start], start, None
-        while True:
-            ways = after[at]
-            # where two edges leave a corner, turn right: corner contact does not join
-            nxt = ways[0] if len(ways) == 1 or came is None else min(ways, key=lambda w: (w[0] - at[0], w[1] - at[1]) != (-came[1], came[0]))
-            ways.remove(nxt)
-            if not ways:
-                del after[at]
-            came, at = (nxt[0] - at[0], nxt[1] - at[1]), nxt
-            ring.append(at)
-            if at == start:
-                break
-        keep = [p for i, p in enumerate(ring[:-1]) if (ring[i - 1 if i else -2][0] - p[0]) * (ring[i + 1][1] - p[1]) != (ring[i - 1 if i else -2][1] - p[1]) * (ring[i + 1][0] - p[0])]
-        rings.append([*keep, keep[0]])
+    for a, b in lines:
+        after.setdefault(a, []).append(b)
+    rings, turn = [], lambda p, q, w: (q[0] - p[0]) * (w[1] - q[1]) - (q[1] - p[1]) * (w[0] - q[0])
+    for start in sorted(after):
+        while after[start]:
+            ring = [start, after[start].pop()]
+            while ring[-1] != start:
+                # where two lines leave a corner, turn right (rows go down): corner contact does not join
+                ways = after[ring[-1]]
+                ring.append(ways.pop(max(range(len(ways)), key=lambda i: turn(ring[-2], ring[-1], ways[i]))))
+            rings.append(ring)
     return sorted(rings, key=lambda x: -abs(_area(x)))
 
 
@@ -142,16 +156,20 @@ def crossing(rings: list[list[tuple[float, float]]]) -> bool:
     return False
 
 
-def zone_outlines(labels: DataFrame, resolution_m: float = 10.0, x0: float = 0.0, y0: float = 0.0, tolerance_m: float = ZoneShape.tolerance_m) -> DataFrame:
-    """``(comp_r, comp_c, rings, wkt, n_vertices, simplified_area_ha, simplified_perim_m)``, a zone's pixels being one group.
+def zone_outlines(
+    labels: DataFrame, resolution_m: float = 10.0, x0: float = 0.0, y0: float = 0.0, tolerance_m: float = ZoneShape.tolerance_m, keys: list[str] | None = None
+) -> DataFrame:
+    """``(*keys, comp_r, comp_c, rings, wkt, n_vertices, simplified_area_ha, simplified_perim_m)`` of each zone.
 
-    Rings are simplified within ``tolerance_m``; where that would make edges cross, the tolerance is
-    halved, down to none, so the topology stays.  Zones are compact objects; one that spans the whole
-    input is traced by one task.  Rows go down from y0.
+    Spark finds the border and joins it to straight lines; one task links a zone's corners (not its pixels)
+    to rings.  Rings are simplified within ``tolerance_m``; where that would make edges cross, the
+    tolerance is halved, down to none, so the topology stays.  Rows go down from y0.
     """
+    zone = [*(keys or []), "comp_r", "comp_c"]
 
     def outline(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        traced = [[(x0 + x * resolution_m, y0 - y * resolution_m) for x, y in ring] for ring in trace_rings(list(zip(pdf.r.tolist(), pdf.c.tolist(), strict=True)))]
+        lines = [((ax, ay), (bx, by)) for ax, ay, bx, by in pdf[["ax", "ay", "bx", "by"]].to_numpy().tolist()]
+        traced = [[(x0 + x * resolution_m, y0 - y * resolution_m) for x, y in ring] for ring in link_rings(lines)]
         rings, tolerance = traced, tolerance_m
         while tolerance > 0:
             rings = [simplify(ring, tolerance) for ring in traced]
@@ -160,15 +178,15 @@ def zone_outlines(labels: DataFrame, resolution_m: float = 10.0, x0: float = 0.0
             rings, tolerance = traced, tolerance / 2 if tolerance > tolerance_m / 16 else 0
         wkt = "POLYGON (" + ", ".join("(" + ", ".join(f"{x:g} {y:g}" for x, y in ring) + ")" for ring in rings) + ")"
         area = abs(_area(rings[0])) - sum(abs(_area(x)) for x in rings[1:])
-        return pd.DataFrame(
-            {"comp_r": [key[0]], "comp_c": [key[1]], "rings": [[[{"x": x, "y": y} for x, y in ring] for ring in rings]], "wkt": [wkt], "n_vertices": [sum(map(len, rings))], "simplified_area_ha": [area / 10000], "simplified_perim_m": [sum(map(_length, rings))]}
-        )
+        shape = {"rings": [[[{"x": x, "y": y} for x, y in ring] for ring in rings]], "wkt": [wkt], "n_vertices": [sum(map(len, rings))], "simplified_area_ha": [area / 10000], "simplified_perim_m": [sum(map(_length, rings))]}
+        return pd.DataFrame({**{name: [v] for name, v in zip(zone, key, strict=True)}, **shape})
 
-    schema = "comp_r int, comp_c int, rings array<array<struct<x: double, y: double>>>, wkt string, n_vertices long, simplified_area_ha double, simplified_perim_m double"
-    return labels.groupBy("comp_r", "comp_c").applyInPandas(outline, schema)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in labels.select(*zone).schema.fields)
+    schema += ", rings array<array<struct<x: double, y: double>>>, wkt string, n_vertices long, simplified_area_ha double, simplified_perim_m double"
+    return border_lines(labels, keys).groupBy(*zone).applyInPandas(outline, schema)
 
 
-def zone_polygons(labels: DataFrame, cfg: ZoneShape = ZoneShape(), resolution_m: float = 10.0, x0: float = 0.0, y0: float = 0.0) -> DataFrame:
+def zone_polygons(labels: DataFrame, cfg: ZoneShape = ZoneShape(), resolution_m: float = 10.0, x0: float = 0.0, y0: float = 0.0, keys: list[str] | None = None) -> DataFrame:
     """Zones as simplified polygons, measured after simplification, then filtered and numbered."""
-    shapes = zone_outlines(labels, resolution_m, x0, y0, cfg.tolerance_m).withColumnsRenamed({"simplified_area_ha": "area_ha", "simplified_perim_m": "perim_m"})
-    return keep_zones(shapes.withColumn("compactness", compactness(F.col("area_ha"), F.col("perim_m"))), cfg)
+    shapes = zone_outlines(labels, resolution_m, x0, y0, cfg.tolerance_m, keys).withColumnsRenamed({"simplified_area_ha": "area_ha", "simplified_perim_m": "perim_m"})
+    return keep_zones(shapes.withColumn("compactness", compactness(F.col("area_ha"), F.col("perim_m"))), cfg, keys)

@@ -1,6 +1,7 @@
 """Observation tables derived from the given tables, as SQL that Spark and DuckDB both read.
 
-``{lineitem}`` and the like stand for the given tables: Spark gets DataFrames, DuckDB view names.
+``{lineitem}`` and the like stand for the given tables: Spark gets DataFrames, DuckDB view names.  Rasters are a
+strip of 48 columns that takes 48 more rows for every 15,000 order keys, so they grow with the tables.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ CTES = {
     "raw": """
       SELECT CASE WHEN l_linenumber % 2 = 1 THEN 'p1' ELSE 'p2' END AS period_id,
         CASE WHEN CAST(l_shipdate AS DATE) < DATE '1998-06-01' THEN 'before' ELSE 'after' END AS phase,
-        CAST(l_orderkey % 48 AS INT) AS r, CAST(l_partkey % 48 AS INT) AS c, l_discount AS d, l_tax AS t, l_quantity AS q,
+        CAST(floor(l_orderkey / 15000) * 48 + l_orderkey % 48 AS INT) AS r, CAST(l_partkey % 48 AS INT) AS c, l_discount AS d, l_tax AS t, l_quantity AS q,
         l_suppkey AS s, CAST(year(l_shipdate) * 100 + month(l_shipdate) AS INT) AS scene
       FROM {lineitem}""",
     "s1_obs": """
@@ -48,6 +49,9 @@ CTES = {
       SELECT DISTINCT r, CAST((c + 1) % 48 AS INT) AS c FROM raw WHERE CAST(floor(r / 6) * 7 + floor(c / 6) * 3 AS INT) % 5 = 0""",
 }
 
+#: The last row of the rasters, as SQL over DuckDB's views.
+LAST_ROW = "(SELECT CAST(floor(max(l_orderkey) / 15000) * 48 + 47 AS INT) FROM lineitem)"
+
 _NEEDS = {"s1_obs": ("raw",), "s2_obs": ("raw",), "psi_points": ("raw",), "truth": ("raw",)}
 
 
@@ -62,6 +66,12 @@ def duckdb(sql: str, *names: str) -> str:
     return with_clause(*names).format(**{t: t for t in TABLES}) + sql
 
 
+def grid_rows(spark: SparkSession, sf_dir: str) -> int:
+    """Rows of the rasters over the tables of ``sf_dir``."""
+    last = spark.read.parquet(f"{sf_dir}/lineitem.parquet").agg({"l_orderkey": "max"}).first()[0]
+    return ((last or 0) // 15000 + 1) * 48
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the derived tables over the Parquet tables of ``sf_dir``."""
     sql = with_clause(name) + f"\nSELECT * FROM {name}"

@@ -11,11 +11,13 @@ from changegrid.operators import neighborhood as N
 from changegrid.operators import pixels as P
 from changegrid.operators import raster as R
 from changegrid.operators import zones as Z
-from changegrid.plans.fixtures import duckdb, view
+from changegrid.plans.fixtures import LAST_ROW, duckdb, grid_rows, view
 from changegrid.sources.staging import stage
 
+#: Columns of the rasters; their rows grow with the tables.
 SIDE = 48
 PERIODS = ["p1", "p2"]
+BY = ["period_id"]
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -31,8 +33,8 @@ def tested(spark, d):
     return R.change_test(composite(spark, d))
 
 
-def mask(spark, d, period="p2"):
-    return tested(spark, d).where((F.col("period_id") == period) & F.col("candidate")).select("r", "c")
+def mask(spark, d):
+    return tested(spark, d).where("candidate").select(*R.PIXEL)
 
 
 def optical(spark, d):
@@ -44,16 +46,16 @@ def fused(spark, d):
 
 
 def detected(spark, d):
-    return Z.detect(tested(spark, d), SIDE, SIDE, tile=16)
+    return Z.detect(tested(spark, d), grid_rows(spark, d), SIDE, tile=16)
 
 
 def zone_mask(spark, d):
-    return stage(Z.density_zones(mask(spark, d), SIDE, SIDE, tile=16), "query-zones")
+    return stage(Z.density_zones(mask(spark, d), grid_rows(spark, d), SIDE, tile=16, keys=BY), "query-zones")
 
 
 def truth_cells(spark, d):
-    px = tested(spark, d).where("period_id = 'p1'").select("r", "c", "candidate")
-    return R.confusion(px, view(spark, d, "truth").withColumn("truth", F.lit(True)), "candidate", "truth")
+    truth = view(spark, d, "truth").select(F.explode(F.array(*map(F.lit, PERIODS))).alias("period_id"), "r", "c", F.lit(True).alias("truth"))
+    return R.confusion(tested(spark, d), truth, "candidate", "truth", BY)
 
 
 def amplitude(spark, d):
@@ -61,24 +63,23 @@ def amplitude(spark, d):
     return composite(spark, d).select(*R.PIXEL, *[x.alias(k) for k, x in v.items()])
 
 
+def zone_labels(spark, d):
+    return Z.label_zones(zone_mask(spark, d), tile=16, keys=BY)
+
+
 def outlines(spark, d):
-    found = Z.zone_outlines(Z.label_zones(zone_mask(spark, d), tile=16))
-    return found.select("comp_r", "comp_c", "wkt", F.size("rings").alias("n_rings"), "n_vertices", "simplified_area_ha", "simplified_perim_m")
+    found = Z.zone_outlines(stage(zone_labels(spark, d), "query-outlines"), keys=BY)
+    return found.select(*BY, "comp_r", "comp_c", "wkt", F.size("rings").alias("n_rings"), "n_vertices", "simplified_area_ha", "simplified_perim_m")
 
 
 def zones_kept(spark, d):
-    return Z.keep_zones(Z.zone_metrics(stage(Z.label_zones(zone_mask(spark, d), tile=16), "query-zone-labels")))
+    return Z.keep_zones(Z.zone_metrics(stage(zone_labels(spark, d), "query-zone-labels"), keys=BY), keys=BY)
 
 
 def zone_polygons(spark, d):
     """Zones of every period, simplified, then measured and filtered."""
-    out = None
-    for period in PERIODS:
-        px = tested(spark, d).where((F.col("period_id") == period) & F.col("candidate")).select("r", "c")
-        found = Z.zone_polygons(stage(Z.label_zones(Z.density_zones(px, SIDE, SIDE, tile=16), tile=16), "query-zone-polygons"))
-        found = found.select(F.lit(period).alias("period_id"), "zone_id", "area_ha", "perim_m", "compactness", "wkt")
-        out = found if out is None else out.unionByName(found)
-    return out
+    found = Z.zone_polygons(stage(zone_labels(spark, d), "query-zone-polygons"), keys=BY)
+    return found.select(*BY, "zone_id", "area_ha", "perim_m", "compactness", "wkt")
 
 
 def cumulative(spark, d, mask_col="refined"):
@@ -86,7 +87,7 @@ def cumulative(spark, d, mask_col="refined"):
 
 
 def source_grid(spark, d):
-    return composite(spark, d).where("period_id = 'p1'").select("r", "c", F.col("vv_before").alias("v"))
+    return composite(spark, d).select(*R.PIXEL, F.col("vv_before").alias("v"))
 
 
 QUERIES = {
@@ -105,23 +106,23 @@ QUERIES = {
     "period_report": lambda s, d: rounded(R.period_report(fused(s, d))),
     "cumulative_first_change": lambda s, d: rounded(cumulative(s, d)),
     "run_areas": lambda s, d: rounded(R.run_areas(cumulative(s, d, "candidate"), cumulative(s, d))),
-    "dilate": lambda s, d: rounded(N.dilate(mask(s, d), 1, SIDE, SIDE)),
-    "erode": lambda s, d: rounded(N.erode(mask(s, d), 1, SIDE, SIDE)),
-    "closing": lambda s, d: rounded(N.close(mask(s, d), 1, SIDE, SIDE)),
-    "disk_density": lambda s, d: rounded(N.disk_density(mask(s, d), 2, SIDE, SIDE)),
+    "dilate": lambda s, d: rounded(N.dilate(mask(s, d), 1, grid_rows(s, d), SIDE, BY)),
+    "erode": lambda s, d: rounded(N.erode(mask(s, d), 1, grid_rows(s, d), SIDE, BY)),
+    "closing": lambda s, d: rounded(N.close(mask(s, d), 1, grid_rows(s, d), SIDE, BY)),
+    "disk_density": lambda s, d: rounded(N.disk_density(mask(s, d), 2, grid_rows(s, d), SIDE, BY)),
     "component_sizes": lambda s, d: rounded(P.component_sizes(P.label_components(tested(s, d).where("candidate"), ["period_id"], tile=16), ["period_id"])),
     "small_component_filter": lambda s, d: rounded(P.drop_small(tested(s, d).where("candidate"), 4, ["period_id"], tile=16)),
     "s1_detection": lambda s, d: rounded(detected(s, d)),
     "density_zone_mask": lambda s, d: rounded(zone_mask(s, d)),
     "zone_polygons": lambda s, d: rounded(zone_polygons(s, d)),
-    "zones": lambda s, d: rounded(Z.label_zones(zone_mask(s, d), tile=16)),
+    "zones": lambda s, d: rounded(zone_labels(s, d)),
     "zone_metrics": lambda s, d: rounded(zones_kept(s, d)),
     "zone_rings": outlines,
     "confusion_raster": lambda s, d: rounded(truth_cells(s, d)),
     "confusion_metrics": lambda s, d: rounded(R.confusion_metrics(truth_cells(s, d))),
     "amplitude_change": lambda s, d: rounded(amplitude(s, d)),
-    "regrid_nearest": lambda s, d: rounded(G.regrid_nearest(source_grid(s, d), G.targets(s, 64, 64), 0.75)),
-    "regrid_bilinear": lambda s, d: rounded(G.regrid_bilinear(source_grid(s, d), G.targets(s, 64, 64), "v", 0.75), 9),
+    "regrid_nearest": lambda s, d: rounded(G.regrid_nearest(source_grid(s, d), G.targets(s, grid_rows(s, d) * 4 // 3, 64), 0.75)),
+    "regrid_bilinear": lambda s, d: rounded(G.regrid_bilinear(source_grid(s, d), G.targets(s, grid_rows(s, d) * 4 // 3, 64), "v", 0.75, keys=BY), 9),
     "infer_transform": lambda s, d: rounded(G.infer_transform(source_grid(s, d).select((F.col("c") * 10.0 + 5).alias("x"), (1000 - F.col("r") * 10.0).alias("y")))),
 }
 
@@ -147,17 +148,17 @@ _S2 = """, use AS (SELECT *, scl IN (2, 4, 5, 6, 7) AS clear, scl IN (2, 4, 5, 6
 , sup AS (SELECT *, score >= 2 AS support, counted AND indexed AS reliable FROM sup0)""".replace("{cols}", ", ".join(f"{p}.{v} AS {p}_{v}" for p in "ab" for v in ("ndvi", "ndbi", "mndwi", "bsi", "clear_count", "clear_fraction", "valid_fraction")))
 _FUSED = """, fus0 AS (SELECT test.*, coalesce(sup.support, false) AS support, coalesce(sup.reliable, false) AS reliable, coalesce(ratio_vv >= 2 AND ratio_vh >= 1.15 AND pvalue <= 0.001, false) AS strong FROM test LEFT JOIN sup USING (period_id, r, c))
 , fus AS (SELECT *, candidate AND (NOT reliable OR support OR strong) AS refined, CASE WHEN NOT candidate THEN 0 WHEN NOT reliable THEN 1 WHEN support THEN 2 WHEN strong THEN 3 ELSE 4 END AS decision FROM fus0)"""
-_MASK = _COMP + ", m AS (SELECT r, c FROM test WHERE period_id = 'p2' AND candidate)"
+_MASK = _COMP + ", m AS (SELECT period_id, r, c FROM test WHERE candidate)"
 _DISKS = """, d1(a, b) AS (VALUES (0, 0), (1, 0), (-1, 0), (0, 1), (0, -1))
 , d2(a, b) AS (SELECT x.a, y.b FROM (VALUES (-2), (-1), (0), (1), (2)) x(a), (VALUES (-2), (-1), (0), (1), (2)) y(b) WHERE x.a * x.a + y.b * y.b <= 4)"""
 
 
 def _dil(src: str) -> str:
-    return f"SELECT DISTINCT r + a AS r, c + b AS c FROM {src}, d1 WHERE r + a BETWEEN 0 AND 47 AND c + b BETWEEN 0 AND 47"
+    return f"SELECT DISTINCT period_id, r + a AS r, c + b AS c FROM {src}, d1 WHERE r + a BETWEEN 0 AND {LAST_ROW} AND c + b BETWEEN 0 AND 47"
 
 
 def _ero(src: str) -> str:
-    return f"SELECT r + a AS r, c + b AS c FROM {src}, d1 WHERE r + a BETWEEN 0 AND 47 AND c + b BETWEEN 0 AND 47 GROUP BY ALL HAVING count(*) = 5"
+    return f"SELECT period_id, r + a AS r, c + b AS c FROM {src}, d1 WHERE r + a BETWEEN 0 AND {LAST_ROW} AND c + b BETWEEN 0 AND 47 GROUP BY ALL HAVING count(*) = 5"
 
 
 def _reach(src: str, keys: str, near: str) -> str:
@@ -171,11 +172,11 @@ def _reach(src: str, keys: str, near: str) -> str:
 _EIGHT, _FOUR = "abs(x.r - y.r) <= 1 AND abs(x.c - y.c) <= 1", "abs(x.r - y.r) + abs(x.c - y.c) = 1"
 _CAND = _COMP + ", k AS (SELECT period_id, r, c FROM test WHERE candidate)" + _reach("k", "period_id,", _EIGHT)
 _ZONE = (
-    _MASK + _DISKS + _reach("m", "", _EIGHT) + ", big AS (SELECT lab FROM labm GROUP BY lab HAVING count(*) >= 6), kept AS (SELECT r, c FROM labm WHERE lab IN (SELECT lab FROM big))"
-    ", dense AS (SELECT r + a AS r, c + b AS c FROM kept, d2 WHERE r + a BETWEEN 0 AND 47 AND c + b BETWEEN 0 AND 47 GROUP BY ALL HAVING count(*) / 13.0 >= 0.15)"
+    _MASK + _DISKS + _reach("m", "period_id,", _EIGHT) + ", big AS (SELECT period_id, lab FROM labm GROUP BY ALL HAVING count(*) >= 6), kept AS (SELECT period_id, r, c FROM labm JOIN big USING (period_id, lab))"
+    f", dense AS (SELECT period_id, r + a AS r, c + b AS c FROM kept, d2 WHERE r + a BETWEEN 0 AND {LAST_ROW} AND c + b BETWEEN 0 AND 47 GROUP BY ALL HAVING count(*) / 13.0 >= 0.15)"
     f", grown AS ({_dil('dense')}), zone AS ({_ero('grown')})"
 )
-_LABELLED = _ZONE + _reach("zone", "", _FOUR)
+_LABELLED = _ZONE + _reach("zone", "period_id,", _FOUR)
 _R = "CASE WHEN round({0}, 6) = 0 THEN 0 ELSE round({0}, 6) END AS {0}"
 
 
@@ -185,10 +186,10 @@ def _pick(*names: str, of: str, keys: str = "period_id, CAST(r AS BIGINT) AS r,
 
 _PH = "period_id, phase, CAST(r AS BIGINT) AS r, CAST(c AS BIGINT) AS c"
 _RC = "CAST(r AS BIGINT) AS r, CAST(c AS BIGINT) AS c"
-_CELLS = _COMP + """, cells AS (SELECT coalesce(p.r, t.r) AS r, coalesce(p.c, t.c) AS c, coalesce(p.candidate, false) AS predicted, t.r IS NOT NULL AS truth
-  FROM (SELECT r, c, candidate FROM test WHERE period_id = 'p1') p FULL JOIN truth t ON p.r = t.r AND p.c = t.c)
+_CELLS = _COMP + """, cells AS (SELECT coalesce(p.period_id, t.period_id) AS period_id, coalesce(p.r, t.r) AS r, coalesce(p.c, t.c) AS c, coalesce(p.candidate, false) AS predicted, t.r IS NOT NULL AS truth
+  FROM test p FULL JOIN (SELECT * FROM truth, (VALUES ('p1'), ('p2')) v(period_id)) t ON p.period_id = t.period_id AND p.r = t.r AND p.c = t.c)
 , conf AS (SELECT *, CASE WHEN predicted AND truth THEN 1 WHEN predicted THEN 2 WHEN truth THEN 3 ELSE 0 END AS confusion FROM cells)"""
-_SRC = _COMP + ", src AS (SELECT r, c, vv_before AS v FROM test WHERE period_id = 'p1'), grid AS (SELECT CAST(floor(i / 64) AS INT) AS r, CAST(i % 64 AS INT) AS c FROM range(4096) t(i))"
+_SRC = _COMP + f", src AS (SELECT period_id, r, c, vv_before AS v FROM test), grid AS (SELECT CAST(floor(i / 64) AS INT) AS r, CAST(i % 64 AS INT) AS c FROM (SELECT unnest(range(0, CAST(({LAST_ROW} + 1) / 3 * 4 * 64 AS BIGINT))) AS i))"
 
 ORACLE_SQL = {
     "s1_composite": duckdb(_COMP + _pick("vv_before", "vh_before", "vv_after", "vh_after", of="comp"), "s1_obs"),
@@ -212,34 +213,34 @@ ORACLE_SQL = {
   round((count(*) FILTER (candidate) - count(*) FILTER (refined)) / nullif(count(*) FILTER (candidate), 0), 6) AS removed_fraction FROM fus GROUP BY period_id""", "s1_obs", "s2_obs"),
     "cumulative_first_change": duckdb(_COMP + _S2 + _FUSED + f" SELECT {_RC}, CAST(coalesce(min(CASE WHEN refined THEN CASE period_id WHEN 'p1' THEN 1 ELSE 2 END END), 0) AS BIGINT) AS first_change FROM fus GROUP BY r, c", "s1_obs", "s2_obs"),
     "run_areas": duckdb(_COMP + _S2 + _FUSED + " SELECT round(count(*) FILTER (a) * 0.01::DOUBLE, 6) AS raw_ha, round(count(*) FILTER (b) * 0.01::DOUBLE, 6) AS refined_ha FROM (SELECT bool_or(candidate) AS a, bool_or(refined) AS b FROM fus GROUP BY r, c)", "s1_obs", "s2_obs"),
-    "dilate": duckdb(_MASK + _DISKS + f", x AS ({_dil('m')}) SELECT {_RC} FROM x", "s1_obs"),
-    "erode": duckdb(_MASK + _DISKS + f", x AS ({_ero('m')}) SELECT {_RC} FROM x", "s1_obs"),
-    "closing": duckdb(_MASK + _DISKS + f", g AS ({_dil('m')}), x AS ({_ero('g')}) SELECT {_RC} FROM x", "s1_obs"),
-    "disk_density": duckdb(_MASK + _DISKS + " SELECT CAST(r + a AS BIGINT) AS r, CAST(c + b AS BIGINT) AS c, round(count(*) / 13, 6) AS density FROM m, d2 WHERE r + a BETWEEN 0 AND 47 AND c + b BETWEEN 0 AND 47 GROUP BY 1, 2", "s1_obs"),
+    "dilate": duckdb(_MASK + _DISKS + f", x AS ({_dil('m')}) SELECT period_id, {_RC} FROM x", "s1_obs"),
+    "erode": duckdb(_MASK + _DISKS + f", x AS ({_ero('m')}) SELECT period_id, {_RC} FROM x", "s1_obs"),
+    "closing": duckdb(_MASK + _DISKS + f", g AS ({_dil('m')}), x AS ({_ero('g')}) SELECT period_id, {_RC} FROM x", "s1_obs"),
+    "disk_density": duckdb(_MASK + _DISKS + f" SELECT period_id, CAST(r + a AS BIGINT) AS r, CAST(c + b AS BIGINT) AS c, round(count(*) / 13, 6) AS density FROM m, d2 WHERE r + a BETWEEN 0 AND {LAST_ROW} AND c + b BETWEEN 0 AND 47 GROUP BY 1, 2, 3", "s1_obs"),
     "component_sizes": duckdb(_CAND + " SELECT period_id, CAST(floor(lab / 48) AS BIGINT) AS comp_r, CAST(lab % 48 AS BIGINT) AS comp_c, count(*) AS n FROM labk GROUP BY ALL", "s1_obs"),
     "small_component_filter": duckdb(_CAND + f" SELECT period_id, {_RC} FROM labk WHERE (period_id, lab) IN (SELECT (period_id, lab) FROM labk GROUP BY ALL HAVING count(*) >= 4)", "s1_obs"),
     "s1_detection": duckdb(
-        _CAND + _DISKS + """, big AS (SELECT period_id, r, c FROM labk WHERE (period_id, lab) IN (SELECT (period_id, lab) FROM labk GROUP BY ALL HAVING count(*) >= 4))
-, g AS (SELECT DISTINCT period_id, r + a AS r, c + b AS c FROM big, d1 WHERE r + a BETWEEN 0 AND 47 AND c + b BETWEEN 0 AND 47)
-  SELECT period_id, CAST(r + a AS BIGINT) AS r, CAST(c + b AS BIGINT) AS c FROM g, d1 WHERE r + a BETWEEN 0 AND 47 AND c + b BETWEEN 0 AND 47 GROUP BY 1, 2, 3 HAVING count(*) = 5""", "s1_obs"),
-    "density_zone_mask": duckdb(_ZONE + f" SELECT {_RC} FROM zone", "s1_obs"),
-    "zones": duckdb(_LABELLED + f" SELECT {_RC}, CAST(floor(lab / 48) AS BIGINT) AS comp_r, CAST(lab % 48 AS BIGINT) AS comp_c FROM labzone", "s1_obs"),
+        _CAND + _DISKS + f""", big AS (SELECT period_id, r, c FROM labk WHERE (period_id, lab) IN (SELECT (period_id, lab) FROM labk GROUP BY ALL HAVING count(*) >= 4))
+, g AS (SELECT DISTINCT period_id, r + a AS r, c + b AS c FROM big, d1 WHERE r + a BETWEEN 0 AND {LAST_ROW} AND c + b BETWEEN 0 AND 47)
+  SELECT period_id, CAST(r + a AS BIGINT) AS r, CAST(c + b AS BIGINT) AS c FROM g, d1 WHERE r + a BETWEEN 0 AND {LAST_ROW} AND c + b BETWEEN 0 AND 47 GROUP BY 1, 2, 3 HAVING count(*) = 5""", "s1_obs"),
+    "density_zone_mask": duckdb(_ZONE + f" SELECT period_id, {_RC} FROM zone", "s1_obs"),
+    "zones": duckdb(_LABELLED + f" SELECT period_id, {_RC}, CAST(floor(lab / 48) AS BIGINT) AS comp_r, CAST(lab % 48 AS BIGINT) AS comp_c FROM labzone", "s1_obs"),
     "zone_metrics": duckdb(
-        _LABELLED + """, size AS (SELECT lab, count(*) AS pixels FROM labzone GROUP BY lab), shared AS (SELECT x.lab, count(*) AS n FROM labzone x JOIN labzone y ON x.lab = y.lab AND ((y.r = x.r + 1 AND y.c = x.c) OR (y.r = x.r AND y.c = x.c + 1)) GROUP BY x.lab)
-, met AS (SELECT lab, pixels, pixels * CAST(0.01 AS DOUBLE) AS area_ha, (4 * pixels - 2 * coalesce(n, 0)) * CAST(10 AS DOUBLE) AS perim_m FROM size LEFT JOIN shared USING (lab))
-  SELECT CAST(floor(lab / 48) AS BIGINT) AS comp_r, CAST(lab % 48 AS BIGINT) AS comp_c, pixels, round(area_ha, 6) AS area_ha, round(perim_m, 6) AS perim_m, round(4 * pi() * area_ha * 10000 / pow(greatest(perim_m, 1), 2), 6) AS compactness,
-  row_number() OVER (ORDER BY lab) AS zone_id FROM met WHERE area_ha >= 0.05""", "s1_obs"),
-    "confusion_raster": duckdb(_CELLS + f" SELECT {_RC}, predicted, truth, CAST(confusion AS BIGINT) AS confusion FROM conf", "s1_obs", "truth"),
+        _LABELLED + """, size AS (SELECT period_id, lab, count(*) AS pixels FROM labzone GROUP BY ALL), shared AS (SELECT x.period_id, x.lab, count(*) AS n FROM labzone x JOIN labzone y ON x.period_id = y.period_id AND x.lab = y.lab AND ((y.r = x.r + 1 AND y.c = x.c) OR (y.r = x.r AND y.c = x.c + 1)) GROUP BY ALL)
+, met AS (SELECT period_id, lab, pixels, pixels * CAST(0.01 AS DOUBLE) AS area_ha, (4 * pixels - 2 * coalesce(n, 0)) * CAST(10 AS DOUBLE) AS perim_m FROM size LEFT JOIN shared USING (period_id, lab))
+  SELECT period_id, CAST(floor(lab / 48) AS BIGINT) AS comp_r, CAST(lab % 48 AS BIGINT) AS comp_c, pixels, round(area_ha, 6) AS area_ha, round(perim_m, 6) AS perim_m, round(4 * pi() * area_ha * 10000 / pow(greatest(perim_m, 1), 2), 6) AS compactness,
+  row_number() OVER (PARTITION BY period_id ORDER BY lab) AS zone_id FROM met WHERE area_ha >= 0.05""", "s1_obs"),
+    "confusion_raster": duckdb(_CELLS + f" SELECT period_id, {_RC}, predicted, truth, CAST(confusion AS BIGINT) AS confusion FROM conf", "s1_obs", "truth"),
     "confusion_metrics": duckdb(
         _CELLS + """, n AS (SELECT count(*) FILTER (confusion = 0) AS tn, count(*) FILTER (confusion = 1) AS tp, count(*) FILTER (confusion = 2) AS fp, count(*) FILTER (confusion = 3) AS fn FROM conf)
 , q AS (SELECT *, tp / nullif(tp + fp, 0) AS p, tp / nullif(tp + fn, 0) AS rec FROM n)
   SELECT tn, tp, fp, fn, round(p, 6) AS precision, round(rec, 6) AS recall, round(tp / nullif(tp + fp + fn, 0), 6) AS iou, round(2 * p * rec / nullif(p + rec, 0), 6) AS f1, round((tp + fp) * 0.01::DOUBLE, 6) AS predicted_ha, round((tp + fn) * 0.01::DOUBLE, 6) AS truth_ha, tp + fn AS support_pixels FROM q""", "s1_obs", "truth"),
     "amplitude_change": duckdb(_COMP + " SELECT period_id, CAST(r AS BIGINT) AS r, CAST(c AS BIGINT) AS c, round(ratio_vv, 6) AS ratio, round(ln(1 + ratio_vv), 6) AS log_ratio, coalesce(ratio_vv >= 1.5 AND ln(1 + ratio_vv) >= 0.9, false) AS candidate FROM test", "s1_obs"),
-    "regrid_nearest": duckdb(_SRC + " SELECT CAST(grid.r AS BIGINT) AS r, CAST(grid.c AS BIGINT) AS c, round(v, 6) AS v FROM grid JOIN src ON src.r = floor((grid.r + 0.5) * 0.75) AND src.c = floor((grid.c + 0.5) * 0.75)", "s1_obs"),
+    "regrid_nearest": duckdb(_SRC + " SELECT period_id, CAST(grid.r AS BIGINT) AS r, CAST(grid.c AS BIGINT) AS c, round(v, 6) AS v FROM grid JOIN src ON src.r = floor((grid.r + 0.5) * 0.75) AND src.c = floor((grid.c + 0.5) * 0.75)", "s1_obs"),
     "regrid_bilinear": duckdb(
         _SRC + """, mid AS (SELECT r, c, (r + 0.5) * 0.75 - 0.5 AS fr, (c + 0.5) * 0.75 - 0.5 AS fc FROM grid), near AS (SELECT mid.*, floor(fr) + a AS sr, floor(fc) + b AS sc, (CASE a WHEN 1 THEN fr - floor(fr) ELSE 1 - fr + floor(fr) END) * (CASE b WHEN 1 THEN fc - floor(fc) ELSE 1 - fc + floor(fc) END) AS w
   FROM mid, (VALUES (0), (1)) x(a), (VALUES (0), (1)) y(b))
-  SELECT CAST(near.r AS BIGINT) AS r, CAST(near.c AS BIGINT) AS c, round(sum(w * v) / sum(w), 9) AS v FROM near JOIN src ON src.r = sr AND src.c = sc WHERE v IS NOT NULL AND w > 0 GROUP BY 1, 2""", "s1_obs"),
+  SELECT period_id, CAST(near.r AS BIGINT) AS r, CAST(near.c AS BIGINT) AS c, round(sum(w * v) / sum(w), 9) AS v FROM near JOIN src ON src.r = sr AND src.c = sc WHERE v IS NOT NULL AND w > 0 GROUP BY 1, 2, 3""", "s1_obs"),
     "infer_transform": duckdb(
         _SRC + """, px AS (SELECT c * 10.0::DOUBLE + 5 AS x, 1000 - r * 10.0::DOUBLE AS y FROM src), sx AS (SELECT x, x - lag(x) OVER (ORDER BY x) AS s FROM (SELECT DISTINCT x FROM px)), sy AS (SELECT y, y - lag(y) OVER (ORDER BY y) AS s FROM (SELECT DISTINCT y FROM px))
   SELECT a.res_x, a.ox AS origin_x, b.res_y, b.oy AS origin_y FROM (SELECT median(s) AS res_x, min(x) - median(s) / 2 AS ox FROM sx) a, (SELECT median(s) AS res_y, max(y) + median(s) / 2 AS oy FROM sy) b""", "s1_obs"),

@@ -130,8 +130,29 @@ def test_zone_metrics_outline_and_corner_contact(spark):
     sixteen = {(r, c) for r in range(1, 5) for c in range(1, 5)}
     shape = Z.zone_outlines(Z.label_zones(grid(spark, sixteen), tile=3)).first()
     assert (round(shape.simplified_area_ha, 6), shape.n_vertices) == (0.16, 5)
-    ring = Z.trace_rings([(r, c) for r in range(3) for c in range(3) if (r, c) != (1, 1)])
-    assert [abs(Z._area(x)) for x in ring] == [9, 1]
+    holed = Z.label_zones(grid(spark, {(r, c) for r in range(3) for c in range(3) if (r, c) != (1, 1)}))
+    shape = Z.zone_outlines(holed, 1.0, tolerance_m=0).first()
+    assert [abs(Z._area([(p.x, p.y) for p in ring])) for ring in shape.rings] == [9, 1]
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_outlines_against_pixels(spark, seed):
+    """Rings without simplification have the area and perimeter of the pixels, and no ring of a zone runs into a corner twice to join."""
+    rnd, n = random.Random(seed), 20
+    labels = Z.label_zones(grid(spark, {(r, c) for r in range(n) for c in range(n) if rnd.random() < 0.6}), tile=6)
+    want = {(x.comp_r, x.comp_c): (round(x.area_ha, 9), round(x.perim_m, 6)) for x in Z.zone_metrics(labels).collect()}
+    shapes = Z.zone_outlines(labels, tolerance_m=0).collect()
+    assert {(x.comp_r, x.comp_c): (round(x.simplified_area_ha, 9), round(x.simplified_perim_m, 6)) for x in shapes} == want
+    for shape in shapes:
+        for ring in ([(p.x, p.y) for p in x] for x in shape.rings):
+            assert ring[0] == ring[-1] and all((a[0] == b[0]) != (b[0] == c[0]) for a, b, c in zip(ring, ring[1:], [*ring[2:], ring[1]], strict=False))
+
+
+def test_wide_disks(spark):
+    """A radius beyond the grid's own size, and repeated pixels."""
+    n, mask = 9, [(0, 0), (4, 5), (4, 5), (8, 8)]
+    dense = {(r.r, r.c): round(r.density * len(N.disk(6))) for r in N.disk_density(grid(spark, mask), 6, n, n).collect()}
+    assert dense == {(r, c): k for r in range(n) for c in range(n) if (k := sum((r - a) ** 2 + (c - b) ** 2 <= 36 for a, b in set(mask)))}
 
 
 def test_polygons_are_measured_after_simplification(spark):
