@@ -14,16 +14,35 @@ from changegrid.operators.components import connected_components
 from changegrid.sources.staging import stage
 
 
-def _cells(lo: Column, hi: Column, size: float) -> Column:
+def _cells(lo: Column, hi: Column, size: Column) -> Column:
     return F.sequence(F.floor(lo / size), F.floor(hi / size))
 
 
-def points_in_rects(points: DataFrame, rects: DataFrame, how: str = "inner", cell: float = 500.0) -> DataFrame:
-    """Points by the rectangles ``(x0, y0, x1, y1)`` that hold them, borders too; ``left`` keeps points without any."""
-    dealt = rects.withColumn("_rx", F.explode(_cells(F.col("x0"), F.col("x1"), cell))).withColumn("_ry", F.explode(_cells(F.col("y0"), F.col("y1"), cell)))
-    own = points.withColumns({"_px": F.floor(F.col("x") / cell), "_py": F.floor(F.col("y") / cell)})
+def _level(cell: float) -> Column:
+    """Doublings of ``cell`` until a cell is no smaller than the rectangle, so that it lies in four cells at most."""
+    side = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
+    return F.greatest(F.lit(0), F.least(F.lit(60), F.ceil(F.log2(side / cell)))).cast("int")
+
+
+def _levels(rects: DataFrame, cell: float) -> list[int]:
+    """The levels that occur, 61 numbers at most."""
+    return sorted(r[0] for r in rects.select(_level(cell)).distinct().collect())
+
+
+def points_in_rects(points: DataFrame, rects: DataFrame, cell: float = 500.0) -> DataFrame:
+    """Points by the rectangles ``(x0, y0, x1, y1)`` that hold them, borders too.
+
+    A rectangle is dealt to cells of its own size (``cell``, doubled), so a large one costs four rows; a
+    point is sent to its cell at each size that occurs.  Missing coordinates hold nothing.
+    """
+    size = F.lit(cell) * F.pow(F.lit(2.0), F.col("_rl"))
+    dealt = rects.withColumn("_rl", _level(cell))
+    dealt = dealt.withColumn("_rx", F.explode(_cells(F.col("x0"), F.col("x1"), size))).withColumn("_ry", F.explode(_cells(F.col("y0"), F.col("y1"), size)))
+    at = [F.struct(F.lit(n).alias("l"), F.floor(F.col("x") / (cell * 2.0**n)).alias("x"), F.floor(F.col("y") / (cell * 2.0**n)).alias("y")) for n in _levels(rects, cell) or [0]]
+    own = points.withColumn("_p", F.explode(F.array(*at)))
     inside = F.col("x").between(F.col("x0"), F.col("x1")) & F.col("y").between(F.col("y0"), F.col("y1"))
-    return own.join(dealt, [F.col("_px") == F.col("_rx"), F.col("_py") == F.col("_ry"), inside], how).drop("_px", "_py", "_rx", "_ry")
+    same = [F.col("_p.l") == F.col("_rl"), F.col("_p.x") == F.col("_rx"), F.col("_p.y") == F.col("_ry")]
+    return own.join(dealt, [*same, inside]).drop("_p", "_rl", "_rx", "_ry")
 
 
 def ring_area(ring: Column) -> Column:
@@ -57,7 +76,7 @@ def in_ring(x: Column, y: Column, ring: Column) -> Column:
 def points_in_rings(points: DataFrame, polygons: DataFrame, cell: float = 500.0) -> DataFrame:
     """Points by the polygons (column ``ring``) that hold them, borders too."""
     box = polygons.withColumns({"x0": F.array_min("ring.x"), "x1": F.array_max("ring.x"), "y0": F.array_min("ring.y"), "y1": F.array_max("ring.y")})
-    return points_in_rects(points, box, cell=cell).where(in_ring(F.col("x"), F.col("y"), F.col("ring"))).drop("x0", "x1", "y0", "y1")
+    return points_in_rects(points, box, cell).where(in_ring(F.col("x"), F.col("y"), F.col("ring"))).drop("x0", "x1", "y0", "y1")
 
 
 def rect_ring(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
@@ -144,24 +163,31 @@ def parcel_summary(points: DataFrame, parcels: DataFrame, key: str = "rect_id")
 
 def evaluate_points(points: DataFrame, reference: DataFrame) -> DataFrame:
     """tp, fp, fn, precision, recall, f1 of points against rectangles; joined rows count, so a double hit is two tp."""
-    joined = points_in_rects(points.select("x", "y"), reference.withColumn("hit", F.lit(1)), "left")
-    n = joined.agg(F.count("hit").alias("tp"), F.count_if(F.col("hit").isNull()).alias("fp")).join(reference.agg(F.count("*").alias("refs")))
+    spots = points.groupBy("x", "y").agg(F.count("*").alias("m"))  # points of one spot have the same hits
+    hits = points_in_rects(spots.select("x", "y"), reference.select("x0", "y0", "x1", "y1")).groupBy("x", "y").agg(F.count("*").alias("hits"))
+    n = spots.join(hits, ["x", "y"], "left").agg(F.coalesce(F.sum(F.col("m") * F.col("hits")), F.lit(0)).alias("tp"), F.coalesce(F.sum(F.when(F.col("hits").isNull(), F.col("m"))), F.lit(0)).alias("fp"))
+    n = n.join(reference.agg(F.count("*").alias("refs")))
     n = n.select("tp", "fp", F.greatest(F.col("refs") - F.col("tp"), F.lit(0)).alias("fn"))
     n = n.withColumns({"precision": F.try_divide(F.col("tp"), F.col("tp") + F.col("fp")), "recall": F.try_divide(F.col("tp"), F.col("tp") + F.col("fn"))})
     return n.withColumn("f1", F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")))
 
 
 def evaluate_rects(predicted: DataFrame, reference: DataFrame, cell: float = 500.0) -> DataFrame:
-    """Areas, summed pairwise overlap and IoU of two sets of rectangles; a pair is tested in the first cell it shares."""
+    """Areas, summed pairwise overlap and IoU of two sets of rectangles; a pair is tested in the first cell it shares, of the larger one's size."""
+
+    levels = sorted({*_levels(predicted, cell), *_levels(reference, cell)}) or [0]
+    size = F.lit(cell) * F.pow(F.lit(2.0), F.col("level"))
 
     def dealt(df: DataFrame, p: str) -> DataFrame:
-        out = df.select(*[F.col(c).alias(f"{p}{c}") for c in ("x0", "y0", "x1", "y1")])
-        return out.withColumn("cx", F.explode(_cells(F.col(f"{p}x0"), F.col(f"{p}x1"), cell))).withColumn("cy", F.explode(_cells(F.col(f"{p}y0"), F.col(f"{p}y1"), cell)))
+        """Each rectangle's cells at its own level and at those above, where it meets larger ones."""
+        own = df.select(*[F.col(c).alias(f"{p}{c}") for c in ("x0", "y0", "x1", "y1")], _level(cell).alias(f"{p}l"))
+        out = own.withColumn("level", F.explode(F.array(*map(F.lit, levels)))).where(F.col("level") >= F.col(f"{p}l"))
+        return out.withColumn("cx", F.explode(_cells(F.col(f"{p}x0"), F.col(f"{p}x1"), size))).withColumn("cy", F.explode(_cells(F.col(f"{p}y0"), F.col(f"{p}y1"), size)))
 
     left, right = F.greatest("px0", "qx0"), F.least("px1", "qx1")
     low, high = F.greatest("py0", "qy0"), F.least("py1", "qy1")
-    first = (F.col("cx") == F.floor(left / cell)) & (F.col("cy") == F.floor(low / cell))
-    met = dealt(predicted, "p").join(dealt(reference, "q"), ["cx", "cy"]).where((right > left) & (high > low) & first)
+    first = (F.col("level") == F.greatest("pl", "ql")) & (F.col("cx") == F.floor(left / size)) & (F.col("cy") == F.floor(low / size))
+    met = dealt(predicted, "p").join(dealt(reference, "q"), ["level", "cx", "cy"]).where((right > left) & (high > low) & first)
     area = F.coalesce(F.sum((F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))), F.lit(0.0))
     out = predicted.agg(area.alias("predicted_area")).join(reference.agg(area.alias("reference_area"))).join(met.agg(F.coalesce(F.sum((right - left) * (high - low)), F.lit(0.0)).alias("intersection_area")))
     union = F.col("predicted_area") + F.col("reference_area") - F.col("intersection_area")

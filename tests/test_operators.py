@@ -299,6 +299,30 @@ def test_point_and_polygon_evaluation(spark):
     assert X.evaluate_rects(a, b, 2.0).first().intersection_area == 9.0
 
 
+def test_rectangles_of_all_sizes_against_brute_force(spark):
+    rnd = random.Random(8)
+    spots = [(rnd.randrange(-3000, 3000) * 1.0, rnd.randrange(-3000, 3000) * 1.0) for _ in range(300)]
+    points = [(i, *p) for i, p in enumerate([*spots, *spots[:40], (None, 1.0), (0.0, float("nan"))])]
+    boxes = [(0, -1e9, -1e9, 1e9, 1e9), (1, 5.0, 5.0, 5.0, 5.0), (2, None, 0.0, 9.0, 9.0)]
+    for i in range(3, 60):
+        x, y, side = rnd.randrange(-3000, 3000), rnd.randrange(-3000, 3000), 10 ** rnd.uniform(1, 3.7)
+        boxes.append((i, float(x), float(y), x + side, y + side * rnd.uniform(0.1, 1)))
+    p = spark.createDataFrame(points, "point_id int, x double, y double")
+    r = spark.createDataFrame(boxes, "rect_id int, x0 double, y0 double, x1 double, y1 double")
+    whole = [b for b in boxes if b[1] is not None]
+    want = {(i, b[0]) for i, x, y in points if x is not None for b in whole if b[1] <= x <= b[3] and b[2] <= y <= b[4]}
+    got = [(x.point_id, x.rect_id) for x in X.points_in_rects(p, r).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    few = r.where("rect_id > 20")
+    e = X.evaluate_points(p, few).first()
+    hits = [sum(k == i and b > 20 for k, b in want) for i, _, _ in points]
+    assert (e.tp, e.fp) == (sum(hits), sum(h == 0 for h in hits))
+    moved = [(b[0], b[1] + 70, b[2] + 30, b[3] + 70, b[4] + 30) for b in whole]
+    m = spark.createDataFrame(moved, "rect_id int, x0 double, y0 double, x1 double, y1 double")
+    common = sum(max(0, min(a[3], b[3]) - max(a[1], b[1])) * max(0, min(a[4], b[4]) - max(a[2], b[2])) for a in moved for b in whole)
+    assert abs(X.evaluate_rects(m, spark.createDataFrame(whole, r.schema)).first().intersection_area / common - 1) < 1e-9
+
+
 def test_ring_test_counts_borders(spark):
     ring = X.rect_ring(F.lit(0), F.lit(0), F.lit(5), F.lit(5))
     df = spark.createDataFrame([(2.0, 2.0), (5.0, 3.0), (0.0, 0.0), (5.1, 1.0)], "x double, y double")
