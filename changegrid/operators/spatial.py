@@ -172,23 +172,87 @@ def evaluate_points(points: DataFrame, reference: DataFrame) -> DataFrame:
     return n.withColumn("f1", F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")))
 
 
-def evaluate_rects(predicted: DataFrame, reference: DataFrame, cell: float = 500.0) -> DataFrame:
-    """Areas, summed pairwise overlap and IoU of two sets of rectangles; a pair is tested in the first cell it shares, of the larger one's size."""
+def polygon_area(rings: Column) -> Column:
+    """Area of a polygon: its outer ring, which comes first, less its holes."""
+    each = F.transform(rings, lambda ring, i: F.when(i == 0, ring_area(ring)).otherwise(-ring_area(ring)))
+    return F.aggregate(each, F.lit(0.0), lambda acc, v: acc + v)
+
+
+def _edges(rings: Column, x: Column, y: Column) -> Column:
+    """Edges seen from (x, y), left end first; ``s`` is 1 above the polygon's inside, -1 below it."""
+
+    def of_ring(ring: Column, i: Column) -> Column:
+        pairs = F.slice(F.zip_with(ring, F.slice(ring, F.lit(2), F.size(ring)), lambda a, b: F.struct(a.alias("a"), b.alias("b"))), F.lit(1), F.size(ring) - 1)
+        turn = F.aggregate(pairs, F.lit(0.0), lambda acc, e: acc + (e["a"]["x"] - x) * (e["b"]["y"] - y) - (e["b"]["x"] - x) * (e["a"]["y"] - y))
+        side = F.signum(turn) * F.when(i == 0, 1.0).otherwise(-1.0)
+
+        def edge(e: Column) -> Column:
+            back = e["b"]["x"] < e["a"]["x"]
+            lo, hi = F.when(back, e["b"]).otherwise(e["a"]), F.when(back, e["a"]).otherwise(e["b"])
+            return F.struct((lo["x"] - x).alias("x0"), (lo["y"] - y).alias("y0"), (hi["x"] - x).alias("x1"), (hi["y"] - y).alias("y1"), F.when(back, side).otherwise(-side).alias("s"))
+
+        return F.filter(F.transform(pairs, edge), lambda e: e["x0"] < e["x1"])
+
+    return F.flatten(F.transform(rings, of_ring))
+
+
+def overlap_area(rings: Column, others: Column) -> Column:
+    """Area of the intersection of two polygons (rings: outer first, then holes), of any shape.
+
+    A polygon is the signed sum of the strips below its edges, so the intersection's area is the signed sum, over
+    pairs of edges, of what both strips hold: the integral of the lower of two lines where both edges run.
+    """
+    origin = rings[0][0]
+    own, their = _edges(rings, origin["x"], origin["y"]), _edges(others, origin["x"], origin["y"])
+
+    def shared(e: Column, f: Column) -> Column:
+        lo, hi = F.greatest(e["x0"], f["x0"]), F.least(e["x1"], f["x1"])
+        at = lambda g, x: g["y0"] + (g["y1"] - g["y0"]) * ((x - g["x0"]) / (g["x1"] - g["x0"]))
+        a, b = at(e, lo) - at(f, lo), at(e, hi) - at(f, hi)
+        apart = F.when(a * b < 0, (a * a + b * b) / (F.abs(a) + F.abs(b))).otherwise(F.abs(a + b))
+        lower = (at(e, lo) + at(e, hi) + at(f, lo) + at(f, hi) - apart) / 4
+        return F.when(hi > lo, e["s"] * f["s"] * (hi - lo) * lower).otherwise(0.0)
 
+    return F.aggregate(own, F.lit(0.0), lambda acc, e: acc + F.aggregate(their, F.lit(0.0), lambda inner, f: inner + shared(e, f)))
+
+
+def _meeting(predicted: DataFrame, reference: DataFrame, cell: float, more: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs of rows whose boxes overlap, columns prefixed p and q; a pair meets in the first cell it shares, of the larger one's size."""
     levels = sorted({*_levels(predicted, cell), *_levels(reference, cell)}) or [0]
     size = F.lit(cell) * F.pow(F.lit(2.0), F.col("level"))
 
     def dealt(df: DataFrame, p: str) -> DataFrame:
-        """Each rectangle's cells at its own level and at those above, where it meets larger ones."""
-        own = df.select(*[F.col(c).alias(f"{p}{c}") for c in ("x0", "y0", "x1", "y1")], _level(cell).alias(f"{p}l"))
+        """Each box's cells at its own level and at those above, where it meets larger ones."""
+        own = df.select(*[F.col(c).alias(f"{p}{c}") for c in ("x0", "y0", "x1", "y1", *more)], _level(cell).alias(f"{p}l"))
         out = own.withColumn("level", F.explode(F.array(*map(F.lit, levels)))).where(F.col("level") >= F.col(f"{p}l"))
         return out.withColumn("cx", F.explode(_cells(F.col(f"{p}x0"), F.col(f"{p}x1"), size))).withColumn("cy", F.explode(_cells(F.col(f"{p}y0"), F.col(f"{p}y1"), size)))
 
-    left, right = F.greatest("px0", "qx0"), F.least("px1", "qx1")
-    low, high = F.greatest("py0", "qy0"), F.least("py1", "qy1")
+    left, low = F.greatest("px0", "qx0"), F.greatest("py0", "qy0")
     first = (F.col("level") == F.greatest("pl", "ql")) & (F.col("cx") == F.floor(left / size)) & (F.col("cy") == F.floor(low / size))
-    met = dealt(predicted, "p").join(dealt(reference, "q"), ["level", "cx", "cy"]).where((right > left) & (high > low) & first)
-    area = F.coalesce(F.sum((F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))), F.lit(0.0))
-    out = predicted.agg(area.alias("predicted_area")).join(reference.agg(area.alias("reference_area"))).join(met.agg(F.coalesce(F.sum((right - left) * (high - low)), F.lit(0.0)).alias("intersection_area")))
+    overlap = (F.least("px1", "qx1") > left) & (F.least("py1", "qy1") > low)
+    return dealt(predicted, "p").join(dealt(reference, "q"), ["level", "cx", "cy"]).where(overlap & first)
+
+
+def _areas(predicted: DataFrame, reference: DataFrame, met: DataFrame, area: Column, shared: Column) -> DataFrame:
+    total = lambda v: F.coalesce(F.sum(v), F.lit(0.0))
+    out = predicted.agg(total(area).alias("predicted_area")).join(reference.agg(total(area).alias("reference_area"))).join(met.agg(total(shared).alias("intersection_area")))
     union = F.col("predicted_area") + F.col("reference_area") - F.col("intersection_area")
     return out.withColumns({"area_delta": F.col("predicted_area") - F.col("reference_area"), "iou": F.try_divide(F.col("intersection_area"), union)})
+
+
+def evaluate_rects(predicted: DataFrame, reference: DataFrame, cell: float = 500.0) -> DataFrame:
+    """Areas, summed pairwise overlap and IoU of two sets of rectangles."""
+    shared = (F.least("px1", "qx1") - F.greatest("px0", "qx0")) * (F.least("py1", "qy1") - F.greatest("py0", "qy0"))
+    return _areas(predicted, reference, _meeting(predicted, reference, cell), (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0")), shared)
+
+
+def evaluate_polygons(predicted: DataFrame, reference: DataFrame, cell: float = 500.0) -> DataFrame:
+    """Areas, summed pairwise overlap and IoU of two sets of polygons (column ``rings``: outer first, then holes)."""
+
+    def boxed(df: DataFrame) -> DataFrame:
+        outer = F.col("rings")[0]
+        return df.select("rings", *[f(outer[axis]).alias(f"{axis}{n}") for axis in "xy" for n, f in ((0, F.array_min), (1, F.array_max))])
+
+    p, q = boxed(predicted), boxed(reference)
+    met = _meeting(p, q, cell, ("rings",))
+    return _areas(p, q, met, polygon_area(F.col("rings")), overlap_area(F.col("prings"), F.col("qrings")))

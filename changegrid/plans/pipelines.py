@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changegrid.config import ChangeTest, Cleaning, Fusion, Optical, Psi, ZoneShape
+from changegrid.operators import grid as G
 from changegrid.operators import psi as S
 from changegrid.operators import raster as R
 from changegrid.operators import spatial as X
@@ -120,7 +121,13 @@ def run_psi(points: DataFrame, breaks: DataFrame, evidence: DataFrame | None = N
     return {"change": change, "emergence": emergence, "points": clustered, "polygons": stats, "summary": summary}
 
 
-def evaluate_builtup(predicted: DataFrame, truth: DataFrame, resolution_m: float = 10.0) -> dict[str, DataFrame]:
-    """Confusion raster and metrics of ``(r, c, predicted)`` against ``(r, c, truth)``."""
+def evaluate_builtup(predicted: DataFrame, truth: DataFrame, resolution_m: float = 10.0, scale: float = 1.0, dr: float = 0.0, dc: float = 0.0) -> dict[str, DataFrame]:
+    """Confusion raster and metrics of ``(r, c, predicted)`` against ``(r, c, truth)``.
+
+    A truth on another grid is first laid on the predicted one, each cell taking the value at its centre: a
+    predicted cell spans ``scale`` truth cells, with its origin ``dr``, ``dc`` of them away.
+    """
+    if (scale, dr, dc) != (1.0, 0.0, 0.0):
+        truth = G.regrid_nearest(truth, predicted.select("r", "c").distinct(), scale, dr, dc)
     cells = stage(R.confusion(predicted, truth, "predicted", "truth"), "evaluation")
     return {"confusion": cells, "metrics": R.confusion_metrics(cells, resolution_m)}

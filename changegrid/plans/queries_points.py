@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from changegrid.config import Psi
 from changegrid.functions import geo
 from changegrid.operators import catalog as C
 from changegrid.operators import psi as S
 from changegrid.operators import spatial as X
 from changegrid.plans.fixtures import duckdb, view
+from changegrid.plans.pipelines import run_psi
 from changegrid.plans.queries_raster import rounded
 
 WINDOWS = "SELECT * FROM (VALUES ('p1', 'before', DATE '1995-06-01', DATE '1995-09-30'), ('p1', 'after', DATE '1999-06-01', DATE '1999-09-30'), ('p2', 'before', DATE '1996-06-01', DATE '1996-09-30'), ('p2', 'after', DATE '2000-06-01', DATE '2000-09-30')) AS w(period_id, phase, start, end_day)"
@@ -84,15 +86,39 @@ def indices(spark, d):
     return S.change_indices(S.match_points(role("tc_c"), role("tc_f"), role("tc_b")))
 
 
-def evidence(spark, d):
+def kinds_of_rects(spark, d):
     kind = F.element_at(F.array(*[F.lit(k) for k in ("amplitude_support", "optical_support", "optical_reliable", "context_support")]), (F.col("rect_id") % 4 + 1).cast("int"))
-    return X.evidence_flags(view(spark, d, "points_xy"), view(spark, d, "rects").withColumn("kind", kind))
+    return view(spark, d, "rects").withColumn("kind", kind)
+
+
+def evidence(spark, d):
+    return X.evidence_flags(view(spark, d, "points_xy"), kinds_of_rects(spark, d))
 
 
 def moved_rects(spark, d):
     return view(spark, d, "rects").select((F.col("x0") + 100).alias("x0"), (F.col("y0") + 50).alias("y0"), (F.col("x1") + 100).alias("x1"), (F.col("y1") + 50).alias("y1"))
 
 
+def diamonds(spark, d, moved: int = 0, hole: bool = False) -> DataFrame:
+    """``(rect_id, rings)``: a square on its corner about each rectangle's middle, perhaps with one of half its size cut out."""
+    r = view(spark, d, "rects").select("rect_id", ((F.col("x0") + F.col("x1")) / 2 + moved).alias("mx"), ((F.col("y0") + F.col("y1")) / 2 + moved).alias("my"), (F.lit(200.0) + 20 * (F.col("rect_id") % 7)).alias("h"))
+    corner = lambda dx, dy: F.struct((F.col("mx") + dx).alias("x"), (F.col("my") + dy).alias("y"))
+    ring = lambda h: F.array(corner(-h, F.lit(0.0)), corner(F.lit(0.0), -h), corner(h, F.lit(0.0)), corner(F.lit(0.0), h), corner(-h, F.lit(0.0)))
+    return r.select("rect_id", F.array(ring(F.col("h")), *([ring(F.col("h") / 2)] if hole else [])).alias("rings"))
+
+
+def fused_points(spark, d) -> DataFrame:
+    """The point pipeline over one stack and three breaks, whose tables differ as those of ``classified``."""
+    p = view(spark, d, "psi_points")
+    by = [F.when(F.col("azimuth_index") % 2 == 1, 0.8).otherwise(1.25) if b == 1 else F.lit(1.0) for b in range(len(BREAKS))]
+    held = [(F.lit(None).cast("string"), F.col("tc_c"))]
+    held += [(F.lit(f"front{b}"), F.col("tc_f")) for b in range(len(BREAKS))] + [(F.lit(f"back{b}"), F.col("tc_c") + (F.col("tc_b") - F.col("tc_c")) * by[b]) for b in range(len(BREAKS))]
+    each = F.explode(F.array(*[F.struct(name.alias("subset_id"), tc.alias("temporal_coherence")) for name, tc in held])).alias("e")
+    points = p.select(F.lit("asc0").alias("stack_id"), "point_id", *S.KEY, (F.col("range_index") * 20.0).alias("x"), (F.col("azimuth_index") * 20.0).alias("y"), each).select("*", "e.*").drop("e")
+    breaks = spark.createDataFrame([("asc0", f"front{b}", f"back{b}", day, "2023-10-16") for b, day in enumerate(BREAKS)], "stack_id string, front_id string, back_id string, break_after string, break_before string")
+    return run_psi(points, breaks, kinds_of_rects(spark, d), Psi(sigma_multiplier=1.0, cluster_buffer_m=10.0))["points"]
+
+
 def lonlat(spark, d):
     """Points dealt over the globe, from the events."""
     p = view(spark, d, "points_xy")
@@ -143,6 +169,9 @@ QUERIES = {
     "parcel_summary": lambda s, d: X.parcel_summary(view(s, d, "points_xy"), view(s, d, "rects")).select("rect_id", "point_count"),
     "point_evaluation": lambda s, d: rounded(X.evaluate_points(view(s, d, "points_xy"), view(s, d, "rects"))),
     "polygon_evaluation": lambda s, d: rounded(X.evaluate_rects(moved_rects(s, d), view(s, d, "rects"))),
+    "polygon_overlap": lambda s, d: rounded(X.evaluate_polygons(diamonds(s, d, 70, True), diamonds(s, d))),
+    "points_in_polygons": lambda s, d: X.points_in_rings(view(s, d, "points_xy"), diamonds(s, d).select("rect_id", F.col("rings")[0].alias("ring"))).select("point_id", "rect_id"),
+    "psi_pipeline": lambda s, d: rounded(fused_points(s, d).select("key", "break_after", "confidence_score", "confidence_class", "cluster_id")),
     "ring_measures": lambda s, d: rounded(view(s, d, "rects").select("rect_id", X.ring_area(ring := X.rect_ring(*[F.col(c) for c in ("x0", "y0", "x1", "y1")])).alias("area"), X.ring_length(ring).alias("length"))),
     "points_in_rings": lambda s, d: X.points_in_rings(view(s, d, "points_xy"), view(s, d, "rects").select("rect_id", X.rect_ring(*[F.col(c) for c in ("x0", "y0", "x1", "y1")]).alias("ring"))).select("point_id", "rect_id"),
     "utm_zone": lambda s, d: rounded(lonlat(s, d).select("point_id", geo.utm_zone(F.col("lon")).alias("zone"), geo.metric_crs(F.col("lon"), F.col("lat")).alias("crs"))),
@@ -179,16 +208,31 @@ _CI3 = """, ci AS (SELECT p.azimuth_index, p.range_index, p.tc_f - p.tc_c AS van
   FROM psi_points p, (VALUES (0, '2023-09-10'), (1, '2023-10-04'), (2, '2023-09-22')) brk(b, break_after))"""
 _CLASS = _CI3 + _fit("emg", "e") + _fit("van", "v") + """, cls AS (SELECT ci.*, emg >= fte.mu + fte.sg AS e, van >= ftv.mu + ftv.sg AS v FROM ci JOIN fte ON fte.g = ci.g JOIN ftv ON ftv.g = ci.g)"""
 _KEYS = "CAST(azimuth_index AS BIGINT) AS azimuth_index, CAST(range_index AS BIGINT) AS range_index"
-_EV = """, hit AS (SELECT point_id, rect_id % 4 AS kind FROM points_xy JOIN rects ON x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1)
-, ev AS (SELECT p.point_id, p.x, p.y, coalesce(bool_or(kind = 0), false) AS amplitude_support, coalesce(bool_or(kind = 1), false) AS optical_support, coalesce(bool_or(kind = 2), false) AS optical_reliable, coalesce(bool_or(kind = 3), false) AS context_support
-  FROM points_xy p LEFT JOIN hit USING (point_id) GROUP BY ALL)
-, conf AS (SELECT *, greatest(0, least(1, 0.65::DOUBLE + 0.2::DOUBLE * amplitude_support::INT + 0.1::DOUBLE * optical_support::INT + 0.05::DOUBLE * context_support::INT - 0.08::DOUBLE * (optical_reliable AND NOT optical_support)::INT)) AS s FROM ev)"""
-_CLUSTER = """, cel AS (SELECT point_id, x, y, CAST(floor(x / 24) AS INT) AS cx, CAST(floor(y / 24) AS INT) AS cy FROM points_xy)
-, off AS (SELECT * FROM (VALUES (-1), (0), (1)) p(a), (VALUES (-1), (0), (1)) q(b))
-, lnk AS (SELECT u.point_id AS a, w.point_id AS b FROM (SELECT cel.*, cx + a AS nx, cy + b AS ny FROM cel, off) u JOIN cel w ON w.cx = u.nx AND w.cy = u.ny WHERE u.point_id <> w.point_id AND (u.x - w.x) ** 2 + (u.y - w.y) ** 2 <= 576)
-, clu AS (WITH RECURSIVE t AS (SELECT point_id, point_id AS lab FROM points_xy UNION SELECT l.b, t.lab FROM t JOIN lnk l ON l.a = t.point_id WHERE t.lab < l.b) SELECT point_id, min(lab) AS cluster_id FROM t GROUP BY 1)"""
+
+
+def _cluster(src: str, step: int) -> str:
+    """Smallest ``point_id`` of ``src`` reachable by steps of at most ``step``: definitions up to ``clu``."""
+    return f""", cel AS (SELECT point_id, x, y, CAST(floor(x / {step}) AS INT) AS cx, CAST(floor(y / {step}) AS INT) AS cy FROM {src})
+  , off AS (SELECT * FROM (VALUES (-1), (0), (1)) p(a), (VALUES (-1), (0), (1)) q(b))
+  , lnk AS (SELECT u.point_id AS a, w.point_id AS b FROM (SELECT cel.*, cx + a AS nx, cy + b AS ny FROM cel, off) u JOIN cel w ON w.cx = u.nx AND w.cy = u.ny WHERE u.point_id <> w.point_id AND (u.x - w.x) ** 2 + (u.y - w.y) ** 2 <= {step * step})
+  , clu AS (WITH RECURSIVE t AS (SELECT point_id, point_id AS lab FROM {src} UNION SELECT l.b, t.lab FROM t JOIN lnk l ON l.a = t.point_id WHERE t.lab < l.b) SELECT point_id, min(lab) AS cluster_id FROM t GROUP BY 1)"""
+
+
+def _evidence(src: str) -> str:
+    """Flags and score of the points of ``src``: definitions up to ``conf``."""
+    return f""", hit AS (SELECT point_id, rect_id % 4 AS kind FROM {src} JOIN rects ON x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1)
+  , ev AS (SELECT p.point_id, p.x, p.y, coalesce(bool_or(kind = 0), false) AS amplitude_support, coalesce(bool_or(kind = 1), false) AS optical_support, coalesce(bool_or(kind = 2), false) AS optical_reliable, coalesce(bool_or(kind = 3), false) AS context_support
+    FROM {src} p LEFT JOIN hit USING (point_id) GROUP BY ALL)
+  , conf AS (SELECT *, greatest(0, least(1, 0.65::DOUBLE + 0.2::DOUBLE * amplitude_support::INT + 0.1::DOUBLE * optical_support::INT + 0.05::DOUBLE * context_support::INT - 0.08::DOUBLE * (optical_reliable AND NOT optical_support)::INT)) AS s FROM ev)"""
+
+
+_EV, _CLUSTER = _evidence("points_xy"), _cluster("points_xy", 24)
 _LL = """, ll AS (SELECT point_id, x / 10000.0::DOUBLE * 359 - 179.5 AS lon, y / 10000.0::DOUBLE * 178 - 89 AS lat FROM points_xy), zn AS (SELECT *, least(greatest(CAST(floor((lon + 180) / 6) AS INT) + 1, 1), 60) AS zone FROM ll)"""
 _SERIES = " + ".join(f"CAST({a!r} AS DOUBLE) * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, a in enumerate(geo.ALPHA, 1)), " + ".join(f"CAST({a!r} AS DOUBLE) * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, a in enumerate(geo.ALPHA, 1))
+#: From ``zn`` (point_id, lon, lat, zone) to ``utm``: Krueger's series, as SQL.
+UTM = f""", u AS (SELECT *, sin(radians(lat)) AS s, radians(lon - (6 * zone - 183)) AS lam FROM zn WHERE lat > -80 AND lat < 84), v AS (SELECT *, sinh(atanh(s) - CAST({geo.ECC!r} AS DOUBLE) * atanh(CAST({geo.ECC!r} AS DOUBLE) * s)) AS t FROM u)
+, w AS (SELECT *, atan2(t, cos(lam)) AS xi, atanh(sin(lam) / sqrt(1 + t * t)) AS eta FROM v)
+, utm AS (SELECT *, round(500000 + CAST({geo.K0 * geo.RADIUS!r} AS DOUBLE) * (eta + {_SERIES[0]}), 3) AS easting, round(CASE WHEN lat < 0 THEN 10000000 ELSE 0 END + CAST({geo.K0 * geo.RADIUS!r} AS DOUBLE) * (xi + {_SERIES[1]}), 3) AS northing FROM w)"""
 
 ORACLE_SQL = {
     "scene_filter_s1": duckdb(" SELECT scene_id, day FROM scenes WHERE lower(replace(replace(platform, '-', ''), '_', '')) = 'sentinel1a' AND direction = 'ascending' AND polarization IN ('VV+VH', 'VH+VV') AND mode = 'IW'", "scenes"),
@@ -237,13 +281,21 @@ ORACLE_SQL = {
         """, mv AS (SELECT x0 + 100 AS x0, y0 + 50 AS y0, x1 + 100 AS x1, y1 + 50 AS y1 FROM rects), q AS (SELECT (SELECT sum((x1 - x0) * (y1 - y0)) FROM mv) AS p, (SELECT sum((x1 - x0) * (y1 - y0)) FROM rects) AS r,
   (SELECT coalesce(sum((least(a.x1, b.x1) - greatest(a.x0, b.x0)) * (least(a.y1, b.y1) - greatest(a.y0, b.y0))), 0) FROM mv a JOIN rects b ON a.x0 < b.x1 AND b.x0 < a.x1 AND a.y0 < b.y1 AND b.y0 < a.y1) AS i)
   SELECT round(p, 6) AS predicted_area, round(r, 6) AS reference_area, round(i, 6) AS intersection_area, round(p - r, 6) AS area_delta, round(i / nullif(p + r - i, 0), 6) AS iou FROM q""", "rects"),
+    # turned by 45 degrees the squares lie along the axes: u = x + y, v = x - y, twice the area
+    "polygon_overlap": duckdb(
+        """, dia AS (SELECT (x0 + x1) / 2 AS mx, (y0 + y1) / 2 AS my, 200.0::DOUBLE + 20 * (rect_id % 7) AS h FROM rects), p AS (SELECT mx + my + 140 AS u, mx - my AS v, h * f AS h, sgn FROM dia, (VALUES (1.0::DOUBLE, 1), (0.5::DOUBLE, -1)) z(f, sgn)), q AS (SELECT mx + my AS u, mx - my AS v, h FROM dia)
+  , t AS (SELECT (SELECT sum(sgn * 2 * h * h) FROM p) AS pa, (SELECT sum(2 * h * h) FROM q) AS qa, (SELECT sum(sgn * (least(p.u + p.h, q.u + q.h) - greatest(p.u - p.h, q.u - q.h)) * (least(p.v + p.h, q.v + q.h) - greatest(p.v - p.h, q.v - q.h)) / 2)
+    FROM p JOIN q ON abs(p.u - q.u) < p.h + q.h AND abs(p.v - q.v) < p.h + q.h) AS i)
+  SELECT round(pa, 6) AS predicted_area, round(qa, 6) AS reference_area, round(i, 6) AS intersection_area, round(pa - qa, 6) AS area_delta, round(i / (pa + qa - i), 6) AS iou FROM t""", "rects"),
+    "points_in_polygons": duckdb(" SELECT point_id, rect_id FROM points_xy JOIN rects ON abs(x - (x0 + x1) / 2) + abs(y - (y0 + y1) / 2) <= 200 + 20 * (rect_id % 7)", "points_xy", "rects"),
+    "psi_pipeline": duckdb(
+        _CLASS.replace("(p.tc_b - p.tc_c) * CASE", "p.point_id, p.tc_c + (p.tc_b - p.tc_c) * CASE").replace("END AS emg", "END - p.tc_c AS emg")
+        + ", top AS (SELECT azimuth_index, range_index, max(emg) AS top FROM cls WHERE e AND NOT v GROUP BY ALL), emp AS (SELECT 'asc0/' || CAST(point_id AS VARCHAR) AS point_id, range_index * 20.0::DOUBLE AS x, azimuth_index * 20.0::DOUBLE AS y, min(break_after) AS break_after FROM top JOIN cls USING (azimuth_index, range_index) WHERE e AND NOT v AND emg = top GROUP BY ALL)"
+        + _evidence("emp") + _cluster("emp", 20) + " SELECT point_id AS key, break_after, round(s, 6) AS confidence_score, CASE WHEN s >= 0.7 THEN 'high' WHEN s >= 0.45 THEN 'medium' ELSE 'low' END AS confidence_class, cluster_id FROM conf JOIN clu USING (point_id) JOIN emp USING (point_id)", "psi_points", "rects"),
     "ring_measures": duckdb(" SELECT rect_id, round((x1 - x0) * (y1 - y0), 6) AS area, round(2 * (x1 - x0 + y1 - y0), 6) AS length FROM rects", "rects"),
     "points_in_rings": duckdb(" SELECT point_id, rect_id FROM points_xy JOIN rects ON x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1", "points_xy", "rects"),
     "utm_zone": duckdb(_LL + " SELECT point_id, CAST(zone AS BIGINT) AS zone, 'EPSG:' || CASE WHEN lat <= -80 OR lat >= 84 THEN '3857' ELSE CAST(CASE WHEN lat >= 0 THEN 32600 ELSE 32700 END + zone AS VARCHAR) END AS crs FROM zn", "points_xy"),
-    "utm_project": duckdb(
-        _LL + f""", u AS (SELECT *, sin(radians(lat)) AS s, radians(lon - (6 * zone - 183)) AS lam FROM zn WHERE lat > -80 AND lat < 84), v AS (SELECT *, sinh(atanh(s) - CAST({geo.ECC!r} AS DOUBLE) * atanh(CAST({geo.ECC!r} AS DOUBLE) * s)) AS t FROM u)
-, w AS (SELECT *, atan2(t, cos(lam)) AS xi, atanh(sin(lam) / sqrt(1 + t * t)) AS eta FROM v)
-  SELECT point_id, CAST(zone AS BIGINT) AS zone, round(500000 + CAST({geo.K0 * geo.RADIUS!r} AS DOUBLE) * (eta + {_SERIES[0]}), 3) AS easting, round(CASE WHEN lat < 0 THEN 10000000 ELSE 0 END + CAST({geo.K0 * geo.RADIUS!r} AS DOUBLE) * (xi + {_SERIES[1]}), 3) AS northing FROM w""", "points_xy"),
+    "utm_project": duckdb(_LL + UTM + " SELECT point_id, CAST(zone AS BIGINT) AS zone, easting, northing FROM utm", "points_xy"),
     "snap_bounds": duckdb(
         """, b AS (SELECT rect_id, floor((x0 + 3) / 30) * 30 AS minx, floor((y0 + 7) / 30) * 30 AS miny, ceil(x1 / 30) * 30 AS maxx, ceil(y1 / 30) * 30 AS maxy FROM rects) SELECT *, CAST((maxx - minx) / 30 AS BIGINT) AS width, CAST((maxy - miny) / 30 AS BIGINT) AS height FROM b""", "rects"),
 }

@@ -12,6 +12,7 @@ from changegrid.operators import pixels as P
 from changegrid.operators import raster as R
 from changegrid.operators import zones as Z
 from changegrid.plans.fixtures import LAST_ROW, duckdb, grid_rows, view
+from changegrid.plans.pipelines import BuiltUp, evaluate_builtup, run_builtup
 from changegrid.sources.staging import stage
 
 #: Columns of the rasters; their rows grow with the tables.
@@ -58,6 +59,19 @@ def truth_cells(spark, d):
     return R.confusion(tested(spark, d), truth, "candidate", "truth", BY)
 
 
+def aligned(spark, d):
+    """Candidates of any period against a truth on cells twice as wide."""
+    predicted = tested(spark, d).groupBy("r", "c").agg(F.bool_or("candidate").alias("predicted"))
+    truth = view(spark, d, "truth").select(F.floor(F.col("r") / 2).cast("int").alias("r"), F.floor(F.col("c") / 2).cast("int").alias("c"), F.lit(True).alias("truth")).distinct()
+    return evaluate_builtup(predicted, truth, scale=0.5)["metrics"]
+
+
+def builtup(spark, d):
+    """The built-up pipeline up to the refined first change of every pixel."""
+    cfg = BuiltUp(periods=tuple(PERIODS), height=grid_rows(spark, d), width=SIDE, tile=16)
+    return run_builtup(view(spark, d, "s1_obs"), view(spark, d, "s2_obs"), cfg, "cumulative")["cumulative"].select("r", "c", "first_change")
+
+
 def amplitude(spark, d):
     v = B.amplitude_change(F.col("vv_before"), F.col("vv_after"))
     return composite(spark, d).select(*R.PIXEL, *[x.alias(k) for k, x in v.items()])
@@ -120,6 +134,8 @@ QUERIES = {
     "zone_rings": outlines,
     "confusion_raster": lambda s, d: rounded(truth_cells(s, d)),
     "confusion_metrics": lambda s, d: rounded(R.confusion_metrics(truth_cells(s, d))),
+    "aligned_evaluation": lambda s, d: rounded(aligned(s, d)),
+    "builtup_pipeline": lambda s, d: rounded(builtup(s, d)),
     "amplitude_change": lambda s, d: rounded(amplitude(s, d)),
     "regrid_nearest": lambda s, d: rounded(G.regrid_nearest(source_grid(s, d), G.targets(s, grid_rows(s, d) * 4 // 3, 64), 0.75)),
     "regrid_bilinear": lambda s, d: rounded(G.regrid_bilinear(source_grid(s, d), G.targets(s, grid_rows(s, d) * 4 // 3, 64), "v", 0.75, keys=BY), 9),
@@ -190,6 +206,9 @@ _CELLS = _COMP + """, cells AS (SELECT coalesce(p.period_id, t.period_id) AS per
   FROM test p FULL JOIN (SELECT * FROM truth, (VALUES ('p1'), ('p2')) v(period_id)) t ON p.period_id = t.period_id AND p.r = t.r AND p.c = t.c)
 , conf AS (SELECT *, CASE WHEN predicted AND truth THEN 1 WHEN predicted THEN 2 WHEN truth THEN 3 ELSE 0 END AS confusion FROM cells)"""
 _SRC = _COMP + f", src AS (SELECT period_id, r, c, vv_before AS v FROM test), grid AS (SELECT CAST(floor(i / 64) AS INT) AS r, CAST(i % 64 AS INT) AS c FROM (SELECT unnest(range(0, CAST(({LAST_ROW} + 1) / 3 * 4 * 64 AS BIGINT))) AS i))"
+_RATES = """, n AS (SELECT count(*) FILTER (confusion = 0) AS tn, count(*) FILTER (confusion = 1) AS tp, count(*) FILTER (confusion = 2) AS fp, count(*) FILTER (confusion = 3) AS fn FROM conf)
+, q AS (SELECT *, tp / nullif(tp + fp, 0) AS p, tp / nullif(tp + fn, 0) AS rec FROM n)
+  SELECT tn, tp, fp, fn, round(p, 6) AS precision, round(rec, 6) AS recall, round(tp / nullif(tp + fp + fn, 0), 6) AS iou, round(2 * p * rec / nullif(p + rec, 0), 6) AS f1, round((tp + fp) * 0.01::DOUBLE, 6) AS predicted_ha, round((tp + fn) * 0.01::DOUBLE, 6) AS truth_ha, tp + fn AS support_pixels FROM q"""
 
 ORACLE_SQL = {
     "s1_composite": duckdb(_COMP + _pick("vv_before", "vh_before", "vv_after", "vh_after", of="comp"), "s1_obs"),
@@ -231,10 +250,14 @@ ORACLE_SQL = {
   SELECT period_id, CAST(floor(lab / 48) AS BIGINT) AS comp_r, CAST(lab % 48 AS BIGINT) AS comp_c, pixels, round(area_ha, 6) AS area_ha, round(perim_m, 6) AS perim_m, round(4 * pi() * area_ha * 10000 / pow(greatest(perim_m, 1), 2), 6) AS compactness,
   row_number() OVER (PARTITION BY period_id ORDER BY lab) AS zone_id FROM met WHERE area_ha >= 0.05""", "s1_obs"),
     "confusion_raster": duckdb(_CELLS + f" SELECT period_id, {_RC}, predicted, truth, CAST(confusion AS BIGINT) AS confusion FROM conf", "s1_obs", "truth"),
-    "confusion_metrics": duckdb(
-        _CELLS + """, n AS (SELECT count(*) FILTER (confusion = 0) AS tn, count(*) FILTER (confusion = 1) AS tp, count(*) FILTER (confusion = 2) AS fp, count(*) FILTER (confusion = 3) AS fn FROM conf)
-, q AS (SELECT *, tp / nullif(tp + fp, 0) AS p, tp / nullif(tp + fn, 0) AS rec FROM n)
-  SELECT tn, tp, fp, fn, round(p, 6) AS precision, round(rec, 6) AS recall, round(tp / nullif(tp + fp + fn, 0), 6) AS iou, round(2 * p * rec / nullif(p + rec, 0), 6) AS f1, round((tp + fp) * 0.01::DOUBLE, 6) AS predicted_ha, round((tp + fn) * 0.01::DOUBLE, 6) AS truth_ha, tp + fn AS support_pixels FROM q""", "s1_obs", "truth"),
+    "confusion_metrics": duckdb(_CELLS + _RATES, "s1_obs", "truth"),
+    "aligned_evaluation": duckdb(
+        _COMP + """, pre AS (SELECT r, c, bool_or(candidate) AS predicted FROM test GROUP BY ALL), half AS (SELECT DISTINCT floor(r / 2) AS tr, floor(c / 2) AS tc FROM truth)
+, conf AS (SELECT CASE WHEN predicted AND tr IS NOT NULL THEN 1 WHEN predicted THEN 2 WHEN tr IS NOT NULL THEN 3 ELSE 0 END AS confusion FROM pre LEFT JOIN half ON tr = floor((r + 0.5) / 2) AND tc = floor((c + 0.5) / 2))""" + _RATES, "s1_obs", "truth"),
+    "builtup_pipeline": duckdb(
+        _CAND + _DISKS + f""", big AS (SELECT period_id, r, c FROM labk WHERE (period_id, lab) IN (SELECT (period_id, lab) FROM labk GROUP BY ALL HAVING count(*) >= 4)), g AS ({_dil('big')}), det AS ({_ero('g')})
+, own AS (SELECT coalesce(t.period_id, d.period_id) AS period_id, coalesce(t.r, d.r) AS r, coalesce(t.c, d.c) AS c, ratio_vv, ratio_vh, pvalue, d.r IS NOT NULL AS candidate FROM test t FULL JOIN det d ON t.period_id = d.period_id AND t.r = d.r AND t.c = d.c)"""
+        + _S2 + _FUSED.replace("test.*", "own.*").replace("FROM test ", "FROM own ") + f" SELECT {_RC}, CAST(coalesce(min(CASE WHEN refined THEN CASE period_id WHEN 'p1' THEN 1 ELSE 2 END END), 0) AS BIGINT) AS first_change FROM fus GROUP BY r, c", "s1_obs", "s2_obs"),
     "amplitude_change": duckdb(_COMP + " SELECT period_id, CAST(r AS BIGINT) AS r, CAST(c AS BIGINT) AS c, round(ratio_vv, 6) AS ratio, round(ln(1 + ratio_vv), 6) AS log_ratio, coalesce(ratio_vv >= 1.5 AND ln(1 + ratio_vv) >= 0.9, false) AS candidate FROM test", "s1_obs"),
     "regrid_nearest": duckdb(_SRC + " SELECT period_id, CAST(grid.r AS BIGINT) AS r, CAST(grid.c AS BIGINT) AS c, round(v, 6) AS v FROM grid JOIN src ON src.r = floor((grid.r + 0.5) * 0.75) AND src.c = floor((grid.c + 0.5) * 0.75)", "s1_obs"),
     "regrid_bilinear": duckdb(
