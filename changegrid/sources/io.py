@@ -27,6 +27,11 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MANIFEST).json(path, multiLine=True).select(F.explode("items").alias("item")).select("item.*")
 
 
+def read_items(spark: SparkSession, path: str) -> DataFrame:
+    """Items as ``write_manifest`` leaves them, one a line."""
+    return spark.read.schema(ITEM).json(path)
+
+
 def write_manifest(items: DataFrame, path: str) -> None:
     """One item a line, in order of time, then id."""
     items.orderBy(F.col("datetime").asc_nulls_first(), "id").write.mode("overwrite").json(path)
@@ -45,9 +50,12 @@ def asset_href(assets: Column, *preferred: str) -> Column:
     return first_of(*named, F.get(F.map_values(assets), F.lit(0))["href"])
 
 
-def read_stacks(spark: SparkSession, path: str) -> DataFrame:
-    """Scenes of stack manifests, one a row, with their stack's columns."""
-    stacks = spark.read.schema(STACK).json(path, multiLine=True)
+def read_stacks(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Scenes of stack manifests, one a row, with their stack's id.
+
+    A file holds one stack, or, with ``lines``, one a line as ``write_stacks`` leaves them.
+    """
+    stacks = spark.read.schema(STACK).json(path, multiLine=not lines)
     return stacks.select("stack_id", F.explode("scenes").alias("scene")).select("stack_id", "scene.*")
 
 

@@ -42,6 +42,14 @@ def test_stacks_round_trip(spark, tmp_path):
     assert '"scene_count":2' in spark.read.text(str(tmp_path / "s")).first()[0]
 
 
+def test_several_stacks_in_one_file_are_all_read(spark, tmp_path):
+    names = [f.split(" ")[0] for f in io.SCENE.split(", ")]
+    row = {n: "x" for n in names} | {"relative_orbit": 5}
+    scenes = spark.createDataFrame([(s, *[row[n] for n in names]) for s in ("s", "t", "u")], "stack_id string, " + io.SCENE).coalesce(1)
+    io.write_stacks(scenes, str(tmp_path / "s"))
+    assert {r.stack_id for r in io.read_stacks(spark, str(tmp_path / "s"), lines=True).collect()} == {"s", "t", "u"}
+
+
 def test_vectors_rasters_and_reuse(spark, tmp_path):
     shape = spark.range(1).select(F.lit(1).alias("zone_id"), F.array(rect_ring(F.lit(0), F.lit(0), F.lit(1), F.lit(1))).alias("rings"))
     io.write_vector(shape, str(tmp_path / "z.geojson"))

@@ -385,3 +385,58 @@ def test_builtup_pipeline_resumes_from_whole_artifacts(spark, tmp_path):
     assert again["polygons"].first().area_ha == area
     now = {p.parent.name: p.stat().st_mtime_ns for p in (tmp_path / "run").glob("*/_SUCCESS")}
     assert {n for n in now if now[n] != stamps[n]} == {"zones"}
+
+
+def _clipped(subject, clip):
+    """Area of a convex polygon cut by another (both counterclockwise), half plane by half plane."""
+    for (ax, ay), (bx, by) in zip(clip, [*clip[1:], clip[0]], strict=True):
+        side = [(bx - ax) * (y - ay) - (by - ay) * (x - ax) for x, y in subject]
+        cut = []
+        for i, (x, y) in enumerate(subject):
+            j = i - 1
+            if side[i] * side[j] < 0:
+                t = side[j] / (side[j] - side[i])
+                cut.append((subject[j][0] + t * (x - subject[j][0]), subject[j][1] + t * (y - subject[j][1])))
+            if side[i] >= 0:
+                cut.append((x, y))
+        subject = cut
+        if not subject:
+            return 0.0
+    return abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(subject, [*subject[1:], subject[0]], strict=True))) / 2
+
+
+def test_overlap_of_concave_polygons_against_clipped_triangles(spark):
+    rng = random.Random(5)
+    rows, want = [], []
+
+    def arrow():
+        """A dart: two triangles on one axis, its ring clockwise or not, at the coordinates of a projected grid."""
+        x, y, w, h = rng.randint(0, 30), rng.randint(0, 30), rng.randint(5, 30), rng.randint(5, 30)
+        tip, low, notch, top = (x + w, y), (x - w, y - h), (x - w / 2, y), (x - w, y + h)
+        ring = [tip, top, notch, low, tip]
+        return (ring if rng.random() < 0.5 else ring[::-1]), [[tip, top, notch], [tip, notch, low]]
+
+    for _ in range(60):
+        (a, parts), (b, others) = arrow(), arrow()
+        rows.append(tuple([[{"x": 500000.0 + x, "y": 3000000.0 + y} for x, y in ring]] for ring in (a, b)))
+        want.append(sum(_clipped(p, q) for p in parts for q in others))
+    kind = "array<array<struct<x: double, y: double>>>"
+    got = [r.v for r in spark.createDataFrame(rows, f"a {kind}, b {kind}").select(X.overlap_area(F.col("a"), F.col("b")).alias("v")).collect()]
+    assert sum(w > 0 for w in want) > 20
+    assert all(abs(g - w) < 1e-6 for g, w in zip(got, want, strict=True))
+
+
+def test_overlap_leaves_out_holes(spark):
+    ring = lambda a, b: X.rect_ring(*[F.lit(float(v)) for v in (a, a, b, b)])
+    shapes = spark.range(1).select(F.array(ring(0, 10), ring(2, 4)).alias("rings"))
+    row = X.evaluate_polygons(shapes, spark.range(1).select(F.array(ring(3, 12)).alias("rings"))).first()
+    assert (row.predicted_area, row.reference_area, row.intersection_area) == (96.0, 81.0, 48.0)
+    none = X.evaluate_polygons(shapes.limit(0), shapes.limit(0)).first()
+    assert (none.intersection_area, none.iou) == (0.0, None)
+
+
+def test_truth_on_a_wider_grid_is_aligned(spark):
+    predicted = spark.createDataFrame([(r, c, r < 2) for r in range(4) for c in range(4)], "r int, c int, predicted boolean")
+    truth = spark.createDataFrame([(0, 0, True), (5, 5, True)], "r int, c int, truth boolean")
+    row = evaluate_builtup(predicted, truth, scale=0.5)["metrics"].first()
+    assert (row.tp, row.fp, row.fn, row.tn) == (4, 4, 0, 8)
