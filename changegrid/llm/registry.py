@@ -7,6 +7,7 @@ from changegrid.llm.chat import OP3_SQL, op3_chat_format
 from changegrid.llm.decontaminate import op9_decontamination
 from changegrid.llm.langid import op4_language_id
 from changegrid.llm.mixing import op5_pareto_mixing
+from changegrid.llm.periodic import op11_periodic_runs
 from changegrid.llm.quality import op10_quality
 from changegrid.llm.resample import OP13_SQL, op13_importance_resampling
 from changegrid.llm.secrets import op7_secret_scan
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_simhash_near_dup": op8_simhash_near_dup,
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_byte_bpe": op12_byte_bpe,
     "op13_importance_resampling": op13_importance_resampling,
 }
