@@ -150,7 +150,10 @@ def classify(points: DataFrame, by: list[str], sigma: float = Psi.sigma_multipli
     return out.withColumn("cdpsi_class", F.when(e & ~v, "emergence_candidate").when(v & ~e, "vanishment_candidate").when(e & v, "ambiguous_change").otherwise("stable"))
 
 
-def emergence_points(classified: DataFrame) -> DataFrame:
-    """One emergence candidate a pixel: the largest index, then the earliest break."""
-    order = Window.partitionBy(*KEY).orderBy(F.desc("ci_emergence"), F.asc("break_before"), F.asc("break_after"))
+def emergence_points(classified: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """One emergence candidate a pixel of each stack: the largest index, then the earliest break.
+
+    Pixel keys of different stacks are unrelated, so ``by`` must name the stack wherever there may be several.
+    """
+    order = Window.partitionBy(*(by or []), *KEY).orderBy(F.desc("ci_emergence"), F.asc("break_before"), F.asc("break_after"))
     return classified.where("cdpsi_class = 'emergence_candidate'").withColumn("rank", F.row_number().over(order)).where("rank = 1").drop("rank")

@@ -110,7 +110,7 @@ def run_psi(points: DataFrame, breaks: DataFrame, evidence: DataFrame | None = N
     change = stage(S.classify(S.change_indices(matched), keys, cfg.sigma_multiplier), "psi-change")
     if change.isEmpty():
         raise ValueError("no pixel is in all three point tables of any break")
-    emergence = stage(S.emergence_points(change), "psi-emergence")
+    emergence = stage(S.emergence_points(change, ["stack_id"]), "psi-emergence")
     own = emergence.withColumn("key", F.concat_ws("/", "stack_id", F.col("point_id").cast("string")))
     kinds = ("amplitude_support", "optical_support", "optical_reliable", "context_support")
     flagged = own.withColumns({k: F.lit(False) for k in kinds}) if evidence is None else X.evidence_flags(own, evidence, "key")

@@ -119,6 +119,35 @@ def fused_points(spark, d) -> DataFrame:
     return run_psi(points, breaks, kinds_of_rects(spark, d), Psi(sigma_multiplier=1.0, cluster_buffer_m=10.0))["points"]
 
 
+#: Stacks over one ground: id, factor of the emergence index, what is added to it on some pixels, the pixels seen, shift of x.
+#: All have the same pixel keys and point ids, which mean other scatterers in each.
+LOOKS = (("asc0", 1.0, "0", "true", 0), ("desc1", 0.9, "CASE WHEN (azimuth_index + 2 * range_index) % 31 = 0 THEN CAST(0.5 AS DOUBLE) ELSE 0 END", "true", 3), ("asc4", 1.1, "0", "range_index % 2 = 0", 5))
+
+
+def looked(spark, d) -> DataFrame:
+    """``psi_points`` as each stack sees them: ``stack_id``, ``shift`` and the stack's own ``tc_b``."""
+    p, out = view(spark, d, "psi_points"), None
+    for name, factor, more, seen, shift in LOOKS:
+        tc_b = F.col("tc_c") + (F.col("tc_b") - F.col("tc_c")) * factor + F.expr(more)
+        part = p.where(seen).select("point_id", *S.KEY, "tc_c", "tc_f", tc_b.alias("tc_b"), F.lit(name).alias("stack_id"), F.lit(shift).alias("shift"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def fused_stacks(spark, d) -> dict[str, DataFrame]:
+    """The point pipeline over all stacks at once, each with its own breaks and subsets."""
+    points, plan = looked(spark, d), []
+    held = [(F.lit(None).cast("string"), F.col("tc_c"))]
+    for b in range(len(BREAKS)):
+        by = F.when(F.col("azimuth_index") % 2 == 1, 0.8).otherwise(1.25) if b == 1 else F.lit(1.0)
+        held += [(F.concat("stack_id", F.lit(f"/front{b}")), F.col("tc_f")), (F.concat("stack_id", F.lit(f"/back{b}")), F.col("tc_c") + (F.col("tc_b") - F.col("tc_c")) * by)]
+        plan += [(name, f"{name}/front{b}", f"{name}/back{b}", BREAKS[b], "2023-10-16") for name, *_ in LOOKS]
+    each = F.explode(F.array(*[F.struct(name.alias("subset_id"), tc.alias("temporal_coherence")) for name, tc in held])).alias("e")
+    points = points.select("stack_id", "point_id", *S.KEY, (F.col("range_index") * 20.0 + F.col("shift")).alias("x"), (F.col("azimuth_index") * 20.0).alias("y"), each).select("*", "e.*").drop("e")
+    breaks = spark.createDataFrame(plan, "stack_id string, front_id string, back_id string, break_after string, break_before string")
+    return run_psi(points, breaks, kinds_of_rects(spark, d), Psi(sigma_multiplier=1.0, cluster_buffer_m=10.0))
+
+
 def lonlat(spark, d):
     """Points dealt over the globe, from the events."""
     p = view(spark, d, "points_xy")
@@ -172,6 +201,8 @@ QUERIES = {
     "polygon_overlap": lambda s, d: rounded(X.evaluate_polygons(diamonds(s, d, 70, True), diamonds(s, d))),
     "points_in_polygons": lambda s, d: X.points_in_rings(view(s, d, "points_xy"), diamonds(s, d).select("rect_id", F.col("rings")[0].alias("ring"))).select("point_id", "rect_id"),
     "psi_pipeline": lambda s, d: rounded(fused_points(s, d).select("key", "break_after", "confidence_score", "confidence_class", "cluster_id")),
+    "stacks_emergence": lambda s, d: rounded(fused_stacks(s, d)["emergence"].select("stack_id", *S.KEY, "ci_emergence", "break_after")),
+    "stacks_pipeline": lambda s, d: rounded(fused_stacks(s, d)["points"].select("key", "break_after", "confidence_score", "confidence_class", "cluster_id")),
     "ring_measures": lambda s, d: rounded(view(s, d, "rects").select("rect_id", X.ring_area(ring := X.rect_ring(*[F.col(c) for c in ("x0", "y0", "x1", "y1")])).alias("area"), X.ring_length(ring).alias("length"))),
     "points_in_rings": lambda s, d: X.points_in_rings(view(s, d, "points_xy"), view(s, d, "rects").select("rect_id", X.rect_ring(*[F.col(c) for c in ("x0", "y0", "x1", "y1")]).alias("ring"))).select("point_id", "rect_id"),
     "utm_zone": lambda s, d: rounded(lonlat(s, d).select("point_id", geo.utm_zone(F.col("lon")).alias("zone"), geo.metric_crs(F.col("lon"), F.col("lat")).alias("crs"))),
@@ -210,6 +241,17 @@ _CLASS = _CI3 + _fit("emg", "e") + _fit("van", "v") + """, cls AS (SELECT ci.*,
 _KEYS = "CAST(azimuth_index AS BIGINT) AS azimuth_index, CAST(range_index AS BIGINT) AS range_index"
 
 
+def _of_stack(look: tuple) -> str:
+    """Emergence points of one stack, taken alone: a whole query, so that several can be joined by UNION ALL."""
+    name, factor, more, seen, shift = look
+    own = _CLASS.replace("FROM psi_points p,", f"FROM (SELECT * REPLACE (tc_c + (tc_b - tc_c) * {factor}::DOUBLE + {more} AS tc_b) FROM psi_points WHERE {seen}) p,").replace("p.azimuth_index,", "p.point_id, p.azimuth_index,", 1)
+    pick = "SELECT *, row_number() OVER (PARTITION BY azimuth_index, range_index ORDER BY emg DESC, break_after) AS place FROM cls WHERE e AND NOT v"
+    return f"SELECT '{name}' AS stack_id, point_id, azimuth_index, range_index, emg, break_after, {shift} AS shift FROM (WITH {own.lstrip(', ')} {pick}) WHERE place = 1"
+
+
+_STACKS_EMG = ", emg AS (" + "\nUNION ALL ".join(map(_of_stack, LOOKS)) + ")"
+
+
 def _cluster(src: str, step: int) -> str:
     """Smallest ``point_id`` of ``src`` reachable by steps of at most ``step``: definitions up to ``clu``."""
     return f""", cel AS (SELECT point_id, x, y, CAST(floor(x / {step}) AS INT) AS cx, CAST(floor(y / {step}) AS INT) AS cy FROM {src})
@@ -292,6 +334,10 @@ ORACLE_SQL = {
         _CLASS.replace("(p.tc_b - p.tc_c) * CASE", "p.point_id, p.tc_c + (p.tc_b - p.tc_c) * CASE").replace("END AS emg", "END - p.tc_c AS emg")
         + ", top AS (SELECT azimuth_index, range_index, max(emg) AS top FROM cls WHERE e AND NOT v GROUP BY ALL), emp AS (SELECT 'asc0/' || CAST(point_id AS VARCHAR) AS point_id, range_index * 20.0::DOUBLE AS x, azimuth_index * 20.0::DOUBLE AS y, min(break_after) AS break_after FROM top JOIN cls USING (azimuth_index, range_index) WHERE e AND NOT v AND emg = top GROUP BY ALL)"
         + _evidence("emp") + _cluster("emp", 20) + " SELECT point_id AS key, break_after, round(s, 6) AS confidence_score, CASE WHEN s >= 0.7 THEN 'high' WHEN s >= 0.45 THEN 'medium' ELSE 'low' END AS confidence_class, cluster_id FROM conf JOIN clu USING (point_id) JOIN emp USING (point_id)", "psi_points", "rects"),
+    "stacks_emergence": duckdb(_STACKS_EMG + f" SELECT stack_id, {_KEYS}, round(emg, 6) AS ci_emergence, break_after FROM emg", "psi_points"),
+    "stacks_pipeline": duckdb(
+        _STACKS_EMG + ", emp AS (SELECT stack_id || '/' || CAST(point_id AS VARCHAR) AS point_id, range_index * 20.0::DOUBLE + shift AS x, azimuth_index * 20.0::DOUBLE AS y, break_after FROM emg)"
+        + _evidence("emp") + _cluster("emp", 20) + " SELECT point_id AS key, break_after, round(s, 6) AS confidence_score, CASE WHEN s >= 0.7 THEN 'high' WHEN s >= 0.45 THEN 'medium' ELSE 'low' END AS confidence_class, cluster_id FROM conf JOIN clu USING (point_id) JOIN emp USING (point_id)", "psi_points", "rects"),
     "ring_measures": duckdb(" SELECT rect_id, round((x1 - x0) * (y1 - y0), 6) AS area, round(2 * (x1 - x0 + y1 - y0), 6) AS length FROM rects", "rects"),
     "points_in_rings": duckdb(" SELECT point_id, rect_id FROM points_xy JOIN rects ON x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1", "points_xy", "rects"),
     "utm_zone": duckdb(_LL + " SELECT point_id, CAST(zone AS BIGINT) AS zone, 'EPSG:' || CASE WHEN lat <= -80 OR lat >= 84 THEN '3857' ELSE CAST(CASE WHEN lat >= 0 THEN 32600 ELSE 32700 END + zone AS VARCHAR) END AS crs FROM zn", "points_xy"),
