@@ -216,21 +216,26 @@ def overlap_area(rings: Column, others: Column) -> Column:
     return F.aggregate(own, F.lit(0.0), lambda acc, e: acc + F.aggregate(their, F.lit(0.0), lambda inner, f: inner + shared(e, f)))
 
 
-def _meeting(predicted: DataFrame, reference: DataFrame, cell: float, more: tuple[str, ...] = ()) -> DataFrame:
-    """Pairs of rows whose boxes overlap, columns prefixed p and q; a pair meets in the first cell it shares, of the larger one's size."""
-    levels = sorted({*_levels(predicted, cell), *_levels(reference, cell)}) or [0]
+def near_pairs(left: DataFrame, right: DataFrame, cell: float = 500.0, by: list[str] | None = None, touch: bool = True) -> DataFrame:
+    """Pairs of rows whose boxes ``(x0, y0, x1, y1)`` overlap or, with ``touch``, meet; columns prefixed p and q, but ``by``.
+
+    Boxes are dealt to cells of their own size (``cell``, doubled), four at most, and to those of larger ones that
+    occur; a pair meets in the first cell it shares, of the larger one's size.  ``by``: columns that must be equal.
+    """
+    by = by or []
+    levels = sorted({*_levels(left, cell), *_levels(right, cell)}) or [0]
     size = F.lit(cell) * F.pow(F.lit(2.0), F.col("level"))
 
     def dealt(df: DataFrame, p: str) -> DataFrame:
         """Each box's cells at its own level and at those above, where it meets larger ones."""
-        own = df.select(*[F.col(c).alias(f"{p}{c}") for c in ("x0", "y0", "x1", "y1", *more)], _level(cell).alias(f"{p}l"))
+        own = df.select(*by, *[F.col(c).alias(f"{p}{c}") for c in df.columns if c not in by], _level(cell).alias(f"{p}l"))
         out = own.withColumn("level", F.explode(F.array(*map(F.lit, levels)))).where(F.col("level") >= F.col(f"{p}l"))
         return out.withColumn("cx", F.explode(_cells(F.col(f"{p}x0"), F.col(f"{p}x1"), size))).withColumn("cy", F.explode(_cells(F.col(f"{p}y0"), F.col(f"{p}y1"), size)))
 
-    left, low = F.greatest("px0", "qx0"), F.greatest("py0", "qy0")
-    first = (F.col("level") == F.greatest("pl", "ql")) & (F.col("cx") == F.floor(left / size)) & (F.col("cy") == F.floor(low / size))
-    overlap = (F.least("px1", "qx1") > left) & (F.least("py1", "qy1") > low)
-    return dealt(predicted, "p").join(dealt(reference, "q"), ["level", "cx", "cy"]).where(overlap & first)
+    low, high = [F.greatest(f"p{a}0", f"q{a}0") for a in "xy"], [F.least(f"p{a}1", f"q{a}1") for a in "xy"]
+    first = (F.col("level") == F.greatest("pl", "ql")) & (F.col("cx") == F.floor(low[0] / size)) & (F.col("cy") == F.floor(low[1] / size))
+    meet = [h >= n if touch else h > n for n, h in zip(low, high, strict=True)]
+    return dealt(left, "p").join(dealt(right, "q"), [*by, "level", "cx", "cy"]).where(meet[0] & meet[1] & first).drop("level", "cx", "cy", "pl", "ql")
 
 
 def _areas(predicted: DataFrame, reference: DataFrame, met: DataFrame, area: Column, shared: Column) -> DataFrame:
@@ -242,8 +247,9 @@ def _areas(predicted: DataFrame, reference: DataFrame, met: DataFrame, area: Col
 
 def evaluate_rects(predicted: DataFrame, reference: DataFrame, cell: float = 500.0) -> DataFrame:
     """Areas, summed pairwise overlap and IoU of two sets of rectangles."""
+    box = ("x0", "y0", "x1", "y1")
     shared = (F.least("px1", "qx1") - F.greatest("px0", "qx0")) * (F.least("py1", "qy1") - F.greatest("py0", "qy0"))
-    return _areas(predicted, reference, _meeting(predicted, reference, cell), (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0")), shared)
+    return _areas(predicted, reference, near_pairs(predicted.select(*box), reference.select(*box), cell, touch=False), (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0")), shared)
 
 
 def evaluate_polygons(predicted: DataFrame, reference: DataFrame, cell: float = 500.0) -> DataFrame:
@@ -254,5 +260,5 @@ def evaluate_polygons(predicted: DataFrame, reference: DataFrame, cell: float =
         return df.select("rings", *[f(outer[axis]).alias(f"{axis}{n}") for axis in "xy" for n, f in ((0, F.array_min), (1, F.array_max))])
 
     p, q = boxed(predicted), boxed(reference)
-    met = _meeting(p, q, cell, ("rings",))
+    met = near_pairs(p, q, cell, touch=False)
     return _areas(p, q, met, polygon_area(F.col("rings")), overlap_area(F.col("prings"), F.col("qrings")))

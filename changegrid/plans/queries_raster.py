@@ -10,6 +10,7 @@ from changegrid.operators import grid as G
 from changegrid.operators import neighborhood as N
 from changegrid.operators import pixels as P
 from changegrid.operators import raster as R
+from changegrid.operators import spatial as X
 from changegrid.operators import zones as Z
 from changegrid.plans.fixtures import LAST_ROW, duckdb, grid_rows, view
 from changegrid.plans.pipelines import BuiltUp, evaluate_builtup, run_builtup
@@ -86,6 +87,17 @@ def outlines(spark, d):
     return found.select(*BY, "comp_r", "comp_c", "wkt", F.size("rings").alias("n_rings"), "n_vertices", "simplified_area_ha", "simplified_perim_m")
 
 
+def traced(spark, d):
+    """Zones as traced, without simplification: measures taken from the text of the polygons."""
+    found = Z.zone_outlines(stage(zone_labels(spark, d), "query-traced"), tolerance_m=0.0, keys=BY)
+    ring = F.explode(F.split(F.regexp_extract("wkt", r"\(\((.*)\)\)", 1), r"\), \(")).alias("ring")
+    pair = lambda p: F.struct(*[F.split_part(p, F.lit(" "), F.lit(i + 1)).cast("double").alias(a) for i, a in enumerate("xy")])
+    rings = found.select(*BY, "comp_r", "comp_c", ring).withColumn("ring", F.transform(F.split("ring", ", "), pair))
+    measured = rings.select(*BY, "comp_r", "comp_c", F.size("ring").alias("k"), X.ring_area(F.col("ring")).alias("area"), X.ring_length(F.col("ring")).alias("length"))
+    whole = measured.groupBy(*BY, "comp_r", "comp_c").agg(F.count("*").alias("n_rings"), F.sum(F.col("k") - 1).alias("corners"), (2 * F.max("area") - F.sum("area")).alias("area_m2"), F.sum("length").alias("perim_m"))
+    return whole
+
+
 def zones_kept(spark, d):
     return Z.keep_zones(Z.zone_metrics(stage(zone_labels(spark, d), "query-zone-labels"), keys=BY), keys=BY)
 
@@ -132,6 +144,7 @@ QUERIES = {
     "zones": lambda s, d: rounded(zone_labels(s, d)),
     "zone_metrics": lambda s, d: rounded(zones_kept(s, d)),
     "zone_rings": outlines,
+    "zone_traces": lambda s, d: rounded(traced(s, d)),
     "confusion_raster": lambda s, d: rounded(truth_cells(s, d)),
     "confusion_metrics": lambda s, d: rounded(R.confusion_metrics(truth_cells(s, d))),
     "aligned_evaluation": lambda s, d: rounded(aligned(s, d)),
@@ -249,6 +262,14 @@ ORACLE_SQL = {
 , met AS (SELECT period_id, lab, pixels, pixels * CAST(0.01 AS DOUBLE) AS area_ha, (4 * pixels - 2 * coalesce(n, 0)) * CAST(10 AS DOUBLE) AS perim_m FROM size LEFT JOIN shared USING (period_id, lab))
   SELECT period_id, CAST(floor(lab / 48) AS BIGINT) AS comp_r, CAST(lab % 48 AS BIGINT) AS comp_c, pixels, round(area_ha, 6) AS area_ha, round(perim_m, 6) AS perim_m, round(4 * pi() * area_ha * 10000 / pow(greatest(perim_m, 1), 2), 6) AS compactness,
   row_number() OVER (PARTITION BY period_id ORDER BY lab) AS zone_id FROM met WHERE area_ha >= 0.05""", "s1_obs"),
+    # every corner of a border is a 2 x 2 window with one, two opposite or three pixels of the zone; the Euler number of a
+    # 4-connected zone, counted from the same windows, is 1 less its holes
+    "zone_traces": duckdb(
+        _LABELLED + """, win AS (SELECT period_id, lab, r + a AS wr, c + b AS wc, sum(1) AS n, sum(a * b + (1 - a) * (1 - b)) AS diag FROM labzone, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) o(a, b) GROUP BY ALL)
+, kind AS (SELECT period_id, lab, count(*) FILTER (n = 1) AS q1, count(*) FILTER (n = 3) AS q3, count(*) FILTER (n = 2 AND diag <> 1) AS qd FROM win GROUP BY ALL)
+, size AS (SELECT period_id, lab, count(*) AS pixels FROM labzone GROUP BY ALL), shared AS (SELECT x.period_id, x.lab, count(*) AS n FROM labzone x JOIN labzone y ON x.period_id = y.period_id AND x.lab = y.lab AND ((y.r = x.r + 1 AND y.c = x.c) OR (y.r = x.r AND y.c = x.c + 1)) GROUP BY ALL)
+  SELECT period_id, CAST(floor(lab / 48) AS BIGINT) AS comp_r, CAST(lab % 48 AS BIGINT) AS comp_c, CAST(2 - (q1 - q3 + 2 * qd) / 4 AS BIGINT) AS n_rings, CAST(q1 + q3 + 2 * qd AS BIGINT) AS corners,
+    pixels * CAST(100 AS DOUBLE) AS area_m2, (4 * pixels - 2 * coalesce(n, 0)) * CAST(10 AS DOUBLE) AS perim_m FROM kind JOIN size USING (period_id, lab) LEFT JOIN shared USING (period_id, lab)""", "s1_obs"),
     "confusion_raster": duckdb(_CELLS + f" SELECT period_id, {_RC}, predicted, truth, CAST(confusion AS BIGINT) AS confusion FROM conf", "s1_obs", "truth"),
     "confusion_metrics": duckdb(_CELLS + _RATES, "s1_obs", "truth"),
     "aligned_evaluation": duckdb(
