@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changegrid.config import ChangeTest, Cleaning, Fusion, Optical, Psi, ZoneShape
+from changegrid.operators import discs as D
 from changegrid.operators import grid as G
 from changegrid.operators import psi as S
 from changegrid.operators import raster as R
@@ -89,8 +90,8 @@ def run_builtup(radar: DataFrame, optical: DataFrame | None, cfg: BuiltUp, stop_
     return out
 
 
-def run_psi(points: DataFrame, breaks: DataFrame, evidence: DataFrame | None = None, cfg: Psi = Psi(), fusion: Fusion = Fusion()) -> dict[str, DataFrame]:
-    """Point tables of all stacks and subsets to fused clusters.
+def run_psi(points: DataFrame, breaks: DataFrame, evidence: DataFrame | None = None, cfg: Psi = Psi(), fusion: Fusion = Fusion(), outlines: bool = True) -> dict[str, DataFrame]:
+    """Point tables of all stacks and subsets to fused clusters; with ``outlines``, their polygons get rings, area and perimeter.
 
     ``points``: ``(stack_id, subset_id, point_id, azimuth_index, range_index, temporal_coherence, x, y)``, where
     ``subset_id`` is NULL for the complete stack.  ``breaks``: as ``psi.plan_breaks``.  All breaks run at
@@ -117,6 +118,8 @@ def run_psi(points: DataFrame, breaks: DataFrame, evidence: DataFrame | None = N
     scored = stage(X.confidence(flagged, fusion), "psi-scored")
     clustered = stage(X.cluster_points(scored, cfg.cluster_buffer_m, "key"), "psi-clusters")
     stats = X.cluster_stats(clustered, fusion)
+    if outlines:
+        stats = stats.join(D.disc_unions(clustered, cfg.cluster_buffer_m, ["cluster_id"]), "cluster_id")
     summary = clustered.agg(F.count("*").alias("points"), F.count_distinct("cluster_id").alias("polygons"), F.array_sort(F.collect_set("stack_id")).alias("stacks"))
     return {"change": change, "emergence": emergence, "points": clustered, "polygons": stats, "summary": summary}
 

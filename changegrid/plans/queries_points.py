@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from changegrid.config import Psi
 from changegrid.functions import geo
 from changegrid.operators import catalog as C
+from changegrid.operators import discs as D
 from changegrid.operators import psi as S
 from changegrid.operators import spatial as X
 from changegrid.plans.fixtures import duckdb, view
@@ -116,7 +117,7 @@ def fused_points(spark, d) -> DataFrame:
     each = F.explode(F.array(*[F.struct(name.alias("subset_id"), tc.alias("temporal_coherence")) for name, tc in held])).alias("e")
     points = p.select(F.lit("asc0").alias("stack_id"), "point_id", *S.KEY, (F.col("range_index") * 20.0).alias("x"), (F.col("azimuth_index") * 20.0).alias("y"), each).select("*", "e.*").drop("e")
     breaks = spark.createDataFrame([("asc0", f"front{b}", f"back{b}", day, "2023-10-16") for b, day in enumerate(BREAKS)], "stack_id string, front_id string, back_id string, break_after string, break_before string")
-    return run_psi(points, breaks, kinds_of_rects(spark, d), Psi(sigma_multiplier=1.0, cluster_buffer_m=10.0))["points"]
+    return run_psi(points, breaks, kinds_of_rects(spark, d), Psi(sigma_multiplier=1.0, cluster_buffer_m=10.0), outlines=False)["points"]
 
 
 #: Stacks over one ground: id, factor of the emergence index, what is added to it on some pixels, the pixels seen, shift of x.
@@ -145,7 +146,7 @@ def fused_stacks(spark, d) -> dict[str, DataFrame]:
     each = F.explode(F.array(*[F.struct(name.alias("subset_id"), tc.alias("temporal_coherence")) for name, tc in held])).alias("e")
     points = points.select("stack_id", "point_id", *S.KEY, (F.col("range_index") * 20.0 + F.col("shift")).alias("x"), (F.col("azimuth_index") * 20.0).alias("y"), each).select("*", "e.*").drop("e")
     breaks = spark.createDataFrame(plan, "stack_id string, front_id string, back_id string, break_after string, break_before string")
-    return run_psi(points, breaks, kinds_of_rects(spark, d), Psi(sigma_multiplier=1.0, cluster_buffer_m=10.0))
+    return run_psi(points, breaks, kinds_of_rects(spark, d), Psi(sigma_multiplier=1.0, cluster_buffer_m=10.0), outlines=False)
 
 
 def lonlat(spark, d):
@@ -194,6 +195,7 @@ QUERIES = {
     "evidence_flags": lambda s, d: evidence(s, d).select("point_id", "amplitude_support", "optical_support", "optical_reliable", "context_support"),
     "confidence": lambda s, d: rounded(X.confidence(evidence(s, d)).select("point_id", "confidence_score", "confidence_class")),
     "point_clusters": lambda s, d: X.cluster_points(view(s, d, "points_xy"), 12.0).select("point_id", "cluster_id"),
+    "cluster_outlines": lambda s, d: rounded(D.disc_unions(X.cluster_points(view(s, d, "points_xy"), 12.0), 12.0, ["cluster_id"]).select("cluster_id", "area", "perimeter"), 3),
     "cluster_stats": lambda s, d: rounded(X.cluster_stats(X.cluster_points(X.confidence(evidence(s, d)), 12.0)).select("cluster_id", "point_count", "mean_confidence", "confidence_class")),
     "parcel_summary": lambda s, d: X.parcel_summary(view(s, d, "points_xy"), view(s, d, "rects")).select("rect_id", "point_count"),
     "point_evaluation": lambda s, d: rounded(X.evaluate_points(view(s, d, "points_xy"), view(s, d, "rects"))),
@@ -314,6 +316,13 @@ ORACLE_SQL = {
     "evidence_flags": duckdb(_EV + " SELECT point_id, amplitude_support, optical_support, optical_reliable, context_support FROM ev", "points_xy", "rects"),
     "confidence": duckdb(_EV + " SELECT point_id, round(s, 6) AS confidence_score, CASE WHEN s >= 0.7 THEN 'high' WHEN s >= 0.45 THEN 'medium' ELSE 'low' END AS confidence_class FROM conf", "points_xy", "rects"),
     "point_clusters": duckdb(_CLUSTER + " SELECT point_id, cluster_id FROM clu", "points_xy"),
+    # a disc's share: the circle's uncovered angles, as differences of running maxima, and the triangles under them
+    "cluster_outlines": duckdb(
+        _CLUSTER + """, dsk AS (SELECT DISTINCT cluster_id, x, y FROM clu JOIN points_xy USING (point_id)), cov AS (SELECT a.*, atan2(b.y - a.y, b.x - a.x) - acos(sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2) / 24) AS lo, 2 * acos(sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2) / 24) AS w
+    FROM dsk a JOIN dsk b ON a.cluster_id = b.cluster_id AND (a.x <> b.x OR a.y <> b.y) AND (a.x - b.x) ** 2 + (a.y - b.y) ** 2 < 576)
+  , pos AS (SELECT * REPLACE (CASE WHEN lo < 0 THEN lo + 2 * pi() ELSE lo END AS lo) FROM cov), seg AS (SELECT cluster_id, x, y, lo, least(lo + w, 2 * pi()) AS hi FROM pos UNION ALL SELECT cluster_id, x, y, 0, lo + w - 2 * pi() FROM pos WHERE lo + w > 2 * pi() UNION ALL SELECT cluster_id, x, y, 2 * pi(), 2 * pi() FROM dsk)
+  , gap AS (SELECT *, coalesce(max(hi) OVER (PARTITION BY cluster_id, x, y ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS g FROM seg)
+  SELECT cluster_id, round(sum(72 * (lo - g) + 6 * (x * (sin(lo) - sin(g)) - y * (cos(lo) - cos(g)))), 3) AS area, round(sum(12 * (lo - g)), 3) AS perimeter FROM gap WHERE lo > g GROUP BY 1""", "points_xy"),
     "cluster_stats": duckdb(_EV + _CLUSTER + " SELECT cluster_id, count(*) AS point_count, round(avg(s), 6) AS mean_confidence, CASE WHEN avg(s) >= 0.7 THEN 'high' WHEN avg(s) >= 0.45 THEN 'medium' ELSE 'low' END AS confidence_class FROM conf JOIN clu USING (point_id) GROUP BY 1", "points_xy", "rects"),
     "parcel_summary": duckdb(" SELECT rect_id, count(point_id) AS point_count FROM rects LEFT JOIN points_xy ON x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1 GROUP BY 1", "points_xy", "rects"),
     "point_evaluation": duckdb(
