@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from changegrid.operators.cells import near_pairs
+from changegrid.operators.polygons import polygons_meet
+from changegrid.operators.spatial import rect_ring
+from changegrid.sources.staging import stage
+
 
 def normalize(token: Column) -> Column:
     """Lower case without - and _; NULL becomes ''."""
@@ -17,17 +22,19 @@ def first_of(properties: Column, *names: str) -> Column:
 
 
 def meets_area(scenes: DataFrame, areas: DataFrame) -> DataFrame:
-    """Scenes whose box (``x0, y0, x1, y1``, degrees) meets any of the areas' boxes, borders too, once each.
+    """Scenes that meet any of the areas, borders too, once each.
 
-    Boxes are filed under whole-degree cells of CELL degrees, so it is an equi-join with an exact test behind.
+    Either side has polygons (``rings``) or boxes (``x0, y0, x1, y1``, degrees).  Boxes meet in cells of their own
+    size; where there are rings, their edges do, or one shape holds the other.
     """
-
-    def filed(df: DataFrame, p: str) -> DataFrame:
-        cells = lambda lo, hi: F.explode(F.sequence(F.floor(F.col(lo) / CELL), F.floor(F.col(hi) / CELL)))
-        return df.select(*[F.col(c).alias(f"_{p}{c}") for c in ("x0", "y0", "x1", "y1")], *([] if p == "a" else [F.col("scene_id").alias("_scene")])).withColumn("_cx", cells(f"_{p}x0", f"_{p}x1")).withColumn("_cy", cells(f"_{p}y0", f"_{p}y1"))
-
-    met = filed(scenes, "s").join(filed(areas, "a"), ["_cx", "_cy"])
-    met = met.where("_sx0 <= _ax1 AND _sx1 >= _ax0 AND _sy0 <= _ay1 AND _sy1 >= _ay0").select("_scene").distinct()
+    if "rings" not in areas.columns and "rings" not in scenes.columns:
+        box = ("x0", "y0", "x1", "y1")
+        met = near_pairs(scenes.select("scene_id", *box), areas.select(*box), CELL).select(F.col("pscene_id").alias("_scene")).distinct()
+    else:
+        shape = lambda df: df if "rings" in df.columns else df.withColumn("rings", F.array(rect_ring(*[F.col(c) for c in ("x0", "y0", "x1", "y1")])))
+        held = stage(stage(shape(areas).select("rings"), "areas").withColumn("_area", F.monotonically_increasing_id()), "area-ids")
+        own = stage(shape(scenes).select(F.col("scene_id").alias("_scene"), "rings"), "scene-shapes")
+        met = polygons_meet(own, held, "_scene", "_area", CELL).select("_scene").distinct()
     return scenes.join(met, F.col("scene_id") == F.col("_scene"), "left_semi")
 
 

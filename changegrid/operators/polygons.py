@@ -12,8 +12,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from changegrid.operators.cells import near_pairs
 from changegrid.operators.chains import rank_cycles
-from changegrid.operators.spatial import near_pairs
 from changegrid.sources.staging import stage
 
 #: A polygon of more edges than FEW is covered by cells of a SIDE-th of its size; slabs hold about PER_SLAB edges, SLABS at most.

@@ -10,25 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changegrid.config import Fusion
+from changegrid.operators.cells import cells_of, level_of, levels_of, near_pairs
 from changegrid.operators.components import connected_components
+from changegrid.operators.polygons import shared_areas, spots_in_polygons
 from changegrid.sources.staging import stage
 
 
-def _cells(lo: Column, hi: Column, size: Column) -> Column:
-    return F.sequence(F.floor(lo / size), F.floor(hi / size))
-
-
-def _level(cell: float) -> Column:
-    """Doublings of ``cell`` until a cell is no smaller than the rectangle, so that it lies in four cells at most."""
-    side = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
-    return F.greatest(F.lit(0), F.least(F.lit(60), F.ceil(F.log2(side / cell)))).cast("int")
-
-
-def _levels(rects: DataFrame, cell: float) -> list[int]:
-    """The levels that occur, 61 numbers at most."""
-    return sorted(r[0] for r in rects.select(_level(cell)).distinct().collect())
-
-
 def points_in_rects(points: DataFrame, rects: DataFrame, cell: float = 500.0) -> DataFrame:
     """Points by the rectangles ``(x0, y0, x1, y1)`` that hold them, borders too.
 
@@ -36,9 +23,9 @@ def points_in_rects(points: DataFrame, rects: DataFrame, cell: float = 500.0) ->
     point is sent to its cell at each size that occurs.  Missing coordinates hold nothing.
     """
     size = F.lit(cell) * F.pow(F.lit(2.0), F.col("_rl"))
-    dealt = rects.withColumn("_rl", _level(cell))
-    dealt = dealt.withColumn("_rx", F.explode(_cells(F.col("x0"), F.col("x1"), size))).withColumn("_ry", F.explode(_cells(F.col("y0"), F.col("y1"), size)))
-    at = [F.struct(F.lit(n).alias("l"), F.floor(F.col("x") / (cell * 2.0**n)).alias("x"), F.floor(F.col("y") / (cell * 2.0**n)).alias("y")) for n in _levels(rects, cell) or [0]]
+    dealt = rects.withColumn("_rl", level_of(cell))
+    dealt = dealt.withColumn("_rx", F.explode(cells_of(F.col("x0"), F.col("x1"), size))).withColumn("_ry", F.explode(cells_of(F.col("y0"), F.col("y1"), size)))
+    at = [F.struct(F.lit(n).alias("l"), F.floor(F.col("x") / (cell * 2.0**n)).alias("x"), F.floor(F.col("y") / (cell * 2.0**n)).alias("y")) for n in levels_of(rects, cell) or [0]]
     own = points.withColumn("_p", F.explode(F.array(*at)))
     inside = F.col("x").between(F.col("x0"), F.col("x1")) & F.col("y").between(F.col("y0"), F.col("y1"))
     same = [F.col("_p.l") == F.col("_rl"), F.col("_p.x") == F.col("_rx"), F.col("_p.y") == F.col("_ry")]
@@ -84,10 +71,24 @@ def rect_ring(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     return F.array(corner(x0, y0), corner(x1, y0), corner(x1, y1), corner(x0, y1), corner(x0, y0))
 
 
-def evidence_flags(points: DataFrame, rects: DataFrame, key: str = "point_id") -> DataFrame:
-    """Adds a flag for each kind of evidence in ``rects`` (column ``kind``): one row a point, however many hits."""
+def _hits(points: DataFrame, shapes: DataFrame, more: list[str]) -> DataFrame:
+    """``(x, y, *more)``: places by the shapes that hold them, one row a hit; shapes are polygons (``rings``) or rectangles."""
+    if "rings" not in shapes.columns:
+        return points_in_rects(points.select("x", "y").distinct(), shapes.select("x0", "y0", "x1", "y1", *more)).select("x", "y", *more)
+    # rows of one shape are told apart by a number, which must not change once it is given
+    held = stage(stage(shapes.select("rings", *more), "hit-shapes").withColumn("_shape", F.monotonically_increasing_id()), "hit-shape-ids")
+    found = spots_in_polygons(points, held, ["_shape"])
+    return found.join(held.drop("rings"), "_shape").select("x", "y", *more)
+
+
+def evidence_flags(points: DataFrame, shapes: DataFrame, key: str = "point_id") -> DataFrame:
+    """Adds a flag for each kind of evidence in ``shapes`` (column ``kind``): one row a point, however many hits.
+
+    ``shapes``: polygons of any shape (``rings``: outer first, then holes) or rectangles (``x0, y0, x1, y1``); borders count.
+    """
     kinds = ("amplitude_support", "optical_support", "optical_reliable", "context_support")
-    hit = points_in_rects(points.select(key, "x", "y"), rects).groupBy(key).agg(*[F.bool_or(F.col("kind") == k).alias(k) for k in kinds])
+    spots = _hits(points, shapes, ["kind"]).groupBy("x", "y").agg(*[F.bool_or(F.col("kind") == k).alias(k) for k in kinds])
+    hit = points.select(key, "x", "y").join(spots, ["x", "y"]).drop("x", "y")
     out = points.join(hit, key, "left")
     return out.withColumns({k: F.coalesce(k, F.lit(False)) for k in kinds})
 
@@ -162,9 +163,9 @@ def parcel_summary(points: DataFrame, parcels: DataFrame, key: str = "rect_id")
 
 
 def evaluate_points(points: DataFrame, reference: DataFrame) -> DataFrame:
-    """tp, fp, fn, precision, recall, f1 of points against rectangles; joined rows count, so a double hit is two tp."""
+    """tp, fp, fn, precision, recall, f1 of points against polygons or rectangles; joined rows count, so a double hit is two tp."""
     spots = points.groupBy("x", "y").agg(F.count("*").alias("m"))  # points of one spot have the same hits
-    hits = points_in_rects(spots.select("x", "y"), reference.select("x0", "y0", "x1", "y1")).groupBy("x", "y").agg(F.count("*").alias("hits"))
+    hits = _hits(spots, reference, []).groupBy("x", "y").agg(F.count("*").alias("hits"))
     n = spots.join(hits, ["x", "y"], "left").agg(F.coalesce(F.sum(F.col("m") * F.col("hits")), F.lit(0)).alias("tp"), F.coalesce(F.sum(F.when(F.col("hits").isNull(), F.col("m"))), F.lit(0)).alias("fp"))
     n = n.join(reference.agg(F.count("*").alias("refs")))
     n = n.select("tp", "fp", F.greatest(F.col("refs") - F.col("tp"), F.lit(0)).alias("fn"))
@@ -216,28 +217,6 @@ def overlap_area(rings: Column, others: Column) -> Column:
     return F.aggregate(own, F.lit(0.0), lambda acc, e: acc + F.aggregate(their, F.lit(0.0), lambda inner, f: inner + shared(e, f)))
 
 
-def near_pairs(left: DataFrame, right: DataFrame, cell: float = 500.0, by: list[str] | None = None, touch: bool = True) -> DataFrame:
-    """Pairs of rows whose boxes ``(x0, y0, x1, y1)`` overlap or, with ``touch``, meet; columns prefixed p and q, but ``by``.
-
-    Boxes are dealt to cells of their own size (``cell``, doubled), four at most, and to those of larger ones that
-    occur; a pair meets in the first cell it shares, of the larger one's size.  ``by``: columns that must be equal.
-    """
-    by = by or []
-    levels = sorted({*_levels(left, cell), *_levels(right, cell)}) or [0]
-    size = F.lit(cell) * F.pow(F.lit(2.0), F.col("level"))
-
-    def dealt(df: DataFrame, p: str) -> DataFrame:
-        """Each box's cells at its own level and at those above, where it meets larger ones."""
-        own = df.select(*by, *[F.col(c).alias(f"{p}{c}") for c in df.columns if c not in by], _level(cell).alias(f"{p}l"))
-        out = own.withColumn("level", F.explode(F.array(*map(F.lit, levels)))).where(F.col("level") >= F.col(f"{p}l"))
-        return out.withColumn("cx", F.explode(_cells(F.col(f"{p}x0"), F.col(f"{p}x1"), size))).withColumn("cy", F.explode(_cells(F.col(f"{p}y0"), F.col(f"{p}y1"), size)))
-
-    low, high = [F.greatest(f"p{a}0", f"q{a}0") for a in "xy"], [F.least(f"p{a}1", f"q{a}1") for a in "xy"]
-    first = (F.col("level") == F.greatest("pl", "ql")) & (F.col("cx") == F.floor(low[0] / size)) & (F.col("cy") == F.floor(low[1] / size))
-    meet = [h >= n if touch else h > n for n, h in zip(low, high, strict=True)]
-    return dealt(left, "p").join(dealt(right, "q"), [*by, "level", "cx", "cy"]).where(meet[0] & meet[1] & first).drop("level", "cx", "cy", "pl", "ql")
-
-
 def _areas(predicted: DataFrame, reference: DataFrame, met: DataFrame, area: Column, shared: Column) -> DataFrame:
     total = lambda v: F.coalesce(F.sum(v), F.lit(0.0))
     out = predicted.agg(total(area).alias("predicted_area")).join(reference.agg(total(area).alias("reference_area"))).join(met.agg(total(shared).alias("intersection_area")))
@@ -252,13 +231,23 @@ def evaluate_rects(predicted: DataFrame, reference: DataFrame, cell: float = 500
     return _areas(predicted, reference, near_pairs(predicted.select(*box), reference.select(*box), cell, touch=False), (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0")), shared)
 
 
+#: Pairs of polygons with at most this product of edges are measured within their row, others by slabs.
+PRODUCT = 4096
+
+
 def evaluate_polygons(predicted: DataFrame, reference: DataFrame, cell: float = 500.0) -> DataFrame:
     """Areas, summed pairwise overlap and IoU of two sets of polygons (column ``rings``: outer first, then holes)."""
 
-    def boxed(df: DataFrame) -> DataFrame:
+    def with_boxes(df: DataFrame) -> DataFrame:
         outer = F.col("rings")[0]
         return df.select("rings", *[f(outer[axis]).alias(f"{axis}{n}") for axis in "xy" for n, f in ((0, F.array_min), (1, F.array_max))])
 
-    p, q = boxed(predicted), boxed(reference)
-    met = near_pairs(p, q, cell, touch=False)
-    return _areas(p, q, met, polygon_area(F.col("rings")), overlap_area(F.col("prings"), F.col("qrings")))
+    p, q = with_boxes(predicted), with_boxes(reference)
+    met = stage(near_pairs(p, q, cell, touch=False).select("prings", "qrings"), "overlap-pairs")
+    met = met.withColumn("small", F.size(F.flatten("prings")).cast("long") * F.size(F.flatten("qrings")) <= PRODUCT)
+    shared = met.where("small").select(overlap_area(F.col("prings"), F.col("qrings")).alias("shared"))
+    large = stage(met.where("NOT small"), "overlap-large")
+    if not large.isEmpty():
+        large = stage(large.withColumn("pair", F.monotonically_increasing_id()), "overlap-large-ids")
+        shared = shared.unionByName(shared_areas(large, ["pair"]).select("shared"))
+    return _areas(p, q, shared, polygon_area(F.col("rings")), F.col("shared"))

@@ -10,11 +10,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from changegrid.config import Cleaning, ZoneShape, radius_pixels
+from changegrid.operators.cells import near_pairs
 from changegrid.operators.chains import rank_cycles
 from changegrid.operators.neighborhood import close, disk_density
 from changegrid.operators.ordering import number_rows
 from changegrid.operators.pixels import drop_small, label_components
-from changegrid.operators.spatial import near_pairs
 from changegrid.sources.staging import stage
 
 

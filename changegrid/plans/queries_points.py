@@ -9,6 +9,7 @@ from changegrid.config import Psi
 from changegrid.functions import geo
 from changegrid.operators import catalog as C
 from changegrid.operators import discs as D
+from changegrid.operators import polygons as G
 from changegrid.operators import psi as S
 from changegrid.operators import spatial as X
 from changegrid.plans.fixtures import duckdb, view
@@ -24,6 +25,15 @@ STACKS = "SELECT * FROM (VALUES ('asc0', 'ascending', 0, 'VV'), ('desc1', 'desce
 AREAS = "SELECT * FROM (VALUES (CAST(-7.8 AS DOUBLE), CAST(33.4 AS DOUBLE), CAST(-6.7 AS DOUBLE), CAST(33.5 AS DOUBLE)), (CAST(100 AS DOUBLE), CAST(-20 AS DOUBLE), CAST(131 AS DOUBLE), CAST(4 AS DOUBLE)), (CAST(110 AS DOUBLE), CAST(0 AS DOUBLE), CAST(120 AS DOUBLE), CAST(9 AS DOUBLE))) AS a(x0, y0, x1, y1)"
 
 
+#: An area of interest of two parts: an L, whose box meets more than it does, and a frame (a square with a hole).
+AREA_RINGS = (((100, -20), (131, -20), (131, -12), (108, -12), (108, 4), (100, 4)),), (((-60, 10), (-20, 10), (-20, 50), (-60, 50)), ((-55, 15), (-55, 45), (-25, 45), (-25, 15)))
+
+
+def area_rings(spark) -> DataFrame:
+    closed = [([[(float(x), float(y)) for x, y in (*ring, ring[0])] for ring in shape],) for shape in AREA_RINGS]
+    return spark.createDataFrame(closed, "rings array<array<struct<x: double, y: double>>>")
+
+
 def windows(spark):
     return spark.sql(WINDOWS).withColumnRenamed("end_day", "end")
 
@@ -108,6 +118,25 @@ def diamonds(spark, d, moved: int = 0, hole: bool = False) -> DataFrame:
     return r.select("rect_id", F.array(ring(F.col("h")), *([ring(F.col("h") / 2)] if hole else [])).alias("rings"))
 
 
+def kinds_of_diamonds(spark, d):
+    """Diamonds with holes as evidence of one kind each."""
+    kind = F.element_at(F.array(*[F.lit(k) for k in ("amplitude_support", "optical_support", "optical_reliable", "context_support")]), (F.col("rect_id") % 4 + 1).cast("int"))
+    return diamonds(spark, d, hole=True).withColumn("kind", kind)
+
+
+def pair_overlaps(spark, d):
+    """What each diamond with a hole shares with the whole one it was moved from."""
+    both = diamonds(spark, d, 70, True).withColumnRenamed("rings", "prings").join(diamonds(spark, d).withColumnRenamed("rings", "qrings"), "rect_id")
+    return G.shared_areas(both, ["rect_id"])
+
+
+def dissolved(spark, d):
+    """Rectangles and moved rectangles as one shape: all its rings' areas, signed, and their number of parts and holes is the shape's own."""
+    ring = X.rect_ring(*[F.col(c) for c in ("x0", "y0", "x1", "y1")])
+    sides = ["x0", "y0", "x1", "y1"]
+    return G.dissolve(view(spark, d, "rects").select(*sides).unionByName(moved_rects(spark, d)).select(F.array(ring).alias("rings")))
+
+
 def fused_points(spark, d) -> DataFrame:
     """The point pipeline over one stack and three breaks, whose tables differ as those of ``classified``."""
     p = view(spark, d, "psi_points")
@@ -193,6 +222,11 @@ QUERIES = {
     "cdpsi_classes": lambda s, d: rounded(classified(s, d).select(*S.KEY, "break_after", "cdpsi_class")),
     "emergence_points": lambda s, d: rounded(S.emergence_points(classified(s, d)).select(*S.KEY, "ci_emergence", "break_after")),
     "evidence_flags": lambda s, d: evidence(s, d).select("point_id", "amplitude_support", "optical_support", "optical_reliable", "context_support"),
+    "evidence_polygons": lambda s, d: X.evidence_flags(view(s, d, "points_xy"), kinds_of_diamonds(s, d)).select("point_id", "amplitude_support", "optical_support", "optical_reliable", "context_support"),
+    "polygon_hits": lambda s, d: rounded(X.evaluate_points(view(s, d, "points_xy"), diamonds(s, d, hole=True))),
+    "pair_overlaps": lambda s, d: rounded(pair_overlaps(s, d)),
+    "dissolved_area": lambda s, d: rounded(dissolved(s, d).select("area"), 3),
+    "scene_shapes": lambda s, d: C.filter_optical(view(s, d, "scenes"), 50.0, areas=area_rings(s)).select("scene_id"),
     "confidence": lambda s, d: rounded(X.confidence(evidence(s, d)).select("point_id", "confidence_score", "confidence_class")),
     "point_clusters": lambda s, d: X.cluster_points(view(s, d, "points_xy"), 12.0).select("point_id", "cluster_id"),
     "cluster_outlines": lambda s, d: rounded(D.disc_unions(X.cluster_points(view(s, d, "points_xy"), 12.0), 12.0, ["cluster_id"]).select("cluster_id", "area", "perimeter"), 3),
@@ -270,6 +304,7 @@ def _evidence(src: str) -> str:
   , conf AS (SELECT *, greatest(0, least(1, 0.65::DOUBLE + 0.2::DOUBLE * amplitude_support::INT + 0.1::DOUBLE * optical_support::INT + 0.05::DOUBLE * context_support::INT - 0.08::DOUBLE * (optical_reliable AND NOT optical_support)::INT)) AS s FROM ev)"""
 
 
+_DIAMOND = ", dia AS (SELECT rect_id, (x0 + x1) / 2 AS mx, (y0 + y1) / 2 AS my, 200.0::DOUBLE + 20 * (rect_id % 7) AS h FROM rects)"
 _EV, _CLUSTER = _evidence("points_xy"), _cluster("points_xy", 24)
 _LL = """, ll AS (SELECT point_id, x / 10000.0::DOUBLE * 359 - 179.5 AS lon, y / 10000.0::DOUBLE * 178 - 89 AS lat FROM points_xy), zn AS (SELECT *, least(greatest(CAST(floor((lon + 180) / 6) AS INT) + 1, 1), 60) AS zone FROM ll)"""
 _SERIES = " + ".join(f"CAST({a!r} AS DOUBLE) * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, a in enumerate(geo.ALPHA, 1)), " + ".join(f"CAST({a!r} AS DOUBLE) * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, a in enumerate(geo.ALPHA, 1))
@@ -314,6 +349,21 @@ ORACLE_SQL = {
     "cdpsi_classes": duckdb(_CLASS + f" SELECT {_KEYS}, break_after, CASE WHEN e AND NOT v THEN 'emergence_candidate' WHEN v AND NOT e THEN 'vanishment_candidate' WHEN e AND v THEN 'ambiguous_change' ELSE 'stable' END AS cdpsi_class FROM cls", "psi_points"),
     "emergence_points": duckdb(_CLASS + f", best AS (SELECT azimuth_index, range_index, max(emg) AS top FROM cls WHERE e AND NOT v GROUP BY ALL) SELECT {_KEYS}, round(top, 6) AS ci_emergence, min(break_after) AS break_after FROM best JOIN cls USING (azimuth_index, range_index) WHERE e AND NOT v AND emg = top GROUP BY azimuth_index, range_index, top", "psi_points"),
     "evidence_flags": duckdb(_EV + " SELECT point_id, amplitude_support, optical_support, optical_reliable, context_support FROM ev", "points_xy", "rects"),
+    # a frame of diamonds: places whose distance along the axes lies between half of h and h
+    "evidence_polygons": duckdb(
+        _DIAMOND + """, hit AS (SELECT point_id, rect_id % 4 AS kind FROM points_xy JOIN dia ON abs(x - mx) + abs(y - my) BETWEEN h / 2 AND h)
+  SELECT point_id, coalesce(bool_or(kind = 0), false) AS amplitude_support, coalesce(bool_or(kind = 1), false) AS optical_support, coalesce(bool_or(kind = 2), false) AS optical_reliable, coalesce(bool_or(kind = 3), false) AS context_support FROM points_xy LEFT JOIN hit USING (point_id) GROUP BY 1""", "points_xy", "rects"),
+    "polygon_hits": duckdb(
+        _DIAMOND + """, n AS (SELECT count(rect_id) AS tp, count(*) - count(rect_id) AS fp FROM points_xy LEFT JOIN dia ON abs(x - mx) + abs(y - my) BETWEEN h / 2 AND h), m AS (SELECT *, greatest((SELECT count(*) FROM rects) - tp, 0) AS fn FROM n), q AS (SELECT *, tp / nullif(tp + fp, 0) AS p, tp / nullif(tp + fn, 0) AS rec FROM m)
+  SELECT tp, fp, fn, round(p, 6) AS precision, round(rec, 6) AS recall, round(2 * p * rec / nullif(p + rec, 0), 6) AS f1 FROM q""", "points_xy", "rects"),
+    # turned by 45 degrees the squares lie along the axes; moving by (70, 70) moves u by 140 and v not at all
+    "pair_overlaps": duckdb(_DIAMOND + """, s AS (SELECT rect_id, h, greatest(0, least(h, 140 + h) - greatest(-h, 140 - h)) * 2 * h / 2 AS whole, greatest(0, least(h, 140 + h / 2) - greatest(-h, 140 - h / 2)) * h / 2 AS hole FROM dia) SELECT rect_id, round(whole - hole, 6) AS shared FROM s""", "rects"),
+    "dissolved_area": duckdb(
+        """, r AS (SELECT x0, y0, x1, y1 FROM rects UNION ALL SELECT x0 + 100, y0 + 50, x1 + 100, y1 + 50 FROM rects), xs AS (SELECT x, lead(x) OVER (ORDER BY x) AS nx FROM (SELECT x0 AS x FROM r UNION SELECT x1 FROM r)), ys AS (SELECT y, lead(y) OVER (ORDER BY y) AS ny FROM (SELECT y0 AS y FROM r UNION SELECT y1 FROM r))
+  SELECT round(sum((nx - x) * (ny - y)), 3) AS area FROM (SELECT DISTINCT x, nx, y, ny FROM r JOIN xs ON xs.x >= r.x0 AND xs.nx <= r.x1 JOIN ys ON ys.y >= r.y0 AND ys.ny <= r.y1)""", "rects"),
+    "scene_shapes": duckdb(
+        """, part(a0, b0, a1, b1) AS (VALUES (100, -20, 131, -12), (100, -20, 108, 4), (-60, 10, -20, 15), (-60, 45, -20, 50), (-60, 10, -55, 50), (-25, 10, -20, 50))
+  SELECT DISTINCT scene_id FROM scenes JOIN part ON x0 <= a1 AND x1 >= a0 AND y0 <= b1 AND y1 >= b0 WHERE cloud_cover < 50""", "scenes"),
     "confidence": duckdb(_EV + " SELECT point_id, round(s, 6) AS confidence_score, CASE WHEN s >= 0.7 THEN 'high' WHEN s >= 0.45 THEN 'medium' ELSE 'low' END AS confidence_class FROM conf", "points_xy", "rects"),
     "point_clusters": duckdb(_CLUSTER + " SELECT point_id, cluster_id FROM clu", "points_xy"),
     # a disc's share: the circle's uncovered angles, as differences of running maxima, and the triangles under them

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changegrid.functions import geo
+from changegrid.operators.polygons import dissolve
+from changegrid.operators.spatial import rect_ring, ring_area
 
 #: Fixed format: a catalogue item, and the manifest that lists them.
 ITEM = "id string, datetime string, bbox array<double>, properties map<string, string>, assets map<string, struct<href: string, alternate: map<string, struct<href: string>>>>"
@@ -149,6 +151,14 @@ def area_of_interest(spark: SparkSession, bounds: tuple[float, float, float, flo
     return corner.agg(F.min("p.x").alias("x0"), F.min("p.y").alias("y0"), F.max("p.x").alias("x1"), F.max("p.y").alias("y1"))
 
 
+def area_shape(spark: SparkSession, bounds: tuple[float, float, float, float] | str) -> DataFrame:
+    """One row ``(rings, area)``: the bounds, or all shapes of a vector file dissolved to one, parts and holes kept."""
+    if isinstance(bounds, str):
+        return dissolve(read_vector(spark, bounds))
+    ring = rect_ring(*[F.lit(float(v)) for v in bounds])
+    return spark.range(1).select(F.array(ring).alias("rings"), ring_area(ring).alias("area"))
+
+
 def write_metrics(metrics: DataFrame, path: str) -> None:
     """A report of one row, or few, as one JSON file."""
     metrics.coalesce(1).write.mode("overwrite").json(path)
