@@ -111,13 +111,54 @@ def confidence_class(score: Column, cfg: Fusion = Fusion()) -> Column:
 PARTS = 8
 
 
+#: Pairs of points of two parts that are compared as they are, and how often crowded parts are cut finer.
+FEW_PAIRS, CUTS = 4096, 6
+
+
+def _linked_cells(unsure: DataFrame, spots: DataFrame, step: float, q: float) -> DataFrame:
+    """``(fx, fy, cx, cy)``: cells that a pair of points links, among pairs of parts that may hold one.
+
+    ``unsure``: pairs of cells with parts ``(px, py)`` and ``(sx, sy)`` of side ``q``.  Parts with few pairs of points are compared;
+    the parts of others give way to the occupied ones of an eighth of their side: a pair wholly within a step is a link,
+    one wholly beyond it is none, and the rest go on, but for cells that are linked by now.
+    """
+    cells = ["fx", "fy", "cx", "cy"]
+    idx = lambda side: {"sx": F.floor(F.col("x") / side), "sy": F.floor(F.col("y") / side)}
+    links = None
+    for cut in range(CUTS + 1):
+        held = stage(spots.withColumns(idx(q)), "cluster-spots")
+        size = stage(held.groupBy("sx", "sy").agg(F.count("*").alias("n")), "cluster-sizes")
+        first = [F.col("sx").alias("px"), F.col("sy").alias("py")]
+        both = unsure.join(size, ["sx", "sy"]).join(size.select(*first, F.col("n").alias("m")), ["px", "py"])
+        both = stage(both.withColumn("few", F.lit(cut == CUTS) | (F.col("n") * F.col("m") <= FEW_PAIRS)), "cluster-both")
+        one = held.select(*first, F.col("x").alias("ax"), F.col("y").alias("ay"))
+        tested = both.where("few").join(one, ["px", "py"]).join(held, ["sx", "sy"])
+        tested = tested.where(F.pow(F.col("x") - F.col("ax"), F.lit(2)) + F.pow(F.col("y") - F.col("ay"), F.lit(2)) <= step * step)
+        new = stage(tested.select(*cells).distinct(), "cluster-links")
+        links = new if links is None else links.unionByName(new)
+        crowded = both.where("NOT few").join(new, cells, "left_anti")
+        if crowded.isEmpty():
+            break
+        q /= PARTS
+        finer = stage(held.select("sx", "sy", *[v.alias(f"n{k}") for k, v in idx(q).items()]).distinct(), "cluster-finer")
+        pair = crowded.join(finer, ["sx", "sy"]).join(finer.select(*first, F.col("nsx").alias("npx"), F.col("nsy").alias("npy")), ["px", "py"])
+        away = [F.abs(F.col(f"ns{c}") - F.col(f"np{c}")) for c in "xy"]
+        near, far = F.hypot(*[F.greatest(d - 1, F.lit(0)) * q for d in away]), F.hypot(*[(d + 1) * q for d in away])
+        pair = pair.where(near <= step * (1 + 1e-9)).select(*cells, *[F.col(f"n{c}").alias(c) for c in ("px", "py", "sx", "sy")], (far <= step * (1 - 1e-9)).alias("sure"))
+        pair = stage(pair, "cluster-pairs")
+        sure = stage(pair.where("sure").select(*cells).distinct(), "cluster-sure")
+        links = links.unionByName(sure)
+        unsure = stage(pair.where("NOT sure").drop("sure").join(sure, cells, "left_anti"), "cluster-unsure")
+    return links.distinct()
+
+
 def cluster_points(points: DataFrame, radius: float, key: str = "point_id") -> DataFrame:
     """Adds ``cluster_id``: the smallest key among points joined by steps of at most twice the radius.
 
     Points are hashed into cells whose diagonal is one step, so all points of a cell are one cluster and a
     cell is linked by its smallest key.  Links to cells up to two away are settled by the occupied parts
-    of cells: parts that lie wholly within a step link their cells, parts wholly beyond it do not; points are compared only
-    in parts between these, of cells that no other parts link, so two crowded neighbours cost their rows.
+    of cells: parts that lie wholly within a step link their cells, parts wholly beyond it do not; parts between these, of
+    cells that no other parts link, are cut finer as long as they are crowded, so two crowded neighbours cost their rows.
     """
     step = 2 * radius
     q = step / 2**0.5 / PARTS
@@ -136,10 +177,8 @@ def cluster_points(points: DataFrame, radius: float, key: str = "point_id") -> D
     cells = ["fx", "fy", "cx", "cy"]
     sure = stage(met.where("sure").select(*cells).distinct(), "cluster-sure")
     unsure = met.where("NOT sure").join(sure, cells, "left_anti").select(*cells, "px", "py", "sx", "sy")
-    one = own.select(F.col("sx").alias("px"), F.col("sy").alias("py"), F.col("x").alias("ax"), F.col("y").alias("ay"))
-    tested = unsure.join(one, ["px", "py"]).join(own.select("sx", "sy", "x", "y"), ["sx", "sy"])
-    tested = tested.where(F.pow(F.col("x") - F.col("ax"), F.lit(2)) + F.pow(F.col("y") - F.col("ay"), F.lit(2)) <= step * step)
-    pairs = sure.unionByName(tested.select(*cells).distinct())
+    found = _linked_cells(stage(unsure, "cluster-unsure"), own.select("x", "y").distinct(), step, q)
+    pairs = sure.unionByName(found)
     src = heads.select(F.col("cx").alias("fx"), F.col("cy").alias("fy"), F.col("head").alias("src"))
     links = pairs.join(src, ["fx", "fy"]).join(heads.withColumnRenamed("head", "dst"), ["cx", "cy"]).select("src", "dst")
     classes = connected_components(links)

@@ -290,6 +290,23 @@ def test_crowded_neighbours_are_linked_without_their_pairs(spark):
     assert {r.cluster_id: r["count"] for r in got} == {0: 40000, 99999: 1} and time.time() - begun < 60
 
 
+@pytest.mark.parametrize("apart,clusters", [(24.6, 2), (24.3, 1)])
+def test_crowded_spots_about_a_step_apart(spark, apart, clusters, monkeypatch):
+    """Two spots whose points lie within or just beyond a step of each other: refined, not compared in pairs."""
+    seen, keep = {}, X.stage
+    monkeypatch.setattr(X, "stage", lambda df, name: seen.setdefault(name, []).append(keep(df, name)) or seen[name][-1])
+    compared = []
+    for n in (4000, 16000):
+        rnd = random.Random(6)
+        pts = [(i, rnd.random() * 0.5 + apart * (i % 2), rnd.random() * 0.5) for i in range(2 * n)]
+        seen.clear()
+        got = X.cluster_points(spark.createDataFrame(pts, "point_id long, x double, y double"), 12.0).groupBy("cluster_id").count().collect()
+        best = min(math.dist(p[1:], q[1:]) for p in sorted(pts[0::2], key=lambda p: -p[1])[:150] for q in sorted(pts[1::2], key=lambda p: p[1])[:150])
+        assert len(got) == clusters == (1 if best <= 24 else 2)
+        compared.append(sum(df.where("few").agg(F.coalesce(F.sum(F.col("n") * F.col("m")), F.lit(0))).first()[0] for df in seen.get("cluster-both", [])))
+    assert compared[1] <= 8 * max(compared[0], 50000) and compared[1] < 2e7  # all pairs would be 2.6 x 10^8
+
+
 def test_point_and_polygon_evaluation(spark):
     pts = spark.createDataFrame([(0.0, 0.0), (50.0, 50.0)], "x double, y double")
     ref = spark.createDataFrame([(-1.0, -1.0, 1.0, 1.0)], "x0 double, y0 double, x1 double, y1 double")
