@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from changegrid.config import ChangeTest, Optical
 from changegrid.functions import bandmath as B
+from changegrid.operators.quantiles import medians
 
 PIXEL = ["period_id", "r", "c"]
 BANDS = ["blue", "green", "red", "nir", "swir1"]
@@ -25,10 +26,14 @@ DECISIONS = {
 }
 
 
-def s1_composite(obs: DataFrame) -> DataFrame:
-    """Median of each band before and after, side by side: no self-join of phases."""
-    picked = {f"{b}_{p}": F.median(F.when(F.col("phase") == p, F.col(b))) for p in ("before", "after") for b in ("vv", "vh")}
-    return obs.groupBy(*PIXEL).agg(*[v.alias(k) for k, v in picked.items()])
+def s1_composite(obs: DataFrame, deep: int | None = None) -> DataFrame:
+    """Median of each band before and after, side by side: no self-join of phases.
+
+    ``deep``: pixels of more observations are narrowed down by bins (``quantiles.DEEP`` is a good bound); the check is one
+    count of the observations by pixel, so it is left to callers whose scenes by pixel are not bounded.
+    """
+    picked = {f"{b}_{p}": F.when(F.col("phase") == p, F.col(b)) for p in ("before", "after") for b in ("vv", "vh")}
+    return medians(obs, PIXEL, picked, deep=deep)
 
 
 def change_test(composite: DataFrame, cfg: ChangeTest = ChangeTest()) -> DataFrame:
@@ -47,16 +52,16 @@ def usable(cfg: Optical = Optical()) -> tuple[Column, Column]:
     return clear, clear & whole
 
 
-def s2_composite(obs: DataFrame, cfg: Optical = Optical()) -> DataFrame:
+def s2_composite(obs: DataFrame, cfg: Optical = Optical(), deep: int | None = None) -> DataFrame:
     """Median reflectance of usable pixels, counts, fractions and indices of the medians, by pixel and phase.
 
     Fractions divide by the phase's number of scenes, not by the observations at the pixel; that number is
-    one row a phase.
+    one row a phase.  ``deep`` is as in ``s1_composite``.
     """
     clear, use = usable(cfg)
     items = obs.groupBy("period_id", "phase").agg(F.countDistinct("scene").alias("items"))
-    medians = [F.median(F.when(use, F.col(b) / 10000)).alias(b) for b in BANDS]
-    px = obs.groupBy("period_id", "phase", "r", "c").agg(*medians, F.count_if(clear).alias("clear_count"), F.count_if(use).alias("valid_count"))
+    reflectance = {b: F.when(use, F.col(b) / 10000) for b in BANDS}
+    px = medians(obs, ["period_id", "phase", "r", "c"], reflectance, [F.count_if(clear).alias("clear_count"), F.count_if(use).alias("valid_count")], deep)
     px = px.join(items, ["period_id", "phase"])
     px = px.withColumns({"clear_fraction": F.col("clear_count") / F.greatest("items", F.lit(1)), "valid_fraction": F.col("valid_count") / F.greatest("items", F.lit(1))})
     return px.withColumns(B.spectral_indices()).drop("items")

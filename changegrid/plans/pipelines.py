@@ -15,6 +15,7 @@ from changegrid.operators import psi as S
 from changegrid.operators import raster as R
 from changegrid.operators import spatial as X
 from changegrid.operators import zones as Z
+from changegrid.operators.quantiles import DEEP
 from changegrid.sources.io import reuse_or_build
 from changegrid.sources.staging import stage
 
@@ -31,6 +32,8 @@ class BuiltUp:
     resolution_m: float = 10.0
     tile: int = 256
     allow_unavailable: bool = True
+    #: Observations of a pixel beyond which its median is narrowed down by bins; None takes all pixels to be shallow.
+    deep: int | None = DEEP
     test: ChangeTest = field(default_factory=ChangeTest)
     cleaning: Cleaning = field(default_factory=Cleaning)
     optical: Optical = field(default_factory=Optical)
@@ -59,9 +62,9 @@ def run_builtup(radar: DataFrame, optical: DataFrame | None, cfg: BuiltUp, stop_
         return tested.drop("candidate").join(kept, R.PIXEL, "full").withColumn("candidate", F.coalesce("kept", F.lit(False))).drop("kept")
 
     def support() -> DataFrame:
-        return R.unavailable_support(out["detection"]) if optical is None else R.optical_support(R.phases(R.s2_composite(optical, cfg.optical)), cfg.optical)
+        return R.unavailable_support(out["detection"]) if optical is None else R.optical_support(R.phases(R.s2_composite(optical, cfg.optical, cfg.deep)), cfg.optical)
 
-    out["composite"] = keep("composite", [*R.PIXEL, "vv_before", "vv_after"], lambda: R.s1_composite(radar))
+    out["composite"] = keep("composite", [*R.PIXEL, "vv_before", "vv_after"], lambda: R.s1_composite(radar, cfg.deep))
     if stop_after == "composite":
         return out
     tested = keep("tested", [*R.PIXEL, "statistic", "pvalue", "candidate"], lambda: R.change_test(out["composite"], cfg.test))

@@ -12,6 +12,7 @@ from changegrid.operators import pixels as P
 from changegrid.operators import raster as R
 from changegrid.operators import spatial as X
 from changegrid.operators import zones as Z
+from changegrid.operators.quantiles import medians
 from changegrid.plans.fixtures import LAST_ROW, duckdb, grid_rows, view
 from changegrid.plans.pipelines import BuiltUp, evaluate_builtup, run_builtup
 from changegrid.sources.staging import stage
@@ -118,6 +119,7 @@ def source_grid(spark, d):
 
 QUERIES = {
     "s1_composite": lambda s, d: rounded(composite(s, d)),
+    "deep_medians": lambda s, d: rounded(medians(view(s, d, "s1_obs"), ["period_id", "phase"], {"vv": F.col("vv"), "vh": F.when(F.col("r") % 5 > 0, F.col("vh"))}, [F.count("*").alias("n")], 1000)),
     "s1_ratio_lrt": lambda s, d: rounded(tested(s, d).select(*R.PIXEL, "ratio_vv", "ratio_vh", "statistic")),
     "s1_pvalue": lambda s, d: rounded(tested(s, d).select(*R.PIXEL, "pvalue")),
     "s1_candidates": lambda s, d: rounded(tested(s, d).where("candidate").select(*R.PIXEL)),
@@ -225,6 +227,7 @@ _RATES = """, n AS (SELECT count(*) FILTER (confusion = 0) AS tn, count(*) FILTE
 
 ORACLE_SQL = {
     "s1_composite": duckdb(_COMP + _pick("vv_before", "vh_before", "vv_after", "vh_after", of="comp"), "s1_obs"),
+    "deep_medians": duckdb(" SELECT period_id, phase, round(median(vv), 6) AS vv, round(median(vh) FILTER (r % 5 > 0), 6) AS vh, count(*) AS n FROM s1_obs GROUP BY ALL", "s1_obs"),
     "s1_ratio_lrt": duckdb(_COMP + _pick("ratio_vv", "ratio_vh", "statistic", of="test"), "s1_obs"),
     "s1_pvalue": duckdb(_COMP + _pick("pvalue", of="test"), "s1_obs"),
     "s1_candidates": duckdb(_COMP + _pick(of="test", where="WHERE candidate"), "s1_obs"),
