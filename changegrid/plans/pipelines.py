@@ -16,7 +16,7 @@ from changegrid.operators import raster as R
 from changegrid.operators import spatial as X
 from changegrid.operators import zones as Z
 from changegrid.operators.quantiles import DEEP
-from changegrid.sources.io import reuse_or_build
+from changegrid.sources.io import POINT_COLUMNS, require_columns, reuse_or_build
 from changegrid.sources.staging import stage
 
 BUILTUP_STAGES = ("composite", "detect_s1", "refine", "cumulative", "zones", "polygons")
@@ -100,6 +100,8 @@ def run_psi(points: DataFrame, breaks: DataFrame, evidence: DataFrame | None = N
     ``subset_id`` is NULL for the complete stack.  ``breaks``: as ``psi.plan_breaks``.  All breaks run at
     once: the break is a grouping column.  Point ids are unique in a stack only, so keys hold the stack.
     """
+    require_columns(points, ("stack_id", "subset_id", *POINT_COLUMNS, "x", "y"), "point table")
+    require_columns(breaks, ("stack_id", "front_id", "back_id", "break_after", "break_before"), "break plan")
     keys = ["stack_id", "front_id", "back_id", "break_after", "break_before"]
     plan = breaks.select(*keys)
     complete = points.where("subset_id IS NULL").drop("subset_id")

@@ -15,6 +15,7 @@ from changegrid.operators import spatial as X
 from changegrid.plans.fixtures import duckdb, view
 from changegrid.plans.pipelines import run_psi
 from changegrid.plans.queries_raster import rounded
+from changegrid.sources import io
 
 WINDOWS = "SELECT * FROM (VALUES ('p1', 'before', DATE '1995-06-01', DATE '1995-09-30'), ('p1', 'after', DATE '1999-06-01', DATE '1999-09-30'), ('p2', 'before', DATE '1996-06-01', DATE '1996-09-30'), ('p2', 'after', DATE '2000-06-01', DATE '2000-09-30')) AS w(period_id, phase, start, end_day)"
 #: Stacks: orbit direction, number and the day near which their master lies.
@@ -190,6 +191,24 @@ def projected(spark, d):
     return p.select("point_id", "zone", e.alias("easting"), n.alias("northing"))
 
 
+#: Tables of points, each in one system: north over the equator, south over it, and near the pole.
+TABLES = (("north", "EPSG:32631", -2.0, 8.0, -3.0, 70.0), ("south", "EPSG:32719", -76.0, 12.0, -62.0, 70.0), ("polar", "EPSG:3857", -170.0, 300.0, 84.0, 5.0))
+
+
+def in_tables(spark, d) -> DataFrame:
+    """The points dealt to three tables, each projected by the system of its middle and back again."""
+    p, out = view(spark, d, "points_xy"), None
+    for k, (name, _, lon0, wide, lat0, high) in enumerate(TABLES):
+        own = p.where(F.col("point_id") % 3 == k).select("point_id", (F.col("x") / 10000.0 * wide + lon0).alias("lon"), (F.col("y") / 10000.0 * high + lat0).alias("lat"))
+        crs = io.table_crs(own)
+        x, y = geo.forward(crs, F.col("lon"), F.col("lat"))
+        placed = own.select("point_id", F.lit(name).alias("name"), F.lit(crs).alias("crs"), "lon", "lat", x.alias("x"), y.alias("y"))
+        lon, lat = geo.inverse(crs, F.col("x"), F.col("y"))
+        part = placed.select("point_id", "name", "crs", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"), F.round(lon, 8).alias("lon"), F.round(lat, 8).alias("lat"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def paths(spark, d):
     s = view(spark, d, "scenes").select("k", "scene_id", F.concat(F.lit("s3://bucket/a/"), F.col("scene_id"), F.when(F.col("k") % 2 == 0, ".SAFE/manifest.safe").otherwise("/manifest.safe")).alias("href"), F.concat(F.lit("https://host/Products("), F.col("k").cast("string"), F.lit("-ab)/$value")).alias("link"))
     return s.select("scene_id", C.object_path(F.col("href")).alias("path"), C.product_uuid(F.col("link")).alias("uuid"))
@@ -243,6 +262,8 @@ QUERIES = {
     "points_in_rings": lambda s, d: X.points_in_rings(view(s, d, "points_xy"), view(s, d, "rects").select("rect_id", X.rect_ring(*[F.col(c) for c in ("x0", "y0", "x1", "y1")]).alias("ring"))).select("point_id", "rect_id"),
     "utm_zone": lambda s, d: rounded(lonlat(s, d).select("point_id", geo.utm_zone(F.col("lon")).alias("zone"), geo.metric_crs(F.col("lon"), F.col("lat")).alias("crs"))),
     "utm_project": lambda s, d: rounded(projected(s, d), 3),
+    "table_projection": in_tables,
+    "snap_centers": lambda s, d: rounded(view(s, d, "rects").select("rect_id", *[v.alias(k) for k, v in geo.snap_bounds(F.col("x0") + 3, F.col("y0") + 7, F.col("x1"), F.col("y1"), 30.0, "center").items()])),
     "snap_bounds": lambda s, d: rounded(view(s, d, "rects").select("rect_id", *[v.alias(k) for k, v in geo.snap_bounds(F.col("x0") + 3, F.col("y0") + 7, F.col("x1"), F.col("y1"), 30.0).items()])),
 }
 
@@ -401,6 +422,14 @@ ORACLE_SQL = {
     "points_in_rings": duckdb(" SELECT point_id, rect_id FROM points_xy JOIN rects ON x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1", "points_xy", "rects"),
     "utm_zone": duckdb(_LL + " SELECT point_id, CAST(zone AS BIGINT) AS zone, 'EPSG:' || CASE WHEN lat <= -80 OR lat >= 84 THEN '3857' ELSE CAST(CASE WHEN lat >= 0 THEN 32600 ELSE 32700 END + zone AS VARCHAR) END AS crs FROM zn", "points_xy"),
     "utm_project": duckdb(_LL + UTM + " SELECT point_id, CAST(zone AS BIGINT) AS zone, easting, northing FROM utm", "points_xy"),
+    # the degrees come back as they were: a round trip to a millimetre; the transverse series are those of utm_project, on the table's side of the equator
+    "table_projection": duckdb(
+        ", tab(k, name, crs, zone, lon0, wide, lat0, high, off) AS (VALUES " + ", ".join(f"({k}, '{name}', '{crs}', {int(crs[-2:])}, {lon0}::DOUBLE, {wide}::DOUBLE, {lat0}::DOUBLE, {high}::DOUBLE, {10000000 if name == 'south' else 0})" for k, (name, crs, lon0, wide, lat0, high) in enumerate(TABLES)) + ")"
+        + ", zn AS (SELECT point_id, name, crs, zone, off, x / 10000.0::DOUBLE * wide + lon0 AS lon, y / 10000.0::DOUBLE * high + lat0 AS lat FROM points_xy JOIN tab ON k = point_id % 3)" + UTM.replace("lat > -80 AND lat < 84", "name <> 'polar'")
+        + """ SELECT point_id, name, crs, easting AS x, round(northing - CASE WHEN lat < 0 THEN 10000000 ELSE 0 END + off, 3) AS y, round(lon, 8) AS lon, round(lat, 8) AS lat FROM utm
+  UNION ALL SELECT point_id, name, crs, round(6378137 * radians(lon), 3), round(6378137 * asinh(tan(radians(lat))), 3), round(lon, 8), round(lat, 8) FROM zn WHERE name = 'polar'""", "points_xy"),
+    "snap_centers": duckdb(
+        """, b AS (SELECT rect_id, floor((x0 + 3) / 30) * 30 AS minx, floor((y0 + 7) / 30) * 30 AS miny, ceil(x1 / 30) * 30 AS maxx, ceil(y1 / 30) * 30 AS maxy FROM rects) SELECT *, CAST((maxx - minx) / 30 + 1 AS BIGINT) AS width, CAST((maxy - miny) / 30 + 1 AS BIGINT) AS height FROM b""", "rects"),
     "snap_bounds": duckdb(
         """, b AS (SELECT rect_id, floor((x0 + 3) / 30) * 30 AS minx, floor((y0 + 7) / 30) * 30 AS miny, ceil(x1 / 30) * 30 AS maxx, ceil(y1 / 30) * 30 AS maxy FROM rects) SELECT *, CAST((maxx - minx) / 30 AS BIGINT) AS width, CAST((maxy - miny) / 30 AS BIGINT) AS height FROM b""", "rects"),
 }

@@ -69,24 +69,49 @@ def write_stacks(scenes: DataFrame, path: str) -> None:
     stacks.write.mode("overwrite").json(path)
 
 
-def read_points(spark: SparkSession, path: str, crs_zone: int | None = None) -> DataFrame:
-    """Point export with ``x``, ``y`` in metres: lon/lat projected to one zone, else local metres.
+#: Columns that a point table must have to be matched and placed.
+POINT_COLUMNS = ("point_id", "azimuth_index", "range_index", "temporal_coherence")
 
-    The zone is that of the middle of the points' bounds if not given, so distances hold across the table.
+
+def require_columns(table: DataFrame, columns: tuple[str, ...], label: str) -> DataFrame:
+    """The table, or ValueError naming the columns it lacks."""
+    lacking = [c for c in columns if c not in table.columns]
+    if lacking:
+        raise ValueError(f"{label} lacks {', '.join(lacking)}")
+    return table
+
+
+def table_crs(points: DataFrame, lon: str = "lon", lat: str = "lat") -> str:
+    """The metric system of a table: by the middle of its bounds, UTM north or south, or 3857 near the poles."""
+    middle = [(F.min(c) + F.max(c)) / 2 for c in (lon, lat)]
+    return points.agg(geo.metric_crs(*middle)).first()[0] or "EPSG:32631"
+
+
+def read_points(spark: SparkSession, path: str, crs_zone: int | None = None, crs: str | None = None) -> DataFrame:
+    """Point export with ``x``, ``y`` in metres and ``crs``: lon/lat projected, x/y as they are, else local metres.
+
+    One system for the whole table, so distances hold across it: ``crs``, else that of the middle of the points' bounds
+    (UTM north or south, 3857 near the poles).  With ``crs_zone`` each point is projected in that zone, on its own
+    side of the equator.  Tables with x/y alone need ``crs``.
 
     Needs ``point_id``, and lon/lat or x/y.  Numbers that do not parse become NULL, as does NaN.
     """
-    raw = spark.read.csv(path, header=True)
-    if "point_id" not in raw.columns:
-        raise ValueError("point export lacks point_id")
-    kinds = dict(f.split(" ") for f in POINTS.split(", "))
+    raw = require_columns(spark.read.csv(path, header=True), ("point_id",), "point export")
+    kinds = dict(f.split(" ") for f in POINTS.split(", ")) | {"x": "double", "y": "double"}
     rows = raw.select(*[F.expr(f"try_cast(`{c}` AS {kinds[c]})").alias(c) if c in kinds else F.col(c) for c in raw.columns])
     rows = rows.select(*[F.nanvl(F.col(c), F.lit(None).cast("double")).alias(c) if t == "double" else F.col(c) for c, t in rows.dtypes])
     if {"lon", "lat"} <= set(rows.columns):
-        if crs_zone is None:
-            crs_zone = rows.agg(geo.utm_zone((F.min("lon") + F.max("lon")) / 2)).first()[0] or 1
-        east, north = geo.utm_forward(F.col("lon"), F.col("lat"), F.lit(crs_zone))
-        return rows.withColumns({"x": east, "y": north})
+        if crs_zone is not None:
+            east, north = geo.utm_forward(F.col("lon"), F.col("lat"), F.lit(crs_zone))
+            return rows.withColumns({"x": east, "y": north})
+        crs = crs or table_crs(rows)
+        east, north = geo.forward(crs, F.col("lon"), F.col("lat"))
+        return rows.withColumns({"x": east, "y": north, "crs": F.lit(crs)})
+    if {"x", "y"} <= set(rows.columns):
+        if crs is None:
+            raise ValueError("a point export with x and y alone needs crs")
+        geo.crs_number(crs)
+        return rows.withColumn("crs", F.lit(crs))
     if {"x_local_m", "y_local_m"} <= set(rows.columns):
         return rows.withColumns({"x": F.col("x_local_m"), "y": F.col("y_local_m")})
     raise ValueError("point export has neither lon/lat nor local metres")
@@ -159,6 +184,19 @@ def area_shape(spark: SparkSession, bounds: tuple[float, float, float, float] |
     return spark.range(1).select(F.array(ring).alias("rings"), ring_area(ring).alias("area"))
 
 
+def area_grid(area: DataFrame, resolution_m: float = 10.0, crs: str | None = None, alignment: str = "edge") -> DataFrame:
+    """One row ``(crs, minx, miny, maxx, maxy, width, height, resolution_m)``: the grid over a shape in degrees (``rings``).
+
+    Without ``crs``, or with ``auto``, it is the metric system of the middle of the shape's bounds.
+    """
+    corner = area.select(F.explode(F.flatten("rings")).alias("p")).select(F.col("p.x").alias("lon"), F.col("p.y").alias("lat"))
+    crs = table_crs(corner) if crs in (None, "", "auto") else crs
+    x, y = geo.forward(crs, F.col("lon"), F.col("lat"))
+    box = corner.agg(F.min(x).alias("x0"), F.min(y).alias("y0"), F.max(x).alias("x1"), F.max(y).alias("y1"))
+    snapped = geo.snap_bounds(*[F.col(c) for c in ("x0", "y0", "x1", "y1")], resolution_m, alignment)
+    return box.select(F.lit(crs).alias("crs"), *[v.alias(k) for k, v in snapped.items()], F.lit(float(resolution_m)).alias("resolution_m"))
+
+
 def write_metrics(metrics: DataFrame, path: str) -> None:
     """A report of one row, or few, as one JSON file."""
     metrics.coalesce(1).write.mode("overwrite").json(path)
