@@ -35,6 +35,24 @@ CTES = {
         CASE o_orderkey % 13 WHEN 0 THEN NULL WHEN 1 THEN 'GRD' ELSE 'IW_SLC__1S' END AS product_type,
         CAST(o_orderkey % 340 - 170 AS DOUBLE) AS x0, CAST(o_custkey % 150 - 75 AS DOUBLE) AS y0, CAST(o_orderkey % 340 - 167 AS DOUBLE) AS x1, CAST(o_custkey % 150 - 73 AS DOUBLE) AS y1
       FROM {orders}""",
+    # a product is a stack's year: its first day is the master's; g spoils some of its bands
+    "band_days": """
+      SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY day) - 1 AS n, first_value(token) OVER (PARTITION BY product_id ORDER BY day) AS mst FROM (
+        SELECT concat(direction, '_', CAST(relative_orbit AS VARCHAR(5)), '_', CAST(year(day) AS VARCHAR(5))) AS product_id, day, min(k) % 50 AS g,
+          concat(lpad(CAST(day(day) AS VARCHAR(2)), 2, '0'), substr('JanFebMarAprMayJunJulAugSepOctNovDec', 3 * month(day) - 2, 3), CAST(year(day) AS VARCHAR(5))) AS token
+        FROM scenes GROUP BY direction, relative_orbit, day) d""",
+    "band_rows": """
+      SELECT product_id, g, n, c, token, mst, rep, CASE WHEN g = 23 THEN '01Jan1990' ELSE token END AS tok, CASE WHEN g = 11 THEN 'VH' ELSE 'VV' END AS pol,
+        CASE WHEN g = 29 THEN '02Jan1990' ELSE mst END AS first, CAST(n + 500 * rep AS VARCHAR(9)) AS num, 8 * n + 2 * rep + (CASE WHEN c = 'q' THEN 1 ELSE 0 END) AS position
+      FROM band_days, (VALUES ('i'), ('q')) AS v(c), (VALUES (0), (1)) AS w(rep) WHERE (rep = 0 OR g = 13) AND NOT (g = 7 AND c = 'q')""",
+    "coreg_bands": """
+      SELECT *, CASE WHEN g = 3 THEN concat('bad_', base) WHEN g = 17 THEN concat(base, '_x') WHEN g = 19 AND n > 0 THEN concat(c, '_VV_slv1_', token, '_slv', num, '_', mst) ELSE base END AS band_name
+      FROM (SELECT *, CASE WHEN n = 0 THEN concat(c, '_', pol, '_mst_', tok) ELSE concat(c, '_', pol, '_slv', num, '_', tok) END AS base FROM band_rows) b""",
+    "ifg_bands": """
+      SELECT product_id, g, n, c, token, mst, rep, position, CASE WHEN g = 19 THEN concat(c, '_ifg_VV_', mst, '_', token, '_slv', num, '_', mst) ELSE concat(c, '_ifg_', pol, '_', first, '_', tok) END AS band_name
+      FROM band_rows WHERE n > 0
+      UNION ALL SELECT product_id, -1, -1, '', '', mst, k, -1, name FROM band_days, (VALUES (0, 'elevation'), (1, 'orthorectifiedLat'), (2, 'orthorectifiedLon'), (3, 'elevation')) AS v(k, name)
+      WHERE n = 0 AND (k = 1 OR (k = 0 AND g % 3 > 0) OR (k = 3 AND g % 3 > 1) OR (k = 2 AND g % 2 = 1))""",
     "psi_points": """
       SELECT CAST(r * 48 + c AS BIGINT) AS point_id, r AS azimuth_index, c AS range_index, avg(CAST(0.8 AS DOUBLE) + d) AS tc_c, avg(CAST(0.8 AS DOUBLE) + t) AS tc_f,
         avg(CAST(0.8 AS DOUBLE) + q / 500) + (CASE WHEN (r + c) % 29 = 0 THEN CAST(0.6 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) AS tc_b
@@ -52,7 +70,8 @@ CTES = {
 #: The last row of the rasters, as SQL over DuckDB's views.
 LAST_ROW = "(SELECT CAST(floor(max(l_orderkey) / 15000) * 48 + 47 AS INT) FROM lineitem)"
 
-_NEEDS = {"s1_obs": ("raw",), "s2_obs": ("raw",), "psi_points": ("raw",), "truth": ("raw",)}
+_BANDS = ("scenes", "band_days")
+_NEEDS = {"band_days": ("scenes",), "coreg_bands": (*_BANDS, "band_rows"), "ifg_bands": (*_BANDS, "band_rows"), "s1_obs": ("raw",), "s2_obs": ("raw",), "psi_points": ("raw",), "truth": ("raw",)}
 
 
 def with_clause(*names: str) -> str:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from changegrid.config import Psi
 from changegrid.functions import geo
+from changegrid.operators import bands as N
 from changegrid.operators import catalog as C
 from changegrid.operators import discs as D
 from changegrid.operators import polygons as G
@@ -77,6 +78,10 @@ def bands(spark, d) -> DataFrame:
     return s.select("product_id", F.when(F.col("k") % 50 == 3, F.concat(F.lit("bad_"), name)).otherwise(name).alias("band_name"))
 
 
+def band_dates(spark, d) -> DataFrame:
+    return view(spark, d, "band_days").select("product_id", "token", (F.col("n") == 0).alias("master"))
+
+
 #: Breaks of the derived point tables.
 BREAKS = ("2023-09-10", "2023-10-04", "2023-09-22")
 
@@ -229,6 +234,12 @@ QUERIES = {
     "orbit_match": lambda s, d: C.match_orbits(view(s, d, "scenes").select("scene_id", "day", "platform"), C.parse_orbit_files(orbit_files(s, d))).select("scene_id", "orbit_file"),
     "band_audit": lambda s, d: C.audit_bands(bands(s, d)),
     "band_select": lambda s, d: C.select_bands(bands(s, d)),
+    "coreg_audit": lambda s, d: N.audit_coreg(view(s, d, "coreg_bands").select("product_id", "band_name", "position"), band_dates(s, d)),
+    "ifg_audit": lambda s, d: N.audit_ifg(view(s, d, "ifg_bands").select("product_id", "band_name", "position"), band_dates(s, d)),
+    "final_bands": lambda s, d: N.select_final(view(s, d, "coreg_bands").select("product_id", "band_name", "position"), band_dates(s, d)),
+    "final_names": lambda s, d: N.parse_names(view(s, d, "ifg_bands").select("product_id", "band_name")).select("product_id", "band_name", "form", N.final_name().alias("final_name")),
+    "export_bands": lambda s, d: N.select_export(view(s, d, "ifg_bands").select("product_id", "band_name"), "ifg"),
+    "stack_inputs": lambda s, d: N.select_export(view(s, d, "coreg_bands").select("product_id", "band_name"), "coreg", stack_input=True),
     "pair_pivot": lambda s, d: C.pair_pivot(view(s, d, "scenes").select("day", F.concat(F.lit("IW"), (F.col("k") % 3 + 1).cast("string")).alias("swath"), F.col("scene_id").alias("product")), ["IW1", "IW2", "IW3"]),
     "path_derive": lambda s, d: paths(s, d),
     "cdpsi_breaks": lambda s, d: S.plan_breaks(stacked(s, d)).select("stack_id", "break_index", F.col("n_front").cast("int").alias("n_front"), F.col("n_back").cast("int").alias("n_back"), "break_after", "break_before", "front_id", "back_id"),
@@ -354,6 +365,19 @@ ORACLE_SQL = {
   SELECT product_id, 'unexpected' AS problem, band_name AS detail FROM nam WHERE k % 50 = 3 UNION ALL SELECT product_id, 'duplicate', c || '_VV_' || token FROM good WHERE n > 1
   UNION ALL SELECT product_id, 'missing', CASE WHEN min(c) = 'i' THEN 'q' ELSE 'i' END || '_VV_' || token FROM good GROUP BY product_id, token HAVING count(*) < 2""", "scenes"),
     "band_select": duckdb(_BAND + " SELECT product_id, min(band_name) AS band_name, c || '_VV_' || token AS canonical FROM nam WHERE k % 50 <> 3 GROUP BY product_id, c, token", "scenes"),
+    # the answers follow from what was spoilt (g), not from the names
+    "coreg_audit": duckdb(
+        """, b AS (SELECT *, CASE WHEN g = 3 THEN 'band' WHEN g = 17 OR (g = 19 AND n > 0) THEN 'form' WHEN g = 11 THEN 'pol' WHEN g = 23 THEN 'date' WHEN rep = 1 THEN 'repeat' END AS p FROM coreg_bands)
+  SELECT product_id, p AS problem, band_name AS detail FROM b WHERE p IS NOT NULL UNION ALL SELECT product_id, 'pair', token FROM band_days WHERE g IN (3, 7, 11, 17, 23) OR (g = 19 AND n > 0)
+  UNION ALL SELECT product_id, 'count', CAST(k AS VARCHAR) FROM (SELECT product_id, count(*) AS k FROM coreg_bands GROUP BY 1) JOIN (SELECT product_id, 2 * count(*) AS want FROM band_days GROUP BY 1) USING (product_id) WHERE k <> want""", "coreg_bands"),
+    "ifg_audit": duckdb(
+        """, b AS (SELECT *, CASE WHEN g = 11 THEN 'pol' WHEN g = 29 THEN 'master' WHEN g = 23 THEN 'date' WHEN rep = 1 THEN 'repeat' END AS p FROM ifg_bands WHERE n > 0 AND g <> 19)
+  SELECT product_id, p AS problem, band_name AS detail FROM b WHERE p IS NOT NULL UNION ALL SELECT product_id, 'pair', token FROM band_days WHERE n > 0 AND g IN (7, 11, 19, 23, 29)
+  UNION ALL SELECT product_id, 'ancillary', 'elevation' FROM band_days WHERE n = 0 AND g % 3 <> 1 UNION ALL SELECT product_id, 'ancillary', 'orthorectifiedLon' FROM band_days WHERE n = 0 AND g % 2 = 0""", "ifg_bands"),
+    "final_bands": duckdb(" SELECT product_id, band_name, CASE WHEN g = 19 AND n > 0 THEN c || '_VV_slv' || CAST(n AS VARCHAR) || '_' || token ELSE band_name END AS final_name FROM coreg_bands WHERE rep = 0 AND g NOT IN (3, 11, 17, 23)", "coreg_bands"),
+    "final_names": duckdb(" SELECT product_id, band_name, CASE WHEN n < 0 THEN NULL WHEN g = 19 THEN 'stacked_ifg' ELSE 'ifg' END AS form, CASE WHEN g = 19 THEN c || '_ifg_VV_' || mst || '_' || token ELSE band_name END AS final_name FROM ifg_bands", "ifg_bands"),
+    "export_bands": duckdb(" SELECT product_id, band_name FROM ifg_bands WHERE g <> 11", "ifg_bands"),
+    "stack_inputs": duckdb(" SELECT product_id, band_name FROM coreg_bands WHERE n > 0 AND g NOT IN (3, 11)", "coreg_bands"),
     "pair_pivot": duckdb(' SELECT day, min(scene_id) FILTER (k % 3 = 0) AS "IW1", min(scene_id) FILTER (k % 3 = 1) AS "IW2", min(scene_id) FILTER (k % 3 = 2) AS "IW3" FROM scenes GROUP BY day', "scenes"),
     "path_derive": duckdb(" SELECT scene_id, '/bucket/a/' || scene_id || CASE WHEN k % 2 = 0 THEN '.SAFE' ELSE '' END AS path, CAST(k AS VARCHAR) || '-ab' AS uuid FROM scenes", "scenes"),
     "cdpsi_breaks": duckdb(
