@@ -219,6 +219,30 @@ def object_path(href: Column) -> Column:
     return F.when(href.startswith("s3://"), F.when(cut != "", cut).otherwise(plain))
 
 
+#: Fixed format of the names of radar scenes, and where the archive keeps them.
+PRODUCT_NAME = r"^S1[A-Z]_"
+ARCHIVE = "/eodata/Sentinel-1/SAR/SLC/"
+
+
+def scene_path(assets: Column, preferred: tuple[str, ...], product_name: Column, day: Column) -> Column:
+    """The object path of a scene: of the first asset that has an s3 link, preferred ones first, else made of name and date.
+
+    An asset's link is its own, else that of its alternates ``s3`` and ``s3+https``.  NULL where there is none and the name is
+    not a radar scene's.
+    """
+
+    def link(name: Column) -> Column:
+        asset = F.try_element_at(assets, name)
+        held = [asset["href"], *[F.try_element_at(asset["alternate"], F.lit(k))["href"] for k in ("s3", "s3+https")]]
+        return F.coalesce(*[F.when(h.startswith("s3://"), h) for h in held])
+
+    names = F.array_distinct(F.concat(F.array(*map(F.lit, (*preferred, "safe_manifest"))), F.map_keys(assets)))
+    found = F.filter(F.transform(names, lambda n: F.nullif(object_path(link(n)), F.lit(""))), lambda p: p.isNotNull())
+    safe = F.when(product_name.endswith(".SAFE"), product_name).otherwise(F.concat(product_name, F.lit(".SAFE")))
+    derived = F.when(product_name.rlike(PRODUCT_NAME), F.concat(F.lit(ARCHIVE), F.date_format(day, "yyyy/MM/dd"), F.lit("/"), safe))
+    return F.coalesce(F.get(found, F.lit(0)), derived)
+
+
 def product_uuid(href: Column) -> Column:
     return F.nullif(F.regexp_extract(href, r"Products\(([0-9A-Za-z-]+)\)/\$value", 1), F.lit(""))
 

@@ -54,6 +54,20 @@ def plan_breaks(scenes: DataFrame, least: int = Psi.minimum_subset_images) -> Da
     )
 
 
+def describe_plan(scenes: DataFrame, breaks: DataFrame, least: int = Psi.minimum_subset_images) -> DataFrame:
+    """One row a stack: its number of scenes, bounds, breaks and subset runs, the breaks' intervals in order, and whether it has any.
+
+    A subset that several breaks share is one run.
+    """
+    whole = scenes.groupBy("stack_id").agg(F.count("*").alias("scene_count"), F.min("day").alias("first_day"), F.max("day").alias("last_day"))
+    runs = breaks.select("stack_id", F.explode(F.array("front_id", "back_id")).alias("run")).groupBy("stack_id").agg(F.count_distinct("run").alias("subset_run_count"))
+    parts = ["break_index", "break_after", "break_before", "front_id", "back_id", "n_front", "n_back", "front_master", "back_master"]
+    listed = breaks.groupBy("stack_id").agg(F.count("*").alias("valid_break_count"), F.array_sort(F.collect_list(F.struct(*parts))).alias("break_intervals"))
+    out = whole.join(listed, "stack_id", "left").join(runs, "stack_id", "left").withColumn("minimum_subset_images", F.lit(least))
+    zeros = {c: F.coalesce(c, F.lit(0)) for c in ("valid_break_count", "subset_run_count")}
+    return out.withColumns(zeros).withColumn("valid", F.col("valid_break_count") > 0)
+
+
 def require_breaks(plan: DataFrame) -> DataFrame:
     """The plan, or ValueError if no stack can be split."""
     if plan.isEmpty():

@@ -138,12 +138,26 @@ def first_change(masks: DataFrame, periods: list[str], mask_col: str = "refined"
     return masks.groupBy("r", "c").agg(F.coalesce(F.min(F.when(F.col(mask_col), index)), F.lit(0)).alias("first_change"))
 
 
-def run_areas(cumulative_raw: DataFrame, cumulative_refined: DataFrame, resolution_m: float = 10.0) -> DataFrame:
-    """Areas in hectares ever marked, before and after refinement."""
+def item_counts(items: DataFrame, periods: DataFrame) -> DataFrame:
+    """``(period_id, s1_before_items, s1_after_items, s2_before_items, s2_after_items)``, zeros kept.
+
+    ``items``: ``(period_id, phase, sensor, scene_id)``, a scene once in each window that it is in.
+    """
+    named = {f"{s}_{p}_items": F.count_if((F.col("sensor") == s) & (F.col("phase") == p)) for s in ("s1", "s2") for p in ("before", "after")}
+    counts = items.groupBy("period_id").agg(*[v.alias(k) for k, v in named.items()])
+    return periods.select("period_id").distinct().join(counts, "period_id", "left").select("period_id", *[F.coalesce(k, F.lit(0)).alias(k) for k in named])
+
+
+def run_areas(cumulative_raw: DataFrame, cumulative_refined: DataFrame, resolution_m: float = 10.0, zones: DataFrame | None = None, polygons: DataFrame | None = None) -> DataFrame:
+    """Areas in hectares ever marked, before and after refinement; with ``zones`` and ``polygons`` also theirs, and the number of polygons."""
     area = resolution_m**2 / 10000
-    raw = cumulative_raw.agg((F.count_if(F.col("first_change") > 0) * area).alias("raw_ha"))
-    refined = cumulative_refined.agg((F.count_if(F.col("first_change") > 0) * area).alias("refined_ha"))
-    return raw.join(refined)
+    out = cumulative_raw.agg((F.count_if(F.col("first_change") > 0) * area).alias("raw_ha"))
+    out = out.join(cumulative_refined.agg((F.count_if(F.col("first_change") > 0) * area).alias("refined_ha")))
+    if zones is not None:
+        out = out.join(zones.agg((F.count("*") * area).alias("zone_mask_ha")))
+    if polygons is not None:
+        out = out.join(polygons.agg(F.count("*").alias("polygon_count"), F.coalesce(F.sum("area_ha"), F.lit(0.0)).alias("zone_area_ha")))
+    return out
 
 
 def confusion(predicted: DataFrame, truth: DataFrame, predicted_col: str, truth_col: str, keys: list[str] | None = None) -> DataFrame:

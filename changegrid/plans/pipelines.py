@@ -90,6 +90,7 @@ def run_builtup(radar: DataFrame, optical: DataFrame | None, cfg: BuiltUp, stop_
         return out
     labels = lambda: stage(Z.label_zones(out["zones"], cfg.tile), "builtup-labels")
     out["polygons"] = keep("polygons", ["zone_id", "rings", "area_ha", "perim_m", "compactness"], lambda: Z.zone_polygons(labels(), cfg.zones, cfg.resolution_m))
+    out["areas"] = R.run_areas(out["cumulative_raw"], out["cumulative"], cfg.resolution_m, out["zones"], out["polygons"])
     return out
 
 

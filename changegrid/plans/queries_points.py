@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,11 +14,13 @@ from changegrid.operators import catalog as C
 from changegrid.operators import discs as D
 from changegrid.operators import polygons as G
 from changegrid.operators import psi as S
+from changegrid.operators import raster as R
 from changegrid.operators import spatial as X
 from changegrid.plans.fixtures import duckdb, view
 from changegrid.plans.pipelines import run_psi
 from changegrid.plans.queries_raster import rounded
 from changegrid.sources import io
+from changegrid.sources.staging import shared_dir
 
 WINDOWS = "SELECT * FROM (VALUES ('p1', 'before', DATE '1995-06-01', DATE '1995-09-30'), ('p1', 'after', DATE '1999-06-01', DATE '1999-09-30'), ('p2', 'before', DATE '1996-06-01', DATE '1996-09-30'), ('p2', 'after', DATE '2000-06-01', DATE '2000-09-30')) AS w(period_id, phase, start, end_day)"
 #: Stacks: orbit direction, number and the day near which their master lies.
@@ -214,6 +218,49 @@ def in_tables(spark, d) -> DataFrame:
     return out
 
 
+def windowed(spark, d) -> DataFrame:
+    """Scenes of both sensors by the windows that hold them: radar by platform and polarisation, optical by cloud cover."""
+    s, w = view(spark, d, "scenes"), windows(spark)
+    own = lambda df, sensor: C.in_windows(df, w).select("period_id", "phase", F.lit(sensor).alias("sensor"), "scene_id")
+    return own(C.filter_radar(s, "Sentinel-1A", "ascending", ("vv",), mode="IW"), "s1").unionByName(own(C.filter_optical(s, 30.0), "s2"))
+
+
+def located(spark, d) -> DataFrame:
+    """Object paths of scenes whose links stand in different assets, and are filled in from a table where there is none."""
+    k, link = F.col("k"), lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    href = "struct<href: string, alternate: map<string, struct<href: string>>>"
+    none = F.create_map().cast("map<string, struct<href: string>>")
+    web = F.struct(link("https://host/", F.col("scene_id")).alias("href"), none.alias("alternate")).cast(href)
+    own = F.struct(link("s3://bucket/own/", F.col("scene_id"), ".SAFE/measurement/vv.tiff").alias("href"), none.alias("alternate")).cast(href)
+    other = F.struct(link("https://host/", F.col("scene_id")).alias("href"), F.create_map(F.lit("s3+https"), F.struct(link("s3://bucket/alt/", F.col("scene_id"), "/Manifest.safe").alias("href"))).alias("alternate")).cast(href)
+    assets = F.when(k % 4 == 0, F.create_map(F.lit("vv"), own, F.lit("product"), web)).when(k % 4 == 1, F.create_map(F.lit("product"), other, F.lit("vv"), own)).otherwise(F.create_map(F.lit("product"), web))
+    name = F.when(k % 4 == 2, link("S1A_IW_SLC__", F.col("scene_id"))).otherwise(F.col("scene_id"))
+    s = view(spark, d, "scenes").select("scene_id", "k", "day", assets.alias("assets"), name.alias("name"))
+    held = s.select("scene_id", "k", C.scene_path(F.col("assets"), ("product",), F.col("name"), F.col("day")).alias("s3_path"))
+    more = s.where("k % 8 = 3 OR k % 8 = 0").select("scene_id", link("/later/", F.col("scene_id")).alias("s3_path"))
+    return io.backfill_paths(held, more).select("scene_id", "s3_path")
+
+
+def described(spark, d) -> DataFrame:
+    found = S.describe_plan(stacked(spark, d), S.plan_breaks(stacked(spark, d)))
+    names = F.array_join(F.transform("break_intervals", lambda b: F.concat_ws("/", b.break_after.cast("string"), b.front_id)), ",")
+    return found.select("stack_id", "scene_count", "minimum_subset_images", "valid_break_count", "subset_run_count", "valid", F.sha2(names, 256).alias("intervals"))
+
+
+def exported(spark, d) -> DataFrame:
+    """What readers find in each file of an export, and in the run's summary."""
+    path = f"{shared_dir(spark)}/exports/{uuid.uuid4().hex}"
+    points, polygons = view(spark, d, "points_xy").where("point_id % 10 = 0"), diamonds(spark, d, hole=True)
+    io.export_fusion(points, polygons, path, intermediate=True)
+    io.write_run_summary(points, polygons, "run", ["asc0", "desc1"], f"{path}/summary")
+    out = spark.read.json(f"{path}/summary").select(F.lit("summary").alias("file"), F.col("candidate_points").alias("n"), F.col("candidate_polygons").cast("double").alias("total"))
+    for suffix in ("parquet", "geojson"):
+        p, q = (io.read_vector(spark, f"{path}/{name}.{suffix}") for name in ("cdpsi_emergence_candidates", "fused_change_candidates"))
+        out = out.unionByName(p.agg(F.count("*").alias("n"), F.sum(F.col("rings")[0][0]["x"]).alias("total")).withColumn("file", F.lit(f"points.{suffix}")))
+        out = out.unionByName(q.agg(F.count("*").alias("n"), F.sum(X.polygon_area(F.col("rings"))).alias("total")).withColumn("file", F.lit(f"polygons.{suffix}")))
+    return out
+
+
 def paths(spark, d):
     s = view(spark, d, "scenes").select("k", "scene_id", F.concat(F.lit("s3://bucket/a/"), F.col("scene_id"), F.when(F.col("k") % 2 == 0, ".SAFE/manifest.safe").otherwise("/manifest.safe")).alias("href"), F.concat(F.lit("https://host/Products("), F.col("k").cast("string"), F.lit("-ab)/$value")).alias("link"))
     return s.select("scene_id", C.object_path(F.col("href")).alias("path"), C.product_uuid(F.col("link")).alias("uuid"))
@@ -241,6 +288,10 @@ QUERIES = {
     "export_bands": lambda s, d: N.select_export(view(s, d, "ifg_bands").select("product_id", "band_name"), "ifg"),
     "stack_inputs": lambda s, d: N.select_export(view(s, d, "coreg_bands").select("product_id", "band_name"), "coreg", stack_input=True),
     "pair_pivot": lambda s, d: C.pair_pivot(view(s, d, "scenes").select("day", F.concat(F.lit("IW"), (F.col("k") % 3 + 1).cast("string")).alias("swath"), F.col("scene_id").alias("product")), ["IW1", "IW2", "IW3"]),
+    "item_counts": lambda s, d: rounded(R.item_counts(windowed(s, d), windows(s))),
+    "scene_paths": located,
+    "plan_describe": lambda s, d: rounded(described(s, d)),
+    "fusion_export": lambda s, d: rounded(exported(s, d)),
     "path_derive": lambda s, d: paths(s, d),
     "cdpsi_breaks": lambda s, d: S.plan_breaks(stacked(s, d)).select("stack_id", "break_index", F.col("n_front").cast("int").alias("n_front"), F.col("n_back").cast("int").alias("n_back"), "break_after", "break_before", "front_id", "back_id"),
     "subset_master": lambda s, d: S.plan_breaks(stacked(s, d)).select("stack_id", "break_index", "front_master", "back_master"),
@@ -379,6 +430,21 @@ ORACLE_SQL = {
     "export_bands": duckdb(" SELECT product_id, band_name FROM ifg_bands WHERE g <> 11", "ifg_bands"),
     "stack_inputs": duckdb(" SELECT product_id, band_name FROM coreg_bands WHERE n > 0 AND g NOT IN (3, 11)", "coreg_bands"),
     "pair_pivot": duckdb(' SELECT day, min(scene_id) FILTER (k % 3 = 0) AS "IW1", min(scene_id) FILTER (k % 3 = 1) AS "IW2", min(scene_id) FILTER (k % 3 = 2) AS "IW3" FROM scenes GROUP BY day', "scenes"),
+    "item_counts": duckdb(
+        f""", w AS ({WINDOWS}), h AS (SELECT period_id, phase, platform <> 'sentinel-1b' AND direction = 'ascending' AND polarization IN ('VV', 'VV+VH', 'VH+VV') AND mode = 'IW' AS radar, cloud_cover < 30 AS clear FROM scenes JOIN w ON day BETWEEN start AND end_day)
+  SELECT w.period_id, count(*) FILTER (radar AND h.phase = 'before') AS s1_before_items, count(*) FILTER (radar AND h.phase = 'after') AS s1_after_items, count(*) FILTER (clear AND h.phase = 'before') AS s2_before_items, count(*) FILTER (clear AND h.phase = 'after') AS s2_after_items
+  FROM (SELECT DISTINCT period_id FROM w) w LEFT JOIN h USING (period_id) GROUP BY 1""", "scenes"),
+    "scene_paths": duckdb(
+        """ SELECT scene_id, CASE k % 4 WHEN 0 THEN '/bucket/own/' || scene_id || '.SAFE' WHEN 1 THEN '/bucket/alt/' || scene_id WHEN 2 THEN '/eodata/Sentinel-1/SAR/SLC/' || strftime(day, '%Y/%m/%d') || '/S1A_IW_SLC__' || scene_id || '.SAFE'
+    ELSE CASE WHEN k % 8 = 3 THEN '/later/' || scene_id END END AS s3_path FROM scenes""", "scenes"),
+    "plan_describe": duckdb(
+        _PLAN + """, b AS (SELECT stack_id, k, f1, stack_id || '_cdpsi_front_' || strftime(f0, '%Y%m%d') || '_' || strftime(f1, '%Y%m%d') AS front_id, stack_id || '_cdpsi_back_' || strftime(b0, '%Y%m%d') || '_' || strftime(b1, '%Y%m%d') AS back_id FROM plan0)
+  , g AS (SELECT stack_id, count(*) AS n, string_agg(strftime(f1, '%Y-%m-%d') || '/' || front_id, ',' ORDER BY k) AS t FROM b GROUP BY 1), r AS (SELECT stack_id, count(DISTINCT x) AS runs FROM (SELECT stack_id, unnest([front_id, back_id]) AS x FROM b) GROUP BY 1)
+  SELECT s.stack_id, s.scene_count, CAST(3 AS BIGINT) AS minimum_subset_images, coalesce(n, 0) AS valid_break_count, coalesce(runs, 0) AS subset_run_count, coalesce(n, 0) > 0 AS valid, sha256(t) AS intervals
+  FROM (SELECT stack_id, count(*) AS scene_count FROM stk GROUP BY 1) s LEFT JOIN g USING (stack_id) LEFT JOIN r USING (stack_id)""", "scenes"),
+    "fusion_export": duckdb(
+        _DIAMOND + """, p AS (SELECT count(*) AS n, sum(x) AS total FROM points_xy WHERE point_id % 10 = 0), q AS (SELECT count(*) AS n, sum(1.5 * h * h) AS total FROM dia)
+  SELECT 'summary' AS file, p.n, q.n::DOUBLE AS total FROM p, q UNION ALL SELECT 'points.' || f, n, round(total, 6) FROM p, (VALUES ('parquet'), ('geojson')) v(f) UNION ALL SELECT 'polygons.' || f, n, round(total, 6) FROM q, (VALUES ('parquet'), ('geojson')) v(f)""", "points_xy", "rects"),
     "path_derive": duckdb(" SELECT scene_id, '/bucket/a/' || scene_id || CASE WHEN k % 2 = 0 THEN '.SAFE' ELSE '' END AS path, CAST(k AS VARCHAR) || '-ab' AS uuid FROM scenes", "scenes"),
     "cdpsi_breaks": duckdb(
         _PLAN + """ SELECT stack_id, CAST(k - 2 AS INT) AS break_index, CAST(k AS INT) AS n_front, CAST(nb AS INT) AS n_back, f1 AS break_after, b0 AS break_before, stack_id || '_cdpsi_front_' || strftime(f0, '%Y%m%d') || '_' || strftime(f1, '%Y%m%d') AS front_id,

@@ -134,6 +134,7 @@ QUERIES = {
     "period_report": lambda s, d: rounded(R.period_report(fused(s, d))),
     "cumulative_first_change": lambda s, d: rounded(cumulative(s, d)),
     "run_areas": lambda s, d: rounded(R.run_areas(cumulative(s, d, "candidate"), cumulative(s, d))),
+    "run_report": lambda s, d: rounded(R.run_areas(cumulative(s, d, "candidate"), cumulative(s, d), zones=zone_mask(s, d), polygons=zones_kept(s, d))),
     "dilate": lambda s, d: rounded(N.dilate(mask(s, d), 1, grid_rows(s, d), SIDE, BY)),
     "erode": lambda s, d: rounded(N.erode(mask(s, d), 1, grid_rows(s, d), SIDE, BY)),
     "closing": lambda s, d: rounded(N.close(mask(s, d), 1, grid_rows(s, d), SIDE, BY)),
@@ -292,3 +293,6 @@ ORACLE_SQL = {
         _SRC + """, px AS (SELECT c * 10.0::DOUBLE + 5 AS x, 1000 - r * 10.0::DOUBLE AS y FROM src), sx AS (SELECT x, x - lag(x) OVER (ORDER BY x) AS s FROM (SELECT DISTINCT x FROM px)), sy AS (SELECT y, y - lag(y) OVER (ORDER BY y) AS s FROM (SELECT DISTINCT y FROM px))
   SELECT a.res_x, a.ox AS origin_x, b.res_y, b.oy AS origin_y FROM (SELECT median(s) AS res_x, min(x) - median(s) / 2 AS ox FROM sx) a, (SELECT median(s) AS res_y, max(y) + median(s) / 2 AS oy FROM sy) b""", "s1_obs"),
 }
+ORACLE_SQL["run_report"] = f"SELECT * FROM ({ORACLE_SQL['run_areas']}) a, (" + duckdb(
+    _LABELLED + """, size AS (SELECT period_id, lab, count(*) * CAST(0.01 AS DOUBLE) AS ha FROM labzone GROUP BY ALL)
+  SELECT (SELECT round(count(*) * CAST(0.01 AS DOUBLE), 6) FROM zone) AS zone_mask_ha, count(*) AS polygon_count, round(coalesce(sum(ha), 0), 6) AS zone_area_ha FROM size WHERE ha >= 0.05""", "s1_obs") + ") z"
