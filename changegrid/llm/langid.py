@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changegrid.llm.words import U, mix, rounds
+from changegrid.llm.words import ROUND_BYTES, U, mix, rounds
 from changegrid.sources.staging import stage
 
 SIZES = (3, 5)
@@ -63,29 +63,39 @@ class Filter:
         bits = [(table[:, k // 64] >> U(k % 64)) & U(1) for k in range(len(langs))]
         self.false = np.array([float(b.mean()) ** 2 for b in bits])
 
+    def _count(self, data: np.ndarray, n: int, starts: np.ndarray, inside: np.ndarray | None, found: np.ndarray, total: np.ndarray) -> None:
+        """Adds the n-grams of texts that begin at ``starts`` to ``total``, and those of each language to ``found``."""
+        code, _ = _grams(data, starts, n)
+        if not len(code):
+            return
+        a, b = _places(code, len(self.table))
+        some, at = starts < len(code), np.minimum(starts, len(code) - 1)
+        size = np.array([len(code)]) if inside is None else np.add.reduceat(inside, at, dtype=np.int64)
+        total += np.where(some, size, 0)
+        for word in range(self.table.shape[1]):
+            mask = self.table[a, word] & self.table[b, word]
+            if inside is not None:
+                mask[~inside] = U(0)
+            for k in range(word * 64, min(len(self.langs), word * 64 + 64)):
+                bit = (mask >> U(k % 64)).astype(np.uint8) & np.uint8(1)
+                found[:, k] += np.where(some, np.add.reduceat(bit, at, dtype=np.int64), 0)
+
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Corrected counts, one row a text and one column a language. Texts are padded, so none is empty."""
-        n_texts, slots = len(offsets) - 1, len(self.table)
+        n_texts = len(offsets) - 1
         found, total = np.zeros((n_texts, len(self.langs))), np.zeros(n_texts)
-        for n in SIZES:
-            code, _ = _grams(data, offsets, n)
-            if not len(code):
-                continue
-            # n-grams that cross into the next text count for neither
-            inside = np.ones(len(code), bool)
-            for end in offsets[1:-1]:
-                inside[max(0, end - n + 1) : end] = False
-            a, b = _places(code, slots)
-            starts = np.minimum(offsets[:-1], len(code) - 1)
-            size = np.add.reduceat(inside, starts, dtype=np.int64)
-            some = offsets[:-1] < len(code)
-            total += np.where(some, size, 0)
-            for word in range(self.table.shape[1]):
-                mask = self.table[a, word] & self.table[b, word]
-                mask[~inside] = U(0)
-                for k in range(word * 64, min(len(self.langs), word * 64 + 64)):
-                    bit = (mask >> U(k % 64)).astype(np.uint8) & np.uint8(1)
-                    found[:, k] += np.where(some, np.add.reduceat(bit, starts, dtype=np.int64), 0)
+        if n_texts == 1:  # a long text in pieces: windows that begin in each
+            for n in SIZES:
+                for at in range(0, len(data), ROUND_BYTES):
+                    self._count(data[at : at + ROUND_BYTES + n - 1], n, np.zeros(1, np.int64), None, found, total)
+        else:
+            for n in SIZES:
+                if len(data) >= n:
+                    # n-grams that cross into the next text count for neither
+                    inside = np.ones(len(data) - n + 1, bool)
+                    for end in offsets[1:-1]:
+                        inside[max(0, end - n + 1) : end] = False
+                    self._count(data, n, offsets[:-1], inside, found, total)
         return np.maximum(0.0, (found - self.false * total[:, None]) / (1 - self.false))
 
 
@@ -109,8 +119,8 @@ def train(labelled: DataFrame, text_col: str, lang_col: str, key: Column, sample
             lang = batch.column("lang").to_numpy(zero_copy_only=False)
             for k in np.unique(lang):
                 for _, _, data, offsets in rounds(batch.column("text").take(pa.array(np.flatnonzero(lang == k))), prepare=_padded):
-                    for n in SIZES:
-                        codes, times = np.unique(_grams(data, offsets, n)[0], return_counts=True)
+                    for n, at in ((n, at) for n in SIZES for at in range(0, len(data), ROUND_BYTES)):
+                        codes, times = np.unique(_grams(data[at : at + ROUND_BYTES + n - 1], offsets, n)[0], return_counts=True)
                         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(codes), k, np.int32)), pa.array(codes.view(np.int64)), pa.array(times.astype(np.int64))], names=["lang", "gram", "n"])
 
     grams = stage(sample.mapInArrow(count, "lang int, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "langid-grams")
@@ -138,7 +148,7 @@ def predict(docs: DataFrame, model: Filter, id_col: str = "doc_id", text_col: st
 
     ``score`` is the predicted language's part of the corrected counts.  A text in which no n-gram is
     known gets the language with most training texts, with score 1 / number of languages.  Of languages that tie, the
-    first by name wins; repeated rows and null ids get a row each; an empty table gives none; extra columns,
+    first by name wins; a long text is read in pieces; repeated rows and null ids get a row each; an empty table gives none; extra columns,
     whatever their names, are ignored.
     """
     kind = docs.schema[id_col].dataType.simpleString()

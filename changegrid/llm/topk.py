@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 BLOCK, SHARD, GROUP, FAN = 1024, 8192, 8192, 16
 #: Bits of a limb of a large component.
 LIMB = 20
-_EXACT = float(1 << 53)
+_EXACT, _LARGEST = float(1 << 53), float(np.finfo(np.float64).max)
 
 
 def usable(vector: Column) -> Column:
@@ -46,7 +46,8 @@ def pack(vectors: DataFrame, scale: float) -> DataFrame:
                 for at in range(0, len(rows), BLOCK):
                     pick = rows[at : at + BLOCK]
                     flat = lists.take(pa.array(pick)).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-                    matrix = np.floor(scale * flat)
+                    with np.errstate(over="ignore"):
+                        matrix = np.clip(np.floor(scale * flat), -_LARGEST, _LARGEST)
                     order = np.argsort(ids[pick], kind="stable")
                     matrix = matrix.reshape(len(pick), int(dim))[order]
                     part += 1
@@ -70,30 +71,55 @@ def _limbs(m: np.ndarray) -> list[np.ndarray]:
 
 
 def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products of whole-valued rows, as int64: exact, and at the end of a long's range beyond it."""
-    dim = a.shape[1]
-    if np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * max(1, dim) < _EXACT:
+    """Inner products of whole-valued rows, as int64: exact, and at the end of a long's range beyond it.
+
+    Rows and columns with large components are worked out apart, so a few of them leave the others on the plain product.
+    """
+    dim = max(1, a.shape[1])
+    top = np.abs(a).max(initial=0), np.abs(b).max(initial=0)
+    if top[0] < _EXACT and top[1] < _EXACT and top[0] * top[1] * dim < _EXACT:
         return (a @ b.T).astype(np.int64)
+    bound = (_EXACT / dim) ** 0.5 / 2
+    large, wide = (np.flatnonzero(np.abs(x).max(1, initial=0) > bound) for x in (a, b))
+    small, rest = np.setdiff1d(np.arange(len(a)), large), np.setdiff1d(np.arange(len(b)), wide)
+    out = np.empty((len(a), len(b)), np.int64)
+    out[np.ix_(small, rest)] = (a[small] @ b[rest].T).astype(np.int64)
+    out[large] = _by_limbs(a[large], b)
+    out[np.ix_(small, wide)] = _by_limbs(a[small], b[wide])
+    return out
+
+
+def _by_limbs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``_product`` of large components by limbs; places where partial sums leave the range of a long by Python's integers."""
     step = 1 << (53 - 2 * LIMB)  # components whose limbs' products sum exactly
-    total = np.zeros((len(a), len(b)), np.int64)
-    for at in range(0, dim, step):
+    total, beyond = np.zeros((len(a), len(b)), np.int64), np.zeros((len(a), len(b)), bool)
+    if not total.size:
+        return total
+    for at in range(0, a.shape[1], step):
         for i, x in enumerate(_limbs(a[:, at : at + step])):
             for j, y in enumerate(_limbs(b[:, at : at + step])):
                 part, up = (x @ y.T).astype(np.int64), LIMB * (i + j)
-                if not part.any():
+                if up >= 63:
+                    beyond |= part != 0
                     continue
-                if up >= 63 or np.abs(part).max() >= 1 << (63 - up):
-                    return _in_full(a, b)
+                beyond |= np.abs(part) >= 1 << (63 - up)
                 part <<= up
                 out = total + part
-                if (((total ^ out) & (part ^ out)) < 0).any():
-                    return _in_full(a, b)
+                beyond |= ((total ^ out) & (part ^ out)) < 0
                 total = out
+    rows = np.flatnonzero(beyond.mean(1) > 0.5)  # whole rows first, then what is left by columns
+    total[rows] = _in_full(a[rows], b)
+    beyond[rows] = False
+    columns = np.flatnonzero(beyond.any(0))
+    left = np.flatnonzero(beyond.any(1))
+    total[np.ix_(left, columns)] = _in_full(a[left], b[columns])
     return total
 
 
 def _in_full(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """``_product`` by Python's integers, where partial sums leave the range of a long."""
+    """``_product`` by Python's integers."""
+    if not len(a) or not len(b):
+        return np.zeros((len(a), len(b)), np.int64)
     whole = np.array([[int(x) for x in r] for r in a], dtype=object) @ np.array([[int(x) for x in r] for r in b], dtype=object).T
     return np.clip(whole, 1 - (1 << 63), (1 << 63) - 1).astype(np.int64)
 
@@ -137,7 +163,8 @@ def _merge_tree(lists: DataFrame, k: int, shards: int) -> DataFrame:
 def top_k(queries: DataFrame, candidates: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding", scale: float = 1.0) -> DataFrame:
     """``(query_id, rank, id, score)``: for each query its k best candidates by inner product of floor(scale * x).
 
-    Exact over the range of a long; scores beyond it stand at its end.  Ties go to the smaller id; a
+    Exact over the range of a long; scores beyond it stand at its end, as do components that leave the range of a double
+    when scaled.  Ties go to the smaller id; a
     candidate with the query's own id takes no part; fewer than k candidates: all.  Vectors that are null, or hold null or non-finite components, or whose id is null,
     are left out, and only vectors of equal length meet.  A query id given on several rows counts once
     (its least vector); candidates with a repeated id stay separate rows.  Extra columns, whatever their names,

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from changegrid.llm.langid import held_out
 from changegrid.llm.quality import drawn
-from changegrid.llm.words import U, Words, mix, powers, rounds
+from changegrid.llm.words import U, Words, by_text, mix, powers, word_rounds
 
 BITS, VOCABULARY, RANK = 20, 4096, 4
 #: Standard errors by which a bucket of the vocabulary deviates at least.
@@ -34,15 +34,20 @@ _FOLD[97:123] = np.arange(97, 123)
 _FOLD[48:58] = np.arange(48, 58)
 
 
-def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def read(texts: pa.Array) -> Iterator[tuple[int, int, Words, int]]:
+    """Words of whole texts, in lower case; a long text comes in pieces."""
+    return word_rounds(texts, table=_FOLD, prepare=pc.utf8_lower)
+
+
+def terms(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """(text, bucket) of every term of lower-cased texts; repeats stay."""
-    words = Words(_FOLD[data], offsets)
     if not len(words.starts):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    p, inv = powers(0x9E3779B97F4A7C15, len(data) + 1)
-    total = np.zeros(len(data) + 1, U)
-    np.cumsum((words.data.astype(U) + U(1)) * p[: len(data)], out=total[1:])
-    text = np.repeat(np.arange(len(offsets) - 1), np.diff(words.first))
+    size = len(words.data)
+    p, inv = powers(0x9E3779B97F4A7C15, size + 1)
+    total = np.zeros(size + 1, U)
+    np.cumsum((words.data.astype(U) + U(1)) * p[:size], out=total[1:])
+    text = words.text()
     texts, buckets = [], []
     for size in (0, *STEMS):
         ends = words.ends if not size else words.starts + size
@@ -63,13 +68,15 @@ class Machine:
     weights: np.ndarray
     factors: np.ndarray
 
-    def sparse(self, data: np.ndarray, offsets: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        text, bucket = terms(data, offsets)
-        at = slot[bucket]
-        hit = at >= 0
-        size = max(1, len(self.buckets))
-        both = np.unique(text[hit] * size + at[hit])
-        return both // size, both % size
+    def sparse(self, texts: pa.Array, slot: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(row from, row to, text, place in the vocabulary) of each text's different terms."""
+
+        def find(words: Words) -> tuple[np.ndarray, np.ndarray]:
+            text, bucket = terms(words)
+            at = slot[bucket]
+            return text[at >= 0], at[at >= 0]
+
+        return by_text(read(texts), find)
 
     def slots(self) -> np.ndarray:
         slot = np.full(1 << BITS, -1, np.int32)
@@ -132,10 +139,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             label = batch.column("label").to_numpy(zero_copy_only=False)
-            for row, to, data, offsets in rounds(batch.column("text"), prepare=pc.utf8_lower):
-                text, bucket = terms(data, offsets)
-                pairs = np.unique(text << BITS | bucket)
-                where, toxic = pairs & ((1 << BITS) - 1), label[row:to][pairs >> BITS] > 0
+            for row, to, text, where in by_text(read(batch.column("text")), terms):
+                toxic = label[row:to][text] > 0
                 names = np.unique(where)
                 at = np.searchsorted(names, where)
                 yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(np.bincount(at, minlength=len(names))), pa.array(np.bincount(at, toxic, len(names)).astype(np.int64))], names=["bucket", "n", "toxic"])
@@ -152,8 +157,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slot = machine.slots()
         for batch in batches:
-            for row, to, data, offsets in rounds(batch.column("text"), prepare=pc.utf8_lower):
-                texts, at = machine.sparse(data, offsets, slot)
+            for row, to, texts, at in machine.sparse(batch.column("text"), slot):
                 cuts = np.searchsorted(texts, np.arange(to - row + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([batch.column("label").slice(row, to - row), pa.ListArray.from_arrays(cuts, pa.array(at.astype(np.int32)))], names=["label", "at"])
 
@@ -166,7 +170,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, score)`` for every row, empty and null texts too (they have no terms).
 
-    Whole texts are read, in rounds; repeated rows and null ids get a row each, equal texts equal scores; an empty
+    Whole texts are read, long ones in pieces; repeated rows and null ids get a row each, equal texts equal scores; an empty
     table gives no rows; extra columns, whatever their names, are ignored.
     """
     kind = docs.schema[id_col].dataType.simpleString()
@@ -176,8 +180,7 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
         machine = shared.value
         slot = machine.slots()
         for batch in batches:
-            for row, to, data, offsets in rounds(batch.column("text"), prepare=pc.utf8_lower):
-                texts, at = machine.sparse(data, offsets, slot)
+            for row, to, texts, at in machine.sparse(batch.column("text"), slot):
                 yield pa.RecordBatch.from_arrays([batch.column("id").slice(row, to - row), pa.array(machine.score(texts, at, to - row))], names=["id", "score"])
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, score double")

@@ -245,6 +245,24 @@ def word_rounds(texts: pa.Array, overlap: int = 0, size: int | None = None, tabl
             at = at + int(words.starts[step]) if overlap else end
 
 
+def by_text(pieces: Iterator[tuple[int, int, Words, int]], find: Callable[[Words], tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(row from, row to, text, value) of ``word_rounds``: different values of each text, in order; pieces of a long text together.
+
+    ``find`` gives the texts and values (whole numbers below 2**32) of a piece.
+    """
+    held = None
+    for row, to, words, _ in pieces:
+        text, value = find(words)
+        both = np.unique(text.astype(np.int64) << 32 | value.astype(np.int64))
+        if held is not None and held[0] == row:
+            both = np.union1d(held[2], both)
+        elif held is not None:
+            yield held[0], held[1], held[2] >> 32, held[2] & 0xFFFFFFFF
+        held = row, to, both
+    if held is not None:
+        yield held[0], held[1], held[2] >> 32, held[2] & 0xFFFFFFFF
+
+
 def _mapped_from(data: np.ndarray, at: int, table: np.ndarray) -> int:
     """``_separator_from`` on mapped bytes."""
     while at < len(data):
