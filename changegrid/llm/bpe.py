@@ -330,18 +330,17 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text
 
 def _rows(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray | None]]:
     """(row, ids, ends) of a batch; null counts as empty, ends may be missing."""
-    ids = batch.column("ids")
-    ends = batch.column("ends") if "ends" in batch.schema.names else None
-    flat = ids.values.to_numpy(zero_copy_only=False)
-    at = ids.offsets.to_numpy()
+    ids, empty = batch.column("ids"), np.zeros(0, np.int32)
+    flat, at, there = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy(), ids.is_valid().to_numpy(zero_copy_only=False)
+    with_ends = "ends" in batch.schema.names
+    if with_ends:
+        ends = batch.column("ends")
+        places, held = ends.offsets.to_numpy(), ends.values.to_numpy(zero_copy_only=False)
     for row in range(len(ids)):
-        none = not ids.is_valid()[row].as_py()
-        lo, hi = (0, 0) if none else (at[row], at[row + 1])
-        held = None
-        if ends is not None and not none:
-            place = ends.offsets.to_numpy()
-            held = ends.values.to_numpy(zero_copy_only=False)[place[row] : place[row + 1]]
-        yield row, flat[lo:hi], held
+        if there[row]:
+            yield row, flat[at[row] : at[row + 1]], held[places[row] : places[row + 1]] if with_ends else None
+        else:
+            yield row, empty, None
 
 
 def _pieces(ids: np.ndarray, ends: np.ndarray | None, size: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
