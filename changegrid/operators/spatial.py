@@ -126,19 +126,24 @@ def _linked_cells(unsure: DataFrame, spots: DataFrame, step: float, q: float) ->
     idx = lambda side: {"sx": F.floor(F.col("x") / side), "sy": F.floor(F.col("y") / side)}
     links = None
     for cut in range(CUTS + 1):
-        held = stage(spots.withColumns(idx(q)), "cluster-spots")
-        size = stage(held.groupBy("sx", "sy").agg(F.count("*").alias("n")), "cluster-sizes")
+        held = spots.withColumns(idx(q))
+        size = held.groupBy("sx", "sy").agg(F.count("*").alias("n"))
         first = [F.col("sx").alias("px"), F.col("sy").alias("py")]
         both = unsure.join(size, ["sx", "sy"]).join(size.select(*first, F.col("n").alias("m")), ["px", "py"])
         both = stage(both.withColumn("few", F.lit(cut == CUTS) | (F.col("n") * F.col("m") <= FEW_PAIRS)), "cluster-both")
         one = held.select(*first, F.col("x").alias("ax"), F.col("y").alias("ay"))
         tested = both.where("few").join(one, ["px", "py"]).join(held, ["sx", "sy"])
         tested = tested.where(F.pow(F.col("x") - F.col("ax"), F.lit(2)) + F.pow(F.col("y") - F.col("ay"), F.lit(2)) <= step * step)
-        new = stage(tested.select(*cells).distinct(), "cluster-links")
-        links = new if links is None else links.unionByName(new)
-        crowded = both.where("NOT few").join(new, cells, "left_anti")
+        new, crowded = tested.select(*cells).distinct(), both.where("NOT few")
         if crowded.isEmpty():
+            links = new if links is None else links.unionByName(new)
             break
+        new = stage(new, "cluster-links")
+        links = new if links is None else links.unionByName(new)
+        crowded = crowded.join(new, cells, "left_anti")
+        if not cut:  # from here on places count, not points: many points at one place are not a crowd
+            spots = stage(spots.select("x", "y").distinct(), "cluster-spots")
+            held = spots.withColumns(idx(q))
         q /= PARTS
         finer = stage(held.select("sx", "sy", *[v.alias(f"n{k}") for k, v in idx(q).items()]).distinct(), "cluster-finer")
         pair = crowded.join(finer, ["sx", "sy"]).join(finer.select(*first, F.col("nsx").alias("npx"), F.col("nsy").alias("npy")), ["px", "py"])
@@ -177,7 +182,7 @@ def cluster_points(points: DataFrame, radius: float, key: str = "point_id") -> D
     cells = ["fx", "fy", "cx", "cy"]
     sure = stage(met.where("sure").select(*cells).distinct(), "cluster-sure")
     unsure = met.where("NOT sure").join(sure, cells, "left_anti").select(*cells, "px", "py", "sx", "sy")
-    found = _linked_cells(stage(unsure, "cluster-unsure"), own.select("x", "y").distinct(), step, q)
+    found = _linked_cells(unsure, own.select("x", "y"), step, q)
     pairs = sure.unionByName(found)
     src = heads.select(F.col("cx").alias("fx"), F.col("cy").alias("fy"), F.col("head").alias("src"))
     links = pairs.join(src, ["fx", "fy"]).join(heads.withColumnRenamed("head", "dst"), ["cx", "cy"]).select("src", "dst")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,17 +44,27 @@ def run_builtup(radar: DataFrame, optical: DataFrame | None, cfg: BuiltUp, stop_
     """Radar observations, and optical ones if there are any, to zones; every result up to ``stop_after``, by name.
 
     Each stage is written to the shared folder, so later ones and readers do not compute it again.  With a
-    ``store``, a shared folder of this run's own, stages are artifacts there: a later call reads those that are whole
-    and builds the rest; support is judged again from the scores read, by the settings of that call.
+    ``store``, a shared folder of this run's own, stages are artifacts there: a later call reads those that are whole and
+    were built with the same settings, and builds the rest; support is judged again from the scores read.
     """
     if stop_after not in BUILTUP_STAGES:
         raise ValueError(f"stop_after is one of {BUILTUP_STAGES}")
     if radar.isEmpty():
         raise ValueError("no radar observations")
     out: dict[str, DataFrame] = {}
+    # what each stage's result depends on; support is judged anew from its scores, so its least score is not among them
+    grid = {k: getattr(cfg, k) for k in ("height", "width", "resolution_m")}
+    scores = {k: v for k, v in asdict(cfg.optical).items() if k != "support_score_min"} | {"available": optical is not None}
+    tested_by = {"test": asdict(cfg.test)}
+    detected_by = tested_by | grid | {"cleaning": asdict(cfg.cleaning)}
+    fused_by = detected_by | {"optical": asdict(cfg.optical)} | scores
+    ever_by = fused_by | {"periods": cfg.periods}
+    settings = {"composite": {}, "tested": tested_by, "detection": detected_by, "support": scores, "refined": fused_by, "cumulative_raw": ever_by, "cumulative": ever_by}
 
     def keep(name: str, columns: list[str], build: Callable[[], DataFrame]) -> DataFrame:
-        return stage(build(), f"builtup-{name}") if store is None else reuse_or_build(radar.sparkSession, f"{store}/{name}", build, columns)
+        if store is None:
+            return stage(build(), f"builtup-{name}")
+        return reuse_or_build(radar.sparkSession, f"{store}/{name}", build, columns, settings=settings.get(name, ever_by | {"zones": asdict(cfg.zones)}))
 
     def detection() -> DataFrame:
         kept = Z.detect(tested, cfg.height, cfg.width, cfg.cleaning, cfg.resolution_m, cfg.tile).withColumn("kept", F.lit(True))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +37,7 @@ def read_items(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_manifest(items: DataFrame, path: str) -> None:
-    """One item a line, in order of time, then id."""
+    """One item a line, in order of time (missing ones first), then id: sorted ranges, so the part files in name order hold the whole order."""
     items.orderBy(F.col("datetime").asc_nulls_first(), "id").write.mode("overwrite").json(path)
 
 
@@ -133,18 +135,39 @@ def write_raster(pixels: DataFrame, path: str, artifact: str, overwrite: bool =
     pixels.write.mode("overwrite" if overwrite else "errorifexists").parquet(f"{path}/artifact={artifact}")
 
 
-def reuse_or_build(spark: SparkSession, path: str, build, columns: list[str], overwrite: bool = False) -> DataFrame:
-    """A stage artifact: read where it is complete and has ``columns``, else built, written and read."""
+def reuse_or_build(spark: SparkSession, path: str, build, columns: list[str], overwrite: bool = False, settings: dict | None = None) -> DataFrame:
+    """A stage artifact: read where it is complete, has ``columns`` and was built with ``settings``, else built, written and read.
+
+    ``settings`` are kept as JSON beside the rows; an artifact without them, or with others, is built again.
+    """
     jvm = spark.sparkContext._jvm
-    done = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    if not overwrite and done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
+    place = lambda name: jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+    fs = place("_SUCCESS").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    wanted = None if settings is None else json.dumps(settings, sort_keys=True, default=str)
+    if not overwrite and fs.exists(place("_SUCCESS")):
+        known = wanted is None
+        if not known and fs.exists(place("_settings.json")):
+            known = _read_text(fs, place("_settings.json")) == wanted
         held = spark.read.parquet(path)
-        if set(columns) <= set(held.columns):
+        if known and set(columns) <= set(held.columns):
             return held
     build().write.mode("overwrite").parquet(path)
+    if wanted is not None:
+        out = fs.create(place("_settings.json"), True)
+        out.write(bytearray(wanted.encode()))
+        out.close()
     return spark.read.parquet(path)
 
 
+def _read_text(fs, path) -> str:
+    """A small file of the shared file system."""
+    held, size = fs.open(path), fs.getFileStatus(path).getLen()
+    try:
+        return bytes(held.readNBytes(int(size))).decode()
+    finally:
+        held.close()
+
+
 def write_vector(features: DataFrame, path: str, geometry: str = "rings") -> None:
     """``.parquet``, or ``.geojson`` as one feature a line; other suffixes raise ValueError."""
     if path.endswith(".parquet"):

@@ -92,3 +92,13 @@ def test_backfill(spark):
     scenes = spark.createDataFrame([("a", None), ("b", "kept")], "scene_id string, s3_path string")
     found = spark.createDataFrame([("a", "new"), ("b", "other")], "scene_id string, s3_path string")
     assert {r.scene_id: r.s3_path for r in io.backfill_paths(scenes, found).collect()} == {"a": "new", "b": "kept"}
+
+
+def test_manifest_is_in_order(spark, tmp_path):
+    """The part files, in name order, hold the items by time and id, missing times first."""
+    rows = [(f"i{k:03d}", None if k % 9 == 0 else f"2024-01-{1 + k * 7 % 28:02d}T00:00:00Z") for k in range(200)]
+    items = spark.createDataFrame([(i, t, None, None, None) for i, t in reversed(rows)], io.ITEM).repartition(6)
+    io.write_manifest(items, str(tmp_path / "items"))
+    lines = [json.loads(line) for part in sorted((tmp_path / "items").glob("part-*.json")) for line in part.read_text().splitlines()]
+    assert [x["id"] for x in lines] == [i for i, t in sorted(rows, key=lambda r: (r[1] or "", r[0]))]
+    assert io.read_items(spark, str(tmp_path / "items")).count() == 200

@@ -403,6 +403,10 @@ def test_builtup_pipeline_resumes_from_whole_artifacts(spark, tmp_path):
     assert again["polygons"].first().area_ha == area
     now = {p.parent.name: p.stat().st_mtime_ns for p in (tmp_path / "run").glob("*/_SUCCESS")}
     assert {n for n in now if now[n] != stamps[n]} == {"zones"}
+    # other settings: what depends on them is built again, and what was not is read
+    run_builtup(radar(spark, BLOCK), None, BuiltUp(("p1",), 8, 8, tile=4, cleaning=Cleaning(least_pixels=5)), store=store)
+    last = {p.parent.name: p.stat().st_mtime_ns for p in (tmp_path / "run").glob("*/_SUCCESS")}
+    assert {n for n in last if last[n] == now[n]} == {"composite", "tested", "support"}
 
 
 def _clipped(subject, clip):
