@@ -19,7 +19,7 @@ import base64
 import hashlib
 import heapq
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -100,6 +100,21 @@ def codepoint_classes() -> np.ndarray:
     return out
 
 
+class _Cache(dict):
+    """Ids of slices, as bytes; what is missing is merged, and kept unless it is long."""
+
+    def __init__(self, merge: Callable[[bytes], bytes]):
+        self.merge = merge
+
+    def __missing__(self, part: bytes) -> bytes:
+        out = self.merge(part)
+        if len(part) <= SHORT_SLICE:
+            if len(self) >= CACHE:
+                self.clear()
+            self[part] = out
+        return out
+
+
 class Vocabulary:
     """Tokens by id, and the classes of codepoints; what the tasks need of it is built where it is first used."""
 
@@ -117,7 +132,7 @@ class Vocabulary:
         inside[ends[(ends >= 0) & (ends < len(inside))]] = False
         pairs = np.flatnonzero(inside)
         self.joined[self.bytes[pairs], self.bytes[pairs + 1]] = True
-        self._cache: dict[bytes, bytes] = {}
+        self._cache = _Cache(self._ids_of)
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -265,21 +280,16 @@ class Vocabulary:
             found = array("i")
             for a, b in zip(cuts, cuts[1:], strict=False):
                 found.extend(self._merge(part[a:b]))
-            return found.tobytes()
-        if len(self._cache) >= CACHE:
-            self._cache.clear()
-        self._cache[part] = out = found.tobytes()
-        return out
+        return found.tobytes()
 
     # -- whole texts ------------------------------------------------------------------------------
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the number of ids before each text (and in all)."""
         starts = self.slices(data, offsets)
-        raw, held = data.tobytes(), self._cache.get
-        edges = [*starts.tolist(), len(raw)]
-        parts = [raw[a:b] for a, b in zip(edges, edges[1:], strict=False)]
-        coded = [held(p) or self._ids_of(p) for p in parts]
+        raw, edges = data.tobytes(), starts.tolist()
+        edges.append(len(raw))
+        coded = list(map(self._cache.__getitem__, map(raw.__getitem__, map(slice, edges, edges[1:]))))
         ids = np.frombuffer(b"".join(coded), np.int32)
         upto = np.zeros(len(coded) + 1, np.int64)
         np.cumsum(np.fromiter(map(len, coded), np.int64, len(coded)) // 4, out=upto[1:])
