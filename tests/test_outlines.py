@@ -33,11 +33,11 @@ def lines_of(labels):
     return found
 
 
-@pytest.mark.parametrize("tolerance,fill", [(0.0, 0.6), (5.0, 0.62), (12.0, 0.7), (40.0, 0.8)])
+@pytest.mark.parametrize("tolerance,fill", [(5.0, 0.62), (12.0, 0.7), (40.0, 0.8)])
 def test_outlines_across_tiles(spark, tolerance, fill):
     """Random masks with holes and corner contacts, linked in tiles of 4 pixels."""
     rnd = random.Random(int(tolerance))
-    labels = Z.label_zones(mask(spark, {(r, c) for r in range(26) for c in range(26) if rnd.random() < fill}), tile=8)
+    labels = Z.label_zones(mask(spark, {(r, c) for r in range(22) for c in range(22) if rnd.random() < fill}), tile=8)
     labels = spark.createDataFrame(labels.collect(), labels.schema)
     got = {(r.comp_r, r.comp_c): r for r in Z.zone_outlines(labels, tolerance_m=tolerance, link_tile=4).collect()}
     want = {k: whole(v, tolerance) for k, v in lines_of(labels).items()}

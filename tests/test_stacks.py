@@ -36,7 +36,7 @@ def test_run_psi_over_stacks(spark):
     plan = "stack_id string, front_id string, back_id string, break_after string, break_before string"
     parts = {"a": table("a", 0.0, False), "b": table("b", 5.0, True)}
     breaks = [(s, f"{s}-front", f"{s}-back", "2023-09-10", "2023-09-22") for s in parts]
-    rows = lambda names: run_psi(spark.createDataFrame([r for n in names for r in parts[n]], schema), spark.createDataFrame([b for b in breaks if b[0] in names], plan), cfg=Psi(cluster_buffer_m=10.0))
+    rows = lambda names: run_psi(spark.createDataFrame([r for n in names for r in parts[n]], schema), spark.createDataFrame([b for b in breaks if b[0] in names], plan), cfg=Psi(cluster_buffer_m=10.0), outlines=False)
     both = rows("ab")
     alone = [(r.stack_id, r.point_id, round(r.ci_emergence, 9)) for n in "ab" for r in rows(n)["emergence"].collect()]
     assert sorted((r.stack_id, r.point_id, round(r.ci_emergence, 9)) for r in both["emergence"].collect()) == sorted(alone) and len(alone) == 10
