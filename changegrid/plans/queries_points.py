@@ -57,7 +57,7 @@ def masters(spark, d):
 
 
 def monthly(spark, d) -> DataFrame:
-    """One scene a month of each stack: the first."""
+    """One scene a quarter of each stack: the first."""
     s = stacked(spark, d)
     return s.groupBy("stack_id", F.date_trunc("quarter", "day").alias("q")).agg(F.min("day").alias("day")).select("stack_id", "day")
 
