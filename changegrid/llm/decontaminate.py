@@ -2,9 +2,9 @@
 
 1. Document frequencies of hashed words over all documents give IDF weights; words of more than STOP of
    all documents (runs of words from the benchmark not counted) weigh nothing, or every passage would be close to every other of its language.
-2. A randomised SVD of TF-IDF passages (the benchmark's and those of a bounded, hash-drawn set of
-   documents) gives a latent basis.  The passages' rows stay distributed: one pass sums the Gram matrix
-   of A * Omega, a second sums A' * (A * Omega) by blocks of terms; only those sums reach the driver.
+2. A randomised SVD of the TF-IDF passages of all documents and of the benchmark gives a latent basis.  The
+   passages' rows stay distributed: one pass sums A' * (A * Omega), by blocks of terms; only those sums reach
+   the driver.
 3. Every passage of every document is folded into the basis and compared with all passages of the
    benchmark, one matrix product a block.  The cosine's denominator holds the passage's whole TF-IDF
    norm, so a passage that lies mostly outside the basis is close to nothing.
@@ -24,12 +24,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changegrid.llm.quality import drawn
 from changegrid.llm.words import U, Words, rounds, windows
-from changegrid.sources.staging import stage
 
 #: Hashed terms (2**BITS), latent dimensions and oversampling, words of half a passage (passages overlap by it).
 BITS, RANK, OVER, HALF = 16, 96, 8, 12
@@ -39,8 +38,8 @@ RUN_BITS = 24
 FILTER_BITS = 22
 #: Words of more than this part of the documents (and of more than STOP_LEAST) weigh nothing.
 STOP, STOP_LEAST = 0.1, 20
-#: Weight of the benchmark's passages against the documents' in the decomposition.
-ITEM_WEIGHT = 10.0
+#: Part of the weight that the benchmark's passages have in the decomposition, against the documents'.
+ITEM_SHARE = 0.75
 #: Cosine from which a passage is a candidate. Words of a run; an item of fewer counts where it stands verbatim.
 CLOSE, LEAST_WORDS = 0.15, 5
 #: Weighing words up to which an item is judged by its runs of words, as it has no vector to speak of.
@@ -52,11 +51,11 @@ VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.6, 0.8
 SURE, COMMON = 2.0, 4
 #: Benchmark items that one pass over the documents looks for; more take more passes.
 ITEMS_A_PASS = 5000
-#: Partitions of the decomposed matrix.
-PARTS = 16
-_TERM_BLOCK, _POSTINGS = 4096, 1 << 18
-#: Bytes of text in a round (each word becomes RANK + 1 floats); passages of the decomposition in one.
-_ROUND, _ROWS = 1 << 18, 512
+#: Input partitions that a task of the decomposition sums, where there are more than tasks run at once.
+INPUTS_A_TASK = 4
+_TERM_BLOCK, _POSTINGS = 256, 1 << 18
+#: Bytes of text in a round (each passage becomes RANK + 1 floats), in one of the decomposition; sums taken side by side.
+_ROUND, _SUMMED, _RUNS = 1 << 18, 1 << 20, 512
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[:128] = 32
@@ -64,9 +63,9 @@ _FOLD[97:123] = np.arange(97, 123)
 _FOLD[48:58] = np.arange(48, 58)
 
 
-def _read(texts: pa.Array) -> Iterator[tuple[int, int, Words, np.ndarray]]:
+def _read(texts: pa.Array, size: int | None = None) -> Iterator[tuple[int, int, Words, np.ndarray]]:
     """(row from, row to, words, word hashes) of lower-cased letters and digits, in rounds."""
-    for row, to, data, offsets in rounds(texts, _ROUND, pc.utf8_lower):
+    for row, to, data, offsets in rounds(texts, size or _ROUND, pc.utf8_lower):
         words = Words(_FOLD[data], offsets)
         yield row, to, words, words.hashes()
 
@@ -97,8 +96,8 @@ def benchmark_runs(items: DataFrame) -> np.ndarray:
     return found
 
 
-def document_frequencies(docs: DataFrame, text_col: str = "text", own: np.ndarray | None = None) -> tuple[int, np.ndarray]:
-    """Number of documents and, for each hashed term, how many contain it; over all rows.
+def document_frequencies(docs: DataFrame, text_col: str = "text", own: np.ndarray | None = None) -> tuple[int, np.ndarray, int]:
+    """Number of documents, for each hashed term how many contain it, and the number of tasks that read them; over all rows.
 
     Words in runs that ``own`` holds (``benchmark_runs``) are not counted there, so that a leak, however
     often it is repeated, does not make its own words common.
@@ -120,114 +119,151 @@ def document_frequencies(docs: DataFrame, text_col: str = "text", own: np.ndarra
                 pairs = np.unique(pairs)
                 seen += np.bincount(pairs & ((1 << BITS) - 1), minlength=1 << BITS)
         at = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(seen[at], total))], names=["term", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, [-1, -2])), pa.array(np.append(seen[at], [total, 1]))], names=["term", "n"])
 
     found = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     term, n = found["term"].to_numpy(), found["n"].to_numpy()
     out = np.zeros(1 << BITS)
     out[term[term >= 0]] = n[term >= 0]
-    return int(n[term < 0].sum()), out
-
+    return int(n[term == -1].sum()), out, int(n[term == -2].sum())
+
+
+def _sums(rows: np.ndarray, pick: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    """Sums of ``rows[pick[cut[i]:cut[i + 1]]]``, whole rows at a time; long runs by the sums of their pieces."""
+    n = np.diff(cut)
+    if n.max(initial=0) > HALF:
+        pieces = -(-n // HALF)
+        ends = np.cumsum(pieces)
+        first = np.repeat(cut[:-1], pieces) + (np.arange(pieces.sum()) - np.repeat(ends - pieces, pieces)) * HALF
+        held = _sums(rows, pick, np.append(first, cut[-1]))
+        return _sums(held, np.arange(len(held)), np.append(0, ends))
+    out = np.empty((len(n), rows.shape[1]), np.float32)
+    order = np.argsort((HALF - n).astype(np.uint8), kind="stable")
+    taken = np.empty((min(_RUNS, len(n)), rows.shape[1]), np.float32)
+    for lo in range(0, len(n), _RUNS):  # the longest first, so those with a further row are the first ones
+        own = order[lo : lo + _RUNS]
+        start, total = cut[own], np.zeros((len(own), rows.shape[1]), np.float32)
+        more = len(own) - np.searchsorted(n[own][::-1], np.arange(n[own[0]]), "right")
+        for j, m in enumerate(more):
+            total[:m] += np.take(rows, pick[start[:m] + j], 0, out=taken[:m], mode="clip")
+        out[own] = total
+    return out
 
-def _columns(rows: np.ndarray) -> np.ndarray:
-    """Rows of terms as columns, two dimensions to a complex number: one look-up and one sum serve both."""
-    wide = np.ascontiguousarray(np.concatenate((rows, np.zeros((len(rows), rows.shape[1] % 2), np.float32)), 1))
-    return np.ascontiguousarray(wide.view(np.complex64).T)
 
+def _passages(words: Words, hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums of terms' ``rows`` over passages of 2 * HALF words, HALF apart: (passages x dimensions, text, first word in it).
 
-def _passages(words: Words, hashes: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sums of terms' ``columns`` over passages of 2 * HALF words, HALF apart: (dimensions x passages, text, first word in it)."""
+    Words whose last number is zero weigh nothing and are not looked up.
+    """
     count = np.diff(words.first)
     halves = -(-count // HALF)
     text = np.repeat(np.arange(len(count)), halves)
     order = np.arange(len(text)) - np.repeat(np.cumsum(halves) - halves, halves)
-    if not len(text):
-        return np.zeros((2 * len(columns), 0), np.float32), text, order
-    bucket, cut = _bucket(hashes), words.first[text] + order * HALF
-    sums = np.empty((len(columns), len(cut)), np.complex64)
-    held = np.empty(len(bucket), np.complex64)
-    for column, out in zip(columns, sums, strict=True):
-        np.add.reduceat(np.take(column, bucket, out=held, mode="clip"), cut, out=out)
-    joined = np.append(text[1:] == text[:-1], False)
+    bucket = _bucket(hashes)
+    weighing = np.flatnonzero(np.take(rows[:, -1] != 0, bucket))
+    sums = _sums(rows, bucket[weighing], np.append(np.searchsorted(weighing, words.first[text] + order * HALF), len(weighing)))
+    joined = np.append(text[1:] == text[:-1], False)[: len(text)]
     keep = (order == 0) | joined  # a text's last half is in the passage before it
-    sums[:, :-1] += sums[:, 1:] * joined[:-1]  # the right side is made first, so no sum is added twice
-    sums = np.ascontiguousarray(sums[:, keep])
-    return np.stack((sums.real, sums.imag), 1).reshape(2 * len(columns), -1), text[keep], (order * HALF)[keep]
+    more = np.flatnonzero(joined)
+    sums[more] += sums[more + 1]  # the right side is made first, so no sum is added twice
+    return sums[keep], text[keep], (order * HALF)[keep]
 
 
-def _sparse(words: Words, hashes: np.ndarray, idf: np.ndarray, weight: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """TF-IDF rows (terms, values) of all passages, as long as their text's weight."""
-    out = []
-    bucket = _bucket(hashes)
-    for a, b, w in zip(words.first[:-1], words.first[1:], weight, strict=True):
-        for at in range(a, max(a + 1, b - HALF), HALF):
-            terms, tf = np.unique(bucket[at : min(b, at + 2 * HALF)], return_counts=True)
-            value = tf * idf[terms]
-            norm = np.sqrt((value**2).sum())
-            if norm > 0:
-                out.append((terms, w * value / norm))
-    return out
-
+class Sketch:
+    """Sums over passages x (TF-IDF, of length one) of x' * (x * omega), for a random ``omega`` of ``width`` columns.
 
-def latent_basis(texts: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int = 11) -> np.ndarray:
-    """Right singular vectors (terms x rank) of the TF-IDF passages of ``(text, weight)``, by randomised SVD."""
-    width = rank + OVER
+    A passage's length is the root of its words' summed squared weights, as in the search.
+    """
 
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            weight = batch.column("weight").to_numpy(zero_copy_only=False)
-            for row, to, words, hashes in _read(batch.column("text")):
-                rows = _sparse(words, hashes, idf, weight[row:to])
-                yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in rows], pa.list_(pa.int64())), pa.array([v for _, v in rows], pa.list_(pa.float64()))], names=["terms", "tfidf"])
+    def __init__(self, idf: np.ndarray, width: int, seed: int):
+        self.idf, self.n = idf, 0
+        self.terms = np.concatenate((idf[:, None] * omega(width, seed), idf[:, None] ** 2), 1).astype(np.float32)
+        self.sums = np.zeros((1 << BITS, width + 1), np.float32)
 
-    # few rows, however many files they come from: so few partial sums reach the tasks that add them
-    matrix = stage(texts.select("text", "weight").mapInArrow(build, "terms array<long>, tfidf array<double>").repartition(PARTS), "lsa-matrix")
+    def add(self, words: Words, hashes: np.ndarray) -> None:
+        vectors, text, start = _passages(words, hashes, self.terms)
+        norm = vectors[:, -1:].copy()
+        self.n += int(np.count_nonzero(norm > 0))
+        vectors /= np.where(norm > 0, norm, np.float32(np.inf))
+        count = np.diff(words.first)
+        halves = -(-count // HALF)
+        base = np.cumsum(halves) - halves
+        at = base[text] + start // HALF
+        held = np.zeros((int(halves.sum()), vectors.shape[1]), np.float32)  # of each half passage: those of the passages it is in
+        held[at] = vectors
+        two = halves[text] > 1
+        held[at[two] + 1] += vectors[two]
+        bucket = _bucket(hashes).astype(np.uint16)
+        weighing = np.flatnonzero(np.take(self.idf > 0, bucket))
+        weighing = weighing[np.argsort(bucket[weighing], kind="stable")]
+        owner = words.text()[weighing]
+        half = base[owner] + (weighing - words.first[owner]) // HALF
+        term = bucket[weighing]
+        cut = np.flatnonzero(np.append(True, term[1:] != term[:-1])[: len(term)])
+        self.sums[term[cut]] += _sums(held, half, np.append(cut, len(term)))
+
+    def rows(self) -> np.ndarray:
+        """The sums as terms x width."""
+        return self.sums[:, :-1] * self.idf[:, None].astype(np.float32)
+
+
+def omega(width: int, seed: int) -> np.ndarray:
+    """Random numbers (terms x width), the same in every task."""
+    return np.random.default_rng(seed).standard_normal((1 << BITS, width), np.float32)
+
+
+def sketched(texts: DataFrame, idf: np.ndarray, width: int, seed: int, tasks: int | None = None) -> np.ndarray:
+    """``Sketch`` of all passages of all rows of ``text``, divided by the number of passages: one pass, by ``tasks`` tasks at most.
+
+    Blocks of terms are added up by Spark.
+    """
+    spark = texts.sparkSession
+    shared = spark.sparkContext.broadcast(idf)
 
-    def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        omega = np.random.default_rng(seed).standard_normal((1 << BITS, width), np.float32)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Sketch(shared.value, width, seed)
         for batch in batches:
-            for at in range(0, len(batch), _ROWS):
-                yield sketch(batch.slice(at, _ROWS), omega)
-
-    def sketch(batch: pa.RecordBatch, omega: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        lengths = batch.column("terms").value_lengths().to_numpy(zero_copy_only=False)
-        terms, values = batch.column("terms").flatten().to_numpy(zero_copy_only=False), batch.column("tfidf").flatten().to_numpy(zero_copy_only=False)
-        row = np.repeat(np.arange(len(lengths)), lengths)
-        y = np.zeros((len(lengths), width))
-        if len(terms):
-            y = np.add.reduceat(omega[terms] * values[:, None], np.cumsum(lengths) - lengths, axis=0)
-        return row, terms, values, y
-
-    def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((width, width))
-        for _, _, _, y in sketches(batches):
-            total += y.T @ y
-        yield pa.RecordBatch.from_arrays([pa.array([total.ravel()], pa.list_(pa.float64()))], names=["sums"])
-
-    parts = matrix.mapInArrow(gram, "sums array<double>").select(F.posexplode("sums").alias("at", "x")).groupBy("at").agg(F.sum("x").alias("x")).toArrow()
-    total = np.zeros(width * width)
-    total[parts["at"].to_numpy()] = parts["x"].to_numpy()
-    values, vectors = np.linalg.eigh(total.reshape(width, width))
-    keep = values > max(values.max(initial=0), 1e-300) * 1e-10
-    whiten = vectors[:, keep] / np.sqrt(values[keep])  # Y @ whiten has orthonormal columns
-
-    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((1 << BITS, whiten.shape[1]), np.float32)
-        for row, terms, values, y in sketches(batches):
-            q = (y @ whiten).astype(np.float32)
-            np.add.at(sums, terms, q[row] * values[:, None].astype(np.float32))
+            for _, _, words, hashes in _read(batch.column("text"), _SUMMED):
+                own.add(words, hashes)
+        rows, part = own.rows(), TaskContext.get().partitionId()
         for block in range(0, 1 << BITS, _TERM_BLOCK):
-            part = sums[block : block + _TERM_BLOCK]
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([part.tobytes()], pa.binary())], names=["block", "sums"])
+            sums = rows[block : block + _TERM_BLOCK]
+            if sums.any():
+                n = own.n if not block else 0
+                yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([part]), pa.array([n]), pa.array([sums.tobytes()], pa.binary())], names=["block", "part", "n", "sums"])
+            elif not block and own.n:
+                yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([part]), pa.array([own.n]), pa.array([b""], pa.binary())], names=["block", "part", "n", "sums"])
 
     def add(table: pa.Table) -> pa.Table:
-        blocks = [np.frombuffer(x, np.float32) for x in table["sums"].to_pylist()]
-        return pa.table({"block": table["block"][:1], "sums": pa.array([np.sum(blocks, axis=0).tobytes()], pa.binary())})
-
-    b = np.zeros((1 << BITS, max(1, whiten.shape[1])))
-    for part in matrix.mapInArrow(project, "block long, sums binary").groupBy("block").applyInArrow(add, "block long, sums binary").toLocalIterator():
-        b[part.block : part.block + _TERM_BLOCK] = np.frombuffer(part.sums, np.float32).reshape(-1, whiten.shape[1])
+        table = table.sort_by("part")  # one order, one result
+        total = np.zeros(_TERM_BLOCK * width)
+        for x in table["sums"]:
+            if len(x.as_buffer()):
+                total += np.frombuffer(x.as_buffer(), np.float32)
+        return pa.table({"block": table["block"][:1], "n": pa.array([pc.sum(table["n"]).as_py()]), "sums": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
+
+    found = (texts if tasks is None else texts.coalesce(tasks)).select("text").mapInArrow(run, "block long, part long, n long, sums binary").groupBy("block").applyInArrow(add, "block long, n long, sums binary")
+    out, n = np.zeros((1 << BITS, width), np.float32), 0
+    for row in found.toLocalIterator():
+        n += row.n
+        out[row.block : row.block + _TERM_BLOCK] = np.frombuffer(row.sums, np.float32).reshape(-1, width)
+    return out / max(1, n)
+
+
+def latent_basis(docs: DataFrame, items: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int = 11, tasks: int | None = None) -> np.ndarray:
+    """Right singular vectors (terms x rank) of the TF-IDF passages of all rows of ``docs`` and ``items``, by randomised SVD.
+
+    With A the passages and Y = A * omega, both Y' * Y = omega' * (A' * Y) and Q' * A, Q an orthonormal basis of
+    Y's columns, follow from A' * Y, which one pass sums.  The items' passages have ITEM_SHARE of the weight, however
+    many documents there are.
+    """
+    width = rank + OVER
+    total = (1 - ITEM_SHARE) * sketched(docs, idf, width, seed, tasks).astype(np.float64)
+    total += ITEM_SHARE * sketched(items, idf, width, seed, tasks)
+    gram = omega(width, seed).T.astype(np.float64) @ total
+    values, vectors = np.linalg.eigh((gram + gram.T) / 2)
+    keep = values > max(values.max(initial=0), 1e-300) * 1e-5  # the sums have single precision
+    b = total @ (vectors[:, keep] / np.sqrt(values[keep]))  # Y @ (vectors / sqrt(values)) has orthonormal columns
     values, vectors = np.linalg.eigh(b.T @ b)
     order = [i for i in np.argsort(-values)[:rank] if values[i] > 1e-12]
     return (b @ vectors[:, order] / np.sqrt(values[order])).astype(np.float32) if order else np.zeros((1 << BITS, 1), np.float32)
@@ -418,12 +454,11 @@ class Benchmark:
 
     def near(self, vectors: np.ndarray, text: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(text, item, first word)`` of passages within CLOSE of an item's, and the cosines."""
-        dims = self.searched.shape[0]
-        norm = np.sqrt(vectors[dims])
+        norm = np.sqrt(vectors[:, -1])
         norm[norm == 0] = np.inf
         hits, cosines = [np.zeros((0, 3), np.int64)], [np.zeros(0)]
-        for at in range(0, vectors.shape[1], 8192):
-            dot = vectors[:dims, at : at + 8192].T @ self.searched
+        for at in range(0, len(vectors), 8192):
+            dot = vectors[at : at + 8192, :-1] @ self.searched
             hit = np.flatnonzero((dot >= CLOSE * norm[at : at + 8192, None]).ravel())
             if len(hit):
                 p, q = np.divmod(hit, dot.shape[1])
@@ -431,9 +466,9 @@ class Benchmark:
                 cosines.append(dot.ravel()[hit] / norm[at + p])
         return np.concatenate(hits), np.concatenate(cosines)
 
-    def leaks(self, words: Words, hashes: np.ndarray, columns: np.ndarray) -> dict[str, list]:
+    def leaks(self, words: Words, hashes: np.ndarray, rows: np.ndarray) -> dict[str, list]:
         """Text, item, cosine, lcs and answer of the leaks in a round of texts."""
-        vectors, text, start = _passages(words, hashes, columns)
+        vectors, text, start = _passages(words, hashes, rows)
         near, cosine = self.near(vectors, text, start)
         copies = self.verbatim(words, hashes)
         exact = np.concatenate((copies, self.by_rare_words(words, hashes), self.by_grams(words, hashes)))
@@ -458,8 +493,8 @@ class Benchmark:
                 if np.isnan(near).all():  # found by words: the cosine of its passages nearest the item's
                     own = np.flatnonzero(text == t)
                     own = own[np.isin(start[own] // HALF, _around(found[group, 2]))]
-                    norm = np.sqrt(vectors[self.vectors.shape[1], own])
-                    near = ((vectors[: self.vectors.shape[1], own] / np.where(norm > 0, norm, 1)).T @ self.vectors[self.owner == item].T).ravel()
+                    norm = np.sqrt(vectors[own, -1:])
+                    near = ((vectors[own, :-1] / np.where(norm > 0, norm, 1)) @ self.vectors[self.owner == item].T).ravel()
                 for n, v in zip(out, (t, item, float(np.nanmax(near)) if len(near) else None, *leak[1:]), strict=True):
                     out[n].append(v)
         return out
@@ -483,17 +518,18 @@ def _around(starts: np.ndarray) -> np.ndarray:
 
 
 def _verdict(item: list[int], weighing: list[int], answer: list[int], region: list[int]) -> tuple[bool, float, float]:
-    """(leak, part of the item in order, part of its answer in order) of a region of words."""
+    """(leak, part of the item in order, part of its answer in order) of a region of words; zeros where its content is missing."""
+    if len(weighing) > HARDLY and common_subsequence(weighing, region) / len(weighing) < PARAPHRASE:
+        return False, 0.0, 0.0
     whole = common_subsequence(item, region) / len(item)
     told = common_subsequence(answer, region) / len(answer)
-    if len(weighing) > HARDLY:
-        content = common_subsequence(weighing, region) / len(weighing)
-    else:  # without weighing words a long item counts by its runs of words, a short one only as a whole
+    if len(weighing) <= HARDLY:  # without weighing words a long item counts by its runs of words, a short one only as a whole
         content = in_runs(item, region) if len(item) >= 2 * HALF else float(whole == 1)
-    return content >= PARAPHRASE and (whole >= VERBATIM or told >= ANSWER), whole, told
+        return content >= PARAPHRASE and (whole >= VERBATIM or told >= ANSWER), whole, told
+    return whole >= VERBATIM or told >= ANSWER, whole, told
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", sample_docs: int = 600) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``(id, item_id, cosine, lcs, answer)``: items that a document repeats or paraphrases.
 
     ``lcs``: part of the item's words found in order; ``answer``: part of its answer's.  A pair is
@@ -510,14 +546,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     item_kind = benchmark.schema[item_col].dataType.simpleString()
     out_schema = f"id {kind}, item_id {item_kind}, cosine double, lcs double, answer double"
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text"))
-    n_docs, df = document_frequencies(docs, text_col, benchmark_runs(items))
+    n_docs, df, tasks = document_frequencies(docs, text_col, benchmark_runs(items))
     idf = np.where(df <= max(STOP * n_docs, STOP_LEAST), np.log((n_docs + 2) / (df + 1)), 0.0)
-    fitted = drawn(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", sample_docs, salt=3).select("text", F.lit(1.0).alias("weight"))
-    basis = latent_basis(items.select("text", F.lit(ITEM_WEIGHT).alias("weight")).unionByName(fitted), idf)
+    # a task's sums have one size, so a task reads several input partitions where there are many
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, tasks // INPUTS_A_TASK)
+    basis = latent_basis(docs.select(F.col(text_col).alias("text")), items, idf, tasks=tasks)
     # a word's part of a passage's vector and, last, of its squared norm
     rows = np.concatenate((idf[:, None] * basis, idf[:, None] ** 2), 1).astype(np.float32)
     sc = docs.sparkSession.sparkContext
-    shared_columns = sc.broadcast(_columns(rows))
+    shared_rows = sc.broadcast(rows)
     n_items = items.count()
     passes = max(1, -(-n_items // ITEMS_A_PASS))
     out = None
@@ -527,12 +564,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
         shared = sc.broadcast(Benchmark([r.item for r in held], [r.text for r in held], rows))
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            bench, columns = shared.value, shared_columns.value
+            bench, terms = shared.value, shared_rows.value
             for batch in batches:
                 for row, to, words, hashes in _read(batch.column("text")):
                     if not len(hashes) or not bench.ids:
                         continue
-                    found = bench.leaks(words, hashes, columns)
+                    found = bench.leaks(words, hashes, terms)
                     if found["at"]:
                         at = pa.array([row + t for t in found["at"]])
                         kept = [batch.column("id").take(at), pa.array([bench.ids[i] for i in found["item"]]), *(pa.array(found[n], pa.float64()) for n in ("cosine", "lcs", "answer"))]
