@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changegrid.config import ChangeTest, Cleaning, Fusion, Optical, Psi, ZoneShape
@@ -104,12 +104,13 @@ def run_builtup(radar: DataFrame, optical: DataFrame | None, cfg: BuiltUp, stop_
     return out
 
 
-def run_psi(points: DataFrame, breaks: DataFrame, evidence: DataFrame | None = None, cfg: Psi = Psi(), fusion: Fusion = Fusion(), outlines: bool = True) -> dict[str, DataFrame]:
+def run_psi(points: DataFrame, breaks: DataFrame, evidence: DataFrame | None = None, cfg: Psi = Psi(), fusion: Fusion = Fusion(), outlines: bool = True, gain: Column | None = None) -> dict[str, DataFrame]:
     """Point tables of all stacks and subsets to fused clusters; with ``outlines``, their polygons get rings, area and perimeter.
 
     ``points``: ``(stack_id, subset_id, point_id, azimuth_index, range_index, temporal_coherence, x, y)``, where
     ``subset_id`` is NULL for the complete stack.  ``breaks``: as ``psi.plan_breaks``.  All breaks run at
     once: the break is a grouping column.  Point ids are unique in a stack only, so keys hold the stack.
+    ``gain``, over columns of points and breaks, levels the emergence index before thresholds are fitted.
     """
     require_columns(points, ("stack_id", "subset_id", *POINT_COLUMNS, "x", "y"), "point table")
     require_columns(breaks, ("stack_id", "front_id", "back_id", "break_after", "break_before"), "break plan")
@@ -124,7 +125,10 @@ def run_psi(points: DataFrame, breaks: DataFrame, evidence: DataFrame | None = N
         raise ValueError(f"no points for subsets {[r.subset_id for r in missing]}")
     side = lambda c: subsets.join(plan.select(F.col(c).alias("subset_id"), *keys), "subset_id").drop("subset_id")
     matched = S.match_points(complete.join(plan, "stack_id"), side("front_id"), side("back_id"), keys)
-    change = stage(S.classify(S.change_indices(matched), keys, cfg.sigma_multiplier), "psi-change")
+    indices = S.change_indices(matched)
+    if gain is not None:  # on the index itself: a scaled coherence would be rounded once more
+        indices = indices.withColumn("ci_emergence", F.col("ci_emergence") * gain)
+    change = stage(S.classify(indices, keys, cfg.sigma_multiplier), "psi-change")
     if change.isEmpty():
         raise ValueError("no pixel is in all three point tables of any break")
     emergence = stage(S.emergence_points(change, ["stack_id"]), "psi-emergence")

@@ -1,10 +1,15 @@
 """Several stacks at once: their pixel keys are unrelated."""
 
+import glob
+import os
+
+import duckdb
 import pytest
 
 from changegrid.config import Psi
 from changegrid.operators import psi
 from changegrid.plans.pipelines import run_psi
+from changegrid.plans.queries import ORACLE_SQL, QUERIES
 
 COLUMNS = "stack_id string, azimuth_index long, range_index long, ci_emergence double, break_after string, break_before string, cdpsi_class string"
 
@@ -42,3 +47,13 @@ def test_run_psi_over_stacks(spark):
     assert sorted((r.stack_id, r.point_id, round(r.ci_emergence, 9)) for r in both["emergence"].collect()) == sorted(alone) and len(alone) == 10
     summary = both["summary"].first()
     assert summary.points == 10 and summary.polygons == 5 and summary.stacks == ["a", "b"]
+
+
+def test_indices_are_those_of_sql_to_the_last_digit(spark):
+    """The sixth digit, where a half is rounded, too: an index must be worked out by the same steps."""
+    data, con = "/root/testdata/sf0.01", duckdb.connect()
+    for path in glob.glob(f"{data}/*.parquet"):
+        con.sql(f"CREATE VIEW {os.path.basename(path)[:-8]} AS SELECT * FROM '{path}'")
+    want = con.sql(ORACLE_SQL["stacks_emergence"])
+    got = QUERIES["stacks_emergence"](spark, data).select(want.columns).collect()
+    assert sorted(tuple(r) for r in got) == sorted(want.fetchall())
