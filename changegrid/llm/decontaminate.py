@@ -54,8 +54,8 @@ ITEMS_A_PASS = 5000
 #: Input partitions that a task of the decomposition sums, where there are more than tasks run at once.
 INPUTS_A_TASK = 4
 _TERM_BLOCK, _POSTINGS = 256, 1 << 18
-#: Bytes of text in a round (each passage becomes RANK + 1 floats), in one of the decomposition; sums taken side by side.
-_ROUND, _SUMMED, _RUNS = 1 << 18, 1 << 20, 512
+#: Bytes of text in a round (each passage becomes RANK + 1 floats); sums taken side by side.
+_ROUND, _RUNS = 1 << 18, 512
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[:128] = 32
@@ -63,9 +63,9 @@ _FOLD[97:123] = np.arange(97, 123)
 _FOLD[48:58] = np.arange(48, 58)
 
 
-def _read(texts: pa.Array, size: int | None = None) -> Iterator[tuple[int, int, Words, np.ndarray]]:
+def _read(texts: pa.Array) -> Iterator[tuple[int, int, Words, np.ndarray]]:
     """(row from, row to, words, word hashes) of lower-cased letters and digits, in rounds."""
-    for row, to, data, offsets in rounds(texts, size or _ROUND, pc.utf8_lower):
+    for row, to, data, offsets in rounds(texts, _ROUND, pc.utf8_lower):
         words = Words(_FOLD[data], offsets)
         yield row, to, words, words.hashes()
 
@@ -177,7 +177,10 @@ class Sketch:
 
     def __init__(self, idf: np.ndarray, width: int, seed: int):
         self.idf, self.n = idf, 0
-        self.terms = np.concatenate((idf[:, None] * omega(width, seed), idf[:, None] ** 2), 1).astype(np.float32)
+        self.terms = np.empty((1 << BITS, width + 1), np.float32)
+        for at, part in omega(width, seed):
+            np.multiply(part, idf[at : at + len(part), None], out=self.terms[at : at + len(part), :-1], casting="same_kind")
+        self.terms[:, -1] = idf**2
         self.sums = np.zeros((1 << BITS, width + 1), np.float32)
 
     def add(self, words: Words, hashes: np.ndarray) -> None:
@@ -202,14 +205,16 @@ class Sketch:
         cut = np.flatnonzero(np.append(True, term[1:] != term[:-1])[: len(term)])
         self.sums[term[cut]] += _sums(held, half, np.append(cut, len(term)))
 
-    def rows(self) -> np.ndarray:
-        """The sums as terms x width."""
-        return self.sums[:, :-1] * self.idf[:, None].astype(np.float32)
+    def rows(self, at: int, to: int) -> np.ndarray:
+        """The sums of some terms: terms x width."""
+        return self.sums[at:to, :-1] * self.idf[at:to, None].astype(np.float32)
 
 
-def omega(width: int, seed: int) -> np.ndarray:
-    """Random numbers (terms x width), the same in every task."""
-    return np.random.default_rng(seed).standard_normal((1 << BITS, width), np.float32)
+def omega(width: int, seed: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Random numbers (terms x width), the same in every task, by blocks of terms: (first term, rows)."""
+    rng = np.random.default_rng(seed)
+    for at in range(0, 1 << BITS, _TERM_BLOCK):
+        yield at, rng.standard_normal((_TERM_BLOCK, width), np.float32)
 
 
 def sketched(texts: DataFrame, idf: np.ndarray, width: int, seed: int, tasks: int | None = None) -> np.ndarray:
@@ -223,11 +228,11 @@ def sketched(texts: DataFrame, idf: np.ndarray, width: int, seed: int, tasks: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Sketch(shared.value, width, seed)
         for batch in batches:
-            for _, _, words, hashes in _read(batch.column("text"), _SUMMED):
+            for _, _, words, hashes in _read(batch.column("text")):
                 own.add(words, hashes)
-        rows, part = own.rows(), TaskContext.get().partitionId()
+        part = TaskContext.get().partitionId()
         for block in range(0, 1 << BITS, _TERM_BLOCK):
-            sums = rows[block : block + _TERM_BLOCK]
+            sums = own.rows(block, block + _TERM_BLOCK)
             if sums.any():
                 n = own.n if not block else 0
                 yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([part]), pa.array([n]), pa.array([sums.tobytes()], pa.binary())], names=["block", "part", "n", "sums"])
@@ -247,7 +252,8 @@ def sketched(texts: DataFrame, idf: np.ndarray, width: int, seed: int, tasks: in
     for row in found.toLocalIterator():
         n += row.n
         out[row.block : row.block + _TERM_BLOCK] = np.frombuffer(row.sums, np.float32).reshape(-1, width)
-    return out / max(1, n)
+    out /= max(1, n)
+    return out
 
 
 def latent_basis(docs: DataFrame, items: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int = 11, tasks: int | None = None) -> np.ndarray:
@@ -258,9 +264,9 @@ def latent_basis(docs: DataFrame, items: DataFrame, idf: np.ndarray, rank: int =
     many documents there are.
     """
     width = rank + OVER
-    total = (1 - ITEM_SHARE) * sketched(docs, idf, width, seed, tasks).astype(np.float64)
-    total += ITEM_SHARE * sketched(items, idf, width, seed, tasks)
-    gram = omega(width, seed).T.astype(np.float64) @ total
+    total = sketched(docs, idf, width, seed, tasks) * np.float32(1 - ITEM_SHARE)
+    total += sketched(items, idf, width, seed, tasks) * np.float32(ITEM_SHARE)
+    gram = sum(part.T.astype(np.float64) @ total[at : at + len(part)] for at, part in omega(width, seed))
     values, vectors = np.linalg.eigh((gram + gram.T) / 2)
     keep = values > max(values.max(initial=0), 1e-300) * 1e-5  # the sums have single precision
     b = total @ (vectors[:, keep] / np.sqrt(values[keep]))  # Y @ (vectors / sqrt(values)) has orthonormal columns

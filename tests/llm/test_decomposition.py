@@ -1,6 +1,7 @@
 """The latent basis of the decontamination, against plain loops over all passages."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,23 @@ def passages(texts, idf):
     return np.array(out)
 
 
+def omega(width, seed):
+    return np.concatenate([part for _, part in D.omega(width, seed)])
+
+
+def test_memory_of_sums():
+    """A task holds its terms and its sums, 27 MB each, and little besides."""
+    idf = weights(texts_of(50))
+    tracemalloc.start()
+    own = D.Sketch(idf, D.RANK + D.OVER, 3)
+    for _, _, words, hashes in D._read(pa.array(texts_of(500))):
+        own.add(words, hashes)
+    own.rows(0, 256)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80e6
+
+
 def test_sums_of_runs():
     rng = np.random.default_rng(2)
     rows = rng.random((50, 7)).astype(np.float32)
@@ -57,7 +75,7 @@ def test_sums_of_all_rows(spark):
     idf = weights(texts)
     a = passages(texts, idf)
     used = np.flatnonzero(a.any(0))
-    want = a[:, used].T @ (a[:, used] @ D.omega(24, 3)[used]) / len(a)
+    want = a[:, used].T @ (a[:, used] @ omega(24, 3)[used]) / len(a)
     df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
     got = D.sketched(df, idf, 24, 3)
     assert np.allclose(got[used], want, atol=1e-5) and not np.delete(got, used, 0).any()
@@ -71,7 +89,7 @@ def test_basis_is_of_all_documents(spark):
     a, b = passages(texts, idf), passages(items, idf)
     a, b = a * np.sqrt((1 - D.ITEM_SHARE) / len(a)), b * np.sqrt(D.ITEM_SHARE / len(b))
     both = np.concatenate((a, b))[:, idf > 0]
-    q = np.linalg.qr(both @ D.omega(40 + D.OVER, 11)[idf > 0])[0]
+    q = np.linalg.qr(both @ omega(40 + D.OVER, 11)[idf > 0])[0]
     want = np.linalg.svd(q.T @ both, full_matrices=False)[2][:40].T
     basis = basis[idf > 0].astype(float)
     assert np.allclose(basis.T @ basis, np.eye(40), atol=1e-4)
