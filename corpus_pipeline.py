@@ -19,6 +19,16 @@ from changegrid.llm.langid import held_out
 from changegrid.sources.staging import stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Bytes in one Arrow batch between Spark and a Python worker.
+BATCH_BYTES = 4 << 20
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """Hands texts to Python workers in small batches from now on, so that both sides of a task hold little of its partition.
+
+    A stage's result is written after its function has returned, so the setting stays.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -32,6 +42,7 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Labels are learnt from rows whose crc32(doc_id as text) mod 3 is not 1, as in the query.
     """
+    _small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.train(docs, labels.where((F.col("quality") == 1) & ~held_out(F.col("doc_id"))))
     return quality.score(docs, model, keep=COLUMNS).where("score >= 0.5").select(COLUMNS)
@@ -44,6 +55,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Rows are told apart by all their columns, so null and repeated ids take no other row with them.
     """
+    _small_batches(spark)
     keyed = _keyed(docs)
     name = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
     found = simhash.near_copies(keyed.select(name.alias("name"), "text"), "name")
@@ -58,6 +70,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that repeat or paraphrase a benchmark item."""
+    _small_batches(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     keyed = _keyed(docs)
     leaks = decontaminate.find_leaks(keyed.select("row", "text"), benchmark, "row").select(F.col("id").alias("row")).distinct()
@@ -66,6 +79,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps every document; each secret in its text gives way to ``<kind>``, and n_chars follows."""
+    _small_batches(spark)
     found = secrets.scan(docs, keep=("lang", "source", "n_chars"))
     hit = F.size("spans") > 0
     clean = found.withColumn("clean", secrets.redact(F.col("text"), F.col("spans")))

@@ -222,3 +222,22 @@ def test_recall_of_near_copies_on_real_rows(spark):
     pairs = {p for held in filed.values() for p in itertools.combinations(held, 2)}
     near = [(a, b) for a, b in pairs if sets[a] != sets[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
     assert near and all(got[a] == got[b] for a, b in near)
+
+
+def test_workers_get_small_batches(spark):
+    """A stage hands texts to Python in small batches, whatever the session had before."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    texts = spark.range(0, 3 * pipeline.BATCH_BYTES >> 16, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("a bc "), 1 << 14).alias("text"), *[F.lit(None).cast(t).alias(c) for c, t in (("lang", "string"), ("source", "string"), ("n_chars", "long"))])
+
+    def sizes(batches):
+        for batch in batches:
+            yield type(batch).from_pydict({"n": [batch.nbytes]})
+
+    try:
+        for stage_of in (pipeline.drop_near_duplicates, pipeline.redact_secrets):
+            spark.conf.set(key, str(1 << 26))
+            stage_of(spark, texts, "").count()
+            assert max(r.n for r in texts.mapInArrow(sizes, "n long").collect()) <= pipeline.BATCH_BYTES + (1 << 18)
+    finally:
+        spark.conf.set(key, before)
