@@ -275,23 +275,49 @@ def evaluate_rects(predicted: DataFrame, reference: DataFrame, cell: float = 500
     return _areas(predicted, reference, near_pairs(predicted.select(*box), reference.select(*box), cell, touch=False), (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0")), shared)
 
 
-#: Pairs of polygons with at most this product of edges are measured within their row, others by slabs.
+#: Pairs of polygons with at most this product of edges are measured edge by edge, others by slabs.
 PRODUCT = 4096
 
 
+def _paired_areas(met: DataFrame) -> DataFrame:
+    """``shared`` of pairs ``(prings, pe, qe, n)``, polygons' edges as of ``_edges`` about their own first corner: ``overlap_area`` n times.
+
+    Edges are rows here, so their sums are plain arithmetic; only the sum over all rows is of use.
+    """
+    both = met.withColumn("o", F.col("prings")[0][0]).select("o", "qo", "n", F.explode("pe").alias("e"), "qe").select("o", "qo", "n", "e", F.explode("qe").alias("f"))
+    side = lambda e, a: {f"{e}{c}{k}": F.col(f"{e}.{c}{k}") + (F.col(f"{a}.{c}") - F.col(f"o.{c}")) for c in "xy" for k in (0, 1)}
+    both = both.select("n", (F.col("e.s") * F.col("f.s")).alias("s"), *[v.alias(k) for k, v in (side("e", "o") | side("f", "qo")).items()])
+    both = both.withColumns({"lo": F.greatest("ex0", "fx0"), "hi": F.least("ex1", "fx1")}).where("hi > lo")
+    at = lambda g, x: F.col(f"{g}y0") + (F.col(f"{g}y1") - F.col(f"{g}y0")) * ((F.col(x) - F.col(f"{g}x0")) / (F.col(f"{g}x1") - F.col(f"{g}x0")))
+    both = both.select("n", "s", (F.col("hi") - F.col("lo")).alias("w"), *[at(g, x).alias(f"{g}{x}") for g in "ef" for x in ("lo", "hi")])
+    a, b = F.col("elo") - F.col("flo"), F.col("ehi") - F.col("fhi")
+    apart = F.when(a * b < 0, (a * a + b * b) / (F.abs(a) + F.abs(b))).otherwise(F.abs(a + b))
+    lower = (F.col("elo") + F.col("ehi") + F.col("flo") + F.col("fhi") - apart) / 4
+    return both.select((F.col("n") * F.col("s") * F.col("w") * lower).alias("shared"))
+
+
 def evaluate_polygons(predicted: DataFrame, reference: DataFrame, cell: float = 500.0) -> DataFrame:
-    """Areas, summed pairwise overlap and IoU of two sets of polygons (column ``rings``: outer first, then holes)."""
+    """Areas, summed pairwise overlap and IoU of two sets of polygons (column ``rings``: outer first, then holes).
 
-    def with_boxes(df: DataFrame) -> DataFrame:
-        outer = F.col("rings")[0]
-        return df.select("rings", *[f(outer[axis]).alias(f"{axis}{n}") for axis in "xy" for n, f in ((0, F.array_min), (1, F.array_max))])
+    Polygons of equal rings are measured once and counted, so pairs are those of different shapes.
+    """
 
-    p, q = with_boxes(predicted), with_boxes(reference)
-    met = stage(near_pairs(p, q, cell, touch=False).select("prings", "qrings"), "overlap-pairs")
-    met = met.withColumn("small", F.size(F.flatten("prings")).cast("long") * F.size(F.flatten("qrings")) <= PRODUCT)
-    shared = met.where("small").select(overlap_area(F.col("prings"), F.col("qrings")).alias("shared"))
-    large = stage(met.where("NOT small"), "overlap-large")
+    def shapes(df: DataFrame) -> DataFrame:
+        held = stage(df.groupBy("rings").agg(F.count("*").alias("n")), "overlap-shapes")
+        outer = F.col("rings")[0]
+        first = F.when(F.size("rings") > 0, F.when(F.size(outer) > 0, outer[0]))
+        box = [f(outer[axis]).alias(f"{axis}{n}") for axis in "xy" for n, f in ((0, F.array_min), (1, F.array_max))]
+        return stage(held.select("rings", "n", first.alias("o"), F.when(first.isNotNull(), _edges(F.col("rings"), first["x"], first["y"])).alias("e"), F.size(F.flatten("rings")).cast("long").alias("m"), *box), "overlap-boxes")
+
+    p, q = shapes(predicted), shapes(reference)
+    # few rows may have many partners: they are dealt to all tasks whatever their size
+    own = p.repartition(int(p.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    met = near_pairs(own, q, cell, touch=False)
+    small = met.where(F.col("pm") * F.col("qm") <= PRODUCT)
+    shared = _paired_areas(small.select("prings", "pe", "qe", "qo", (F.col("pn") * F.col("qn")).alias("n")))
+    large = stage(met.where(F.col("pm") * F.col("qm") > PRODUCT).select("prings", "qrings", (F.col("pn") * F.col("qn")).alias("n")), "overlap-large")
     if not large.isEmpty():
         large = stage(large.withColumn("pair", F.monotonically_increasing_id()), "overlap-large-ids")
-        shared = shared.unionByName(shared_areas(large, ["pair"]).select("shared"))
-    return _areas(p, q, shared, polygon_area(F.col("rings")), F.col("shared"))
+        found = shared_areas(large, ["pair"]).join(large.select("pair", "n"), "pair")
+        shared = shared.unionByName(found.select((F.col("shared") * F.col("n")).alias("shared")))
+    return _areas(p, q, shared, polygon_area(F.col("rings")) * F.col("n"), F.col("shared"))

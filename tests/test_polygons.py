@@ -8,6 +8,7 @@ import pytest
 from changegrid.operators import catalog, spatial
 from changegrid.operators import polygons as G
 from changegrid.sources import io
+from pyspark.sql import functions as F
 
 RINGS = "array<array<struct<x: double, y: double>>>"
 
@@ -139,6 +140,16 @@ def test_large_polygons_are_evaluated_by_slabs(spark):
     assert both.predicted_area == pytest.approx(whole + 4) and both.intersection_area == pytest.approx(lens + 4 + 4 + 4, rel=2e-3)
 
 
+def test_copies_are_evaluated_once(spark):
+    """2,000 copies against 2,000 are one pair of shapes that counts four million times; a shape without corners is none."""
+    copies = lambda dx, shape: spark.range(2000).select(F.lit(dx).alias("d")).join(table(spark, [[[(x + dx, y + dx) for x, y in r] for r in shape]]).select("rings"))
+    other = table(spark, [CORNER, [[]]]).select("rings")
+    begun = time.time()
+    row = spatial.evaluate_polygons(copies(0.0, BLOCK).select("rings").unionByName(other), copies(4.0, BLOCK).select("rings").unionByName(other)).first()
+    assert row.intersection_area == pytest.approx(2000 * 2000 * 8 + 36) and row.predicted_area == row.reference_area == pytest.approx(2000 * 48 + 36)
+    assert time.time() - begun < 60
+
+
 def test_shared_areas(spark):
     """Squares with holes, of known overlap; then 20,000 edges each, in seconds."""
     moved = [[(x + 4, y + 4) for x, y in r] for r in BLOCK]
