@@ -16,16 +16,16 @@ from changegrid.operators.polygons import shared_areas, spots_in_polygons
 from changegrid.sources.staging import stage
 
 
-def points_in_rects(points: DataFrame, rects: DataFrame, cell: float = 500.0) -> DataFrame:
+def points_in_rects(points: DataFrame, rects: DataFrame, cell: float = 500.0, parts: int = 1) -> DataFrame:
     """Points by the rectangles ``(x0, y0, x1, y1)`` that hold them, borders too.
 
-    A rectangle is dealt to cells of its own size (``cell``, doubled), so a large one costs four rows; a
-    point is sent to its cell at each size that occurs.  Missing coordinates hold nothing.
+    A rectangle is dealt to cells of its own size (``cell``, doubled), so a large one costs four rows, or of one of ``parts``
+    of it; a point is sent to its cell at each size that occurs.  Missing coordinates hold nothing.
     """
-    size = F.lit(cell) * F.pow(F.lit(2.0), F.col("_rl"))
+    size = F.lit(cell / parts) * F.pow(F.lit(2.0), F.col("_rl"))
     dealt = rects.withColumn("_rl", level_of(cell))
     dealt = dealt.withColumn("_rx", F.explode(cells_of(F.col("x0"), F.col("x1"), size))).withColumn("_ry", F.explode(cells_of(F.col("y0"), F.col("y1"), size)))
-    at = [F.struct(F.lit(n).alias("l"), F.floor(F.col("x") / (cell * 2.0**n)).alias("x"), F.floor(F.col("y") / (cell * 2.0**n)).alias("y")) for n in levels_of(rects, cell) or [0]]
+    at = [F.struct(F.lit(n).alias("l"), F.floor(F.col("x") / (cell / parts * 2.0**n)).alias("x"), F.floor(F.col("y") / (cell / parts * 2.0**n)).alias("y")) for n in levels_of(rects, cell) or [0]]
     own = points.withColumn("_p", F.explode(F.array(*at)))
     inside = F.col("x").between(F.col("x0"), F.col("x1")) & F.col("y").between(F.col("y0"), F.col("y1"))
     same = [F.col("_p.l") == F.col("_rl"), F.col("_p.x") == F.col("_rx"), F.col("_p.y") == F.col("_ry")]
@@ -60,10 +60,42 @@ def in_ring(x: Column, y: Column, ring: Column) -> Column:
     return (hits >= 1000000) | (hits % 2 == 1)
 
 
+#: Corners, the closing one included, up to which a convex ring is tested by plain arithmetic, which Spark compiles.
+CORNERS = 9
+
+
+def _convex(ring: Column) -> Column:
+    """Whether a ring is closed, has no corner twice and at most ``CORNERS``, and lies to the left of each of its edges."""
+    nxt = F.slice(ring, F.lit(2), F.size(ring))
+    left = lambda a, b: F.forall(ring, lambda c: (b["x"] - a["x"]) * (c["y"] - a["y"]) - (c["x"] - a["x"]) * (b["y"] - a["y"]) >= 0)
+    bent = F.forall(F.zip_with(ring, nxt, lambda a, b: b.isNull() | left(a, b)), lambda v: v)
+    return F.coalesce(F.size(ring).between(4, CORNERS) & (ring[0] == F.element_at(ring, -1)) & (F.size(F.array_distinct(ring)) == F.size(ring) - 1) & bent, F.lit(False))
+
+
 def points_in_rings(points: DataFrame, polygons: DataFrame, cell: float = 500.0) -> DataFrame:
-    """Points by the polygons (column ``ring``) that hold them, borders too."""
-    box = polygons.withColumns({"x0": F.array_min("ring.x"), "x1": F.array_max("ring.x"), "y0": F.array_min("ring.y"), "y1": F.array_max("ring.y")})
-    return points_in_rects(points, box, cell).where(in_ring(F.col("x"), F.col("y"), F.col("ring"))).drop("x0", "x1", "y0", "y1")
+    """Points by the polygons (column ``ring``) that hold them, borders too.
+
+    Polygons of equal rings are one shape, tested once and then joined to all polygons of that shape.  A convex ring of few
+    corners holds what lies to the left of each edge.
+    """
+    box = {"x0": F.array_min("ring.x"), "x1": F.array_max("ring.x"), "y0": F.array_min("ring.y"), "y1": F.array_max("ring.y")}
+    shapes = stage(polygons.select("ring").distinct(), "ring-shapes").withColumns({"_turned": F.reverse("ring"), **box})
+    turned = F.when(F.size("ring") > CORNERS, None).when(_convex(F.col("ring")), F.col("ring")).when(_convex(F.col("_turned")), F.col("_turned"))
+    shapes = stage(shapes.select("ring", *box, turned.alias("_turned"), F.monotonically_increasing_id().alias("_shape")), "ring-boxes")
+    members = stage(polygons.join(shapes.select("ring", "_shape"), "ring"), "ring-members")
+    most = shapes.agg(F.max(F.size("_turned"))).first()[0] or 1
+    # the last corner stands for those that a shorter ring lacks: an edge without length excludes nothing
+    corner = lambda i: F.get("_turned", F.least(F.lit(i), F.size("_turned") - 1))
+    few = stage(shapes.where("_turned IS NOT NULL").select("_shape", *box, *[corner(i)[c].alias(f"_{c}{i}") for i in range(most) for c in "xy"]), "ring-corners")
+    inside = F.lit(True)
+    for i in range(most - 1):
+        ax, ay, bx, by = (F.col(f"_{c}{i + k}") for k in (0, 1) for c in "xy")
+        inside = inside & ((bx - ax) * (F.col("y") - ay) - (F.col("x") - ax) * (by - ay) >= 0)
+    hits = points_in_rects(points, few, cell, 2).where(inside).select(*points.columns, "_shape")
+    many = shapes.where("_turned IS NULL").drop("_turned")
+    if not many.isEmpty():
+        hits = hits.unionByName(points_in_rects(points, many, cell).where(in_ring(F.col("x"), F.col("y"), F.col("ring"))).select(*points.columns, "_shape"))
+    return hits.join(members, "_shape").select(*points.columns, *polygons.columns)
 
 
 def rect_ring(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:

@@ -150,6 +150,33 @@ def test_copies_are_evaluated_once(spark):
     assert time.time() - begun < 60
 
 
+def test_points_in_rings_of_any_kind(spark):
+    """Convex rings both ways, with corners in line and twice, concave, crossing, open and long ones, some of them many times."""
+    rnd = random.Random(3)
+    quad = ring((0, 0), (9, 3), (12, 12), (3, 9))
+    kinds = [quad, quad[::-1], ring((0, 0), (6, 0), (12, 0), (12, 12), (0, 12)), ring((0, 0), (0, 0), (12, 0), (6, 12)), ring((0, 0), (12, 0), (6, 6), (12, 12), (0, 12)), ring((0, 0), (12, 12), (12, 0), (0, 12))]
+    kinds += [ring((6, 0), (10, 12), (0, 4), (12, 4), (2, 12)), quad[:-1], ring((0, 0), (12, 0), (6, 12), (0, 0), (12, 0), (6, 12)), ring((3, 3), (9, 9)), [(6.0, 6.0)], star(rnd, 6, 6, 6, 20), star(rnd, 6, 6, 6, 8)]
+    kinds.append(ring(*[(6 + 6 * math.cos(math.pi * k / 15), 6 + 6 * math.sin(math.pi * k / 15)) for k in range(30)]))
+    shapes = [(i, k, kinds[k]) for i, k in enumerate(list(range(len(kinds))) * 3)]
+    polygons = spark.createDataFrame([*shapes, (-1, -1, None), (-2, -2, [])], "k long, kind long, ring array<struct<x: double, y: double>>")
+    spots = [(i, float(i % 13), float(i // 13)) for i in range(169)]
+    got = sorted((r.id, r.k, r.kind) for r in spatial.points_in_rings(spark.createDataFrame(spots, "id long, x double, y double"), polygons, 5.0).collect())
+    assert got == sorted((i, k, kind) for i, x, y in spots for k, kind, r in shapes if holds([r], x, y))
+
+
+def test_points_in_copies_of_rings(spark):
+    """20,000 points in 400 copies of each of 15 rings."""
+    side = F.lit(100.0) + F.col("id") % 15
+    corner = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    none = F.lit(0.0)
+    polygons = spark.range(6000).select("id", F.array(corner(none, -side), corner(side, none), corner(none, side), corner(-side, none), corner(none, -side)).alias("ring"))
+    points = spark.range(20000).select(F.col("id").alias("p"), (F.col("id") % 100 - 50.0).alias("x"), (F.col("id") % 97 - 48.0).alias("y"))
+    begun = time.time()
+    found = spatial.points_in_rings(points, polygons).count()
+    assert found == sum(400 * (abs(i % 100 - 50) + abs(i % 97 - 48) <= 100 + s) for i in range(20000) for s in range(15))
+    assert time.time() - begun < 40
+
+
 def test_shared_areas(spark):
     """Squares with holes, of known overlap; then 20,000 edges each, in seconds."""
     moved = [[(x + 4, y + 4) for x, y in r] for r in BLOCK]
