@@ -116,7 +116,9 @@ def _crossings(met: DataFrame) -> DataFrame:
             ends.append(F.when(on, spot(x[e], y[e])))
     share = pa / (pa - pb)
     through = (F.signum(qa) * F.signum(qb) < 0) & (F.signum(pa) * F.signum(pb) < 0)
-    cross = F.when(through, spot(px["a"] + share * (px["b"] - px["a"]), py["a"] + share * (py["b"] - py["a"])))
+    # an edge along an axis gives its own coordinate, so all that cross it do so in line
+    exact = lambda p, q: F.when(p["a"] == p["b"], p["a"]).when(q["a"] == q["b"], q["a"]).otherwise(p["a"] + share * (p["b"] - p["a"]))
+    cross = F.when(through, spot(exact(px, qx), exact(py, qy)))
     at = F.filter(F.array_distinct(F.array(cross, *ends)), lambda s: s.isNotNull())
     return met.withColumn("at", at).where(F.size("at") > 0)
 

@@ -118,6 +118,19 @@ def test_dissolve_by_points(spark):
     assert again.area == pytest.approx(shoelace(whole[0]))
 
 
+def test_dissolve_of_boxes_in_line(spark):
+    """Boxes of many widths with sides in line and moved ones, in any order: crossings of one place are one corner."""
+    rnd = random.Random(5)
+    boxes = [(x, y, x + 300 + 10 * n, y + 400) for n in range(25) for x, y in ((0, 0), (3000, 7000))]
+    boxes += [(a + 100, b + 50, c + 100, d + 50) for a, b, c, d in boxes]
+    xs, ys = (sorted({v for box in boxes for v in box[i::2]}) for i in (0, 1))
+    held = {(x0, y0): (x1 - x0) * (y1 - y0) for x0, x1 in zip(xs, xs[1:], strict=False) for y0, y1 in zip(ys, ys[1:], strict=False) for a, b, c, d in boxes if a <= x0 and x1 <= c and b <= y0 and y1 <= d}
+    for _ in range(2):
+        rnd.shuffle(boxes)
+        row = G.dissolve(table(spark, [[ring((a, b), (c, b), (c, d), (a, d))] for a, b, c, d in boxes]).repartition(7)).first()
+        assert row.area == sum(held.values()) and len(row.rings) == 2
+
+
 def test_area_shape(spark, tmp_path):
     """A vector file of overlapping shapes and one apart is one shape; its box meets a scene that it does not."""
     io.write_vector(table(spark, [BLOCK, [ring((6, 6), (12, 6), (12, 12), (6, 12))], CORNER]), f"{tmp_path}/aoi.geojson")
