@@ -140,10 +140,10 @@ def dissolve(polygons: DataFrame, cell: float = 500.0) -> DataFrame:
     """One row ``(rings, area)``: the union of all polygons, the largest part first; overlaps and holes are resolved.
 
     Edges are split where they meet others; a piece inside another polygon goes, and so do both of two pieces that run
-    against each other (the inside lies on either side); of equal pieces one stays.  What is left is linked to rings with the
+    against each other (the inside lies on either side); of equal pieces one stays, and of equal polygons.  What is left is linked to rings with the
     inside to their left, parts that touch in a corner apart.  An empty table gives an empty result.
     """
-    named = stage(polygons.select("rings"), "dissolve-shapes")
+    named = stage(polygons.select("rings").distinct(), "dissolve-shapes")
     named = stage(named.withColumn("poly", F.monotonically_increasing_id()), "dissolve-named")
     edges = stage(boxed(edges_of(named, ["poly"])), "dissolve-edges")
     edges = stage(edges.withColumn("e", F.monotonically_increasing_id()), "dissolve-edge-ids")

@@ -131,6 +131,13 @@ def test_dissolve_of_boxes_in_line(spark):
         assert row.area == sum(held.values()) and len(row.rings) == 2
 
 
+def test_dissolve_of_copies(spark):
+    """3,000 copies of two shapes are two shapes."""
+    begun = time.time()
+    row = G.dissolve(spark.range(3000).join(table(spark, [BLOCK, CORNER])).select("rings")).first()
+    assert row.area == 48 + 36 and len(row.rings) == 3 and time.time() - begun < 60
+
+
 def test_area_shape(spark, tmp_path):
     """A vector file of overlapping shapes and one apart is one shape; its box meets a scene that it does not."""
     io.write_vector(table(spark, [BLOCK, [ring((6, 6), (12, 6), (12, 12), (6, 12))], CORNER]), f"{tmp_path}/aoi.geojson")
