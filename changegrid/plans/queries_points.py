@@ -153,14 +153,15 @@ def gain() -> Column:
 
 
 def fused_points(spark, d) -> DataFrame:
-    """The point pipeline over one stack and three breaks, whose emergence indices differ as those of ``classified``."""
+    """The point pipeline over one stack and three breaks, whose tables differ as those of ``classified``: by the steps of the SQL, so bins fall alike."""
     p = view(spark, d, "psi_points")
     held = [(F.lit(None).cast("string"), F.col("tc_c"))]
-    held += [(F.lit(f"front{b}"), F.col("tc_f")) for b in range(len(BREAKS))] + [(F.lit(f"back{b}"), F.col("tc_b")) for b in range(len(BREAKS))]
+    by = [F.when(F.col("azimuth_index") % 2 == 1, 0.8).otherwise(1.25) if b == 1 else F.lit(1.0) for b in range(len(BREAKS))]
+    held += [(F.lit(f"front{b}"), F.col("tc_f")) for b in range(len(BREAKS))] + [(F.lit(f"back{b}"), F.col("tc_c") + (F.col("tc_b") - F.col("tc_c")) * by[b]) for b in range(len(BREAKS))]
     each = F.explode(F.array(*[F.struct(name.alias("subset_id"), tc.alias("temporal_coherence")) for name, tc in held])).alias("e")
     points = p.select(F.lit("asc0").alias("stack_id"), "point_id", *S.KEY, (F.col("range_index") * 20.0).alias("x"), (F.col("azimuth_index") * 20.0).alias("y"), each).select("*", "e.*").drop("e")
     breaks = spark.createDataFrame([("asc0", f"front{b}", f"back{b}", day, "2023-10-16") for b, day in enumerate(BREAKS)], "stack_id string, front_id string, back_id string, break_after string, break_before string")
-    return run_psi(points, breaks, kinds_of_rects(spark, d), Psi(sigma_multiplier=1.0, cluster_buffer_m=10.0), outlines=False, gain=gain())["points"]
+    return run_psi(points, breaks, kinds_of_rects(spark, d), Psi(sigma_multiplier=1.0, cluster_buffer_m=10.0), outlines=False)["points"]
 
 
 #: Stacks over one ground: id, factor of the emergence index, what is added to it on some pixels, the pixels seen, shift of x.

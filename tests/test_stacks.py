@@ -8,6 +8,7 @@ import pytest
 
 from changegrid.config import Psi
 from changegrid.operators import psi
+from changegrid.plans import queries_points
 from changegrid.plans.pipelines import run_psi
 from changegrid.plans.queries import ORACLE_SQL, QUERIES
 
@@ -57,3 +58,10 @@ def test_indices_are_those_of_sql_to_the_last_digit(spark):
     want = con.sql(ORACLE_SQL["stacks_emergence"])
     got = QUERIES["stacks_emergence"](spark, data).select(want.columns).collect()
     assert sorted(tuple(r) for r in got) == sorted(want.fetchall())
+
+
+def test_pipeline_takes_the_steps_of_its_sql(spark):
+    """Its SQL scales the coherence and then takes the index, so an index is the difference of the coherences, to the last bit."""
+    rows = queries_points.fused_points(spark, "/root/testdata/sf0.001").select("ci_emergence", "tc_back", "tc_complete", "break_after").collect()
+    assert len({r.break_after for r in rows}) > 1
+    assert all(r.ci_emergence == r.tc_back - r.tc_complete for r in rows)
