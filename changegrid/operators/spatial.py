@@ -225,9 +225,13 @@ def cluster_points(points: DataFrame, radius: float, key: str = "point_id") -> D
 
 
 def cluster_stats(points: DataFrame, cfg: Fusion = Fusion()) -> DataFrame:
-    """Points, mean confidence and class, centroid and box of each cluster."""
+    """Points, mean confidence and class, centroid and box of each cluster.
+
+    Scores are added as decimals, so a mean that equals a class's bound does so in whatever order the points come.
+    """
+    mean = F.sum(F.col("confidence_score").cast("decimal(18,12)")).cast("double") / F.count("confidence_score")
     out = points.groupBy("cluster_id").agg(
-        F.count("*").alias("point_count"), F.avg("confidence_score").alias("mean_confidence"), F.avg("x").alias("cx"), F.avg("y").alias("cy"), F.min("x").alias("x0"), F.min("y").alias("y0"), F.max("x").alias("x1"), F.max("y").alias("y1")
+        F.count("*").alias("point_count"), F.round(mean, 12).alias("mean_confidence"), F.avg("x").alias("cx"), F.avg("y").alias("cy"), F.min("x").alias("x0"), F.min("y").alias("y0"), F.max("x").alias("x1"), F.max("y").alias("y1")
     )
     return out.withColumn("confidence_class", confidence_class(F.col("mean_confidence"), cfg))
 

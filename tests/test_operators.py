@@ -462,3 +462,13 @@ def test_truth_on_a_wider_grid_is_aligned(spark):
     truth = spark.createDataFrame([(0, 0, True), (5, 5, True)], "r int, c int, truth boolean")
     row = evaluate_builtup(predicted, truth, scale=0.5)["metrics"].first()
     assert (row.tp, row.fp, row.fn, row.tn) == (4, 4, 0, 8)
+
+
+def test_a_mean_at_a_bound_is_of_the_upper_class(spark):
+    """Doubles add up to less or more by their order: clusters whose mean is 0.7 or 0.45 by decimals, in several orders."""
+    rows = []
+    for k, (scores, many) in enumerate([((0.65, 0.65, 0.65, 0.65 + 0.2), n) for n in range(1, 13)] + [((0.65, 0.25), n) for n in range(1, 13)]):
+        rows += [(2 * k, s) for s in [*scores] * many] + [(2 * k + 1, s) for s in sorted([*scores] * many)]
+    df = spark.createDataFrame(rows, "cluster_id long, confidence_score double").select("*", F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
+    got = {r.cluster_id: (r.confidence_class, r.mean_confidence) for r in X.cluster_stats(df).collect()}
+    assert got == {k: ("high", 0.7) if k < 24 else ("medium", 0.45) for k in range(48)}
